@@ -58,3 +58,387 @@ def _nested(fn):
 register("orders_nested_batch", _NESTED_ORACLE)(_nested(nesting.orders_nested_batch))
 register("orders_nested_join", _NESTED_ORACLE)(_nested(nesting.orders_nested_join))
 register("orders_nested_lateral", _NESTED_ORACLE)(_nested(nesting.orders_nested_lateral))
+
+
+# ------------------------------------------------------------------ helpers
+
+def _d(spark, sf_dir):
+    return V.driver(spark, sf_dir)
+
+
+def C(days: int) -> str:
+    return cutoff_sql(days)
+
+
+# ------------------------------------------------------- scans and lookups
+
+from fetchplan.sources import tables as _tables  # noqa: E402
+from fetchplan.operators import aggregates as A  # noqa: E402
+from fetchplan.operators import limits as L  # noqa: E402
+from fetchplan.operators import quality as Q  # noqa: E402
+from fetchplan.functions import lookup_functions as LF  # noqa: E402
+from fetchplan.functions.scalar import department_label  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@register("employees_scan", with_views("emp") + """
+SELECT employee_id, first_name, last_name, email, department_id, salary, hire_date FROM emp""")
+def q_employees_scan(spark, sf_dir):
+    return _tables.employees_scan(V.employees(_d(spark, sf_dir)))
+
+
+@register("recent_orders", with_views("ord") + f"""
+SELECT order_id, customer_id, order_date, total_amount FROM ord WHERE order_date >= {C(30)}""")
+def q_recent_orders(spark, sf_dir):
+    return lookups.recent_orders(V.orders(_d(spark, sf_dir)), AS_OF, 30)
+
+
+@register("recent_orders_slim", with_views("ord") + f"""
+SELECT order_id, customer_id, total_amount FROM ord WHERE order_date >= {C(7)}""")
+def q_recent_orders_slim(spark, sf_dir):
+    return lookups.recent_orders_slim(V.orders(_d(spark, sf_dir)), AS_OF, 7)
+
+
+# Point lookups: the lookup key is the operator's argument.
+POINT_ORDER_ID = 7
+POINT_DEPARTMENT_ID = 3
+
+
+@register("details_by_order", with_views("det") + f"""
+SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price FROM det
+WHERE order_id = {POINT_ORDER_ID}""")
+def q_details_by_order(spark, sf_dir):
+    return lookups.details_by_order(V.order_details(_d(spark, sf_dir)), POINT_ORDER_ID, DETAIL_ORDER)
+
+
+@register("department_by_id", with_views("dept") + f"""
+SELECT department_id, department_name, location FROM dept WHERE department_id = {POINT_DEPARTMENT_ID}""")
+def q_department_by_id(spark, sf_dir):
+    return lookups.department_by_id(V.departments(_d(spark, sf_dir)), POINT_DEPARTMENT_ID)
+
+
+@register("details_by_orders", with_views("ord", "det") + f"""
+SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price FROM det
+WHERE order_id IN (SELECT order_id FROM ord WHERE order_date >= {C(30)})""")
+def q_details_by_orders(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    keys = V.orders(d).filter(F.col("order_date") >= F.lit(AS_OF) - F.make_dt_interval(F.lit(30)))
+    return lookups.details_by_orders(V.order_details(d), keys.select("order_id"), DETAIL_ORDER)
+
+
+@register("departments_by_ids", with_views("dept", "emp") + """
+SELECT department_id, department_name, location FROM dept
+WHERE department_id IN (SELECT department_id FROM emp)""")
+def q_departments_by_ids(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return lookups.departments_by_ids(V.departments(d), V.employees(d).select("department_id"))
+
+
+@register("employees_in_departments", with_views("emp") + """
+SELECT employee_id, first_name, last_name FROM emp WHERE department_id IN (1, 2, 23)""")
+def q_employees_in_departments(spark, sf_dir):
+    return lookups.employees_in_departments(V.employees(_d(spark, sf_dir)), (1, 2, 23))
+
+
+@register("line_amounts", with_views("det") + """
+SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price,
+       CAST(quantity AS DECIMAL(8,0)) * unit_price AS line_amount FROM det""")
+def q_line_amounts(spark, sf_dir):
+    return lookups.with_line_amount(V.order_details(_d(spark, sf_dir)))
+
+
+@register("distinct_department_ids", with_views("emp") + """
+SELECT DISTINCT department_id FROM emp WHERE department_id IS NOT NULL""")
+def q_distinct_department_ids(spark, sf_dir):
+    return lookups.distinct_keys(V.employees(_d(spark, sf_dir)), "department_id")
+
+
+# ------------------------------------------------------------------- joins
+
+register("orders_details_flat", with_views("ord", "det") + f"""
+SELECT p.order_id, p.customer_id, p.order_date, p.total_amount,
+       d.line_number, d.product_id, d.supplier_id, d.quantity, d.unit_price
+FROM (SELECT * FROM ord WHERE order_date >= {C(30)}) p LEFT JOIN det d ON p.order_id = d.order_id""")(
+    lambda spark, sf_dir: nesting.orders_details_flat(
+        V.orders(_d(spark, sf_dir)), V.order_details(_d(spark, sf_dir)), AS_OF, 30, DETAIL_ORDER))
+
+_EMP_DEPT_ORACLE = with_views("emp", "dept") + """
+SELECT e.employee_id, e.first_name, e.last_name, e.email, e.department_id, e.hire_date, e.salary,
+       CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.department_name END
+         AS department_name,
+       CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.location END
+         AS location
+FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id"""
+
+
+def _emp_dept(fn):
+    def run(spark, sf_dir):
+        d = _d(spark, sf_dir)
+        return nesting.flatten_employees(fn(V.employees(d), V.departments(d)))
+    return run
+
+
+register("employees_departments_join", _EMP_DEPT_ORACLE)(_emp_dept(nesting.employees_departments_join))
+register("employees_departments_batch", _EMP_DEPT_ORACLE)(_emp_dept(nesting.employees_departments_batch))
+register("employees_departments_lateral", _EMP_DEPT_ORACLE)(
+    _emp_dept(nesting.employees_departments_lateral))
+
+
+@register("employee_labels", with_views("emp", "dept") + """
+SELECT e.employee_id,
+       CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL
+            THEN d.department_name || ' (' || d.location || ')' ELSE 'unknown' END AS department_label
+FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id""")
+def q_employee_labels(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    j = nesting.employees_departments_join(V.employees(d), V.departments(d))
+    return j.select("employee_id", department_label(
+        F.col("department.department_name"), F.col("department.location")).alias("department_label"))
+
+
+@register("recent_lines_capped_count", with_views("ord", "det") + f"""
+SELECT least(count(*), 100) AS row_count FROM det d JOIN ord o ON o.order_id = d.order_id
+WHERE o.order_date >= {C(7)}""")
+def q_recent_lines_capped_count(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    capped = L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 100,
+                                   ("order_id", "customer_id", "order_date", "total_amount",
+                                    "product_id", "quantity"))
+    return capped.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("recent_lines_capped")
+def q_recent_lines_capped(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 1000)
+
+
+@register("fk_orphans", with_views("emp", "dept") + """
+SELECT employee_id, department_id FROM emp e
+WHERE department_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dept d WHERE d.department_id = e.department_id)""")
+def q_fk_orphans(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return Q.fk_orphans(V.employees(d), V.departments(d), "department_id", "department_id").select(
+        "employee_id", "department_id")
+
+
+@register("cascade_delete", with_views("ord", "det") + """
+SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price FROM det d
+WHERE NOT EXISTS (SELECT 1 FROM ord o WHERE o.order_id = d.order_id AND o.status = 'F')""")
+def q_cascade_delete(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    deleted = V.orders(d).filter(F.col("status") == "F")
+    return Q.cascade_delete(V.order_details(d), deleted, "order_id", "order_id")
+
+
+# ------------------------------------------------------------- aggregates
+
+_AVG_SQL = "round(CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0), 4)"
+
+
+@register("customer_sales", with_views("ord") + f"""
+SELECT customer_id, count(*) AS order_count, sum(total_amount) AS total_sales,
+       {_AVG_SQL.format(x='total_amount')} AS avg_order_value
+FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+def q_customer_sales(spark, sf_dir):
+    return A.customer_sales(V.orders(_d(spark, sf_dir)), AS_OF, 30)
+
+
+@register("customer_sales_totals", with_views("ord") + f"""
+SELECT customer_id, count(*) AS order_count, sum(total_amount) AS total_sales
+FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+def q_customer_sales_totals(spark, sf_dir):
+    return A.customer_sales(V.orders(_d(spark, sf_dir)), AS_OF, 30, with_avg=False)
+
+
+@register("customer_order_counts", with_views("ord") + f"""
+SELECT customer_id, count(*) AS order_count FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+def q_customer_order_counts(spark, sf_dir):
+    return A.customer_order_counts(V.orders(_d(spark, sf_dir)), AS_OF, 30)
+
+
+@register("monthly_sales", with_views("ord") + f"""
+SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS monthly_orders,
+       sum(total_amount) AS monthly_revenue, count(DISTINCT customer_id) AS unique_customers
+FROM ord WHERE order_date >= {C(180)} GROUP BY 1""")
+def q_monthly_sales(spark, sf_dir):
+    return A.monthly_sales(V.orders(_d(spark, sf_dir)), AS_OF, 180)
+
+
+@register("department_stats", with_views("emp", "dept") + f"""
+SELECT d.department_name, count(e.employee_id) AS employee_count,
+       {_AVG_SQL.format(x='e.salary')} AS avg_salary,
+       min(e.salary) AS min_salary, max(e.salary) AS max_salary
+FROM dept d LEFT JOIN emp e ON d.department_id = e.department_id GROUP BY d.department_name""")
+def q_department_stats(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return A.department_stats(V.departments(d), V.employees(d))
+
+
+@register("department_headcount", with_views("emp", "dept") + """
+SELECT d.department_id, d.department_name, count(e.employee_id) AS employee_count
+FROM dept d LEFT JOIN emp e ON d.department_id = e.department_id
+GROUP BY d.department_id, d.department_name""")
+def q_department_headcount(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return A.department_headcount(V.departments(d), V.employees(d))
+
+
+# The stand-in money is larger than the reference's, so the HAVING bound is
+# raised to keep it selective.
+PRODUCT_MIN_REVENUE = 1_000_000
+
+
+@register("product_revenue", with_views("ord", "det") + f"""
+SELECT d.product_id, sum(d.quantity) AS total_quantity,
+       sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS total_revenue,
+       count(DISTINCT o.customer_id) AS unique_buyers
+FROM det d JOIN ord o ON d.order_id = o.order_id
+WHERE o.order_date >= {C(60)}
+GROUP BY d.product_id
+HAVING sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) > {PRODUCT_MIN_REVENUE}""")
+def q_product_revenue(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return A.product_revenue(V.order_details(d), V.orders(d), AS_OF, 60, PRODUCT_MIN_REVENUE)
+
+
+@register("order_totals", with_views("ordc", "det") + """
+SELECT o.order_id, o.customer_name, o.order_date, count(d.order_id) AS detail_count,
+       sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS calculated_total
+FROM ordc o LEFT JOIN det d ON o.order_id = d.order_id
+GROUP BY o.order_id, o.customer_name, o.order_date""")
+def q_order_totals(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return A.order_totals(V.orders(d, with_customer_name=True), V.order_details(d))
+
+
+@register("recent_order_count", with_views("ord") + f"""
+SELECT count(*) AS order_count FROM ord WHERE order_date >= {C(30)}""")
+def q_recent_order_count(spark, sf_dir):
+    return A.recent_order_count(V.orders(_d(spark, sf_dir)), AS_OF, 30)
+
+
+@register("table_counts", with_views("ord", "det", "emp", "dept") + """
+SELECT 'orders' AS table_name, count(*) AS row_count, 'ok' AS status FROM ord
+UNION ALL SELECT 'order_details', count(*), 'ok' FROM det
+UNION ALL SELECT 'employees', count(*), 'ok' FROM emp
+UNION ALL SELECT 'departments', count(*), 'ok' FROM dept""")
+def q_table_counts(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return A.table_counts({
+        "orders": lambda: V.orders(d), "order_details": lambda: V.order_details(d),
+        "employees": lambda: V.employees(d), "departments": lambda: V.departments(d)})
+
+
+@register("object_summary", with_views("objects") + """
+SELECT count(*) AS cached_objects, sum(blocks) AS total_blocks FROM objects WHERE type = 'signup'""")
+def q_object_summary(spark, sf_dir):
+    return A.object_summary(V.objects(_d(spark, sf_dir)), "signup")
+
+
+# ----------------------------------------------------------------- limits
+
+_PREVIEW_SQL = with_views("ord", "det") + f"""
+, p AS (SELECT order_id, customer_id, order_date, total_amount FROM ord
+        WHERE order_date >= {C(30)} ORDER BY order_id LIMIT 5)
+, r AS (SELECT p.*, d.product_id, d.quantity,
+               row_number() OVER (PARTITION BY p.order_id ORDER BY {_DETAIL_SORT_SQL}) AS rn,
+               count(d.order_id) OVER (PARTITION BY p.order_id) AS n
+        FROM p LEFT JOIN det d ON p.order_id = d.order_id)
+SELECT order_id, customer_id, order_date, total_amount,
+       coalesce(string_agg(CASE WHEN rn <= 3 AND product_id IS NOT NULL
+                THEN CAST(product_id AS VARCHAR) || ':' || CAST(quantity AS VARCHAR) END, ',' ORDER BY rn), '')
+         AS shown_details,
+       greatest(max(n) - 3, 0) AS more_details
+FROM r GROUP BY order_id, customer_id, order_date, total_amount"""
+
+
+@register("order_preview", _PREVIEW_SQL)
+def q_order_preview(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return L.order_preview(V.orders(d), V.order_details(d), AS_OF, 30, 5, 3, DETAIL_ORDER)
+
+
+@register("employee_preview", with_views("emp", "dept") + """
+SELECT e.employee_id, e.first_name, e.last_name, e.email, e.salary,
+       CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL
+            THEN d.department_name || ' (' || d.location || ')' ELSE 'unknown' END AS department_label
+FROM (SELECT * FROM emp ORDER BY employee_id LIMIT 5) e LEFT JOIN dept d ON e.department_id = d.department_id""")
+def q_employee_preview(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return L.employee_preview(V.employees(d), V.departments(d), 5)
+
+
+# -------------------------------------------------------------- functions
+
+_ORACLE_NUM_SQL = """regexp_replace(regexp_replace(
+    CASE WHEN contains({s}, '.') THEN regexp_replace(regexp_replace({s}, '0+$', ''), '\\.$', '')
+         ELSE {s} END, '^0\\.', '.'), '^-0\\.', '-.')"""
+
+
+@register("customer_summary", with_views("ord") + f"""
+, g AS (SELECT customer_id, count(*) AS n, sum(total_amount) AS total FROM ord
+        WHERE order_date >= {C(90)} GROUP BY customer_id)
+SELECT c.c_custkey AS customer_id,
+       'Orders: ' || CAST(coalesce(g.n, 0) AS VARCHAR) || ', Total: $' ||
+       coalesce({_ORACLE_NUM_SQL.format(s='CAST(round(g.total, 2) AS VARCHAR)')}, '') AS summary
+FROM customer c LEFT JOIN g ON c.c_custkey = g.customer_id""")
+def q_customer_summary(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return LF.customer_order_summary(d.customer.select(F.col("c_custkey").alias("customer_id")),
+                                     V.orders(d), AS_OF, 90)
+
+
+@register("department_name_lookup", with_views("emp", "dept") + """
+SELECT e.employee_id, e.department_id, d.department_name
+FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id""")
+def q_department_name_lookup(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return LF.department_name_lookup(V.employees(d).select("employee_id", "department_id"),
+                                     V.departments(d))
+
+
+# ---------------------------------------------------------------- quality
+
+@register("pk_violations", with_views("det", "ord") + """
+SELECT 'order_details' AS table_name, CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR)
+         AS key_value, count(*) AS row_count
+FROM det GROUP BY order_id, line_number HAVING count(*) > 1
+UNION ALL
+SELECT 'orders', CAST(order_id AS VARCHAR), count(*) FROM ord GROUP BY order_id HAVING count(*) > 1""")
+def q_pk_violations(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    return Q.pk_violations(V.order_details(d), "order_details", ["order_id", "line_number"]).unionByName(
+        Q.pk_violations(V.orders(d), "orders", ["order_id"]))
+
+
+@register("unique_violations", with_views("emp") + """
+SELECT 'employees' AS table_name, 'last_name' AS column_name, last_name AS key_value, count(*) AS row_count
+FROM emp WHERE last_name IS NOT NULL GROUP BY last_name HAVING count(*) > 1
+UNION ALL
+SELECT 'employees', 'email', email, count(*) FROM emp WHERE email IS NOT NULL
+GROUP BY email HAVING count(*) > 1""")
+def q_unique_violations(spark, sf_dir):
+    e = V.employees(_d(spark, sf_dir))
+    return Q.unique_violations(e, "employees", ["last_name"]).unionByName(
+        Q.unique_violations(e, "employees", ["email"]))
+
+
+@register("null_violations", with_views("emp", "dept") + """
+, j AS (SELECT e.*, d.department_name, d.location FROM emp e
+        LEFT JOIN dept d ON e.department_id = d.department_id)
+SELECT * FROM (
+  SELECT 'employee_departments' AS table_name, 'employee_id' AS column_name,
+         count(*) FILTER (WHERE employee_id IS NULL) AS null_count FROM j
+  UNION ALL SELECT 'employee_departments', 'email', count(*) FILTER (WHERE email IS NULL) FROM j
+  UNION ALL SELECT 'employee_departments', 'salary', count(*) FILTER (WHERE salary IS NULL) FROM j
+  UNION ALL SELECT 'employee_departments', 'department_name',
+                   count(*) FILTER (WHERE department_name IS NULL) FROM j
+  UNION ALL SELECT 'employee_departments', 'location', count(*) FILTER (WHERE location IS NULL) FROM j
+) WHERE null_count > 0""")
+def q_null_violations(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    flat = nesting.flatten_employees(nesting.employees_departments_join(V.employees(d), V.departments(d),
+                                                                        ordered=False))
+    return Q.null_violations(flat, "employee_departments",
+                             ["employee_id", "email", "salary", "department_name", "location"])
