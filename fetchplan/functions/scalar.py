@@ -71,9 +71,15 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
+def one_decimal(x: Column) -> Column:
+    """Text of ``x`` with one decimal, rounded half-even on the exact binary
+    value (as Go's and C's ``%.1f`` do; Java's ``%.1f`` would round half-up)."""
+    return F.call_function("format_number", x, F.lit("0.0"))
+
+
 def pct_label(rate: Column) -> Column:
     """0 -> 'N/A', else one decimal and a percent sign."""
-    return F.when(rate == 0, F.lit("N/A")).otherwise(F.format_string("%.1f%%", rate))
+    return F.when(rate == 0, F.lit("N/A")).otherwise(F.concat(one_decimal(rate), F.lit("%")))
 
 
 def mb(bytes_col: Column) -> Column:

@@ -442,3 +442,254 @@ def q_null_violations(spark, sf_dir):
                                                                         ordered=False))
     return Q.null_violations(flat, "employee_departments",
                              ["employee_id", "email", "salary", "department_name", "location"])
+
+
+# ----------------------------------------------------------- measurements
+
+from fetchplan.operators import measure as M  # noqa: E402
+
+_R4 = "round({x}, 4)"
+_DIV = "CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
+
+
+@register("speedup_vs_baseline", with_views("runs") + f"""
+, r AS (SELECT *, first_value(exec_ns) OVER (PARTITION BY suite ORDER BY seq) AS base_ns,
+               row_number() OVER (PARTITION BY suite ORDER BY seq) AS rn FROM runs)
+SELECT suite, seq, method, exec_ns, base_ns, (rn = 1) AS is_baseline,
+       CASE WHEN rn > 1 THEN round({_DIV.format(a='base_ns', b='exec_ns')}, 4) END AS speedup
+FROM r""")
+def q_speedup_vs_baseline(spark, sf_dir):
+    return M.speedup_vs_baseline(V.runs(_d(spark, sf_dir)))
+
+
+_RANKED_RUNS = with_views("runs") + """
+, r AS (SELECT *, first_value(exec_ns) OVER (PARTITION BY suite ORDER BY seq) AS base_ns,
+               row_number() OVER (PARTITION BY suite ORDER BY seq) AS rn FROM runs)"""
+
+
+@register("best_method", _RANKED_RUNS + f"""
+, c AS (SELECT *, row_number() OVER (PARTITION BY suite ORDER BY exec_ns, seq) AS pick FROM r WHERE rn > 1)
+SELECT suite, method AS best_method, seq AS best_seq, exec_ns AS best_ns, base_ns,
+       round({_DIV.format(a='base_ns', b='exec_ns')}, 4) AS improvement
+FROM c WHERE pick = 1""")
+def q_best_method(spark, sf_dir):
+    return M.best_method(V.runs(_d(spark, sf_dir)))
+
+
+@register("time_saved", _RANKED_RUNS + """
+, t AS (SELECT suite, max(CASE WHEN rn = 1 THEN exec_ns END) AS base_ns,
+               max(CASE WHEN rn = 2 THEN exec_ns END) AS opt_ns FROM r GROUP BY suite)
+SELECT suite, base_ns, opt_ns, base_ns - opt_ns AS saved_ns,
+       round(CAST(base_ns - opt_ns AS DOUBLE) / CAST(base_ns AS DOUBLE) * 100, 4) AS saved_pct
+FROM t WHERE opt_ns IS NOT NULL AND base_ns > opt_ns""")
+def q_time_saved(spark, sf_dir):
+    return M.time_saved(V.runs(_d(spark, sf_dir)))
+
+
+@register("mean_run_time", with_views("runs") + """
+SELECT suite, count(*) AS runs, CAST(sum(exec_ns) AS BIGINT) AS total_ns,
+       CAST(sum(exec_ns) // count(*) AS BIGINT) AS mean_ns FROM runs GROUP BY suite""")
+def q_mean_run_time(spark, sf_dir):
+    return M.mean_run_time(V.runs(_d(spark, sf_dir)), ("suite",))
+
+
+@register("warm_hit_rate", with_views("run_log") + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY run_no) AS rn FROM run_log)
+SELECT grp, count(*) AS runs, count(*) FILTER (WHERE rn > 1 AND exec_ms < 50) AS warm_hits,
+       round(CAST(count(*) FILTER (WHERE rn > 1 AND exec_ms < 50) AS DOUBLE)
+             / nullif(CAST(count(*) - 1 AS DOUBLE), 0) * 100, 4) AS warm_hit_rate
+FROM r GROUP BY grp""")
+def q_warm_hit_rate(spark, sf_dir):
+    return M.warm_hit_rate(V.run_log(_d(spark, sf_dir)))
+
+
+@register("hit_rate", with_views("run_log") + """
+SELECT grp, count(*) AS runs, count(*) FILTER (WHERE hit) AS hits,
+       round(CAST(count(*) FILTER (WHERE hit) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100, 4) AS hit_rate
+FROM run_log GROUP BY grp""")
+def q_hit_rate(spark, sf_dir):
+    return M.hit_rate(V.run_log(_d(spark, sf_dir)))
+
+
+_SNAP_ORDER = ("taken_at, hit_ratio, logical_reads, physical_reads, free_waits, busy_waits, "
+               "total_bytes, objects, created, invalidated, memory_bytes")
+_SNAP_ORDER_DESC = ", ".join(c.strip() + " DESC" for c in _SNAP_ORDER.split(","))
+
+_DELTA_CTE = with_views("counter_snapshots") + f"""
+, s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_SNAP_ORDER}) AS rn_i,
+               row_number() OVER (PARTITION BY source ORDER BY {_SNAP_ORDER_DESC}) AS rn_f,
+               count(*) OVER (PARTITION BY source) AS snapshots FROM counter_snapshots)
+, i AS (SELECT * FROM s WHERE rn_i = 1)
+, f AS (SELECT * FROM s WHERE rn_f = 1)
+, delta AS (
+  SELECT f.source, f.snapshots,
+         f.logical_reads - i.logical_reads AS d_logical_reads,
+         f.physical_reads - i.physical_reads AS d_physical_reads,
+         f.free_waits - i.free_waits AS d_free_waits, f.busy_waits - i.busy_waits AS d_busy_waits,
+         f.total_bytes AS total_bytes,
+         round(CASE WHEN f.logical_reads - i.logical_reads > 0
+                    THEN (1.0 - CAST(f.physical_reads - i.physical_reads AS DOUBLE)
+                                / CAST(f.logical_reads - i.logical_reads AS DOUBLE)) * 100
+                    ELSE f.hit_ratio END, 4) AS buffer_hit_ratio,
+         f.objects - i.objects AS d_objects, f.memory_bytes - i.memory_bytes AS d_memory_bytes,
+         f.created - i.created AS d_created, f.invalidated - i.invalidated AS d_invalidated,
+         f.hit_ratio AS result_hit_ratio,
+         CASE WHEN f.created - i.created > 0 THEN (f.objects - i.objects) * 2 ELSE 0 END AS cache_hits,
+         CASE WHEN f.created - i.created > 0 THEN f.created - i.created ELSE 0 END AS cache_misses
+  FROM f JOIN i ON f.source = i.source)"""
+
+_EFF_CTE = _DELTA_CTE + """
+, e0 AS (SELECT *, CASE WHEN d_logical_reads > 0
+                     THEN CAST(d_logical_reads - d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
+                     ELSE 0.0 END AS b,
+                CAST(result_hit_ratio AS DOUBLE) AS r,
+                CAST(total_bytes + d_memory_bytes AS DOUBLE) AS mem FROM delta)
+, eff AS (
+  SELECT source, round(b, 4) AS buffer_efficiency, round(r, 4) AS result_efficiency,
+         round(b * 0.7 + r * 0.3, 4) AS overall_efficiency,
+         round(CASE WHEN mem > 0 THEN (b * 0.7 + r * 0.3) / (mem / 1073741824.0) ELSE 0.0 END, 4)
+           AS memory_efficiency_ratio,
+         round(CASE WHEN d_logical_reads > 0
+                    THEN CAST(d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
+                    ELSE 0.0 END, 4) AS physical_read_pct,
+         round(mem / 1048576.0, 4) AS total_cache_mb,
+         d_logical_reads - d_physical_reads AS io_saved,
+         round((b * 0.7 + r * 0.3) * 0.1, 4) AS cpu_savings,
+         round(CASE WHEN cache_hits + cache_misses > 0
+                    THEN CAST(cache_hits AS DOUBLE) / CAST(cache_hits + cache_misses AS DOUBLE) * 100 END, 4)
+           AS result_hit_share
+  FROM e0)"""
+
+
+def _delta(spark, sf_dir):
+    return M.counter_delta(V.counter_snapshots(_d(spark, sf_dir)))
+
+
+@register("counter_delta", _DELTA_CTE + "\nSELECT * FROM delta")
+def q_counter_delta(spark, sf_dir):
+    return _delta(spark, sf_dir)
+
+
+@register("cache_efficiency", _EFF_CTE + "\nSELECT * FROM eff")
+def q_cache_efficiency(spark, sf_dir):
+    return M.cache_efficiency(_delta(spark, sf_dir))
+
+
+@register("efficiency_tier", _EFF_CTE + """
+SELECT source, overall_efficiency,
+       CASE WHEN overall_efficiency >= 90 THEN 'maintain' WHEN overall_efficiency >= 70 THEN 'improve'
+            ELSE 'urgent' END AS tier FROM eff""")
+def q_efficiency_tier(spark, sf_dir):
+    return M.efficiency_tier(M.cache_efficiency(_delta(spark, sf_dir)))
+
+
+@register("recommendations", _DELTA_CTE + """
+, rules AS (SELECT * FROM (VALUES
+    (1, 3, 'high', '""" + M.RULES[0][3] + """'),
+    (2, 2, 'medium', '""" + M.RULES[1][3] + """'),
+    (3, 3, 'high', '""" + M.RULES[2][3] + """'),
+    (4, 4, 'highest', '""" + M.RULES[3][3] + """')) t(rule_no, rank, priority, title))
+SELECT d.source, r.rule_no, r.rank, r.priority, r.title FROM delta d JOIN rules r
+  ON (r.rule_no = 1 AND d.buffer_hit_ratio < 90) OR (r.rule_no = 2 AND d.result_hit_ratio < 70)
+  OR r.rule_no IN (3, 4)""")
+def q_recommendations(spark, sf_dir):
+    delta = _delta(spark, sf_dir)
+    return M.recommendations(M.cache_efficiency(delta), delta)
+
+
+def _hints_sql():
+    vals = ",\n    ".join(f"('{c}', {n}, '{t}')" for c, n, t in M.HINTS)
+    return _DELTA_CTE + f"""
+, hints AS (SELECT * FROM (VALUES
+    {vals}) t(cache, hint_no, hint))
+SELECT d.source, h.cache, h.hint_no, h.hint FROM delta d JOIN hints h ON
+     (h.cache = 'buffer' AND h.hint_no = 1 AND d.buffer_hit_ratio < 90)
+  OR (h.cache = 'buffer' AND h.hint_no = 2 AND d.d_free_waits > 100)
+  OR (h.cache = 'buffer' AND h.hint_no = 3 AND d.d_busy_waits > 100)
+  OR (h.cache = 'buffer' AND h.hint_no = 4 AND d.buffer_hit_ratio >= 95)
+  OR (h.cache = 'result' AND h.hint_no = 1 AND d.result_hit_ratio < 50)
+  OR (h.cache = 'result' AND h.hint_no = 2 AND d.d_invalidated > d.d_created // 2)
+  OR (h.cache = 'result' AND h.hint_no = 3 AND d.d_memory_bytes > 104857600)
+  OR (h.cache = 'result' AND h.hint_no = 4 AND d.result_hit_ratio >= 80)"""
+
+
+@register("threshold_hints", _hints_sql())
+def q_threshold_hints(spark, sf_dir):
+    return M.threshold_hints(_delta(spark, sf_dir))
+
+
+_MEANS_CTE = with_views("cache_results") + """
+, means AS (SELECT grp, method, CAST(sum(exec_ns) // count(*) AS BIGINT) AS exec_ns,
+                   CAST(sum(memory_bytes) // count(*) AS BIGINT) AS memory_bytes,
+                   round(avg(hit_rate), 4) AS hit_rate, min(seq) AS seq
+            FROM cache_results GROUP BY grp, method)"""
+
+
+def _means(spark, sf_dir):
+    return M.cache_means(V.cache_results(_d(spark, sf_dir)))
+
+
+@register("cache_comparison", _MEANS_CTE + """
+SELECT grp, method, exec_ns, hit_rate,
+       CASE WHEN hit_rate = 0 THEN 'N/A' ELSE printf('%.1f%%', hit_rate) END AS hit_label FROM means""")
+def q_cache_comparison(spark, sf_dir):
+    return M.comparison_table(_means(spark, sf_dir))
+
+
+@register("integrated_results", _MEANS_CTE.replace("WITH ", _EFF_CTE + ",\n", 1).replace(
+    "WITH cache_results", "cache_results") + """
+SELECT grp, method, exec_ns, memory_bytes, hit_rate FROM means
+UNION ALL
+SELECT m.grp, 'integrated', CAST(sum(m.exec_ns) // count(*) AS BIGINT), CAST(sum(m.memory_bytes) AS BIGINT),
+       max(e.overall_efficiency)
+FROM means m JOIN eff e ON m.grp = e.source GROUP BY m.grp""")
+def q_integrated_results(spark, sf_dir):
+    return M.integrated_results(_means(spark, sf_dir), M.cache_efficiency(_delta(spark, sf_dir)))
+
+
+@register("fastest_family", _MEANS_CTE + """
+, fam AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY exec_ns, seq) AS pick FROM means
+          WHERE starts_with(method, 'c') OR starts_with(method, 'p'))
+, rival AS (SELECT grp, exec_ns AS rival_ns FROM means WHERE method = 'view')
+SELECT f.grp, f.method AS fastest_method, f.exec_ns AS fastest_ns, r.rival_ns,
+       CASE WHEN f.exec_ns < r.rival_ns THEN round(CAST(r.rival_ns AS DOUBLE) / CAST(f.exec_ns AS DOUBLE), 4) END
+         AS speedup
+FROM fam f JOIN rival r ON f.grp = r.grp WHERE f.pick = 1""")
+def q_fastest_family(spark, sf_dir):
+    return M.fastest_family(_means(spark, sf_dir), ("c", "p"), "view")
+
+
+@register("hit_ratio", with_views("name_values") + """
+, g AS (SELECT source, sum(CASE WHEN name = 'error' THEN value END) AS phy,
+               sum(CASE WHEN name = 'view' THEN value END) AS cur,
+               sum(CASE WHEN name = 'click' THEN value END) AS con FROM name_values GROUP BY source)
+SELECT source, phy, cur, con,
+       round((1.0 - CAST(phy AS DOUBLE) / nullif(CAST(cur + con AS DOUBLE), 0)) * 100, 2) AS buffer_hit_ratio
+FROM g""")
+def q_hit_ratio(spark, sf_dir):
+    return M.hit_ratio(V.name_values(_d(spark, sf_dir)), "error", "view", "click")
+
+
+@register("top_waits", with_views("waits") + """
+SELECT event_id, event, total_waits, time_waited_micro,
+       round(CAST(time_waited_micro AS DOUBLE) / nullif(CAST(total_waits AS DOUBLE), 0) / 1000, 4) AS avg_wait_ms
+FROM waits WHERE event LIKE '%ur%' OR event LIKE '%i%' AND total_waits > 0
+ORDER BY time_waited_micro DESC, event, event_id LIMIT 5""")
+def q_top_waits(spark, sf_dir):
+    return M.top_waits(V.waits(_d(spark, sf_dir)), 5, "ur", "i", ("event_id",))
+
+
+@register("size_advice", with_views("size_estimates") + """
+SELECT event_id, size_factor, read_factor,
+       CASE WHEN read_factor > 1.1 THEN 'undersized'
+            WHEN read_factor < 0.9 AND size_factor > 1.0 THEN 'oversized' ELSE 'fit' END AS advice
+FROM size_estimates WHERE name = 'view' AND status = 'READY'""")
+def q_size_advice(spark, sf_dir):
+    return M.size_advice(V.size_estimates(_d(spark, sf_dir)), "view", "READY")
+
+
+@register("component_sizes", with_views("components") + """
+SELECT component, sum(bytes) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS size_mb
+FROM components WHERE component IN ('click', 'view', 'purchase') GROUP BY component""")
+def q_component_sizes(spark, sf_dir):
+    return M.component_sizes(V.components(_d(spark, sf_dir)), ("click", "view", "purchase"))

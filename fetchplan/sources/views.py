@@ -261,7 +261,7 @@ SQL = {
         CAST({_K_SQL} AS BIGINT) % 7 AS total_waits, {_CENTS_SQL} * 1000 AS time_waited_micro
         FROM events""",
     "size_estimates": f"""SELECT event_id, event_type AS name, 'READY' AS status,
-        {_K_SQL} / 50.0 AS size_factor, value / 50.0 AS read_factor FROM events""",
+        CAST({_K_SQL} AS DOUBLE) / 50.0 AS size_factor, value / 50.0 AS read_factor FROM events""",
     "components": f"""SELECT event_id, event_type AS component,
         CAST({_K_SQL} AS BIGINT) * 1048576 AS bytes FROM events""",
     "objects": f"""SELECT event_type AS type, CAST({_K_SQL} AS BIGINT) AS blocks FROM events""",
