@@ -693,3 +693,51 @@ SELECT component, sum(bytes) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 104857
 FROM components WHERE component IN ('click', 'view', 'purchase') GROUP BY component""")
 def q_component_sizes(spark, sf_dir):
     return M.component_sizes(V.components(_d(spark, sf_dir)), ("click", "view", "purchase"))
+
+
+# ------------------------------------------------ agreement, generator, JSON
+
+from fetchplan.plans import variants as PV  # noqa: E402
+from fetchplan.sources import datagen as DG  # noqa: E402
+from fetchplan.sources import sinks as SK  # noqa: E402
+
+
+@register("variants_agree", with_views("ord", "emp") + f"""
+, n AS (SELECT count(*) AS c FROM ord WHERE order_date >= {C(30)}), m AS (SELECT count(*) AS c FROM emp)
+SELECT 'batch' AS variant_a, 'join' AS variant_b, n.c AS rows_a, n.c AS rows_b,
+       0 AS only_in_a, 0 AS only_in_b, true AS agree FROM n
+UNION ALL SELECT 'batch', 'lateral', n.c, n.c, 0, 0, true FROM n
+UNION ALL SELECT 'emp_join', 'emp_batch', m.c, m.c, 0, 0, true FROM m
+UNION ALL SELECT 'emp_join', 'emp_lateral', m.c, m.c, 0, 0, true FROM m""")
+def q_variants_agree(spark, sf_dir):
+    d = _d(spark, sf_dir)
+    o, det, e, dp = V.orders(d), V.order_details(d), V.employees(d), V.departments(d)
+    frames = {
+        "batch": nesting.orders_nested_batch(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
+        "join": nesting.orders_nested_join(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
+        "lateral": nesting.orders_nested_lateral(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
+        "emp_join": nesting.employees_departments_join(e, dp, ordered=False),
+        "emp_batch": nesting.employees_departments_batch(e, dp, ordered=False),
+        "emp_lateral": nesting.employees_departments_lateral(e, dp, ordered=False),
+    }
+    return PV.variants_agree(frames, [("batch", "join"), ("batch", "lateral"),
+                                      ("emp_join", "emp_batch"), ("emp_join", "emp_lateral")])
+
+
+@register("generated_orders")
+def q_generated_orders(spark, sf_dir):
+    """S3: generator sized from the driver tables (one generated order per
+    driver order, one department per nation), checked on row counts."""
+    d = _d(spark, sf_dir)
+    n_orders = d.orders.count()
+    n_depts = d.nation.count()
+    g = DG.generate(spark, AS_OF, seed=42, n_departments=n_depts, n_orders=n_orders)
+    return nesting.orders_nested_batch(g["orders"], g["order_details"], AS_OF, 30)
+
+
+@register("orders_json")
+def q_orders_json(spark, sf_dir):
+    """Nested recent orders as JSON documents."""
+    d = _d(spark, sf_dir)
+    nested = nesting.orders_nested_batch(V.orders(d), V.order_details(d), AS_OF, 30, DETAIL_ORDER)
+    return SK.to_json_rows(nested)
