@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back, nz, oracle_num
-from fetchplan.plans.strategy import bounded_broadcast
 
 
 def summary_text(count_col, total_col):
@@ -42,7 +41,7 @@ def department_name_lookup(rows: DataFrame, departments: DataFrame,
                            key: str = "department_id") -> DataFrame:
     """Attach ``department_name`` for each row's department id (NULL if none)."""
     d = departments.select(F.col("department_id").alias("_dk"), "department_name")
-    return rows.join(bounded_broadcast(d), F.col(key) == F.col("_dk"), "left").drop("_dk")
+    return rows.join(d, F.col(key) == F.col("_dk"), "left").drop("_dk")
 
 
 def register_sql_functions(spark: SparkSession, orders_view: str = "orders",

@@ -79,7 +79,7 @@ def department_stats(departments: DataFrame, employees: DataFrame,
     """
     stats = _salary_by_department(employees)
     d = departments.select("department_id", "department_name")
-    j = d.join(bounded_broadcast(stats), "department_id", "left")
+    j = d.join(stats, "department_id", "left")
     out = j.groupBy("department_name").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("employee_count"),
         mean4(F.sum("_sum"), F.sum("_nsal")).alias("avg_salary"),
@@ -95,7 +95,7 @@ def department_headcount(departments: DataFrame, employees: DataFrame,
     """Head-count GROUP BY (department_id, department_name), by id."""
     stats = _salary_by_department(employees).select("department_id", "_n")
     d = departments.select("department_id", "department_name")
-    out = d.join(bounded_broadcast(stats), "department_id", "left").select(
+    out = d.join(stats, "department_id", "left").select(
         "department_id", "department_name",
         F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("employee_count"))
     return out.orderBy("department_id") if ordered else out

@@ -10,7 +10,8 @@ Orders with their details:
   LATERAL join; Catalyst decorrelates it into one equi-join.
 
 Employees with their department (J5-J7) likewise: join, batch on the distinct
-department keys, and a correlated scalar subquery.
+department keys, and a correlated scalar subquery.  Departments is a whole
+dimension table, so Catalyst's size estimate decides broadcast vs shuffle.
 
 Each nested row is ``parent columns + details: array<struct<...>>``; a childless
 parent has ``[]``.  Children are sorted by the ``detail_cols`` struct (sort
@@ -164,7 +165,7 @@ def _dept_side(departments: DataFrame) -> DataFrame:
 def employees_departments_join(employees: DataFrame, departments: DataFrame,
                                ordered: bool = True) -> DataFrame:
     """J5 ``GetEmployeesWithDepartmentJoin``: LEFT JOIN, nullable department struct."""
-    d = bounded_broadcast(_dept_side(departments))
+    d = _dept_side(departments)
     j = employees.select(*EMP_COLS).join(d, F.col("department_id") == F.col("_dk"), "left")
     out = j.select(*EMP_COLS, _department_struct(F.col("_dn"), F.col("_dl"),
                                                  F.col("department_id")).alias("department"))
@@ -176,9 +177,8 @@ def employees_departments_batch(employees: DataFrame, departments: DataFrame,
     """J6 ``GetEmployeesWithDepartmentBatch``: distinct keys -> fetch -> attach."""
     emps = employees.select(*EMP_COLS)
     keys = emps.select("department_id").filter(F.col("department_id").isNotNull()).distinct()
-    fetched = _dept_side(departments).join(
-        bounded_broadcast(keys.withColumnRenamed("department_id", "_dk")), "_dk", "left_semi")
-    j = emps.join(bounded_broadcast(fetched), F.col("department_id") == F.col("_dk"), "left")
+    fetched = _dept_side(departments).join(keys.withColumnRenamed("department_id", "_dk"), "_dk", "left_semi")
+    j = emps.join(fetched, F.col("department_id") == F.col("_dk"), "left")
     out = j.select(*EMP_COLS, _department_struct(F.col("_dn"), F.col("_dl"),
                                                  F.col("department_id")).alias("department"))
     return out.orderBy("employee_id") if ordered else out

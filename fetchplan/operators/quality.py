@@ -86,8 +86,7 @@ def limit_violations(df: DataFrame, table: str, varchar: dict[str, int] | None =
 def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (NULL FK is valid)."""
     keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
-    return child.filter(F.col(fk).isNotNull()).join(
-        bounded_broadcast(keys), F.col(fk) == F.col("_pk"), "left_anti")
+    return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 
 def cascade_delete(children: DataFrame, deleted_parents: DataFrame, fk: str, pk: str) -> DataFrame:

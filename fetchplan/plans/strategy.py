@@ -1,13 +1,19 @@
 """Join-side choices with a checked size.
 
-A broadcast is only taken when the side's row count has been bounded by a
-cheap distributed count (``limit(max_rows + 1).count()``, one number to the
-driver).  Above the bound the DataFrame is returned unhinted and Catalyst/AQE
-plan a shuffle join, with AQE's skew-join split for hot keys.
-
-Static size estimates are no help for the interesting case: a look-back filter
-over a large fact table is estimated at the full table size, so
-``spark.sql.autoBroadcastJoinThreshold`` never fires for it.
+Three cases:
+
+* A whole dimension table (departments): Catalyst's own size estimate is
+  accurate, so joins are written plainly and Catalyst/AQE choose broadcast or
+  shuffle.
+* A key set filtered out of a fact table (recent order ids): the static
+  estimate is the whole table, so ``autoBroadcastJoinThreshold`` never fires.
+  ``bounded_broadcast`` counts the rows (``limit(max_rows + 1).count()``, one
+  number to the driver) and hints a broadcast only under the bound; above it
+  the frame is returned unhinted and a shuffle join is planned.
+* A per-group aggregate joined back to its own input (first run per suite):
+  counting it would compute it twice, so ``materialized_broadcast`` first
+  checkpoints it into the shared ``spark.checkpoint.dir`` (lineage cut, no
+  recomputation, survives executor loss), then applies the same bound.
 """
 
 from __future__ import annotations
@@ -30,3 +36,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
         return df
     n = row_count_at_most(df, max_rows)
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Checkpoint ``df`` once, then broadcast it when within ``max_rows``."""
+    from fetchplan.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    done = df.checkpoint(eager=True)
+    return bounded_broadcast(done, max_rows)
