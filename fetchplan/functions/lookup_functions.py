@@ -44,11 +44,18 @@ def department_name_lookup(rows: DataFrame, departments: DataFrame,
     return rows.join(d, F.col(key) == F.col("_dk"), "left").drop("_dk")
 
 
+# Oracle number text in SQL (same rule as ``oracle_num``).
+_ORACLE_NUM_SQL = (r"regexp_replace(regexp_replace(CASE WHEN contains({s}, '.') THEN "
+                   r"regexp_replace(regexp_replace({s}, '0+$', ''), '\\.$', '') ELSE {s} END, "
+                   r"'^0\\.', '.'), '^-0\\.', '-.')")
+
+
 def register_sql_functions(spark: SparkSession, orders_view: str = "orders",
                            departments_view: str = "departments", as_of: str | None = None,
                            days: int = 90) -> None:
-    """Create session SQL functions ``customer_order_summary(id)`` and
-    ``department_name(id)`` over the named temp views."""
+    """Create session SQL functions ``department_name(id)``,
+    ``customer_order_count(id)``, ``customer_order_total(id)`` and
+    ``customer_order_summary(id)`` (C1 text) over the named temp views."""
     ref = f"TIMESTAMP_NTZ '{as_of}'" if as_of else "localtimestamp()"
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION department_name(p_dept_id BIGINT)
@@ -61,6 +68,14 @@ def register_sql_functions(spark: SparkSession, orders_view: str = "orders",
         RETURN (SELECT count(*) FROM {orders_view}
                 WHERE customer_id = p_customer_id
                   AND order_date >= {ref} - make_dt_interval({int(days)}))""")
+    window = f"customer_id = p_customer_id AND order_date >= {ref} - make_dt_interval({int(days)})"
+    total = f"(SELECT sum(total_amount) FROM {orders_view} WHERE {window})"
+    text = _ORACLE_NUM_SQL.format(s=f"CAST(round({total}, 2) AS STRING)")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION customer_order_summary(p_customer_id BIGINT)
+        RETURNS STRING
+        RETURN concat('Orders: ', (SELECT count(*) FROM {orders_view} WHERE {window}),
+                      ', Total: $', coalesce({text}, ''))""")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION customer_order_total(p_customer_id BIGINT)
         RETURNS DECIMAL(38,2)

@@ -24,6 +24,11 @@ def to_json_rows(df: DataFrame, col: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(col))
 
 
+def from_json_rows(df: DataFrame, schema, col: str = "json") -> DataFrame:
+    """X12 decode: parse JSON documents back into columns of ``schema``."""
+    return df.select(F.from_json(F.col(col), schema).alias("_r")).select("_r.*")
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write rows as JSON lines (one file per partition)."""
     df.write.mode(mode).json(path)

@@ -86,3 +86,23 @@ def test_snapshot_ttl(spark):
 def test_json_omits_null_fields(spark):
     df = spark.createDataFrame([(1, None)], "id int, department struct<name:string>")
     assert sinks.to_json_rows(df).first()["json"] == '{"id":1}'
+
+
+def test_json_round_trip(spark, seed):
+    from fetchplan.operators import nesting
+    from conftest import SEED_AS_OF
+    nested = nesting.orders_nested_batch(seed["orders"], seed["order_details"], SEED_AS_OF, 30)
+    back = sinks.from_json_rows(sinks.to_json_rows(nested), nested.schema)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, nested.collect()))
+
+
+def test_sql_functions(spark, seed):
+    from fetchplan.functions.lookup_functions import register_sql_functions
+    seed["orders"].createOrReplaceTempView("fp_orders")
+    seed["departments"].createOrReplaceTempView("fp_departments")
+    register_sql_functions(spark, "fp_orders", "fp_departments", as_of="2024-02-20 00:00:00", days=90)
+    r = spark.sql("SELECT department_name(2) AS d, department_name(99) AS n, "
+                  "customer_order_count(1001) AS c, customer_order_total(1001) AS t, "
+                  "customer_order_summary(1001) AS s, customer_order_summary(1) AS z").first()
+    assert r["d"] == "Engineering" and r["n"] is None and r["c"] == 2 and int(r["t"]) == 400000
+    assert r["s"] == "Orders: 2, Total: $400000" and r["z"] == "Orders: 0, Total: $"
