@@ -7,7 +7,7 @@ checked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import department_label, look_back
@@ -40,21 +40,29 @@ def order_preview(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
                   n: int = 5, per_order: int = 3, detail_cols=DETAIL_COLS,
                   key_fields=("product_id", "quantity")) -> DataFrame:
     """First ``n`` recent orders by order_id, first ``per_order`` details each,
-    and how many more details were not shown.  The cap is taken before nesting."""
+    and how many more details were not shown.
+
+    The order cap is taken before any child work; the first children come
+    from ``row_number() <= per_order`` (planned as a per-task top-k before the
+    shuffle) and the remainder from a count, so no parent's children are ever
+    collected whole.
+    """
     dc = [c for c in detail_cols if c != "order_id"]
     parents = (orders.filter(look_back("order_date", as_of, days))
                .select(*ORDER_COLS).orderBy("order_id").limit(n))
     kids = details.select("order_id", *dc).join(F.broadcast(parents.select("order_id")),
                                                "order_id", "left_semi")
-    nested = nesting.nest_children(kids, "order_id", dc)
-    j = parents.join(nested, "order_id", "left").withColumn(
-        "details", F.coalesce(F.col("details"), F.array()))
-    shown = F.slice("details", 1, per_order)
+    counts = kids.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    first = (kids.withColumn("_rn", F.row_number().over(Window.partitionBy("order_id").orderBy(*dc)))
+             .filter(F.col("_rn") <= per_order))
+    shown = first.groupBy("order_id").agg(F.array_sort(F.collect_list(
+        F.struct(*[F.col(c) for c in dc]))).alias("_shown"))
+    j = parents.join(shown, "order_id", "left").join(counts, "order_id", "left")
+    text = F.array_join(F.transform(F.coalesce(F.col("_shown"), F.array()), lambda x: F.concat_ws(
+        ":", *[x[f].cast("string") for f in key_fields])), ",")
     return j.select(
-        *ORDER_COLS,
-        F.array_join(F.transform(shown, lambda x: F.concat_ws(
-            ":", *[x[f].cast("string") for f in key_fields])), ",").alias("shown_details"),
-        F.greatest(F.size("details") - per_order, F.lit(0)).alias("more_details"),
+        *ORDER_COLS, text.alias("shown_details"),
+        F.greatest(F.coalesce(F.col("_n"), F.lit(0)) - per_order, F.lit(0)).alias("more_details"),
     ).orderBy("order_id")
 
 

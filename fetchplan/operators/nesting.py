@@ -13,10 +13,12 @@ Employees with their department (J5-J7) likewise: join, batch on the distinct
 department keys, and a correlated scalar subquery.  Departments is a whole
 dimension table, so Catalyst's size estimate decides broadcast vs shuffle.
 
-Each nested row is ``parent columns + details: array<struct<...>>``; a childless
-parent has ``[]``.  Children are sorted by the ``detail_cols`` struct (sort
-keys first).  All three shapes give one row per parent, in order_id order when
-``ordered``.
+Each nested row is ``parent columns + chunk + details: array<struct<...>>``; a
+childless parent has ``[]``.  Children are sorted by the ``detail_cols`` struct
+(sort keys first).  A parent has one row (``chunk`` 0) unless it has more than
+``max_children`` children; then its sorted children continue over chunks 1, 2,
+... (see ``chunking``), so no parent is ever built as one unbounded row.  All
+three shapes give the same rows, in (order_id, chunk) order when ``ordered``.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back
+from fetchplan.operators.chunking import DEFAULT_MAX_CHILDREN, nest_rows
 from fetchplan.operators.lookups import DETAIL_COLS, ORDER_COLS
 from fetchplan.plans.strategy import bounded_broadcast
 
@@ -35,25 +38,18 @@ def _detail_struct(cols: list[str], prefix: str | None = None) -> Column:
     return F.struct(*[(F.col(f"{prefix}.{c}") if prefix else F.col(c)).alias(c) for c in cols])
 
 
-def _nest(rows: DataFrame, parent_cols: list[str], detail_cols: list[str],
-          present: Column) -> DataFrame:
-    """Group joined parent/child rows into one row per parent.
-
-    ``present`` marks rows that carry a child; an unmatched parent contributes
-    nothing to the list (a bare struct would give ``[{null,...}]``).
-    """
-    item = F.when(present, _detail_struct(detail_cols))
-    return rows.groupBy(*parent_cols).agg(
-        F.array_sort(F.collect_list(item)).alias("details"))
-
-
 def _parents(orders: DataFrame, as_of, days: int, parent_cols: list[str]) -> DataFrame:
     return orders.filter(look_back("order_date", as_of, days)).select(*parent_cols)
 
 
+def _child_keys(details: DataFrame, parents: DataFrame) -> DataFrame:
+    """One ``order_id`` per child of the given parents (only the key column is read)."""
+    return details.select("order_id").join(parents.select("order_id"), "order_id", "left_semi")
+
+
 def _finish(df: DataFrame, parent_cols: list[str], ordered: bool) -> DataFrame:
-    df = df.select(*parent_cols, "details")
-    return df.orderBy("order_id") if ordered else df
+    df = df.select(*parent_cols, "chunk", "details")
+    return df.orderBy("order_id", "chunk") if ordered else df
 
 
 def orders_details_flat(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
@@ -76,40 +72,43 @@ def orders_details_flat(orders: DataFrame, details: DataFrame, as_of, days: int
 def orders_nested_join(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
                        detail_cols: Iterable[str] = DETAIL_COLS,
                        parent_cols: Iterable[str] = ORDER_COLS,
-                       ordered: bool = True) -> DataFrame:
+                       ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
     """J2 ``GetOrdersWithDetailsJoin``: one LEFT JOIN, grouped per parent."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
     parents = _parents(orders, as_of, days, pc)
     kids = details.select("order_id", *dc).withColumn("_present", F.lit(True))
     joined = parents.join(kids, "order_id", "left")
-    return _finish(_nest(joined, pc, dc, F.col("_present").isNotNull()), pc, ordered)
+    nested = nest_rows(joined, "order_id", pc, dc, F.col("_present").isNotNull(), max_children,
+                       _child_keys(details, parents))
+    return _finish(nested, pc, ordered)
 
 
-def nest_children(children: DataFrame, key: str, detail_cols: list[str]) -> DataFrame:
-    """Group children by parent key into a sorted ``details`` array."""
-    return children.groupBy(key).agg(
-        F.array_sort(F.collect_list(_detail_struct(detail_cols))).alias("details"))
+def nest_children(children: DataFrame, key: str, detail_cols: list[str],
+                  max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
+    """Group children by parent key into ``key, chunk, details`` (sorted)."""
+    return nest_rows(children, key, [key], detail_cols, F.lit(True), max_children)
 
 
 def orders_nested_batch(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
                         detail_cols: Iterable[str] = DETAIL_COLS,
                         parent_cols: Iterable[str] = ORDER_COLS,
-                        ordered: bool = True) -> DataFrame:
+                        ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
     """J3 ``GetOrdersWithDetailsBatch``: parents, one child fetch by key set, assemble."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
     parents = _parents(orders, as_of, days, pc)
     keys = bounded_broadcast(parents.select("order_id"))
     kids = details.select("order_id", *dc).join(keys, "order_id", "left_semi")
-    nested = nest_children(kids, "order_id", dc)
-    out = parents.join(nested, "order_id", "left").withColumn(
-        "details", F.coalesce(F.col("details"), F.array()))
+    nested = nest_children(kids, "order_id", dc, max_children)
+    out = parents.join(nested, "order_id", "left").select(
+        *pc, F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
+        F.coalesce(F.col("details"), F.array()).alias("details"))
     return _finish(out, pc, ordered)
 
 
 def orders_nested_lateral(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
                           detail_cols: Iterable[str] = DETAIL_COLS,
                           parent_cols: Iterable[str] = ORDER_COLS,
-                          ordered: bool = True) -> DataFrame:
+                          ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
     """J4 ``GetOrdersWithDetails``: per-parent child lookup as a LEFT LATERAL join.
 
     The reference leaves a childless parent with a nil list; like J2/J3 we
@@ -124,7 +123,9 @@ def orders_nested_lateral(orders: DataFrame, details: DataFrame, as_of, days: in
     joined = parents.lateralJoin(per_parent, how="left")
     renamed = joined.select(*[F.col(f"p.{c}").alias(c) for c in pc],
                             *[F.col(f"_d_{c}").alias(c) for c in dc], "_present")
-    return _finish(_nest(renamed, pc, dc, F.col("_present").isNotNull()), pc, ordered)
+    nested = nest_rows(renamed, "order_id", pc, dc, F.col("_present").isNotNull(), max_children,
+                       _child_keys(details, parents))
+    return _finish(nested, pc, ordered)
 
 
 def flatten_nested(nested: DataFrame, key_fields=("product_id", "quantity")) -> DataFrame:

@@ -30,12 +30,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
+def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """``(broadcast(df), n)`` when ``df`` has ``n <= max_rows`` rows, else
+    ``(df, max_rows + 1)``."""
+    n = row_count_at_most(df, max_rows)
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is."""
     if max_rows <= 0:
         return df
-    n = row_count_at_most(df, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
+    return bounded(df, max_rows)[0]
 
 
 def materialized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -28,6 +28,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Children per nested row (the chunk size of nested results).
+MAX_CHILDREN = nesting.DEFAULT_MAX_CHILDREN
+
+
 def cutoff_sql(days: int) -> str:
     return f"({AS_OF_SQL} - INTERVAL {int(days)} DAY)"
 
@@ -37,13 +41,17 @@ _DETAIL_SORT_SQL = "d.line_number, d.product_id, d.supplier_id, d.quantity, d.un
 _NESTED_ORACLE = with_views("ord", "det") + f"""
 , p AS (SELECT order_id, customer_id, order_date, total_amount FROM ord
         WHERE order_date >= {cutoff_sql(30)})
-SELECT p.order_id, p.customer_id, p.order_date, p.total_amount,
-       count(d.order_id) AS detail_count,
-       CAST(coalesce(sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price), 0) AS DECIMAL(38,2)) AS detail_amount,
-       coalesce(string_agg(CAST(d.product_id AS VARCHAR) || ':' || CAST(d.quantity AS VARCHAR), ','
-                ORDER BY {_DETAIL_SORT_SQL}), '') AS details_key
-FROM p LEFT JOIN det d ON p.order_id = d.order_id
-GROUP BY p.order_id, p.customer_id, p.order_date, p.total_amount
+, r AS (SELECT p.order_id, p.customer_id, p.order_date, p.total_amount, d.order_id AS d_order,
+               d.product_id, d.quantity, d.unit_price, d.line_number, d.supplier_id,
+               (row_number() OVER (PARTITION BY p.order_id ORDER BY {_DETAIL_SORT_SQL}) - 1)
+                 // {MAX_CHILDREN} AS chunk
+        FROM p LEFT JOIN det d ON p.order_id = d.order_id)
+SELECT order_id, customer_id, order_date, total_amount, CAST(chunk AS INTEGER) AS chunk,
+       count(d_order) AS detail_count,
+       CAST(coalesce(sum(CAST(quantity AS DECIMAL(8,0)) * unit_price), 0) AS DECIMAL(38,2)) AS detail_amount,
+       coalesce(string_agg(CAST(product_id AS VARCHAR) || ':' || CAST(quantity AS VARCHAR), ','
+                ORDER BY line_number, product_id, supplier_id, quantity, unit_price), '') AS details_key
+FROM r GROUP BY order_id, customer_id, order_date, total_amount, chunk
 """
 
 

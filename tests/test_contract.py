@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["order_id", "customer_id", "order_date", "total_amount", "detail_count",
+    assert df.columns == ["order_id", "customer_id", "order_date", "total_amount", "chunk", "detail_count",
                           "detail_amount", "details_key"]
     assert df.count() >= 0
 

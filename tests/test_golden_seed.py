@@ -9,6 +9,7 @@ from fetchplan.operators import lookups, nesting
 
 
 def _ids(nested):
+    assert all(r["chunk"] == 0 for r in nested.collect())
     return {r["order_id"]: [d["detail_id"] for d in r["details"]] for r in nested.collect()}
 
 
