@@ -42,17 +42,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs and tests) a fresh scratch folder is created and set.
+    Uses the SparkContext's checkpoint folder, which Spark sets from
+    ``spark.checkpoint.dir``.  Only when neither is set (bare local runs) a
+    fresh scratch folder is created and given to the SparkContext; the
+    ``spark.checkpoint.dir`` setting itself cannot change at run time.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="fetchplan-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
