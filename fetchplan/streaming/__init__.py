@@ -1,0 +1,8 @@
+"""Streaming operators: none.
+
+The workload has no stream source, event-time window, watermark or late
+data: its look-back filter is recomputed per call over a table.  Every
+operator in this package's siblings works on a streaming DataFrame as well
+where Spark allows it (filters, projections, grouped aggregates), but no
+separate streaming operator is defined.
+"""
