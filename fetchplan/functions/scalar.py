@@ -11,14 +11,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or text.
+
+    Built from text, so the wall-clock value never passes through the session
+    or process time zone.
+    """
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = f"{value.isoformat()} 00:00:00"
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def _lit_ts(as_of) -> Column:
-    if isinstance(as_of, Column):
-        return as_of
-    if isinstance(as_of, str):
-        return F.to_timestamp_ntz(F.lit(as_of))
-    if isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
-        as_of = _dt.datetime(as_of.year, as_of.month, as_of.day)
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz(as_of)
 
 
 def cutoff(as_of, days: int) -> Column:

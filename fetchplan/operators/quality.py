@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fetchplan.functions.scalar import ntz
 from fetchplan.plans.strategy import bounded_broadcast
 
 
@@ -105,7 +106,7 @@ def apply_defaults(df: DataFrame, defaults: dict, now: _dt.datetime | None = Non
     for col, val in defaults.items():
         if col in df.columns:
             continue
-        v = F.lit(now).cast("timestamp_ntz") if val == "now" else F.lit(val)
+        v = ntz(now) if val == "now" else F.lit(val)
         df = df.withColumn(col, v)
     return df
 

@@ -85,7 +85,7 @@ from fetchplan.operators import aggregates as A  # noqa: E402
 from fetchplan.operators import limits as L  # noqa: E402
 from fetchplan.operators import quality as Q  # noqa: E402
 from fetchplan.functions import lookup_functions as LF  # noqa: E402
-from fetchplan.functions.scalar import department_label  # noqa: E402
+from fetchplan.functions.scalar import department_label, look_back  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 
@@ -130,7 +130,7 @@ SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price FROM
 WHERE order_id IN (SELECT order_id FROM ord WHERE order_date >= {C(30)})""")
 def q_details_by_orders(spark, sf_dir):
     d = _d(spark, sf_dir)
-    keys = V.orders(d).filter(F.col("order_date") >= F.lit(AS_OF) - F.make_dt_interval(F.lit(30)))
+    keys = V.orders(d).filter(look_back("order_date", AS_OF, 30))
     return lookups.details_by_orders(V.order_details(d), keys.select("order_id"), DETAIL_ORDER)
 
 

@@ -17,6 +17,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fetchplan.functions.scalar import ntz
 from fetchplan.sources.seed import SEED_DEPARTMENTS
 
 # Fixed values of the loader: list sizes and ranges.
@@ -50,7 +51,7 @@ def _label(prefix: str, idx: Column, width: int = 2) -> Column:
 
 def _days_before(as_of: _dt.datetime, days: Column) -> Column:
     secs = F.round(days * 86400).cast("bigint")
-    return (F.lit(as_of).cast("timestamp_ntz")
+    return (ntz(as_of)
             - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)")))
 
 

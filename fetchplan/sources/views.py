@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fetchplan.functions.scalar import ntz
+
 # Fixed values of the stand-in data: the reference date is the last order date
 # present in the driver tables at every scale factor.
 AS_OF = _dt.datetime(2001, 8, 1, 0, 0, 0)
@@ -106,7 +108,7 @@ def employees(d: Driver) -> DataFrame:
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
         F.col("c_nationkey").cast("bigint").alias("department_id"),
         F.col("c_acctbal").cast("decimal(10,2)").alias("salary"),
-        (F.lit(HIRE_BASE).cast("timestamp_ntz")
+        (ntz(HIRE_BASE)
          + F.make_dt_interval(F.col("c_custkey").cast("int"))).alias("hire_date"),
     )
 

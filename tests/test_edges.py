@@ -151,3 +151,15 @@ def test_scalar_helpers(spark):
     labels = spark.createDataFrame([(0.0,), (90.0,), (35.25,), (12.34,)], "r double").select(
         X.pct_label(F.col("r")).alias("l"))
     assert [x["l"] for x in labels.collect()] == ["N/A", "90.0%", "35.2%", "12.3%"]
+
+
+def test_cutoff_ignores_session_time_zone(spark):
+    data = [(1, 1, "a", dt.datetime(2024, 1, 21, 0, 0, 0), None, None),
+            (2, 1, "a", dt.datetime(2024, 1, 20, 23, 0, 0), None, None)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = [r[0] for r in rows(lookups.recent_orders(_orders(spark, data), SEED_AS_OF, 30), "order_id")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [1]
