@@ -140,7 +140,7 @@ def flatten_nested(nested: DataFrame, key_fields=("product_id", "quantity")) ->
     key = F.array_join(F.transform(
         "details", lambda x: F.concat_ws(":", *[x[f].cast("string") for f in key_fields])), ",")
     others = [c for c in nested.columns if c != "details"]
-    return nested.select(*others, F.size("details").alias("detail_count"),
+    return nested.select(*others, F.size("details").cast("bigint").alias("detail_count"),
                          amount.alias("detail_amount"), key.alias("details_key"))
 
 

@@ -150,7 +150,7 @@ def q_employees_in_departments(spark, sf_dir):
 
 @register("line_amounts", with_views("det") + """
 SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price,
-       CAST(quantity AS DECIMAL(8,0)) * unit_price AS line_amount FROM det""")
+       CAST(CAST(quantity AS DECIMAL(8,0)) * unit_price AS DECIMAL(19,2)) AS line_amount FROM det""")
 def q_line_amounts(spark, sf_dir):
     return lookups.with_line_amount(V.order_details(_d(spark, sf_dir)))
 
@@ -245,7 +245,7 @@ _AVG_SQL = "round(CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0), 4)"
 
 
 @register("customer_sales", with_views("ord") + f"""
-SELECT customer_id, count(*) AS order_count, sum(total_amount) AS total_sales,
+SELECT customer_id, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_sales,
        {_AVG_SQL.format(x='total_amount')} AS avg_order_value
 FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
 def q_customer_sales(spark, sf_dir):
@@ -253,7 +253,7 @@ def q_customer_sales(spark, sf_dir):
 
 
 @register("customer_sales_totals", with_views("ord") + f"""
-SELECT customer_id, count(*) AS order_count, sum(total_amount) AS total_sales
+SELECT customer_id, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_sales
 FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
 def q_customer_sales_totals(spark, sf_dir):
     return A.customer_sales(V.orders(_d(spark, sf_dir)), AS_OF, 30, with_avg=False)
@@ -267,7 +267,7 @@ def q_customer_order_counts(spark, sf_dir):
 
 @register("monthly_sales", with_views("ord") + f"""
 SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS monthly_orders,
-       sum(total_amount) AS monthly_revenue, count(DISTINCT customer_id) AS unique_customers
+       CAST(sum(total_amount) AS DECIMAL(22,2)) AS monthly_revenue, count(DISTINCT customer_id) AS unique_customers
 FROM ord WHERE order_date >= {C(180)} GROUP BY 1""")
 def q_monthly_sales(spark, sf_dir):
     return A.monthly_sales(V.orders(_d(spark, sf_dir)), AS_OF, 180)
@@ -298,8 +298,8 @@ PRODUCT_MIN_REVENUE = 1_000_000
 
 
 @register("product_revenue", with_views("ord", "det") + f"""
-SELECT d.product_id, sum(d.quantity) AS total_quantity,
-       sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS total_revenue,
+SELECT d.product_id, CAST(sum(d.quantity) AS BIGINT) AS total_quantity,
+       CAST(sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS DECIMAL(29,2)) AS total_revenue,
        count(DISTINCT o.customer_id) AS unique_buyers
 FROM det d JOIN ord o ON d.order_id = o.order_id
 WHERE o.order_date >= {C(60)}
@@ -312,7 +312,7 @@ def q_product_revenue(spark, sf_dir):
 
 @register("order_totals", with_views("ordc", "det") + """
 SELECT o.order_id, o.customer_name, o.order_date, count(d.order_id) AS detail_count,
-       sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS calculated_total
+       CAST(sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS DECIMAL(29,2)) AS calculated_total
 FROM ordc o LEFT JOIN det d ON o.order_id = d.order_id
 GROUP BY o.order_id, o.customer_name, o.order_date""")
 def q_order_totals(spark, sf_dir):
@@ -339,7 +339,7 @@ def q_table_counts(spark, sf_dir):
 
 
 @register("object_summary", with_views("objects") + """
-SELECT count(*) AS cached_objects, sum(blocks) AS total_blocks FROM objects WHERE type = 'signup'""")
+SELECT count(*) AS cached_objects, CAST(sum(blocks) AS BIGINT) AS total_blocks FROM objects WHERE type = 'signup'""")
 def q_object_summary(spark, sf_dir):
     return A.object_summary(V.objects(_d(spark, sf_dir)), "signup")
 
@@ -668,9 +668,10 @@ def q_fastest_family(spark, sf_dir):
 
 
 @register("hit_ratio", with_views("name_values") + """
-, g AS (SELECT source, sum(CASE WHEN name = 'error' THEN value END) AS phy,
-               sum(CASE WHEN name = 'view' THEN value END) AS cur,
-               sum(CASE WHEN name = 'click' THEN value END) AS con FROM name_values GROUP BY source)
+, g AS (SELECT source, CAST(sum(CASE WHEN name = 'error' THEN value END) AS BIGINT) AS phy,
+               CAST(sum(CASE WHEN name = 'view' THEN value END) AS BIGINT) AS cur,
+               CAST(sum(CASE WHEN name = 'click' THEN value END) AS BIGINT) AS con
+        FROM name_values GROUP BY source)
 SELECT source, phy, cur, con,
        round((1.0 - CAST(phy AS DOUBLE) / nullif(CAST(cur + con AS DOUBLE), 0)) * 100, 2) AS buffer_hit_ratio
 FROM g""")
@@ -697,7 +698,7 @@ def q_size_advice(spark, sf_dir):
 
 
 @register("component_sizes", with_views("components") + """
-SELECT component, sum(bytes) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS size_mb
+SELECT component, CAST(sum(bytes) AS BIGINT) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS size_mb
 FROM components WHERE component IN ('click', 'view', 'purchase') GROUP BY component""")
 def q_component_sizes(spark, sf_dir):
     return M.component_sizes(V.components(_d(spark, sf_dir)), ("click", "view", "purchase"))
@@ -713,7 +714,7 @@ from fetchplan.sources import sinks as SK  # noqa: E402
 @register("variants_agree", with_views("ord", "emp") + f"""
 , n AS (SELECT count(*) AS c FROM ord WHERE order_date >= {C(30)}), m AS (SELECT count(*) AS c FROM emp)
 SELECT 'batch' AS variant_a, 'join' AS variant_b, n.c AS rows_a, n.c AS rows_b,
-       0 AS only_in_a, 0 AS only_in_b, true AS agree FROM n
+       CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS only_in_b, true AS agree FROM n
 UNION ALL SELECT 'batch', 'lateral', n.c, n.c, 0, 0, true FROM n
 UNION ALL SELECT 'emp_join', 'emp_batch', m.c, m.c, 0, 0, true FROM m
 UNION ALL SELECT 'emp_join', 'emp_lateral', m.c, m.c, 0, 0, true FROM m""")
