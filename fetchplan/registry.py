@@ -750,3 +750,11 @@ def q_orders_json(spark, sf_dir):
     d = _d(spark, sf_dir)
     nested = nesting.orders_nested_batch(V.orders(d), V.order_details(d), AS_OF, 30, DETAIL_ORDER)
     return SK.to_json_rows(nested)
+
+
+@register("buffer_pool_sizes", with_views("components") + """
+SELECT component, CAST(sum(bytes) AS BIGINT) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS size_mb
+FROM components GROUP BY component""")
+def q_buffer_pool_sizes(spark, sf_dir):
+    """M14, pool form: every component, no IN filter."""
+    return M.component_sizes(V.components(_d(spark, sf_dir)), None)
