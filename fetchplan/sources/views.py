@@ -16,6 +16,7 @@ queries read exactly the same input.
 from __future__ import annotations
 
 import datetime as _dt
+import weakref
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,8 +52,20 @@ class Driver:
         return self._cache[name]
 
 
+_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Driver]]" = weakref.WeakKeyDictionary()
+
+
 def driver(spark: SparkSession, sf_dir: str) -> Driver:
-    return Driver(spark, sf_dir.rstrip("/"))
+    """Readers of one scale-factor folder, shared per session.
+
+    A DataFrame over parquet resolves its file listing and schema once; later
+    queries on the same session reuse the resolved readers.
+    """
+    per = _READERS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per:
+        per[key] = Driver(spark, key)
+    return per[key]
 
 
 def _k(props: Column) -> Column:
