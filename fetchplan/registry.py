@@ -433,8 +433,12 @@ def q_unique_violations(spark, sf_dir):
 
 
 @register("null_violations", with_views("emp", "dept") + """
-, j AS (SELECT e.*, d.department_name, d.location FROM emp e
-        LEFT JOIN dept d ON e.department_id = d.department_id)
+, j AS (SELECT e.*,
+               CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.department_name END
+                 AS department_name,
+               CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.location END
+                 AS location
+        FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id)
 SELECT * FROM (
   SELECT 'employee_departments' AS table_name, 'employee_id' AS column_name,
          count(*) FILTER (WHERE employee_id IS NULL) AS null_count FROM j

@@ -7,8 +7,8 @@ queries read exactly the same input.
 
     orders         <- orders (+ customer only when customer_name is asked for)
     order_details  <- lineitem (no unique detail id: order by the line tuple)
-    departments    <- nation x region, nation key < 20 (names repeat per region)
-    employees      <- customer, nation key not a multiple of 5
+    departments    <- nation x region (names repeat per region, one region without location)
+    employees      <- customer (department = nation key + 1: orphans and an empty department)
     measurement tables (runs, run_log, counter_snapshots, name_values, waits,
     size_estimates, components, objects, cache_results) <- events
 """
@@ -29,6 +29,7 @@ from fetchplan.functions.scalar import ntz
 AS_OF = _dt.datetime(2001, 8, 1, 0, 0, 0)
 AS_OF_SQL = "TIMESTAMP '2001-08-01 00:00:00'"
 HIRE_BASE = _dt.datetime(2020, 1, 1, 0, 0, 0)
+NULL_LOCATION_REGION = 4
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
@@ -105,21 +106,26 @@ def order_details(d: Driver) -> DataFrame:
 
 
 def departments(d: Driver) -> DataFrame:
-    n = d.nation.filter(F.col("n_nationkey") < 20)
+    """One department per nation; the name is the region's (names repeat) and
+    the location is NULL in one region (department struct NULL)."""
+    n = d.nation
     return n.join(d.region, n.n_regionkey == d.region.r_regionkey).select(
         F.col("n_nationkey").cast("bigint").alias("department_id"),
         F.col("r_name").alias("department_name"),
-        F.col("n_name").alias("location"),
+        F.when(F.col("n_regionkey") != NULL_LOCATION_REGION, F.col("n_name")).alias("location"),
     )
 
 
 def employees(d: Driver) -> DataFrame:
-    return d.customer.filter(F.pmod(F.col("c_nationkey"), F.lit(5)) != 0).select(
+    """One employee per customer; the department id is the nation key plus
+    one, so the last nation's customers point at a missing department and
+    department 0 has nobody."""
+    return d.customer.select(
         F.col("c_custkey").alias("employee_id"),
         F.lit("").alias("first_name"),
         F.col("c_name").alias("last_name"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        F.col("c_nationkey").cast("bigint").alias("department_id"),
+        (F.col("c_nationkey").cast("bigint") + 1).alias("department_id"),
         F.col("c_acctbal").cast("decimal(10,2)").alias("salary"),
         (ntz(HIRE_BASE)
          + F.make_dt_interval(F.col("c_custkey").cast("int"))).alias("hire_date"),
@@ -250,13 +256,13 @@ SQL = {
         l_suppkey AS supplier_id, CAST(l_quantity AS INTEGER) AS quantity,
         CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price FROM lineitem""",
     "dept": """SELECT CAST(n_nationkey AS BIGINT) AS department_id, r_name AS department_name,
-        n_name AS location FROM nation JOIN region ON n_regionkey = r_regionkey
-        WHERE n_nationkey < 20""",
+        CASE WHEN n_regionkey <> 4 THEN n_name END AS location
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "emp": """SELECT c_custkey AS employee_id, '' AS first_name, c_name AS last_name,
         'c' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
-        CAST(c_nationkey AS BIGINT) AS department_id, CAST(c_acctbal AS DECIMAL(10,2)) AS salary,
+        CAST(c_nationkey AS BIGINT) + 1 AS department_id, CAST(c_acctbal AS DECIMAL(10,2)) AS salary,
         TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(c_custkey AS INTEGER)) AS hire_date
-        FROM customer WHERE c_nationkey % 5 <> 0""",
+        FROM customer""",
     "runs": f"""SELECT user_id AS suite, event_id AS seq, event_type AS method,
         {_CENTS_SQL} * 10000 AS exec_ns, CAST({_K_SQL} AS BIGINT) AS record_count FROM events""",
     "run_log": """SELECT user_id AS grp, event_id AS run_no, value AS exec_ms,
