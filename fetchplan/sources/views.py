@@ -1,8 +1,8 @@
 """Stand-in views over the driver tables.
 
 The driver ships TPC-H-like tables plus an ``events`` table.  These builders
-only rename and cast driver columns into the business schemas; they do none of
-an operator's work.  Each builder has a DuckDB twin in ``SQL`` so the oracle
+rename and cast driver columns into the business schemas and apply per-row
+value rules (no row is removed); they do none of an operator's work.  Each builder has a DuckDB twin in ``SQL`` so the oracle
 queries read exactly the same input.
 
     orders         <- orders (+ customer only when customer_name is asked for)

@@ -47,3 +47,18 @@ def test_department_stats_pre_aggregates(spark):
     # employees are aggregated below the join to departments
     join_at = text.index("BroadcastHashJoin LeftOuter")
     assert "HashAggregate" in text[join_at:]
+
+
+def test_preview_is_per_task_top_k(spark):
+    tree = plan_text(registry.QUERIES["order_preview"](spark, SF)).split("\n\n")[0]
+    # WindowGroupLimit below the exchange: each task keeps its first rows per order
+    below = tree.split("Exchange")[1]
+    assert "WindowGroupLimit" in below
+
+
+def test_batch_filters_children_before_shuffle(spark):
+    tree = plan_text(registry.QUERIES["orders_nested_batch"](spark, SF)).split("\n\n")[0]
+    semi_at = tree.index("LeftSemi")
+    exchange_at = tree.index("Exchange hashpartitioning") if "Exchange hashpartitioning" in tree else \
+        tree.index("Exchange")
+    assert exchange_at < semi_at  # the semi join sits below (is printed after) the exchange
