@@ -15,7 +15,9 @@ single row built by a single task.  ``nest_rows`` therefore:
    max_per_row), so reading chunks in order gives the sorted children.
 
 Results are whole: every child appears in exactly one chunk.  The output shape
-depends only on the data and ``max_per_row``.
+depends only on the data and ``max_per_row``.  AQE sizes the range partitions
+(advisory partition size), so a parent is spread over as many tasks as its
+bytes need; small inputs stay in few partitions.
 """
 
 from __future__ import annotations
@@ -34,24 +36,29 @@ def _struct(cols: list[str]) -> Column:
     return F.struct(*[F.col(c).alias(c) for c in cols])
 
 
+def tag_positions(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """Range-partition rows on (key, order cols, salt), sort each partition and
+    tag each row with ``_pos`` (consecutive within a partition) and ``_pid``
+    (the partition).  A key with many rows spans many partitions.  The result
+    is checkpointed, so later uses see the same positions."""
+    checkpoint_dir(df.sparkSession)
+    salted = df.withColumn("_salt", F.monotonically_increasing_id())
+    return (salted.repartitionByRange(key, *order_cols, "_salt")
+            .sortWithinPartitions(key, *order_cols, "_salt")
+            .withColumn("_pos", F.monotonically_increasing_id())
+            .checkpoint(eager=True)
+            .withColumn("_pid", F.shiftright(F.col("_pos"), 33)))
+
+
 def rank_within(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """Exact 0-based position ``_rank`` of each row within its ``key`` by
     ``order_cols``, without putting one key into one task.
 
-    Rows are range-partitioned on (key, order cols, salt); a hot key spans many
-    partitions.  Positions inside a partition come from
-    ``monotonically_increasing_id`` (consecutive per partition, partition index
-    in the high bits); a small per-(key, partition) table gives each
-    partition's offset.  The tagged rows are checkpointed so both uses see the
-    same positions.
+    Positions come from ``tag_positions`` (``monotonically_increasing_id``
+    keeps the partition index in its high bits); a small per-(key,
+    partition) table gives each partition's offset within the key.
     """
-    checkpoint_dir(df.sparkSession)
-    salted = df.withColumn("_salt", F.monotonically_increasing_id())
-    s = (salted.repartitionByRange(key, *order_cols, "_salt")
-         .sortWithinPartitions(key, *order_cols, "_salt")
-         .withColumn("_pos", F.monotonically_increasing_id())
-         .checkpoint(eager=True)
-         .withColumn("_pid", F.shiftright(F.col("_pos"), 33)))
+    s = tag_positions(df, key, order_cols)
     per = s.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))

@@ -1,5 +1,7 @@
 """Bounded nesting: hot parents are split into consecutive sorted chunks."""
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from conftest import SEED_AS_OF
@@ -7,6 +9,20 @@ from fetchplan.operators import nesting
 from fetchplan.operators.chunking import nest_rows, rank_within
 
 
+@contextlib.contextmanager
+def many_partitions(spark, n="16"):
+    """Small test data: keep the range partitions apart (no AQE coalescing)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def _chunks(df):
     return sorted((r["order_id"], r["chunk"], [d["detail_id"] for d in r["details"]]) for r in df.collect())
 
@@ -27,13 +43,27 @@ def test_hot_parent_exact_ranks_across_partitions(spark):
                                                     (F.col("id") * 10000).alias("detail_id"),
                                                     F.lit(0).cast("bigint").alias("product_id")))
             .repartition(7))
-    ranked = rank_within(kids.filter(F.col("order_id") == 1), "order_id", ["detail_id", "product_id"])
-    got = sorted((r["_rank"], r["detail_id"]) for r in ranked.collect())
+    with many_partitions(spark):
+        ranked = rank_within(kids.filter(F.col("order_id") == 1), "order_id", ["detail_id", "product_id"])
+        got = sorted((r["_rank"], r["detail_id"]) for r in ranked.collect())
+        nested = nest_rows(kids, "order_id", ["order_id"], ["detail_id", "product_id"], F.lit(True), 1000)
+        rows = sorted((r["order_id"], r["chunk"], [x["detail_id"] for x in r["details"]])
+                      for r in nested.collect())
     assert got == [(i, i + 1) for i in range(5000)]
-    nested = nest_rows(kids, "order_id", ["order_id"], ["detail_id", "product_id"], F.lit(True), 1000)
-    rows = sorted((r["order_id"], r["chunk"], [x["detail_id"] for x in r["details"]]) for r in nested.collect())
     hot = [r for r in rows if r[0] == 1]
     assert [c for _, c, _ in hot] == [0, 1, 2, 3, 4]
     assert [x for _, _, ids in hot for x in ids] == list(range(1, 5001))
     assert all(len(ids) == 1000 for _, _, ids in hot)
     assert [(o, c, ids) for o, c, ids in rows if o != 1] == [(o, 0, [o * 10000]) for o in range(2, 50)]
+
+
+def test_hot_parent_spreads_over_tasks(spark):
+    from fetchplan.operators.chunking import tag_positions
+    # one parent owns a third of all children
+    kids = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).cast("bigint").alias("order_id"),
+        F.col("id").alias("detail_id"))
+    with many_partitions(spark):
+        tagged = tag_positions(kids, "order_id", ["detail_id"])
+        spread = tagged.filter(F.col("order_id") == 1).select("_pid").distinct().count()
+    assert spread >= 4
