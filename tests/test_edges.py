@@ -163,3 +163,13 @@ def test_cutoff_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [1]
+
+
+def test_table_counts_reports_a_failing_table(spark, seed):
+    def missing():
+        return spark.read.parquet("/nonexistent/fetchplan/table.parquet")
+
+    got = {r["table_name"]: (r["row_count"], r["status"]) for r in A.table_counts(
+        {"orders": seed["orders"], "broken": missing, "order_details": lambda: seed["order_details"]}).collect()}
+    assert got["orders"] == (5, "ok") and got["order_details"] == (12, "ok")
+    assert got["broken"][0] is None and got["broken"][1].startswith("error")
