@@ -620,7 +620,7 @@ SELECT d.source, h.cache, h.hint_no, h.hint FROM delta d JOIN hints h ON
   OR (h.cache = 'buffer' AND h.hint_no = 3 AND d.d_busy_waits > 100)
   OR (h.cache = 'buffer' AND h.hint_no = 4 AND d.buffer_hit_ratio >= 95)
   OR (h.cache = 'result' AND h.hint_no = 1 AND d.result_hit_ratio < 50)
-  OR (h.cache = 'result' AND h.hint_no = 2 AND d.d_invalidated > d.d_created // 2)
+  OR (h.cache = 'result' AND h.hint_no = 2 AND d.d_invalidated > CAST(trunc(d.d_created / 2) AS BIGINT))
   OR (h.cache = 'result' AND h.hint_no = 3 AND d.d_memory_bytes > 104857600)
   OR (h.cache = 'result' AND h.hint_no = 4 AND d.result_hit_ratio >= 80)"""
 

@@ -70,7 +70,7 @@ def driver(spark: SparkSession, sf_dir: str) -> Driver:
 
 
 def _k(props: Column) -> Column:
-    return F.regexp_extract(props, r"([0-9]+)", 1).cast("int")
+    return F.regexp_extract(props, r"([0-9]+)", 1).try_cast("int")
 
 
 def _cents(value: Column) -> Column:
@@ -244,7 +244,7 @@ def objects(d: Driver) -> DataFrame:
 
 # ----------------------------------------------------------- DuckDB twins
 
-_K_SQL = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
+_K_SQL = "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
 _CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
 
 SQL = {
