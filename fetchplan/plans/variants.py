@@ -2,8 +2,8 @@
 
 The reference prints each variant's row count and never compares contents.
 ``variants_agree`` compares contents too: per pair, the row counts and the
-multiset difference both ways (EXCEPT ALL semantics) from one tagged union
-and one grouping, so each variant is computed once.
+multiset difference both ways (EXCEPT ALL semantics), from one tagged union
+and one grouping per column set, so each variant is computed once.
 
 ``plan_text`` / ``plan_has`` read the formatted physical plan, for tests that
 assert a pushed filter, a broadcast semi join or the absence of a nested-loop
@@ -19,29 +19,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def compare_pair(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
-    """Rows of each side and the multiset differences both ways, one row.
+def _compare_group(variants: dict[str, DataFrame], names: list[str], cols: list[str],
+                   pairs: list[tuple[str, str]]) -> DataFrame:
+    """All pairs among variants with the same columns, from one grouping.
 
-    Both sides are tagged and unioned once, grouped by every column (the
-    EXCEPT ALL multiset rule: a row present n times in a and m times in b
-    counts max(n - m, 0) towards ``only_in_a``), then folded to one row.
+    Every variant is tagged and unioned once, grouped by every column with a
+    row count per variant, and folded to per-pair numbers with the EXCEPT ALL
+    multiset rule (a row present n times in a and m times in b counts
+    max(n - m, 0) towards ``only_in_a``).  Each variant is computed once.
     """
-    cols = sorted(a.columns)
-    u = a.select(*cols, F.lit(True).alias("_in_a")).unionByName(
-        b.select(*cols, F.lit(False).alias("_in_a")))
-    g = u.groupBy(*cols).agg(F.count_if(F.col("_in_a")).alias("_na"),
-                             F.count_if(~F.col("_in_a")).alias("_nb"))
-    t = g.agg(F.coalesce(F.sum("_na"), F.lit(0)).alias("rows_a"),
-              F.coalesce(F.sum("_nb"), F.lit(0)).alias("rows_b"),
-              F.coalesce(F.sum(F.greatest(F.col("_na") - F.col("_nb"), F.lit(0))), F.lit(0)).alias("only_in_a"),
-              F.coalesce(F.sum(F.greatest(F.col("_nb") - F.col("_na"), F.lit(0))), F.lit(0)).alias("only_in_b"))
-    return t.select(
-        F.lit(name_a).alias("variant_a"), F.lit(name_b).alias("variant_b"),
-        F.col("rows_a").cast("bigint").alias("rows_a"), F.col("rows_b").cast("bigint").alias("rows_b"),
-        F.col("only_in_a").cast("bigint").alias("only_in_a"),
-        F.col("only_in_b").cast("bigint").alias("only_in_b"),
-        ((F.col("rows_a") == F.col("rows_b")) & (F.col("only_in_a") == 0)
-         & (F.col("only_in_b") == 0)).alias("agree"))
+    idx = {n: i for i, n in enumerate(names)}
+    u = None
+    for n in names:
+        part = variants[n].select(*cols, F.lit(idx[n]).alias("_v"))
+        u = part if u is None else u.unionByName(part)
+    g = u.groupBy(*cols).agg(*[F.count_if(F.col("_v") == i).alias(f"_n{i}") for i in idx.values()])
+    aggs = [F.sum(f"_n{i}").alias(f"rows{i}") for i in idx.values()]
+    for a, b in pairs:
+        ia, ib = idx[a], idx[b]
+        aggs.append(F.sum(F.greatest(F.col(f"_n{ia}") - F.col(f"_n{ib}"), F.lit(0))).alias(f"only{ia}_{ib}"))
+        aggs.append(F.sum(F.greatest(F.col(f"_n{ib}") - F.col(f"_n{ia}"), F.lit(0))).alias(f"only{ib}_{ia}"))
+    t = g.agg(*aggs)
+
+    def num(c):
+        return F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+
+    items = []
+    for a, b in pairs:
+        ia, ib = idx[a], idx[b]
+        ra, rb, oa, ob = num(f"rows{ia}"), num(f"rows{ib}"), num(f"only{ia}_{ib}"), num(f"only{ib}_{ia}")
+        items.append(F.struct(F.lit(a).alias("variant_a"), F.lit(b).alias("variant_b"),
+                              ra.alias("rows_a"), rb.alias("rows_b"), oa.alias("only_in_a"),
+                              ob.alias("only_in_b"), ((ra == rb) & (oa == 0) & (ob == 0)).alias("agree")))
+    return t.select(F.explode(F.array(*items)).alias("p")).select("p.*")
 
 
 def variants_agree(variants: dict[str, DataFrame], pairs=None) -> DataFrame:
@@ -49,18 +59,31 @@ def variants_agree(variants: dict[str, DataFrame], pairs=None) -> DataFrame:
 
     ``variants`` maps a name to a DataFrame; the two sides of a pair must have
     the same columns (compared by name).  ``pairs`` defaults to the first
-    variant against each other one.
+    variant against each other one.  Variants that share a column set are
+    compared in one pass.
     """
     names = list(variants)
     if pairs is None:
         pairs = [(names[0], n) for n in names[1:]]
-    out = None
+    groups: dict[tuple, list[tuple[str, str]]] = {}
     for a, b in pairs:
-        row = compare_pair(variants[a], variants[b], a, b)
-        out = row if out is None else out.unionByName(row)
+        ca, cb = tuple(sorted(variants[a].columns)), tuple(sorted(variants[b].columns))
+        if ca != cb:
+            raise ValueError(f"variants {a!r} and {b!r} have different columns")
+        groups.setdefault(ca, []).append((a, b))
+    out = None
+    for cols, group_pairs in groups.items():
+        members = list(dict.fromkeys(n for p in group_pairs for n in p))
+        part = _compare_group(variants, members, list(cols), group_pairs)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
+def compare_pair(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
+    """Rows of each side and the multiset differences both ways, one row."""
+    return variants_agree({name_a: a, name_b: b}, [(name_a, name_b)])
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The plan as ``df.explain(mode)`` prints it (AQE's initial plan)."""
     buf = io.StringIO()

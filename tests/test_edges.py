@@ -173,3 +173,13 @@ def test_table_counts_reports_a_failing_table(spark, seed):
         {"orders": seed["orders"], "broken": missing, "order_details": lambda: seed["order_details"]}).collect()}
     assert got["orders"] == (5, "ok") and got["order_details"] == (12, "ok")
     assert got["broken"][0] is None and got["broken"][1].startswith("error")
+
+
+def test_variants_agree_counts_multiset_differences(spark):
+    from fetchplan.plans.variants import variants_agree
+    a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    b = spark.createDataFrame([(1,), (3,)], "x int")
+    c = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    got = {(r["variant_a"], r["variant_b"]): (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"], r["agree"])
+           for r in variants_agree({"a": a, "b": b, "c": c}).collect()}
+    assert got == {("a", "b"): (3, 2, 2, 1, False), ("a", "c"): (3, 3, 0, 0, True)}
