@@ -7,9 +7,9 @@ Three cases:
   shuffle.
 * A key set filtered out of a fact table (recent order ids): the static
   estimate is the whole table, so ``autoBroadcastJoinThreshold`` never fires.
-  ``bounded_broadcast`` counts the rows (``limit(max_rows + 1).count()``, one
-  number to the driver) and hints a broadcast only under the bound; above it
-  the frame is returned unhinted and a shuffle join is planned.
+  ``bounded_broadcast`` counts the rows (partial counts per task, one number
+  to the driver) and hints a broadcast only under the bound; above it the
+  frame is returned unhinted and a shuffle join is planned.
 * A per-group aggregate joined back to its own input (first run per suite):
   counting it would compute it twice, so ``materialized_broadcast`` first
   checkpoints it into the shared ``spark.checkpoint.dir`` (lineage cut, no
@@ -26,8 +26,13 @@ DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Distributed count, stopped after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count()
+    """Row count, capped at ``max_rows + 1``.
+
+    A plain ``count()``: every task sends one partial count.  (A
+    ``limit(max_rows + 1).count()`` would move up to ``max_rows + 1`` rows from
+    every task into a single task before counting.)
+    """
+    return min(df.count(), max_rows + 1)
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
