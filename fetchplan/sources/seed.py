@@ -69,10 +69,11 @@ def append_with_ids(existing: DataFrame, new_rows: DataFrame, id_col: str) -> Da
     """Insert rows with ids continuing the sequence after ``existing``'s maximum.
 
     ``new_rows`` must carry a dense 0-based ``_pos`` column (its position in
-    the insert).  The maximum is one aggregate joined as a single row, so no
-    driver round-trip and no per-row numbering across partitions is needed.
+    the insert).  The maximum is an uncorrelated scalar subquery, evaluated
+    once by Spark and used as a constant: no join, no driver round-trip and no
+    per-row numbering across partitions.
     """
-    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
-    j = new_rows.join(F.broadcast(top), how="inner", on=F.lit(True))
-    j = j.withColumn(id_col, (F.col("_base") + F.col("_pos") + 1).cast(existing.schema[id_col].dataType))
-    return existing.unionByName(j.select(*existing.columns))
+    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+    out = new_rows.withColumn(
+        id_col, (top + F.col("_pos") + 1).cast(existing.schema[id_col].dataType))
+    return existing.unionByName(out.select(*existing.columns))
