@@ -1,11 +1,11 @@
-"""Scale probe: the three nested-fetch shapes on generated business tables.
+"""Scale probe: the nested-fetch shapes on generated business tables.
 
 Generates ``N`` orders (3-7 details each) with the library's own generator,
 writes them as parquet to a fresh scratch folder, then times each shape
 (median of 3 warm runs, ``noop`` sink) and records shuffle bytes from the
 event log.  Prints one JSON line.
 
-Usage: python scripts/scale_probe.py N [cpus]
+Usage: python scripts/scale_probe.py N [cpus] [departments]  (50 employees each)
 """
 
 from __future__ import annotations
@@ -38,17 +38,23 @@ def main():
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=64, app="fetchplan-scale", extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": logs, "spark.eventLog.compress": "false",
         "spark.driver.memory": "16g"})
-    g = datagen.generate(spark, AS_OF, seed=1, n_departments=20, n_orders=n)
-    for name in ("orders", "order_details"):
+    n_depts = int(sys.argv[3]) if len(sys.argv) > 3 else 20
+    g = datagen.generate(spark, AS_OF, seed=1, n_departments=n_depts, n_orders=n)
+    for name in ("orders", "order_details", "employees", "departments"):
         g[name].write.mode("overwrite").parquet(os.path.join(work, name))
     o = spark.read.parquet(os.path.join(work, "orders"))
     d = spark.read.parquet(os.path.join(work, "order_details"))
-    rows = {"orders": o.count(), "order_details": d.count()}
+    e = spark.read.parquet(os.path.join(work, "employees"))
+    dp = spark.read.parquet(os.path.join(work, "departments"))
+    rows = {"orders": o.count(), "order_details": d.count(), "employees": e.count()}
     shapes = {
         "nested_batch": lambda: nesting.orders_nested_batch(o, d, AS_OF, 30, ordered=False),
         "nested_join": lambda: nesting.orders_nested_join(o, d, AS_OF, 30, ordered=False),
         "nested_lateral": lambda: nesting.orders_nested_lateral(o, d, AS_OF, 30, ordered=False),
         "order_totals": lambda: A.order_totals(o, d, ordered=False),
+        "employees_join": lambda: nesting.employees_departments_join(e, dp, ordered=False),
+        "employees_batch": lambda: nesting.employees_departments_batch(e, dp, ordered=False),
+        "employees_per_row": lambda: nesting.employees_departments_lateral(e, dp, ordered=False),
     }
     sc = spark.sparkContext
     out = {}
