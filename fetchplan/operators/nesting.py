@@ -43,8 +43,11 @@ def _parents(orders: DataFrame, as_of, days: int, parent_cols: list[str]) -> Dat
 
 
 def _child_keys(details: DataFrame, parents: DataFrame) -> DataFrame:
-    """One ``order_id`` per child of the given parents (only the key column is read)."""
-    return details.select("order_id").join(parents.select("order_id"), "order_id", "left_semi")
+    """One ``order_id`` per child of the given parents, for the hot-parent
+    count: only the key column is read, filtered map-side against the parent
+    keys (broadcast under the row bound)."""
+    keys = bounded_broadcast(parents.select("order_id"))
+    return details.select("order_id").join(keys, "order_id", "left_semi")
 
 
 def _finish(df: DataFrame, parent_cols: list[str], ordered: bool) -> DataFrame:
