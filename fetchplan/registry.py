@@ -762,3 +762,30 @@ FROM components GROUP BY component""")
 def q_buffer_pool_sizes(spark, sf_dir):
     """M14, pool form: every component, no IN filter."""
     return M.component_sizes(V.components(_d(spark, sf_dir)), None)
+
+
+@register("limit_violations", with_views("ord", "emp", "det") + """
+SELECT * FROM (
+  SELECT 'orders' AS table_name, 'status' AS column_name, 'length>20' AS rule,
+         count(*) FILTER (WHERE length(status) > 20) AS violations FROM ord
+  UNION ALL SELECT 'orders', 'total_amount', 'number(12,2)',
+         count(*) FILTER (WHERE abs(total_amount) >= 10000000000 OR total_amount <> round(total_amount, 2)) FROM ord
+  UNION ALL SELECT 'employees', 'first_name', 'length>50', count(*) FILTER (WHERE length(first_name) > 50) FROM emp
+  UNION ALL SELECT 'employees', 'last_name', 'length>50', count(*) FILTER (WHERE length(last_name) > 50) FROM emp
+  UNION ALL SELECT 'employees', 'email', 'length>200', count(*) FILTER (WHERE length(email) > 200) FROM emp
+  UNION ALL SELECT 'employees', 'salary', 'number(10,2)',
+         count(*) FILTER (WHERE abs(salary) >= 100000000 OR salary <> round(salary, 2)) FROM emp
+  UNION ALL SELECT 'order_details', 'quantity', 'number(8,0)',
+         count(*) FILTER (WHERE abs(quantity) >= 100000000 OR quantity <> round(quantity, 0)) FROM det
+  UNION ALL SELECT 'order_details', 'unit_price', 'number(10,2)',
+         count(*) FILTER (WHERE abs(unit_price) >= 100000000 OR unit_price <> round(unit_price, 2)) FROM det
+) WHERE violations > 0""")
+def q_limit_violations(spark, sf_dir):
+    """Q4: the DDL's VARCHAR2 and NUMBER limits on the business tables."""
+    d = _d(spark, sf_dir)
+    o = Q.limit_violations(V.orders(d), "orders", {"status": 20}, {"total_amount": (12, 2)})
+    e = Q.limit_violations(V.employees(d), "employees",
+                           {"first_name": 50, "last_name": 50, "email": 200}, {"salary": (10, 2)})
+    det = Q.limit_violations(V.order_details(d), "order_details", {},
+                             {"quantity": (8, 0), "unit_price": (10, 2)})
+    return o.unionByName(e).unionByName(det)
