@@ -74,10 +74,6 @@ def _d(spark, sf_dir):
     return V.driver(spark, sf_dir)
 
 
-def C(days: int) -> str:
-    return cutoff_sql(days)
-
-
 # ------------------------------------------------------- scans and lookups
 
 from fetchplan.sources import tables as _tables  # noqa: E402
@@ -96,13 +92,13 @@ def q_employees_scan(spark, sf_dir):
 
 
 @register("recent_orders", with_views("ord") + f"""
-SELECT order_id, customer_id, order_date, total_amount FROM ord WHERE order_date >= {C(30)}""")
+SELECT order_id, customer_id, order_date, total_amount FROM ord WHERE order_date >= {cutoff_sql(30)}""")
 def q_recent_orders(spark, sf_dir):
     return lookups.recent_orders(V.orders(_d(spark, sf_dir)), AS_OF, 30)
 
 
 @register("recent_orders_slim", with_views("ord") + f"""
-SELECT order_id, customer_id, total_amount FROM ord WHERE order_date >= {C(7)}""")
+SELECT order_id, customer_id, total_amount FROM ord WHERE order_date >= {cutoff_sql(7)}""")
 def q_recent_orders_slim(spark, sf_dir):
     return lookups.recent_orders_slim(V.orders(_d(spark, sf_dir)), AS_OF, 7)
 
@@ -127,7 +123,7 @@ def q_department_by_id(spark, sf_dir):
 
 @register("details_by_orders", with_views("ord", "det") + f"""
 SELECT order_id, line_number, product_id, supplier_id, quantity, unit_price FROM det
-WHERE order_id IN (SELECT order_id FROM ord WHERE order_date >= {C(30)})""")
+WHERE order_id IN (SELECT order_id FROM ord WHERE order_date >= {cutoff_sql(30)})""")
 def q_details_by_orders(spark, sf_dir):
     d = _d(spark, sf_dir)
     keys = V.orders(d).filter(look_back("order_date", AS_OF, 30))
@@ -166,7 +162,7 @@ def q_distinct_department_ids(spark, sf_dir):
 register("orders_details_flat", with_views("ord", "det") + f"""
 SELECT p.order_id, p.customer_id, p.order_date, p.total_amount,
        d.line_number, d.product_id, d.supplier_id, d.quantity, d.unit_price
-FROM (SELECT * FROM ord WHERE order_date >= {C(30)}) p LEFT JOIN det d ON p.order_id = d.order_id""")(
+FROM (SELECT * FROM ord WHERE order_date >= {cutoff_sql(30)}) p LEFT JOIN det d ON p.order_id = d.order_id""")(
     lambda spark, sf_dir: nesting.orders_details_flat(
         V.orders(_d(spark, sf_dir)), V.order_details(_d(spark, sf_dir)), AS_OF, 30, DETAIL_ORDER))
 
@@ -206,7 +202,7 @@ def q_employee_labels(spark, sf_dir):
 
 @register("recent_lines_capped_count", with_views("ord", "det") + f"""
 SELECT least(count(*), 100) AS row_count FROM det d JOIN ord o ON o.order_id = d.order_id
-WHERE o.order_date >= {C(7)}""")
+WHERE o.order_date >= {cutoff_sql(7)}""")
 def q_recent_lines_capped_count(spark, sf_dir):
     d = _d(spark, sf_dir)
     capped = L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 100,
@@ -247,20 +243,20 @@ _AVG_SQL = "round(CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0), 4)"
 @register("customer_sales", with_views("ord") + f"""
 SELECT customer_id, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_sales,
        {_AVG_SQL.format(x='total_amount')} AS avg_order_value
-FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+FROM ord WHERE order_date >= {cutoff_sql(30)} GROUP BY customer_id""")
 def q_customer_sales(spark, sf_dir):
     return A.customer_sales(V.orders(_d(spark, sf_dir)), AS_OF, 30)
 
 
 @register("customer_sales_totals", with_views("ord") + f"""
 SELECT customer_id, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_sales
-FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+FROM ord WHERE order_date >= {cutoff_sql(30)} GROUP BY customer_id""")
 def q_customer_sales_totals(spark, sf_dir):
     return A.customer_sales(V.orders(_d(spark, sf_dir)), AS_OF, 30, with_avg=False)
 
 
 @register("customer_order_counts", with_views("ord") + f"""
-SELECT customer_id, count(*) AS order_count FROM ord WHERE order_date >= {C(30)} GROUP BY customer_id""")
+SELECT customer_id, count(*) AS order_count FROM ord WHERE order_date >= {cutoff_sql(30)} GROUP BY customer_id""")
 def q_customer_order_counts(spark, sf_dir):
     return A.customer_order_counts(V.orders(_d(spark, sf_dir)), AS_OF, 30)
 
@@ -268,7 +264,7 @@ def q_customer_order_counts(spark, sf_dir):
 @register("monthly_sales", with_views("ord") + f"""
 SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS monthly_orders,
        CAST(sum(total_amount) AS DECIMAL(22,2)) AS monthly_revenue, count(DISTINCT customer_id) AS unique_customers
-FROM ord WHERE order_date >= {C(180)} GROUP BY 1""")
+FROM ord WHERE order_date >= {cutoff_sql(180)} GROUP BY 1""")
 def q_monthly_sales(spark, sf_dir):
     return A.monthly_sales(V.orders(_d(spark, sf_dir)), AS_OF, 180)
 
@@ -302,7 +298,7 @@ SELECT d.product_id, CAST(sum(d.quantity) AS BIGINT) AS total_quantity,
        CAST(sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) AS DECIMAL(29,2)) AS total_revenue,
        count(DISTINCT o.customer_id) AS unique_buyers
 FROM det d JOIN ord o ON d.order_id = o.order_id
-WHERE o.order_date >= {C(60)}
+WHERE o.order_date >= {cutoff_sql(60)}
 GROUP BY d.product_id
 HAVING sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price) > {PRODUCT_MIN_REVENUE}""")
 def q_product_revenue(spark, sf_dir):
@@ -321,7 +317,7 @@ def q_order_totals(spark, sf_dir):
 
 
 @register("recent_order_count", with_views("ord") + f"""
-SELECT count(*) AS order_count FROM ord WHERE order_date >= {C(30)}""")
+SELECT count(*) AS order_count FROM ord WHERE order_date >= {cutoff_sql(30)}""")
 def q_recent_order_count(spark, sf_dir):
     return A.recent_order_count(V.orders(_d(spark, sf_dir)), AS_OF, 30)
 
@@ -348,7 +344,7 @@ def q_object_summary(spark, sf_dir):
 
 _PREVIEW_SQL = with_views("ord", "det") + f"""
 , p AS (SELECT order_id, customer_id, order_date, total_amount FROM ord
-        WHERE order_date >= {C(30)} ORDER BY order_id LIMIT 5)
+        WHERE order_date >= {cutoff_sql(30)} ORDER BY order_id LIMIT 5)
 , r AS (SELECT p.*, d.product_id, d.quantity,
                row_number() OVER (PARTITION BY p.order_id ORDER BY {_DETAIL_SORT_SQL}) AS rn,
                count(d.order_id) OVER (PARTITION BY p.order_id) AS n
@@ -386,7 +382,7 @@ _ORACLE_NUM_SQL = """regexp_replace(regexp_replace(
 
 @register("customer_summary", with_views("ord") + f"""
 , g AS (SELECT customer_id, count(*) AS n, sum(total_amount) AS total FROM ord
-        WHERE order_date >= {C(90)} GROUP BY customer_id)
+        WHERE order_date >= {cutoff_sql(90)} GROUP BY customer_id)
 SELECT c.c_custkey AS customer_id,
        'Orders: ' || CAST(coalesce(g.n, 0) AS VARCHAR) || ', Total: $' ||
        coalesce({_ORACLE_NUM_SQL.format(s='CAST(round(g.total, 2) AS VARCHAR)')}, '') AS summary
@@ -716,7 +712,7 @@ from fetchplan.sources import sinks as SK  # noqa: E402
 
 
 @register("variants_agree", with_views("ord", "emp") + f"""
-, n AS (SELECT count(*) AS c FROM ord WHERE order_date >= {C(30)}), m AS (SELECT count(*) AS c FROM emp)
+, n AS (SELECT count(*) AS c FROM ord WHERE order_date >= {cutoff_sql(30)}), m AS (SELECT count(*) AS c FROM emp)
 SELECT 'batch' AS variant_a, 'join' AS variant_b, n.c AS rows_a, n.c AS rows_b,
        CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS only_in_b, true AS agree FROM n
 UNION ALL SELECT 'batch', 'lateral', n.c, n.c, 0, 0, true FROM n
