@@ -10,8 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fetchplan.functions import lookup_functions as LF
+from fetchplan.functions.scalar import department_label, look_back
+from fetchplan.operators import aggregates as A
+from fetchplan.operators import limits as L
 from fetchplan.operators import lookups, nesting
+from fetchplan.operators import measure as M
+from fetchplan.operators import quality as Q
+from fetchplan.plans import variants as PV
+from fetchplan.sources import datagen as DG
+from fetchplan.sources import sinks as SK
+from fetchplan.sources import tables as _tables
 from fetchplan.sources import views as V
 from fetchplan.sources.views import AS_OF, AS_OF_SQL, DETAIL_ORDER, with_views
 
@@ -76,13 +87,6 @@ def _d(spark, sf_dir):
 
 # ------------------------------------------------------- scans and lookups
 
-from fetchplan.sources import tables as _tables  # noqa: E402
-from fetchplan.operators import aggregates as A  # noqa: E402
-from fetchplan.operators import limits as L  # noqa: E402
-from fetchplan.operators import quality as Q  # noqa: E402
-from fetchplan.functions import lookup_functions as LF  # noqa: E402
-from fetchplan.functions.scalar import department_label, look_back  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 @register("employees_scan", with_views("emp") + """
@@ -454,7 +458,6 @@ def q_null_violations(spark, sf_dir):
 
 # ----------------------------------------------------------- measurements
 
-from fetchplan.operators import measure as M  # noqa: E402
 
 _R4 = "round({x}, 4)"
 _DIV = "CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
@@ -706,9 +709,6 @@ def q_component_sizes(spark, sf_dir):
 
 # ------------------------------------------------ agreement, generator, JSON
 
-from fetchplan.plans import variants as PV  # noqa: E402
-from fetchplan.sources import datagen as DG  # noqa: E402
-from fetchplan.sources import sinks as SK  # noqa: E402
 
 
 @register("variants_agree", with_views("ord", "emp") + f"""
