@@ -785,3 +785,10 @@ def q_limit_violations(spark, sf_dir):
     det = Q.limit_violations(V.order_details(d), "order_details", {},
                              {"quantity": (8, 0), "unit_price": (10, 2)})
     return o.unionByName(e).unionByName(det)
+
+
+@register("analysis_report_json")
+def q_analysis_report_json(spark, sf_dir):
+    """The per-source analysis report (deltas, scores, tier,
+    recommendations) exported as JSON documents."""
+    return SK.to_json_rows(M.analysis_report(_delta(spark, sf_dir)))
