@@ -35,20 +35,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect session
+        pass
     checkpoint_dir(spark)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names.
 
     Uses the SparkContext's checkpoint folder, which Spark sets from
     ``spark.checkpoint.dir``.  Only when neither is set (bare local runs) a
     fresh scratch folder is created and given to the SparkContext; the
-    ``spark.checkpoint.dir`` setting itself cannot change at run time.
+    ``spark.checkpoint.dir`` setting itself cannot change at run time.  A
+    remote (Spark Connect) session has no SparkContext here: its server's
+    ``spark.checkpoint.dir`` applies and is returned as configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -61,4 +69,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return os.path.join(base, name)
