@@ -34,10 +34,6 @@ from fetchplan.operators.lookups import DETAIL_COLS, ORDER_COLS
 from fetchplan.plans.strategy import bounded_broadcast
 
 
-def _detail_struct(cols: list[str], prefix: str | None = None) -> Column:
-    return F.struct(*[(F.col(f"{prefix}.{c}") if prefix else F.col(c)).alias(c) for c in cols])
-
-
 def _parents(orders: DataFrame, as_of, days: int, parent_cols: list[str]) -> DataFrame:
     return orders.filter(look_back("order_date", as_of, days)).select(*parent_cols)
 
