@@ -75,11 +75,6 @@ def oracle_num(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed, r"^0\.", "."), r"^-0\.", "-.")
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """Division that gives NULL for a zero or NULL denominator (ANSI-safe)."""
-    return F.try_divide(num, den)
-
-
 def one_decimal(x: Column) -> Column:
     """Text of ``x`` with one decimal, rounded half-even on the exact binary
     value (as Go's and C's ``%.1f`` do; Java's ``%.1f`` would round half-up)."""

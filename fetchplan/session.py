@@ -9,7 +9,6 @@ local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,11 +64,3 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         path = tempfile.mkdtemp(prefix="fetchplan-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    return os.path.join(base, name)

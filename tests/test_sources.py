@@ -106,3 +106,24 @@ def test_sql_functions(spark, seed):
                   "customer_order_summary(1001) AS s, customer_order_summary(1) AS z").first()
     assert r["d"] == "Engineering" and r["n"] is None and r["c"] == 2 and int(r["t"]) == 400000
     assert r["s"] == "Orders: 2, Total: $400000" and r["z"] == "Orders: 0, Total: $"
+
+
+def test_write_json_and_drop_cached(spark, seed):
+    path = os.path.join(tempfile.mkdtemp(prefix="fetchplan-json-"), "orders")
+    sinks.write_json(seed["orders"].select("order_id", "status"), path)
+    back = spark.read.json(path)
+    assert sorted(r["order_id"] for r in back.collect()) == [1, 2, 3, 4, 5]
+    cached = seed["orders"].persist()
+    assert cached.count() == 5 and cached.is_cached
+    assert not sinks.drop_cached(cached).is_cached
+
+
+def test_top_k_and_compare_pair(spark, seed):
+    from pyspark.sql import functions as F
+
+    from fetchplan.operators.limits import top_k
+    from fetchplan.plans.variants import compare_pair
+    got = [r["order_id"] for r in top_k(seed["orders"], 2, F.col("total_amount").desc(), "order_id").collect()]
+    assert got == [5, 3]
+    r = compare_pair(seed["orders"], seed["orders"].filter("order_id > 1"), "all", "some").first()
+    assert (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"], r["agree"]) == (5, 4, 1, 0, False)
