@@ -64,3 +64,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         path = tempfile.mkdtemp(prefix="fetchplan-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+MIB = 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 * MIB,
+                  min_partitions: int = 8, max_partitions: int = 100_000) -> int:
+    """Size shuffles for an expected shuffle volume; returns the partition count.
+
+    Sets the initial shuffle partition count so each reduce task gets about
+    ``target_bytes`` (AQE then coalesces small partitions and splits skewed
+    ones toward the same advisory size), and the scan split size to match.
+    All four settings are runtime SQL settings.  Example: 100 TB of fact data
+    whose heaviest shuffle moves 20 TB gives 81,920 partitions of 256 MiB.
+    """
+    parts = -(-int(shuffle_bytes) // int(target_bytes))
+    parts = max(min_partitions, min(max_partitions, parts))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(min(2 * target_bytes, 1024 * MIB))))
+    return parts

@@ -127,3 +127,22 @@ def test_top_k_and_compare_pair(spark, seed):
     assert got == [5, 3]
     r = compare_pair(seed["orders"], seed["orders"].filter("order_id > 1"), "all", "some").first()
     assert (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"], r["agree"]) == (5, 4, 1, 0, False)
+
+
+def test_size_shuffles(spark):
+    from fetchplan.session import MIB, size_shuffles
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        assert size_shuffles(spark, 20 * 1024 ** 4) == 81920
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "81920"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 * MIB)
+        assert size_shuffles(spark, 10 * MIB) == 8
+        assert size_shuffles(spark, 10 ** 18) == 100_000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
