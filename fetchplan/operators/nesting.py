@@ -187,7 +187,9 @@ def employees_departments_batch(employees: DataFrame, departments: DataFrame,
 def employees_departments_lateral(employees: DataFrame, departments: DataFrame,
                                   ordered: bool = True) -> DataFrame:
     """J7 ``GetEmployeesWithDepartment``: per-row department lookup as a correlated
-    scalar subquery; Catalyst rewrites it into a single left join."""
+    scalar subquery; Catalyst rewrites it into a single left join.  A repeated
+    department id fails the query (a scalar subquery returns at most one
+    row), where the join shape would repeat the employee."""
     e = employees.select(*EMP_COLS).alias("e")
     sub = (departments.alias("d")
            .where(F.col("d.department_id") == F.col("e.department_id").outer())

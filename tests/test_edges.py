@@ -183,3 +183,11 @@ def test_variants_agree_counts_multiset_differences(spark):
     got = {(r["variant_a"], r["variant_b"]): (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"], r["agree"])
            for r in variants_agree({"a": a, "b": b, "c": c}).collect()}
     assert got == {("a", "b"): (3, 2, 2, 1, False), ("a", "c"): (3, 3, 0, 0, True)}
+
+
+def test_per_row_shape_rejects_duplicate_department_ids(spark):
+    d = _depts(spark, [(1, "Sales", "a"), (1, "Sales again", "b")])
+    e = _emps(spark, [(1, 1, Decimal("1.00"))])
+    assert len(nesting.employees_departments_join(e, d).collect()) == 2   # join shape repeats the employee
+    with pytest.raises(Exception):
+        nesting.employees_departments_lateral(e, d).collect()            # scalar subquery: one row at most
