@@ -69,7 +69,7 @@ def order_preview(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
 def employee_preview(employees: DataFrame, departments: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` employees by id with their department label."""
     first = employees.orderBy("employee_id").limit(n)
-    j = nesting.employees_departments_join(first, departments)
+    j = nesting.employees_departments_join(first, departments, ordered=False)
     return j.select("employee_id", "first_name", "last_name", "email", "salary",
                     department_label(F.col("department.department_name"),
                                      F.col("department.location")).alias("department_label")
