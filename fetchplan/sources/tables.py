@@ -164,3 +164,13 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str
     if path is not None:
         w = w.option("path", path)
     w.saveAsTable(table)
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Publish the business tables as session temp views (``{prefix}orders`` ...)
+    so plain SQL can join and group them; returns the view names."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names

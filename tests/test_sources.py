@@ -146,3 +146,14 @@ def test_size_shuffles(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_register_views_runs_plain_sql(spark, seed):
+    from fetchplan.sources.tables import register_views
+    assert register_views(seed, "fpv_") == ["fpv_departments", "fpv_employees", "fpv_orders", "fpv_order_details"]
+    rows = spark.sql("""
+        SELECT d.department_name, count(e.employee_id) AS employee_count, avg(e.salary) AS avg_salary
+        FROM fpv_departments d LEFT JOIN fpv_employees e ON d.department_id = e.department_id
+        GROUP BY d.department_name ORDER BY avg_salary DESC NULLS FIRST, d.department_name""").collect()
+    assert [r[0] for r in rows[:3]] == ["Finance", "IT Planning", "Legal"]
+    assert rows[3][0] == "Engineering" and rows[3][1] == 3
