@@ -14,7 +14,15 @@ from fetchplan.operators import nesting
 from fetchplan.sources.tables import ORDER_DETAILS, ORDERS
 
 AS_OF = dt.datetime(2024, 2, 20)
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, derandomize=True,
+                    suppress_health_check=list(HealthCheck))
+
+
+def close4(a, b):
+    """Equal as values rounded to 4 places (engines may break exact .5 ties differently)."""
+    if a is None or b is None:
+        return a is b
+    return abs(a - b) <= 1.01e-4
 
 orders_st = st.lists(st.tuples(st.integers(0, 40), st.integers(1, 5)), min_size=1, max_size=12,
                      unique_by=lambda t: t[0])
@@ -63,8 +71,8 @@ def test_run_statistics_match_go_loops(spark, runs):
         hits = sum(1 for k, (_, ms, _) in enumerate(rows) if k > 0 and ms < 50)
         n = len(rows)
         assert warm[g]["warm_hits"] == hits
-        assert warm[g]["warm_hit_rate"] == (None if n == 1 else round(hits / (n - 1) * 100, 4))
-        assert rate[g]["hit_rate"] == round(sum(h for _, _, h in rows) / n * 100, 4)
+        assert close4(warm[g]["warm_hit_rate"], None if n == 1 else hits / (n - 1) * 100)
+        assert close4(rate[g]["hit_rate"], sum(h for _, _, h in rows) / n * 100)
         assert mean[g] == sum(int(ms * 1e6) for _, ms, _ in rows) // n
 
 
@@ -86,8 +94,8 @@ def test_counter_delta_matches_brute_force(spark, snaps):
         rows = [x for x in data if x[0] == s]
         i, f = rows[0], rows[-1]
         dl, dp, dc, do = f[3] - i[3], f[4] - i[4], f[9] - i[9], f[8] - i[8]
-        ratio = round((1 - dp / dl) * 100, 4) if dl > 0 else f[2]
-        assert got[s]["buffer_hit_ratio"] == ratio
+        ratio = (1 - dp / dl) * 100 if dl > 0 else f[2]
+        assert close4(got[s]["buffer_hit_ratio"], ratio)
         assert (got[s]["cache_hits"], got[s]["cache_misses"]) == ((do * 2, dc) if dc > 0 else (0, 0))
 
 
