@@ -24,6 +24,7 @@ def close4(a, b):
         return a is b
     return abs(a - b) <= 1.01e-4
 
+
 orders_st = st.lists(st.tuples(st.integers(0, 40), st.integers(1, 5)), min_size=1, max_size=12,
                      unique_by=lambda t: t[0])
 details_st = st.lists(st.tuples(st.integers(0, 45), st.integers(1, 9), st.integers(1, 20)),
