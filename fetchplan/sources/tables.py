@@ -174,3 +174,41 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
         df.createOrReplaceTempView(f"{prefix}{name}")
         names.append(f"{prefix}{name}")
     return names
+
+
+# Connection defaults of the workload (host, port, service name)
+# and its pool limit, which becomes the JDBC read parallelism.
+DEFAULT_DB_HOST = "localhost"
+DEFAULT_DB_PORT = 1521
+DEFAULT_DB_SERVICE = "ORCLPDB1"
+MAX_OPEN_CONNECTIONS = 10
+
+
+def oracle_jdbc_url(host: str = DEFAULT_DB_HOST, port: int = DEFAULT_DB_PORT,
+                    service: str = DEFAULT_DB_SERVICE) -> str:
+    """Thin-driver JDBC URL for a database service."""
+    return f"jdbc:oracle:thin:@//{host}:{int(port)}/{service}"
+
+
+def jdbc_source(settings: dict, partitions: dict | None = None) -> dict:
+    """A ``load_tables`` source from connection settings.
+
+    ``settings`` uses the workload's keys (``DB_HOST``, ``DB_PORT``,
+    ``DB_SERVICE_NAME``, ``DB_USERNAME``, ``DB_PASSWORD``) with its defaults
+    for the first three; the caller passes them in (for example from Spark
+    conf).  ``partitions`` maps a table to ``(column, lower, upper)`` for a
+    partitioned read; each table reads with at most ``MAX_OPEN_CONNECTIONS``
+    connections.
+    """
+    url = oracle_jdbc_url(settings.get("DB_HOST", DEFAULT_DB_HOST),
+                          int(settings.get("DB_PORT", DEFAULT_DB_PORT)),
+                          settings.get("DB_SERVICE_NAME", DEFAULT_DB_SERVICE))
+    options = {}
+    for name in SCHEMAS:
+        per = {"user": settings.get("DB_USERNAME"), "password": settings.get("DB_PASSWORD"),
+               "num_partitions": MAX_OPEN_CONNECTIONS}
+        if partitions and name in partitions:
+            col, lo, hi = partitions[name]
+            per.update({"partition_column": col, "lower_bound": lo, "upper_bound": hi})
+        options[name] = per
+    return {"format": "jdbc", "url": url, "options": options}

@@ -157,3 +157,14 @@ def test_register_views_runs_plain_sql(spark, seed):
         GROUP BY d.department_name ORDER BY avg_salary DESC NULLS FIRST, d.department_name""").collect()
     assert [r[0] for r in rows[:3]] == ["Finance", "IT Planning", "Legal"]
     assert rows[3][0] == "Engineering" and rows[3][1] == 3
+
+
+def test_jdbc_source_from_settings():
+    from fetchplan.sources.tables import jdbc_options, jdbc_source, oracle_jdbc_url
+    assert oracle_jdbc_url() == "jdbc:oracle:thin:@//localhost:1521/ORCLPDB1"
+    src = jdbc_source({"DB_HOST": "db", "DB_USERNAME": "u", "DB_PASSWORD": "p"},
+                      {"order_details": ("order_id", 1, 5000)})
+    assert src["url"] == "jdbc:oracle:thin:@//db:1521/ORCLPDB1"
+    opts = jdbc_options(src["url"], "order_details", **src["options"]["order_details"])
+    assert opts["partitionColumn"] == "order_id" and opts["numPartitions"] == "10" and opts["user"] == "u"
+    assert "partitionColumn" not in jdbc_options(src["url"], "orders", **src["options"]["orders"])
