@@ -26,3 +26,13 @@ def test_compare_employee_shapes_cli(spark, seed):
     main(["employees", "--path", base])
     out = compare.compare_employee_shapes(spark, seed["employees"], seed["departments"])
     assert all(r["agree"] and r["rows_a"] == 10 for r in out["agree"].collect())
+
+
+def test_cli_orders_mode(spark, seed, capsys):
+    from fetchplan.__main__ import main
+    base = tempfile.mkdtemp(prefix="fetchplan-cli-o-")
+    for name, df in seed.items():
+        df.write.mode("overwrite").parquet(os.path.join(base, f"{name}.parquet"))
+    main(["orders", "--path", base, "--as-of", "2024-02-20 00:00:00", "--days", "30"])
+    out = capsys.readouterr().out
+    assert "-- runs" in out and "per_parent" in out and "batch" in out and "-- agree" in out
