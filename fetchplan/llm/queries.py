@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fetchplan.llm import bpe, license_scan, packing, token_counts
+from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, ngram_join, packing, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +30,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      keep=["doc_id"])
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by four-word shingles at a Jaccard similarity of 0.85, with their components."""
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
@@ -46,3 +53,37 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at a cosine of 0.95, with their components."""
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest embeddings of every row whose vec_id is divisible by 50."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ratings = labels.select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade"))
+    return quality.classify(docs, quality.fit(docs, ratings), keep=["doc_id"])
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    references = langid.learn(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return langid.identify(docs, references, keep=["doc_id", "held_out"])
+
+
+@query
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document against all others."""
+    return lm.backoff_scores(table(spark, sf_dir, "documents"))
