@@ -60,8 +60,8 @@ class Packer:
         """Fill level (0: a new window) whose use gives the least sum of squares; ties to the fuller."""
         cap, n = self.capacity, self.level
         to = n[size:cap + 1].copy()  # to[h]: windows at the fill that level h would come to
-        to[cap - size] = -1  # a full window leaves the array: no cost
         cost = 2 * (to + 1) - 2 * n[:cap - size + 1]
+        cost[cap - size] = 1 - 2 * n[cap - size]  # a full window leaves the array
         cost[1:][n[1:cap - size + 1] == 0] = np.iinfo(np.int64).max
         cost[0] = 2 * n[size] + 1
         return cap - size - int(np.argmin(cost[::-1]))
