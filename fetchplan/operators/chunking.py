@@ -1,99 +1,56 @@
-"""Bounded nesting: children of one parent in rows of at most ``max_per_row``.
-
-Nesting puts a parent's children into one array.  For ordinary parents that
-is one row; a parent that holds a large share of all children would become a
-single row built by a single task.  ``nest_rows`` therefore:
-
-1. counts children per parent (partial aggregation, so a hot parent costs one
-   partial row per task);
-2. takes the parents above ``max_per_row`` as a key set (at most
-   ``children / max_per_row`` keys, broadcast under a checked bound);
-3. nests ordinary parents in one row each (``chunk`` 0);
-4. ranks the children of hot parents exactly with a range-partitioned sort on
-   (parent, sort keys), which spreads one parent over many tasks, and nests
-   them in consecutive chunks of ``max_per_row`` (``chunk`` = rank div
-   max_per_row), so reading chunks in order gives the sorted children.
-
-Results are whole: every child appears in exactly one chunk.  The output shape
-depends only on the data and ``max_per_row``.  AQE sizes the range partitions
-(advisory partition size), so a parent is spread over as many tasks as its
-bytes need; small inputs stay in few partitions.
+"""Paged nesting: one parent's children in arrays of about ``max_children``.
+
+An array is one value, built by one task.  A parent that holds a large share
+of all children is therefore spread over pages before anything is shuffled by
+parent:
+
+* ``page_counts`` counts children per parent (combined map-side, so a hot
+  parent costs one partial row a task) and keeps those above the bound.  Each
+  stands for more than ``max_children`` rows, so there are at most
+  ``children / max_children`` of them: a proven bound, under which they are
+  broadcast.
+* ``with_page`` gives each child its page from a hash of its own values,
+  without a shuffle, and deals rows out by (parent, page), so a hot parent's
+  rows never meet in one task.
+* ``parent_pages`` repeats a parent's row once a page, so joins back to parents
+  use (parent, page) too.
+
+Everything is one lazy plan.  Pages only cut the array: every child is on
+exactly one page, each page is sorted, and what is computed per parent
+(``nesting.flatten_nested``) is the same at any ``max_children``.  Children that
+are equal in all nested columns share a page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.plans.strategy import bounded, bounded_broadcast
-from fetchplan.session import checkpoint_dir
-
 DEFAULT_MAX_CHILDREN = 100_000
-MAX_HOT_KEYS = 1_000_000
-
-
-def _struct(cols: list[str]) -> Column:
-    return F.struct(*[F.col(c).alias(c) for c in cols])
-
-
-def tag_positions(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Range-partition rows on (key, order cols, salt), sort each partition and
-    tag each row with ``_pos`` (consecutive within a partition) and ``_pid``
-    (the partition).  A key with many rows spans many partitions.  The result
-    is checkpointed, so later uses see the same positions."""
-    checkpoint_dir(df.sparkSession)
-    salted = df.withColumn("_salt", F.monotonically_increasing_id())
-    return (salted.repartitionByRange(key, *order_cols, "_salt")
-            .sortWithinPartitions(key, *order_cols, "_salt")
-            .withColumn("_pos", F.monotonically_increasing_id())
-            .checkpoint(eager=True)
-            .withColumn("_pid", F.shiftright(F.col("_pos"), 33)))
 
 
-def rank_within(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Exact 0-based position ``_rank`` of each row within its ``key`` by
-    ``order_cols``, without putting one key into one task.
+def page_counts(children: DataFrame, key: str, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame | None:
+    """(key, _pages) of parents with more than ``max_children`` children; None without a bound."""
+    if not max_children:
+        return None
+    sizes = children.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.filter(F.col("_n") > max_children).select(
+        key, F.ceil(F.col("_n") / max_children).cast("int").alias("_pages"))
 
-    Positions come from ``tag_positions`` (``monotonically_increasing_id``
-    keeps the partition index in its high bits); a small per-(key,
-    partition) table gives each partition's offset within the key.
-    """
-    s = tag_positions(df, key, order_cols)
-    per = s.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    out = s.join(bounded_broadcast(per), [key, "_pid"], "inner")
-    return out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0")).drop(
-        "_salt", "_pos", "_pid", "_c", "_p0", "_off")
 
+def _marked(df: DataFrame, key: str, pages: DataFrame | None) -> DataFrame:
+    if pages is None:
+        return df.withColumn("_pages", F.lit(1))
+    return (df.join(F.broadcast(pages), key, "left")
+            .withColumn("_pages", F.coalesce(F.col("_pages"), F.lit(1))))
 
-def nest_rows(rows: DataFrame, key: str, parent_cols: list[str], child_cols: list[str],
-              present: Column, max_per_row: int | None = DEFAULT_MAX_CHILDREN,
-              child_keys: DataFrame | None = None) -> DataFrame:
-    """Group (parent, child) rows into ``parent_cols + chunk + details``.
 
-    ``present`` marks rows that carry a child (a childless parent's row gives
-    ``[]``).  Children are sorted by the ``child_cols`` struct.  ``child_keys``
-    (one ``key`` column, one row per child) lets the caller count children
-    from a cheaper, column-pruned source than ``rows``.
-    """
-    item = F.when(present, _struct(child_cols))
+def with_page(children: DataFrame, key: str, cols: list[str], pages: DataFrame | None) -> DataFrame:
+    """Children with ``chunk``, their page number, dealt out by (key, chunk)."""
+    page = F.pmod(F.xxhash64(*cols), F.col("_pages")).cast("int")
+    return _marked(children, key, pages).withColumn("chunk", page).drop("_pages").repartition(key, "chunk")
 
-    def group(df: DataFrame, extra=()) -> DataFrame:
-        return df.groupBy(*parent_cols, *extra).agg(F.array_sort(F.collect_list(item)).alias("details"))
 
-    if not max_per_row:
-        return group(rows).withColumn("chunk", F.lit(0)).select(*parent_cols, "chunk", "details")
-    if child_keys is not None:
-        sizes = child_keys.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    else:
-        sizes = rows.groupBy(key).agg(F.count_if(present).alias("_n"))
-    hot, n_hot = bounded(sizes.filter(F.col("_n") > F.lit(max_per_row)).select(key), MAX_HOT_KEYS)
-    if n_hot == 0:
-        return group(rows).withColumn("chunk", F.lit(0)).select(*parent_cols, "chunk", "details")
-    normal = group(rows.join(hot, key, "left_anti")).withColumn("chunk", F.lit(0))
-    ranked = rank_within(rows.join(hot, key, "left_semi").filter(present), key, child_cols)
-    chunked = group(ranked.withColumn("chunk", F.expr(f"cast(_rank div {int(max_per_row)} as int)")),
-                    ["chunk"])
-    return normal.select(*parent_cols, "chunk", "details").unionByName(
-        chunked.select(*parent_cols, "chunk", "details"))
+def parent_pages(parents: DataFrame, key: str, pages: DataFrame | None) -> DataFrame:
+    """One row per parent and page (``chunk``); ``_pages`` is the number of pages."""
+    return _marked(parents, key, pages).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_pages") - 1)))

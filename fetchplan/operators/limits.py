@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 from fetchplan.functions.scalar import department_label, look_back
 from fetchplan.operators import nesting
 from fetchplan.operators.lookups import DETAIL_COLS, ORDER_COLS
-from fetchplan.plans.strategy import bounded_broadcast
+
+
+RECENT_LINE_COLS = ("order_id", "customer_id", "total_amount", "detail_id", "product_id", "quantity")
 
 
 def recent_lines(orders: DataFrame, details: DataFrame, as_of, days: int = 7,
-                 cols=("order_id", "product_id", "quantity")) -> DataFrame:
-    """Inner join of recent orders and their details (J8 without the cap)."""
-    recent = orders.filter(look_back("order_date", as_of, days)).select(
-        "order_id", "customer_id", "order_date", "total_amount")
-    j = details.join(bounded_broadcast(recent), "order_id", "inner")
-    return j.select(*cols)
+                 cols=RECENT_LINE_COLS) -> DataFrame:
+    """Inner join of recent orders and their details (J8 without the cap); only ``cols`` are read."""
+    own = [c for c in orders.columns if c in cols and c != "order_id"]
+    recent = orders.filter(look_back("order_date", as_of, days)).select("order_id", *own)
+    return details.join(recent, "order_id", "inner").select(*cols)
 
 
 def recent_lines_capped(orders: DataFrame, details: DataFrame, as_of, days: int = 7,
-                        cap: int = 1000, cols=("order_id", "product_id", "quantity")) -> DataFrame:
+                        cap: int = 1000, cols=RECENT_LINE_COLS) -> DataFrame:
     """Any ``cap`` rows of the recent inner join (no ordering)."""
     return recent_lines(orders, details, as_of, days, cols).limit(cap)
 
@@ -50,8 +51,7 @@ def order_preview(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
     dc = [c for c in detail_cols if c != "order_id"]
     parents = (orders.filter(look_back("order_date", as_of, days))
                .select(*ORDER_COLS).orderBy("order_id").limit(n))
-    kids = details.select("order_id", *dc).join(F.broadcast(parents.select("order_id")),
-                                               "order_id", "left_semi")
+    kids = details.select("order_id", *dc).join(parents.select("order_id"), "order_id", "left_semi")
     counts = kids.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
     first = (kids.withColumn("_rn", F.row_number().over(Window.partitionBy("order_id").orderBy(*dc)))
              .filter(F.col("_rn") <= per_order))

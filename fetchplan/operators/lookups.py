@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back
-from fetchplan.plans.strategy import bounded_broadcast
 
 ORDER_COLS = ("order_id", "customer_id", "order_date", "total_amount")
 # Business schema: details sort by detail_id.  Stand-in views without a unique
@@ -46,21 +45,27 @@ def department_by_id(departments: DataFrame, department_id) -> DataFrame:
             .select("department_id", "department_name", "location"))
 
 
+# A longer Python key list becomes a DataFrame of keys instead of an IN list.
+MAX_IN_LIST = 1000
+
+
 def _key_filter(df: DataFrame, key: str, keys) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``keys``.
 
-    ``keys`` may be a Python list (small literal list -> ``isin``; empty -> no
-    rows) or a DataFrame with a ``key`` column (-> ``left_semi`` join, so
-    duplicate keys never multiply rows; broadcast only under a row bound).
-    NULL keys match nothing either way.
+    ``keys`` may be a Python list (short: an IN list; empty: no rows; long: a
+    frame of keys) or a DataFrame with a ``key`` column.  A frame's keys are made
+    distinct and semi-joined, so repeated keys never multiply rows; Catalyst or
+    adaptive execution broadcasts them by their size in bytes.  NULL keys match nothing.
     """
     if isinstance(keys, DataFrame):
-        k = keys.select(key).filter(F.col(key).isNotNull())
-        return df.join(bounded_broadcast(k), key, "left_semi")
-    vals = [v for v in keys if v is not None]
+        return df.join(distinct_keys(keys, key), key, "left_semi")
+    vals = sorted({v for v in keys if v is not None})
     if not vals:
         return df.limit(0)
-    return df.filter(F.col(key).isin(sorted(set(vals))))
+    if len(vals) > MAX_IN_LIST:
+        kind = df.schema[key].dataType.simpleString()
+        return df.join(df.sparkSession.createDataFrame([(v,) for v in vals], f"{key} {kind}"), key, "left_semi")
+    return df.filter(F.col(key).isin(vals))
 
 
 def details_by_orders(details: DataFrame, order_ids,

@@ -3,12 +3,18 @@
 Orders with their details:
 
 * ``orders_nested_join``    (J2) one LEFT JOIN, then group the joined rows.
-* ``orders_nested_batch``   (J3) filter parents, semi-join the children on the
-  parent keys (broadcast under a checked row bound), group the children, join
-  back.  Drops non-matching children before any shuffle: the preferred plan.
+* ``orders_nested_batch``   (J3) fetch the children of the parent keys, group
+  them, join back.
 * ``orders_nested_lateral`` (J4) the per-parent lookup written as a LEFT
   LATERAL join; Catalyst decorrelates it into one equi-join.
 
+In all shapes the children are first semi-joined on the parent keys, written
+plainly: Catalyst, or adaptive execution from the bytes it measures, broadcasts
+the keys or shuffles both sides.  Where both are too large to broadcast, every
+shape shuffles the key and nested columns of all details once; tables bucketed
+on order_id (``sources.tables.write_bucketed``) avoid that.  No shape runs a job
+while it is built.
+
 Employees with their department (J5-J7) likewise: join, batch on the distinct
 department keys, and a correlated scalar subquery.  Departments is a whole
 dimension table, so Catalyst's size estimate decides broadcast vs shuffle.
@@ -16,9 +22,9 @@ dimension table, so Catalyst's size estimate decides broadcast vs shuffle.
 Each nested row is ``parent columns + chunk + details: array<struct<...>>``; a
 childless parent has ``[]``.  Children are sorted by the ``detail_cols`` struct
 (sort keys first).  A parent has one row (``chunk`` 0) unless it has more than
-``max_children`` children; then its sorted children continue over chunks 1, 2,
-... (see ``chunking``), so no parent is ever built as one unbounded row.  All
-three shapes give the same rows, in (order_id, chunk) order when ``ordered``.
+``max_children`` children; then they lie on several pages (see ``chunking``),
+and no task ever gets all of them.  All three shapes give the same rows, in
+(order_id, chunk) order when ``ordered``.
 """
 
 from __future__ import annotations
@@ -29,42 +35,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back
-from fetchplan.operators.chunking import DEFAULT_MAX_CHILDREN, nest_rows
+from fetchplan.operators.chunking import DEFAULT_MAX_CHILDREN, page_counts, parent_pages, with_page
 from fetchplan.operators.lookups import DETAIL_COLS, ORDER_COLS
-from fetchplan.plans.strategy import bounded_broadcast
 
 
 def _parents(orders: DataFrame, as_of, days: int, parent_cols: list[str]) -> DataFrame:
     return orders.filter(look_back("order_date", as_of, days)).select(*parent_cols)
 
 
-def _child_keys(details: DataFrame, parents: DataFrame) -> DataFrame:
-    """One ``order_id`` per child of the given parents, for the hot-parent
-    count: only the key column is read, filtered map-side against the parent
-    keys (broadcast under the row bound)."""
-    keys = bounded_broadcast(parents.select("order_id"))
-    return details.select("order_id").join(keys, "order_id", "left_semi")
+def _paged(details: DataFrame, parents: DataFrame, cols: list[str],
+           max_children: int | None) -> tuple[DataFrame, DataFrame]:
+    """Pages of the parents, and the children of these parents with their page.
+
+    Other parents' children are dropped by a semi join before anything else.
+    """
+    pages = page_counts(details, "order_id", max_children)
+    kids = details.select("order_id", *cols).join(parents.select("order_id"), "order_id", "left_semi")
+    return parent_pages(parents, "order_id", pages), with_page(kids, "order_id", cols, pages)
 
 
 def _finish(df: DataFrame, parent_cols: list[str], ordered: bool) -> DataFrame:
-    df = df.select(*parent_cols, "chunk", "details")
+    """Drops pages that no child of a paged parent fell on."""
+    df = df.filter((F.col("_pages") <= 1) | (F.size("details") > 0)).select(*parent_cols, "chunk", "details")
     return df.orderBy("order_id", "chunk") if ordered else df
 
 
+def _group(joined: DataFrame, parent_cols: list[str], cols: list[str]) -> DataFrame:
+    """Details of joined (parent page, child) rows; a page without a child has ``[]``."""
+    item = F.when(F.col("_present"), F.struct(*[F.col(c) for c in cols]))
+    return joined.groupBy(*parent_cols, "_pages", "chunk").agg(
+        F.array_sort(F.collect_list(item)).alias("details"))
+
+
 def orders_details_flat(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
                         detail_cols: Iterable[str] = DETAIL_COLS,
                         parent_cols: Iterable[str] = ORDER_COLS,
-                        ordered: bool = True) -> DataFrame:
-    """Flat LEFT JOIN of recent orders and their details.
-
-    Children are first semi-joined on the filtered parent keys, so the
-    join shuffles only matching details.
-    """
+                        ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
+    """Flat LEFT JOIN of recent orders and their details."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
-    parents = _parents(orders, as_of, days, pc)
-    kids = details.select("order_id", *dc).join(
-        bounded_broadcast(parents.select("order_id")), "order_id", "left_semi")
-    out = parents.join(kids, "order_id", "left").select(*pc, *dc)
+    pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
+    joined = pages.join(kids.withColumn("_present", F.lit(True)), ["order_id", "chunk"], "left")
+    out = joined.filter((F.col("_pages") <= 1) | F.col("_present")).select(*pc, *dc)
     return out.orderBy("order_id", *dc) if ordered else out
 
 
@@ -72,20 +83,11 @@ def orders_nested_join(orders: DataFrame, details: DataFrame, as_of, days: int =
                        detail_cols: Iterable[str] = DETAIL_COLS,
                        parent_cols: Iterable[str] = ORDER_COLS,
                        ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
-    """J2 ``GetOrdersWithDetailsJoin``: one LEFT JOIN, grouped per parent."""
+    """J2 ``GetOrdersWithDetailsJoin``: one LEFT JOIN, then the joined rows are grouped."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
-    parents = _parents(orders, as_of, days, pc)
-    kids = details.select("order_id", *dc).withColumn("_present", F.lit(True))
-    joined = parents.join(kids, "order_id", "left")
-    nested = nest_rows(joined, "order_id", pc, dc, F.col("_present").isNotNull(), max_children,
-                       _child_keys(details, parents))
-    return _finish(nested, pc, ordered)
-
-
-def nest_children(children: DataFrame, key: str, detail_cols: list[str],
-                  max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
-    """Group children by parent key into ``key, chunk, details`` (sorted)."""
-    return nest_rows(children, key, [key], detail_cols, F.lit(True), max_children)
+    pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
+    joined = pages.join(kids.withColumn("_present", F.lit(True)), ["order_id", "chunk"], "left")
+    return _finish(_group(joined, pc, dc), pc, ordered)
 
 
 def orders_nested_batch(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
@@ -94,13 +96,11 @@ def orders_nested_batch(orders: DataFrame, details: DataFrame, as_of, days: int
                         ordered: bool = True, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame:
     """J3 ``GetOrdersWithDetailsBatch``: parents, one child fetch by key set, assemble."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
-    parents = _parents(orders, as_of, days, pc)
-    keys = bounded_broadcast(parents.select("order_id"))
-    kids = details.select("order_id", *dc).join(keys, "order_id", "left_semi")
-    nested = nest_children(kids, "order_id", dc, max_children)
-    out = parents.join(nested, "order_id", "left").select(
-        *pc, F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
-        F.coalesce(F.col("details"), F.array()).alias("details"))
+    pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
+    nested = kids.groupBy("order_id", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in dc]))).alias("details"))
+    out = pages.join(nested, ["order_id", "chunk"], "left").withColumn(
+        "details", F.coalesce(F.col("details"), F.array()))
     return _finish(out, pc, ordered)
 
 
@@ -114,33 +114,46 @@ def orders_nested_lateral(orders: DataFrame, details: DataFrame, as_of, days: in
     return ``[]``.
     """
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
-    parents = _parents(orders, as_of, days, pc).alias("p")
-    per_parent = (details.alias("d")
-                  .where(F.col("d.order_id") == F.col("p.order_id").outer())
-                  .select(*[F.col(f"d.{c}").alias(f"_d_{c}") for c in dc],
-                          F.lit(True).alias("_present")))
-    joined = parents.lateralJoin(per_parent, how="left")
-    renamed = joined.select(*[F.col(f"p.{c}").alias(c) for c in pc],
+    pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
+    per_page = (kids.alias("d")
+                .where((F.col("d.order_id") == F.col("p.order_id").outer())
+                       & (F.col("d.chunk") == F.col("p.chunk").outer()))
+                .select(*[F.col(f"d.{c}").alias(f"_d_{c}") for c in dc],
+                        F.lit(True).alias("_present")))
+    joined = pages.alias("p").lateralJoin(per_page, how="left")
+    renamed = joined.select(*[F.col(f"p.{c}").alias(c) for c in [*pc, "_pages", "chunk"]],
                             *[F.col(f"_d_{c}").alias(c) for c in dc], "_present")
-    nested = nest_rows(renamed, "order_id", pc, dc, F.col("_present").isNotNull(), max_children,
-                       _child_keys(details, parents))
-    return _finish(nested, pc, ordered)
+    return _finish(_group(renamed, pc, dc), pc, ordered)
 
 
-def flatten_nested(nested: DataFrame, key_fields=("product_id", "quantity")) -> DataFrame:
-    """Flat check columns of a nested result: count, amount and the child key string.
+def flatten_nested(nested: DataFrame) -> DataFrame:
+    """One row per parent with totals over all its pages.
 
-    ``details_key`` joins ``product_id:quantity`` of the children in their
-    sorted order with ',' ('' when childless).
+    ``detail_count``, ``detail_amount`` (exact), ``quantity_sum`` and
+    ``product_quantity_sum`` (product id times quantity); 0 for a childless
+    parent.  Each page is summed on its own first, so the result does not depend
+    on paging.
     """
-    amount = F.aggregate(
-        "details", F.lit(0).cast("decimal(38,2)"),
-        lambda acc, x: (acc + x["quantity"].cast("decimal(8,0)") * x["unit_price"]).cast("decimal(38,2)"))
-    key = F.array_join(F.transform(
-        "details", lambda x: F.concat_ws(":", *[x[f].cast("string") for f in key_fields])), ",")
-    others = [c for c in nested.columns if c != "details"]
-    return nested.select(*others, F.size("details").cast("bigint").alias("detail_count"),
-                         amount.alias("detail_amount"), key.alias("details_key"))
+    def total(item, kind: str):
+        return F.aggregate("details", F.lit(0).cast(kind), lambda acc, x: (acc + item(x)).cast(kind))
+
+    parents = [c for c in nested.columns if c not in ("chunk", "details")]
+    per_page = nested.select(
+        *parents, F.size("details").cast("bigint").alias("_n"),
+        total(lambda x: x["quantity"].cast("decimal(8,0)") * x["unit_price"], "decimal(38,2)").alias("_amount"),
+        total(lambda x: x["quantity"].cast("bigint"), "bigint").alias("_quantity"),
+        total(lambda x: x["product_id"] * x["quantity"], "bigint").alias("_product"))
+    return per_page.groupBy(*parents).agg(
+        F.sum("_n").alias("detail_count"), F.sum("_amount").cast("decimal(38,2)").alias("detail_amount"),
+        F.sum("_quantity").alias("quantity_sum"), F.sum("_product").alias("product_quantity_sum"))
+
+
+def child_rows(nested: DataFrame) -> DataFrame:
+    """A nested result as parent and child rows; a childless parent has one row with null child columns."""
+    parents = [c for c in nested.columns if c not in ("chunk", "details")]
+    fields = nested.schema["details"].dataType.elementType.names
+    return nested.filter((F.size("details") > 0) | (F.col("chunk") == 0)).select(
+        *parents, F.explode_outer("details").alias("_d")).select(*parents, *[F.col(f"_d.{c}").alias(c) for c in fields])
 
 
 # ------------------------------------------------------------- employees

@@ -1,58 +1,37 @@
-"""Join-side choices with a checked size.
-
-Three cases:
-
-* A whole dimension table (departments): Catalyst's own size estimate is
-  accurate, so joins are written plainly and Catalyst/AQE choose broadcast or
-  shuffle.
-* A key set filtered out of a fact table (recent order ids): the static
-  estimate is the whole table, so ``autoBroadcastJoinThreshold`` never fires.
-  ``bounded_broadcast`` counts the rows (partial counts per task, one number
-  to the driver) and hints a broadcast only under the bound; above it the
-  frame is returned unhinted and a shuffle join is planned.
-* A per-group aggregate joined back to its own input (first run per suite):
-  counting it would compute it twice, so ``materialized_broadcast`` first
-  checkpoints it into the shared ``spark.checkpoint.dir`` (lineage cut, no
-  recomputation, survives executor loss), then applies the same bound.
+"""Join sides broadcast behind a check of their size in bytes.
+
+Most joins of the library are written plainly: Catalyst broadcasts a side whose
+estimate is small, and adaptive execution one whose measured bytes are.
+``bounded_broadcast`` is for a side that is already materialised (a checkpoint)
+and cheap to count.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Key-only sides: ~16 bytes per row -> ~64 MiB broadcast at this bound.
-DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
-
+MIB = 1024 * 1024
+DEFAULT_MAX_BROADCAST_BYTES = 64 * MIB
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Row count, capped at ``max_rows + 1``.
-
-    A plain ``count()``: every task sends one partial count.  (A
-    ``limit(max_rows + 1).count()`` would move up to ``max_rows + 1`` rows from
-    every task into a single task before counting.)
-    """
-    return min(df.count(), max_rows + 1)
+# Of a hashed row besides its fields, and of one fixed-width field.
+ROW_BYTES, FIELD_BYTES = 24, 8
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """``(broadcast(df), n)`` when ``df`` has ``n <= max_rows`` rows, else
-    ``(df, max_rows + 1)``."""
-    n = row_count_at_most(df, max_rows)
-    return (F.broadcast(df) if n <= max_rows else df), n
+def row_bytes(schema: T.StructType) -> int:
+    """Bytes a hashed row of fixed-width fields takes; other types have no such bound."""
+    odd = [f.name for f in schema.fields if not isinstance(f.dataType, _FIXED)]
+    if odd:
+        raise ValueError(f"no bound on the width of {odd}")
+    wide = sum(isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18 for f in schema.fields)
+    return ROW_BYTES + FIELD_BYTES * (len(schema.fields) + 2 * wide)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is."""
-    if max_rows <= 0:
-        return df
-    return bounded(df, max_rows)[0]
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows take at most ``max_bytes``, else ``df`` as it is (a shuffle join).
 
-
-def materialized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Checkpoint ``df`` once, then broadcast it when within ``max_rows``."""
-    from fetchplan.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    done = df.checkpoint(eager=True)
-    return bounded_broadcast(done, max_rows)
+    Counts the rows: one job, one number to the driver.
+    """
+    return F.broadcast(df) if df.count() * row_bytes(df.schema) <= max_bytes else df

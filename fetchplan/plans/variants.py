@@ -3,7 +3,9 @@
 The reference prints each variant's row count and never compares contents.
 ``variants_agree`` compares contents too: per pair, the row counts and the
 multiset difference both ways (EXCEPT ALL semantics), from one tagged union
-and one grouping per column set, so each variant is computed once.
+and one grouping per column set, so each variant is computed once.  A nested
+result is compared as its parent and child rows (``nesting.child_rows``), so
+that no array is a grouping key.
 
 ``plan_text`` / ``plan_has`` read the formatted physical plan, for tests that
 assert a pushed filter, a broadcast semi join or the absence of a nested-loop
@@ -58,8 +60,8 @@ def variants_agree(variants: dict[str, DataFrame], pairs=None) -> DataFrame:
     """One row per pair: rows of each side, rows only in a, only in b, agree.
 
     ``variants`` maps a name to a DataFrame; the two sides of a pair must have
-    the same columns (compared by name).  ``pairs`` defaults to the first
-    variant against each other one.  Variants that share a column set are
+    the same columns (compared by name) and hold no arrays.  ``pairs`` defaults to
+    the first variant against each other one.  Variants that share a column set are
     compared in one pass.
     """
     names = list(variants)
@@ -70,6 +72,8 @@ def variants_agree(variants: dict[str, DataFrame], pairs=None) -> DataFrame:
         ca, cb = tuple(sorted(variants[a].columns)), tuple(sorted(variants[b].columns))
         if ca != cb:
             raise ValueError(f"variants {a!r} and {b!r} have different columns")
+        if any(kind.startswith("array") for _, kind in variants[a].dtypes):
+            raise ValueError(f"variants {a!r} and {b!r} are nested: compare their child rows")
         groups.setdefault(ca, []).append((a, b))
     out = None
     for cols, group_pairs in groups.items():

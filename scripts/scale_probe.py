@@ -1,11 +1,11 @@
 """Scale probe: the nested-fetch shapes on generated business tables.
 
-Generates ``N`` orders (3-7 details each) with the library's own generator,
+Generates ``N`` orders (4 details each) with the library's own generator,
 writes them as parquet to a fresh scratch folder, then times each shape
 (median of 3 warm runs, ``noop`` sink) and records shuffle bytes from the
 event log.  Prints one JSON line.
 
-Usage: python scripts/scale_probe.py N [cpus] [departments]  (50 employees each)
+Usage: python scripts/scale_probe.py N [cpus] [departments]  (25 employees each)
 """
 
 from __future__ import annotations

@@ -39,18 +39,17 @@ def test_three_shapes_match_brute_force(spark, orders, details, max_children):
     d = spark.createDataFrame(
         [(i + 1, oid, p, "p", q, Decimal("2.50")) for i, (oid, p, q) in enumerate(details)], ORDER_DETAILS)
     recent = sorted(oid for oid, _ in orders if oid <= 30)
-    want = []
-    for oid in recent:
-        ids = sorted(i + 1 for i, (x, _, _) in enumerate(details) if x == oid)
-        if not max_children or len(ids) <= max_children:
-            want.append((oid, 0, ids))
-        else:
-            want += [(oid, k, ids[k * max_children:(k + 1) * max_children])
-                     for k in range((len(ids) + max_children - 1) // max_children)]
+    want = {oid: sorted(i + 1 for i, (x, _, _) in enumerate(details) if x == oid) for oid in recent}
     for fn in (nesting.orders_nested_join, nesting.orders_nested_batch, nesting.orders_nested_lateral):
-        got = [(r["order_id"], r["chunk"], [x["detail_id"] for x in r["details"]])
-               for r in fn(o, d, AS_OF, 30, max_children=max_children).collect()]
-        assert got == want, fn.__name__
+        got, seen = {oid: [] for oid in recent}, []
+        for r in fn(o, d, AS_OF, 30, max_children=max_children).collect():
+            ids = [x["detail_id"] for x in r["details"]]
+            assert ids == sorted(ids)
+            seen.append((r["order_id"], r["chunk"]))
+            got[r["order_id"]] += ids
+            pages = -(-len(want[r["order_id"]]) // max_children) if max_children else 1
+            assert 0 <= r["chunk"] < max(1, pages)
+        assert seen == sorted(set(seen)) and {oid: sorted(x) for oid, x in got.items()} == want, fn.__name__
 
 
 runs_st = st.lists(st.tuples(st.integers(0, 3), st.floats(0, 100, allow_nan=False).map(lambda x: round(x, 2)),
@@ -85,17 +84,19 @@ snap_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 10_000), st.integ
 @given(snap_st)
 def test_counter_delta_matches_brute_force(spark, snaps):
     base = dt.datetime(2024, 1, 1)
-    data = [(f"s{s}", base + dt.timedelta(minutes=i), float(i % 100), lr, pr, 0, 0, 1 << 20, obj, cr, 0, 0)
+    data = [(f"s{s}", base + dt.timedelta(minutes=i // 2), i, float(i % 100), lr, pr, obj, cr)
             for i, (s, lr, pr, obj, cr) in enumerate(snaps)]
-    cols = ("source string, taken_at timestamp_ntz, hit_ratio double, logical_reads bigint, physical_reads bigint, "
-            "free_waits bigint, busy_waits bigint, total_bytes bigint, objects bigint, created bigint, "
-            "invalidated bigint, memory_bytes bigint")
-    got = {r["source"]: r for r in M.counter_delta(spark.createDataFrame(data, cols)).collect()}
+    df = spark.createDataFrame(data, "source string, taken_at timestamp_ntz, snapshot_no bigint, buffer_hit_ratio double, "
+                                     "logical_reads bigint, physical_reads bigint, objects bigint, created bigint")
+    for c in [*M._DELTAS, *M._FINALS]:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(0).cast("bigint"))
+    got = {r["source"]: r for r in M.counter_delta(df).collect()}
     for s in {x[0] for x in data}:
         rows = [x for x in data if x[0] == s]
         i, f = rows[0], rows[-1]
-        dl, dp, dc, do = f[3] - i[3], f[4] - i[4], f[9] - i[9], f[8] - i[8]
-        ratio = (1 - dp / dl) * 100 if dl > 0 else f[2]
+        dl, dp, dc, do = f[4] - i[4], f[5] - i[5], f[7] - i[7], f[6] - i[6]
+        ratio = (1 - dp / dl) * 100 if dl > 0 else f[3]
         assert close4(got[s]["buffer_hit_ratio"], ratio)
         assert (got[s]["cache_hits"], got[s]["cache_misses"]) == ((do * 2, dc) if dc > 0 else (0, 0))
 

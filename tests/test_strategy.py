@@ -1,8 +1,8 @@
-"""Broadcast only behind a checked row bound, a shuffle join beyond it."""
+"""Broadcast only behind a checked size in bytes, a shuffle join beyond it."""
 
-from pyspark.sql import functions as F
+import pytest
 
-from fetchplan.plans.strategy import bounded, bounded_broadcast, materialized_broadcast
+from fetchplan.plans.strategy import bounded_broadcast, row_bytes
 from fetchplan.plans.variants import plan_text
 
 
@@ -11,30 +11,43 @@ def _join_plan(spark, side):
     return plan_text(big.join(side, "k", "left_semi"))
 
 
-def test_under_the_bound_is_broadcast(spark):
+def test_bound_in_bytes(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        side, n = bounded(spark.range(50).withColumnRenamed("id", "k"), max_rows=100)
-        assert n == 50
-        assert "BroadcastHashJoin" in _join_plan(spark, side)
-        over, n = bounded(spark.range(500).withColumnRenamed("id", "k"), max_rows=100)
-        assert n == 101                       # capped: more than the bound
-        text = _join_plan(spark, over)
+        side = spark.range(50).withColumnRenamed("id", "k")
+        assert row_bytes(side.schema) == 32
+        assert "BroadcastHashJoin" in _join_plan(spark, bounded_broadcast(side, 50 * 32))
+        text = _join_plan(spark, bounded_broadcast(side, 50 * 32 - 1))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
-        assert "BroadcastHashJoin" not in _join_plan(
-            spark, bounded_broadcast(spark.range(500).withColumnRenamed("id", "k"), 0))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_materialized_side_is_checkpointed_then_bounded(spark):
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        agg = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
-        side = materialized_broadcast(agg, max_rows=100)
-        text = _join_plan(spark, side)
-        assert "BroadcastHashJoin" in text and "HashAggregate" not in text  # read back, not recomputed
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+def test_rows_without_a_bound_are_refused(spark):
+    with pytest.raises(ValueError):
+        bounded_broadcast(spark.createDataFrame([("a",)], "k string"))
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from fetchplan.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
