@@ -1,13 +1,8 @@
-"""Bulk generator (S3) as Spark jobs.
+"""Test tables of any size with a chosen skew, as Spark jobs (S3).
 
-Mirrors the reference loader: departments after the seed ones, 50 employees
-per generated department, orders with a customer from a 50-id range, and
-``round(U(3, 7))`` details per generated order.  Every random value is a pure
-function of (seed, salt, row id) via ``xxhash64``, so the output does not
-depend on partitioning or task retries.  The loader numbers details with one
-running counter; here a detail's counter is derived from its order id and
-position, so product ids still cycle by 100 and names by 57, without a global
-sequential pass.
+Every value is a function of the row's id and the seed, so the rows do not
+depend on partitioning or task retries.  ``hot_share`` gives that share of all
+details to order 1, which lies a day before ``as_of``.
 """
 
 from __future__ import annotations
@@ -18,98 +13,53 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import ntz
-from fetchplan.sources.seed import SEED_DEPARTMENTS
 
-# Fixed values of the loader: list sizes and ranges.
-N_SURNAMES = 50
-N_GIVEN_NAMES = 50
-N_DEPARTMENT_NAMES = 30
-N_LOCATIONS = 20
-N_PRODUCT_NAMES = 57
-N_COMPANIES = 50
-EMPLOYEES_PER_DEPARTMENT = 50
-CUSTOMER_LOW, CUSTOMER_HIGH = 1001, 1050
-STATUS_BY_MOD4 = ("COMPLETED", "PENDING", "PROCESSING", "CANCELLED")
+EMPLOYEES_PER_DEPARTMENT = 25
+LINES_PER_ORDER = 4
+ORDER_DAYS = 400
 
-_TWO53 = float(2 ** 53)
 
+def _pick(seed: int, salt: str, n: int) -> Column:
+    """A whole number in [0, n) from the column ``id``."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "id"), F.lit(n))
 
-def uniform(seed: int, salt: str, *cols: Column) -> Column:
-    """Deterministic U[0, 1) from a hash of the row key."""
-    h = F.xxhash64(F.lit(seed), F.lit(salt), *cols)
-    return F.pmod(h, F.lit(2 ** 53)).cast("double") / F.lit(_TWO53)
 
-
-def value(a: float, b: float, u: Column) -> Column:
-    """``DBMS_RANDOM.VALUE(a, b)``."""
-    return F.lit(float(a)) + F.lit(float(b - a)) * u
-
-
-def _label(prefix: str, idx: Column, width: int = 2) -> Column:
-    return F.format_string(f"{prefix} %0{width}d", idx)
-
-
-def _days_before(as_of: _dt.datetime, days: Column) -> Column:
-    secs = F.round(days * 86400).cast("bigint")
-    return (ntz(as_of)
-            - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)")))
+def _money(seed: int, salt: str, low: int, high: int, kind: str) -> Column:
+    """Whole cents between two amounts."""
+    return ((_pick(seed, salt, (high - low) * 100) + low * 100) / 100).cast(kind)
 
 
 def generate(spark: SparkSession, as_of: _dt.datetime, seed: int = 42, n_departments: int = 20,
-             n_orders: int = 1000, first_department_id: int = 9, first_employee_id: int = 11,
-             first_order_id: int = 6, first_detail_id: int = 13) -> dict[str, DataFrame]:
-    """Generate the four tables; ids continue after the seed rows."""
-    d = spark.range(n_departments).select((F.col("id") + 1).alias("i"))
-    # The loader's name list starts with the seed's department names, so the
-    # first generated names repeat them (departments share names).
-    idx = F.pmod(F.col("i") - 1, F.lit(N_DEPARTMENT_NAMES)) + 1
-    seed_names = F.array(*[F.lit(n) for n, _ in SEED_DEPARTMENTS])
-    dname = F.when(idx <= len(SEED_DEPARTMENTS), F.element_at(seed_names, idx.cast("int"))
-                   ).otherwise(_label("Department", idx))
-    dname = F.when(F.col("i") > N_DEPARTMENT_NAMES,
-                   F.concat(dname, F.lit("_"), F.ceil(F.col("i") / N_DEPARTMENT_NAMES).cast("string"))
-                   ).otherwise(dname)
-    departments = d.select(
-        (F.col("i") - 1 + first_department_id).cast("bigint").alias("department_id"),
-        dname.alias("department_name"),
-        _label("Location", F.pmod(F.col("i") - 1, F.lit(N_LOCATIONS)) + 1).alias("location"))
-
-    n_emp = n_departments * EMPLOYEES_PER_DEPARTMENT
-    e = spark.range(n_emp).select(F.col("id").alias("c"))
-    employees = e.select(
-        (F.col("c") + first_employee_id).cast("bigint").alias("employee_id"),
-        _label("Given", F.pmod(F.col("c") + 13, F.lit(N_GIVEN_NAMES)) + 1).alias("first_name"),
-        _label("Surname", F.pmod(F.col("c"), F.lit(N_SURNAMES)) + 1).alias("last_name"),
-        F.concat(F.lit("employee"), (F.col("c") + 1000).cast("string"), F.lit("@company.com")).alias("email"),
-        (F.floor(F.col("c") / EMPLOYEES_PER_DEPARTMENT) + first_department_id).cast("bigint")
-        .alias("department_id"),
-        F.round(value(3000000, 8000000, uniform(seed, "salary", F.col("c"))), -4)
-        .cast("decimal(10,2)").alias("salary"),
-        _days_before(as_of, value(30, 2500, uniform(seed, "hire", F.col("c")))).alias("hire_date"))
-
-    o = spark.range(n_orders).select((F.col("id") + 1).alias("i"))
-    cust = F.round(value(CUSTOMER_LOW, CUSTOMER_HIGH, uniform(seed, "cust", F.col("i")))).cast("bigint")
-    status = F.element_at(F.array(*[F.lit(s) for s in STATUS_BY_MOD4]),
-                          (F.pmod(F.col("i"), F.lit(4)) + 1).cast("int"))
-    orders = o.select(
-        (F.col("i") - 1 + first_order_id).cast("bigint").alias("order_id"),
-        cust.alias("customer_id"),
-        _label("Company", F.pmod(cust - CUSTOMER_LOW, F.lit(N_COMPANIES)) + 1).alias("customer_name"),
-        _days_before(as_of, value(0, 365, uniform(seed, "odate", F.col("i")))).alias("order_date"),
-        F.round(value(50000, 1000000, uniform(seed, "total", F.col("i"))), -3)
-        .cast("decimal(12,2)").alias("total_amount"),
-        status.alias("status"))
-
-    n_lines = F.round(value(3, 7, uniform(seed, "nlines", F.col("order_id")))).cast("int")
-    per = orders.select("order_id", F.explode(F.sequence(F.lit(1), n_lines)).alias("pos"))
-    counter = (F.col("order_id") - first_order_id) * 8 + F.col("pos") - 1
-    details = per.select(
-        (counter + first_detail_id).cast("bigint").alias("detail_id"),
-        "order_id",
-        (F.lit(2000) + F.pmod(counter, F.lit(100)) + 1).cast("bigint").alias("product_id"),
-        _label("Product", F.pmod(counter, F.lit(N_PRODUCT_NAMES)) + 1).alias("product_name"),
-        F.round(value(1, 10, uniform(seed, "qty", counter))).cast("int").alias("quantity"),
-        F.round(value(1000, 100000, uniform(seed, "price", counter)), -2)
-        .cast("decimal(10,2)").alias("unit_price"))
-    return {"departments": departments, "employees": employees, "orders": orders,
-            "order_details": details}
+             n_orders: int = 1000, hot_share: float = 0.0) -> dict[str, DataFrame]:
+    """The four tables: n departments, 25 employees each, n orders, 4 details each (and order 1's share)."""
+    if not 0 <= hot_share < 1:
+        raise ValueError("hot_share must be in [0, 1)")
+    departments = spark.range(1, n_departments + 1).select(
+        F.col("id").alias("department_id"), F.format_string("unit %d", F.pmod("id", F.lit(11))).alias("department_name"),
+        F.when(_pick(seed, "place", 5) > 0, F.format_string("site %d", _pick(seed, "place", 5))).alias("location"))
+    employees = spark.range(1, n_departments * EMPLOYEES_PER_DEPARTMENT + 1).select(
+        F.col("id").alias("employee_id"), F.format_string("f%d", "id").alias("first_name"),
+        F.format_string("l%d", _pick(seed, "name", 500)).alias("last_name"),
+        F.format_string("e%d@example.com", "id").alias("email"),
+        (F.pmod("id", F.lit(n_departments)) + 1).alias("department_id"),
+        _money(seed, "salary", 1000, 9000, "decimal(10,2)").alias("salary"),
+        (ntz(as_of) - F.make_dt_interval(_pick(seed, "hired", 5000).cast("int"))).alias("hire_date"))
+    age = F.when(F.col("id") == 1, F.lit(1)).otherwise(_pick(seed, "day", ORDER_DAYS).cast("int"))
+    customer = _pick(seed, "customer", max(1, n_orders // 5)) + 1
+    orders = spark.range(1, n_orders + 1).select(
+        F.col("id").alias("order_id"), customer.alias("customer_id"),
+        F.format_string("customer %d", customer).alias("customer_name"),
+        (ntz(as_of) - F.make_dt_interval(age)).alias("order_date"),
+        _money(seed, "total", 5, 5000, "decimal(12,2)").alias("total_amount"),
+        F.element_at(F.array(F.lit("OPEN"), F.lit("SENT"), F.lit("DONE")), (_pick(seed, "status", 3) + 1).cast("int"))
+        .alias("status"))
+    plain = n_orders * LINES_PER_ORDER
+    hot = round(plain * hot_share / (1 - hot_share))
+    product = _pick(seed, "product", 1000) + 1
+    order_of = F.when(F.col("id") <= plain, F.floor((F.col("id") - 1) / LINES_PER_ORDER) + 1).otherwise(F.lit(1))
+    details = spark.range(1, plain + hot + 1).select(
+        F.col("id").alias("detail_id"), order_of.cast("bigint").alias("order_id"), product.alias("product_id"),
+        F.format_string("product %d", product).alias("product_name"),
+        (_pick(seed, "quantity", 9) + 1).cast("int").alias("quantity"),
+        _money(seed, "price", 1, 300, "decimal(10,2)").alias("unit_price"))
+    return {"departments": departments, "employees": employees, "orders": orders, "order_details": details}

@@ -1,7 +1,9 @@
-"""Seed rows (S4): the reference's initial data set with neutral labels.
+"""Seed rows (S4): a small hand-made data set with the edges the operators care about.
 
-Ids, dates, amounts and quantities are the seed script's; names are replaced
-by neutral labels.  Ids come from per-table sequences starting at 1.
+A department without employees, one without a location, two that share a name;
+an employee without a department and one without a salary; an order without
+details, one on the 30-day cutoff of ``SEED_AS_OF`` and one a second before it.
+Ids come from per-table sequences starting at 1.
 """
 
 from __future__ import annotations
@@ -14,49 +16,37 @@ from pyspark.sql import functions as F
 
 from fetchplan.sources.tables import DEPARTMENTS, EMPLOYEES, ORDER_DETAILS, ORDERS
 
-# Fixed values of the seed fixture.
-SEED_DEPARTMENTS = (
-    ("Sales", "Location 1"), ("Engineering", "Location 2"), ("People", "Location 3"),
-    ("Admin", "Location 4"), ("Marketing", "Location 5"), ("Finance", "Location 6"),
-    ("Legal", "Location 7"), ("IT Planning", "Location 8"),
-)
-# (department_id, salary, hire date)
-SEED_EMPLOYEES = (
-    (1, 5000000, "2020-04-01"), (1, 4800000, "2021-04-01"), (1, 5200000, "2019-04-01"),
-    (2, 6000000, "2018-04-01"), (2, 5800000, "2020-10-01"), (2, 5500000, "2022-04-01"),
-    (3, 4500000, "2017-04-01"), (3, 4700000, "2019-10-01"), (4, 4200000, "2021-04-01"),
-    (5, 5300000, "2020-04-01"),
-)
-# (customer_id, order date, total amount, status)
-SEED_ORDERS = (
-    (1001, "2024-01-15", 250000, "COMPLETED"), (1002, "2024-01-20", 180000, "COMPLETED"),
-    (1003, "2024-02-01", 320000, "PENDING"), (1001, "2024-02-10", 150000, "PROCESSING"),
-    (1004, "2024-02-15", 420000, "COMPLETED"),
-)
-# (order_id, product_id, quantity, unit_price)
-SEED_DETAILS = (
-    (1, 2001, 5, 80000), (1, 2002, 10, 3000), (1, 2003, 5, 4000),
-    (2, 2004, 3, 45000), (2, 2005, 3, 15000),
-    (3, 2001, 2, 80000), (3, 2006, 1, 120000), (3, 2007, 2, 30000),
-    (4, 2002, 20, 3000), (4, 2008, 15, 6000),
-    (5, 2009, 1, 300000), (5, 2010, 2, 60000),
-)
+SEED_AS_OF = _dt.datetime(2024, 6, 30)
 
+SEED_DEPARTMENTS = (("Binding", "North"), ("Print", "North"), ("Shipping", "South"), ("Archive", None),
+                    ("Print", "South"), ("Garden", "East"))
+# department_id, salary, hire date
+SEED_EMPLOYEES = ((1, "3100.50", "2015-05-02"), (1, "2900.50", "2018-11-20"), (2, "4100.00", "2012-01-09"),
+                  (5, "3900.00", "2019-07-15"), (4, "2500.00", "2021-03-01"), (3, None, "2022-08-22"),
+                  (None, "2700.00", "2023-02-13"))
+# customer_id, order date, total amount, status
+SEED_ORDERS = ((71, "2024-03-31 08:00:00", "42.00", "DONE"), (72, "2024-05-31 00:00:00", "18.50", "DONE"),
+               (71, "2024-06-03 12:30:00", "99.90", "OPEN"), (73, "2024-06-20 00:00:00", "7.25", "OPEN"),
+               (72, "2024-06-29 23:59:59", "60.00", "SENT"), (74, "2024-05-30 23:59:59", "5.00", "SENT"))
+# order_id, product_id, quantity, unit_price
+SEED_DETAILS = ((1, 501, 2, "10.00"), (1, 502, 1, "22.00"), (2, 501, 1, "10.50"), (2, 503, 4, "2.00"),
+                (3, 504, 3, "33.30"), (3, 501, 1, "10.00"), (3, 502, 2, "1.25"), (5, 505, 5, "12.00"),
+                (5, 501, 2, "9.75"), (6, 503, 1, "5.00"))
 
-def _day(s: str) -> _dt.datetime:
-    return _dt.datetime.strptime(s, "%Y-%m-%d")
+
+def _money(text: str | None) -> Decimal | None:
+    return None if text is None else Decimal(text)
 
 
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """The four seed tables as DataFrames with the declared schemas."""
-    depts = [(i + 1, n, loc) for i, (n, loc) in enumerate(SEED_DEPARTMENTS)]
-    emps = [(i + 1, f"First{i + 1:02d}", f"Last{i + 1:02d}", f"employee{i + 1:02d}@example.com",
-             d, Decimal(s).quantize(Decimal("0.01")), _day(h))
-            for i, (d, s, h) in enumerate(SEED_EMPLOYEES)]
-    orders = [(i + 1, c, f"Customer {c}", _day(d), Decimal(t).quantize(Decimal("0.01")), st)
-              for i, (c, d, t, st) in enumerate(SEED_ORDERS)]
-    details = [(i + 1, o, p, f"Product {p}", q, Decimal(u).quantize(Decimal("0.01")))
-               for i, (o, p, q, u) in enumerate(SEED_DETAILS)]
+    at = _dt.datetime.fromisoformat
+    depts = [(i, name, place) for i, (name, place) in enumerate(SEED_DEPARTMENTS, 1)]
+    emps = [(i, f"f{i}", f"l{i}", f"e{i}@example.com", dept, _money(pay), at(hired))
+            for i, (dept, pay, hired) in enumerate(SEED_EMPLOYEES, 1)]
+    orders = [(i, c, f"customer {c}", at(day), _money(total), status)
+              for i, (c, day, total, status) in enumerate(SEED_ORDERS, 1)]
+    details = [(i, o, p, f"product {p}", q, _money(price)) for i, (o, p, q, price) in enumerate(SEED_DETAILS, 1)]
     return {
         "departments": spark.createDataFrame(depts, DEPARTMENTS),
         "employees": spark.createDataFrame(emps, EMPLOYEES),

@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -9,7 +8,7 @@ sys.path.insert(0, ROOT)
 
 from fetchplan.session import get_spark  # noqa: E402
 
-SEED_AS_OF = dt.datetime(2024, 2, 20, 0, 0, 0)
+from fetchplan.sources.seed import SEED_AS_OF  # noqa: E402, F401
 
 
 @pytest.fixture(scope="session")
