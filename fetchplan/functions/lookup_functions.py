@@ -69,13 +69,12 @@ def register_sql_functions(spark: SparkSession, orders_view: str = "orders",
                 WHERE customer_id = p_customer_id
                   AND order_date >= {ref} - make_dt_interval({int(days)}))""")
     window = f"customer_id = p_customer_id AND order_date >= {ref} - make_dt_interval({int(days)})"
-    total = f"(SELECT sum(total_amount) FROM {orders_view} WHERE {window})"
-    text = _ORACLE_NUM_SQL.format(s=f"CAST(round({total}, 2) AS STRING)")
+    text = _ORACLE_NUM_SQL.format(s="CAST(round(sum(total_amount), 2) AS STRING)")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION customer_order_summary(p_customer_id BIGINT)
         RETURNS STRING
-        RETURN concat('Orders: ', (SELECT count(*) FROM {orders_view} WHERE {window}),
-                      ', Total: $', coalesce({text}, ''))""")
+        RETURN (SELECT concat('Orders: ', count(*), ', Total: $', coalesce({text}, ''))
+                FROM {orders_view} WHERE {window})""")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION customer_order_total(p_customer_id BIGINT)
         RETURNS DECIMAL(38,2)

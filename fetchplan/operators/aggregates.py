@@ -14,11 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back, month_key
-from fetchplan.plans.strategy import bounded_broadcast
 
 
 def mean4(total: Column, count: Column) -> Column:
@@ -106,7 +105,7 @@ def product_revenue(details: DataFrame, orders: DataFrame, as_of, days: int = 60
     """Per product over recent orders; HAVING revenue > ``min_revenue``."""
     recent = _recent(orders, as_of, days).select("order_id", "customer_id")
     lines = details.select("order_id", "product_id", "quantity", "unit_price").join(
-        bounded_broadcast(recent), "order_id", "inner")
+        recent, "order_id", "inner")
     out = (lines.groupBy("product_id")
            .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
                 F.sum(F.col("quantity").cast("decimal(8,0)") * F.col("unit_price")).alias("total_revenue"),
@@ -139,36 +138,21 @@ def recent_order_count(orders: DataFrame, as_of, days: int = 30) -> DataFrame:
 
 
 def table_counts(tables: dict, names: Iterable[str] | None = None) -> DataFrame:
-    """Row count per table as one UNION ALL.
+    """Row count per table; a failing table is reported and the others still count.
 
     ``tables`` maps a name to a DataFrame or to a zero-argument callable that
-    builds it.  A table that cannot be built is reported with a NULL count and
-    an error status; the rest are still counted.
+    builds it.  Each count is a job of its own (one number reaches the driver),
+    so that a missing or unreadable table gives a NULL count and its error
+    class, whatever the others do.
     """
-    parts = []
-    names = list(names or tables)
-    spark = None
-    for name in names:
+    rows = []
+    for name in list(names or tables):
         src = tables[name]
         try:
-            df = src() if callable(src) else src
-            spark = df.sparkSession
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count", F.lit("ok").alias("status")))
-        except Exception as ex:  # table missing or unreadable: keep going
-            parts.append((name, f"error: {type(ex).__name__}"))
-    frames = [p for p in parts if isinstance(p, DataFrame)]
-    errors = [p for p in parts if not isinstance(p, DataFrame)]
-    if spark is None:
-        raise ValueError("no readable table")
-    out = None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    if errors:
-        err = spark.createDataFrame(
-            [(n, None, s) for n, s in errors], "table_name string, row_count bigint, status string")
-        out = err if out is None else out.unionByName(err)
-    return out
+            rows.append((name, (src() if callable(src) else src).count(), "ok"))
+        except Exception as ex:  # reported in the row, as the operator promises
+            rows.append((name, None, f"error: {type(ex).__name__}"))
+    return SparkSession.active().createDataFrame(rows, "table_name string, row_count bigint, status string")
 
 
 def object_summary(objects: DataFrame, object_type: str = "Result") -> DataFrame:

@@ -12,13 +12,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fetchplan.functions.scalar import ntz
-from fetchplan.plans.strategy import bounded_broadcast
+from fetchplan.sources.tables import ORDERS
 
 
 def _key_text(keys: list[str]):
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    """The key as JSON, NULLs included: different keys never read the same."""
+    return F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
 def pk_violations(df: DataFrame, table: str, keys: Iterable[str]) -> DataFrame:
@@ -62,17 +64,17 @@ def limit_violations(df: DataFrame, table: str, varchar: dict[str, int] | None =
                      number: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Q4: VARCHAR2(n) lengths (characters) and NUMBER(p,s) bounds, per column.
 
-    A NUMBER(p,s) value must satisfy |x| < 10^(p-s) and have at most s
-    decimals.
+    Columns are read as they are, so a value that the declared type can't hold
+    is reported and not raised.  A NUMBER(p,s) value must be a number with
+    |x| < 10^(p-s) and at most s decimals.
     """
     checks = []
     for c, n in (varchar or {}).items():
-        checks.append((c, f"length>{n}", F.length(F.col(c)) > F.lit(n)))
+        checks.append((c, f"length>{n}", F.length(F.col(c).cast("string")) > F.lit(n)))
     for c, (p, s) in (number or {}).items():
-        x = F.col(c).cast("decimal(38,10)")
-        too_big = F.abs(x) >= F.lit(10 ** (p - s)).cast("decimal(38,10)")
-        too_fine = x != F.round(x, s)
-        checks.append((c, f"number({p},{s})", too_big | too_fine))
+        x = F.col(c).try_cast("decimal(38,10)")
+        bad = x.isNull() | (F.abs(x) >= F.lit(10 ** (p - s)).cast("decimal(38,10)")) | (x != F.round(x, s))
+        checks.append((c, f"number({p},{s})", F.col(c).isNotNull() & bad))
     if not checks:
         raise ValueError("no limits to check")
     one = df.agg(*[F.count_if(cond).alias(f"_{i}") for i, (_, _, cond) in enumerate(checks)])
@@ -93,23 +95,29 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFra
 def cascade_delete(children: DataFrame, deleted_parents: DataFrame, fk: str, pk: str) -> DataFrame:
     """ON DELETE CASCADE: children that remain after the parents are deleted."""
     keys = deleted_parents.select(F.col(pk).alias("_pk"))
-    return children.join(bounded_broadcast(keys), F.col(fk) == F.col("_pk"), "left_anti")
+    return children.join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 
-def apply_defaults(df: DataFrame, defaults: dict, now: _dt.datetime | None = None) -> DataFrame:
-    """Add each defaulted column that the insert omitted.
+class _Now:
+    """Marks a default that is the time of the insert (SYSDATE)."""
 
-    ``defaults`` maps column -> value or the string ``"now"``.  A column that is
-    present keeps its values, an explicit NULL included.
+
+NOW = _Now()
+
+
+def apply_defaults(df: DataFrame, defaults: dict, schema: T.StructType = ORDERS, now: _dt.datetime | None = None) -> DataFrame:
+    """Add each defaulted column that the insert omitted, in its declared type.
+
+    ``defaults`` maps a column to a value or ``NOW``.  A column that is present
+    keeps its values, an explicit NULL included.
     """
     now = now or _dt.datetime.now().replace(microsecond=0)
+    present = {c.lower() for c in df.columns}
     for col, val in defaults.items():
-        if col in df.columns:
-            continue
-        v = ntz(now) if val == "now" else F.lit(val)
-        df = df.withColumn(col, v)
+        if col.lower() not in present:
+            df = df.withColumn(col, (ntz(now) if val is NOW else F.lit(val)).cast(schema[col].dataType))
     return df
 
 
 # DDL defaults of the orders table, fixed values.
-ORDER_DEFAULTS = {"order_date": "now", "total_amount": 0, "status": "PENDING"}
+ORDER_DEFAULTS = {"order_date": NOW, "total_amount": 0, "status": "PENDING"}

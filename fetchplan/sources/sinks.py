@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +36,14 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _latest(spark: SparkSession, path: str):
+    """The manifest's newest row; None only where there is no manifest yet."""
     try:
         m = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/_manifest")
-        row = m.orderBy(F.col("created_at").desc(), F.col("version").desc()).limit(1).collect()
-    except Exception:  # no manifest yet
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    row = m.orderBy(F.col("created_at").desc(), F.col("version").desc()).limit(1).collect()
     return row[0] if row else None
 
 

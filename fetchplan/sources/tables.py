@@ -52,6 +52,16 @@ SCHEMAS = {
     "order_details": ORDER_DETAILS,
 }
 
+# Columns the DDL has besides, kept in their declared type where a source has them.
+OPTIONAL = T.StructType([
+    T.StructField("created_at", T.TimestampNTZType(), True),
+    T.StructField("updated_at", T.TimestampNTZType(), True),
+    T.StructField("line_amount", T.DecimalType(12, 2), True),
+])
+
+# Tables that grow with the business: never read through one connection.
+FACT_TABLES = ("orders", "order_details")
+
 # Declared column-length and precision limits (Q4), fixed by the DDL.
 VARCHAR_LIMITS = {
     "departments": {"department_name": 100, "location": 100},
@@ -91,8 +101,9 @@ def jdbc_options(url: str, table: str, *, user: str | None = None,
     """Options for ``spark.read.format("jdbc")``.
 
     A partitioned read needs column and both bounds together; the bounds only
-    stride the partitions, rows outside them are still read.  ``num_partitions``
-    also caps concurrent connections, the role of the reference's pool size.
+    stride the partitions, rows outside them are still read.  Without them the
+    table comes through one connection.  ``num_partitions`` is the number of
+    concurrent connections, the role of the reference's pool size.
     """
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if user is not None:
@@ -111,19 +122,49 @@ def jdbc_options(url: str, table: str, *, user: str | None = None,
             "upperBound": str(upper_bound),
             "numPartitions": str(num_partitions),
         })
-    else:
-        opts["numPartitions"] = str(num_partitions)
     return opts
 
 
+def _read_jdbc(spark: SparkSession, url: str, name: str, per: dict) -> DataFrame:
+    """One table; a fact table needs partition bounds or ``predicates`` (one task each)."""
+    per = dict(per)
+    predicates = per.pop("predicates", None)
+    if name in FACT_TABLES and not predicates and per.get("partition_column") is None:
+        raise ValueError(f"{name}: give partition bounds or predicates, else all rows come through one connection")
+    opts = jdbc_options(url, per.pop("table", name), **per)
+    if not predicates:
+        return spark.read.format("jdbc").options(**opts).load()
+    table = opts.pop("dbtable")
+    return spark.read.jdbc(opts.pop("url"), table, predicates=list(predicates), properties=opts)
+
+
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the declared columns of table ``name`` first, in their types.
+
+    Names match whatever their letter case (a database reports upper case).  A
+    missing declared column is an error; optional ones are cast where present,
+    others kept as they are.
+    """
+    actual = {c.lower(): c for c in df.columns}
+    if len(actual) != len(df.columns):
+        raise ValueError(f"{name}: columns that differ in letter case only: {df.columns}")
+    fields = SCHEMAS[name].fields
+    missing = [f.name for f in fields if f.name not in actual]
+    if missing:
+        raise ValueError(f"{name}: no column {', '.join(missing)} among {df.columns}")
+    fields = fields + [f for f in OPTIONAL.fields if f.name in actual]
+    named = {f.name for f in fields}
+    return df.select(*[F.col(f"`{actual[f.name]}`").cast(f.dataType).alias(f.name) for f in fields],
+                     *[F.col(f"`{c}`") for low, c in actual.items() if low not in named])
+
+
 def load_tables(spark: SparkSession, source: dict,
                 names=("departments", "employees", "orders", "order_details")) -> dict[str, DataFrame]:
-    """Load the business tables from parquet or JDBC.
+    """Load the business tables from parquet or JDBC (S2) in their declared schemas.
 
     ``source = {"format": "parquet", "path": "/data/shop"}`` reads
     ``{path}/{name}.parquet``; ``{"format": "jdbc", "url": ..., "options": {name: {...}}}``
-    reads each table through ``jdbc_options``.  Columns are projected to the
-    declared schema so later selects prune at the scan.
+    reads each table through ``jdbc_options``, or by ``predicates``.
     """
     fmt = source.get("format", "parquet")
     out = {}
@@ -131,16 +172,10 @@ def load_tables(spark: SparkSession, source: dict,
         if fmt == "parquet":
             df = spark.read.parquet(f"{source['path']}/{name}.parquet")
         elif fmt == "jdbc":
-            per = dict(source.get("options", {}).get(name, {}))
-            opts = jdbc_options(source["url"], per.pop("table", name), **per)
-            df = spark.read.format("jdbc").options(**opts).load()
+            df = _read_jdbc(spark, source["url"], name, source.get("options", {}).get(name, {}))
         else:
             raise ValueError(f"unknown source format {fmt!r}")
-        schema = SCHEMAS.get(name)
-        if schema is not None:
-            df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
-                             if f.name in df.columns])
-        out[name] = df
+        out[name] = declared(df, name)
     return out
 
 
@@ -190,15 +225,14 @@ def oracle_jdbc_url(host: str = DEFAULT_DB_HOST, port: int = DEFAULT_DB_PORT,
     return f"jdbc:oracle:thin:@//{host}:{int(port)}/{service}"
 
 
-def jdbc_source(settings: dict, partitions: dict | None = None) -> dict:
+def jdbc_source(settings: dict, partitions: dict | None = None, connections: int = MAX_OPEN_CONNECTIONS) -> dict:
     """A ``load_tables`` source from connection settings.
 
     ``settings`` uses the workload's keys (``DB_HOST``, ``DB_PORT``,
     ``DB_SERVICE_NAME``, ``DB_USERNAME``, ``DB_PASSWORD``) with its defaults
     for the first three; the caller passes them in (for example from Spark
     conf).  ``partitions`` maps a table to ``(column, lower, upper)`` for a
-    partitioned read; each table reads with at most ``MAX_OPEN_CONNECTIONS``
-    connections.
+    partitioned read; each table reads with at most ``connections`` connections.
     """
     url = oracle_jdbc_url(settings.get("DB_HOST", DEFAULT_DB_HOST),
                           int(settings.get("DB_PORT", DEFAULT_DB_PORT)),
@@ -206,7 +240,7 @@ def jdbc_source(settings: dict, partitions: dict | None = None) -> dict:
     options = {}
     for name in SCHEMAS:
         per = {"user": settings.get("DB_USERNAME"), "password": settings.get("DB_PASSWORD"),
-               "num_partitions": MAX_OPEN_CONNECTIONS}
+               "num_partitions": connections}
         if partitions and name in partitions:
             col, lo, hi = partitions[name]
             per.update({"partition_column": col, "lower_bound": lo, "upper_bound": hi})

@@ -10,13 +10,13 @@ queries read exactly the same input.
     departments    <- nation x region (names repeat per region, one region without location)
     employees      <- customer (department = nation key + 1: orphans and an empty department)
     measurement tables (runs, run_log, counter_snapshots, name_values, waits,
-    size_estimates, components, objects, cache_results) <- events
+    size_estimates, components, pools, objects, cache_results) <- events
+    raw tables (Q1-Q4) <- nation, customer, orders, lineitem
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import weakref
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,20 +53,9 @@ class Driver:
         return self._cache[name]
 
 
-_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Driver]]" = weakref.WeakKeyDictionary()
-
-
 def driver(spark: SparkSession, sf_dir: str) -> Driver:
-    """Readers of one scale-factor folder, shared per session.
-
-    A DataFrame over parquet resolves its file listing and schema once; later
-    queries on the same session reuse the resolved readers.
-    """
-    per = _READERS.setdefault(spark, {})
-    key = sf_dir.rstrip("/")
-    if key not in per:
-        per[key] = Driver(spark, key)
-    return per[key]
+    """Readers of one scale-factor folder; each table is resolved once per query."""
+    return Driver(spark, sf_dir.rstrip("/"))
 
 
 def _k(props: Column) -> Column:
@@ -179,15 +168,22 @@ def counter_snapshots(d: Driver) -> DataFrame:
     return e.select(
         F.col("user_id").alias("source"),
         F.col("ts").alias("taken_at"),
-        k.cast("double").alias("hit_ratio"),
+        eid.alias("snapshot_no"),
+        k.cast("double").alias("buffer_hit_ratio"),
+        F.col("value").alias("result_hit_ratio"),
         (eid * 100).alias("logical_reads"),
         (eid * (k % 10)).alias("physical_reads"),
+        (eid * 70 + k).alias("consistent_gets"),
+        (eid * 30 - k).alias("db_block_gets"),
         (k * 2).alias("free_waits"),
         ((99 - k) * 2).alias("busy_waits"),
         ((k + 1) * 1048576).alias("total_bytes"),
         (eid * 3).alias("objects"),
+        (eid * 5 + k).alias("blocks"),
         (eid * 2 + k).alias("created"),
+        (eid - k).alias("expired"),
         (eid + k).alias("invalidated"),
+        (eid * 2 - k).alias("invalidation_dependencies"),
         (eid * 65536).alias("memory_bytes"),
     )
 
@@ -210,6 +206,7 @@ def waits(d: Driver) -> DataFrame:
         F.col("event_id"),
         F.concat(F.col("event_type"), F.lit(" "), F.col("user_id").cast("string")).alias("event"),
         (k % 7).alias("total_waits"),
+        (k % 3).alias("total_timeouts"),
         (_cents(F.col("value")) * 1000).alias("time_waited_micro"),
     )
 
@@ -234,6 +231,17 @@ def components(d: Driver) -> DataFrame:
     )
 
 
+def pools(d: Driver) -> DataFrame:
+    """pools(name, block_size, current_bytes): one pool per event."""
+    e = d.events
+    k = _k(F.col("props")).cast("bigint")
+    return e.select(
+        F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string")).alias("name"),
+        ((k % 4 + 1) * 4096).alias("block_size"),
+        (k * 1048576 + F.col("user_id")).alias("current_bytes"),
+    )
+
+
 def objects(d: Driver) -> DataFrame:
     e = d.events
     return e.select(
@@ -242,6 +250,37 @@ def objects(d: Driver) -> DataFrame:
     )
 
 
+# Business tables as a loader might find them: keys that repeat, missing
+# values, long texts and numbers as text that their declared type can't hold.
+
+def raw_tables(d: Driver) -> dict[str, DataFrame]:
+    c, o, li, n = d.customer, d.orders, d.lineitem, d.nation
+    return {
+        "departments": n.select(
+            F.col("n_regionkey").cast("bigint").alias("department_id"),
+            F.nullif(F.col("n_name"), F.lit("NATION_0")).alias("department_name"),
+            F.repeat(F.col("n_name"), 12).alias("location")),
+        "employees": c.select(
+            F.col("c_custkey").alias("employee_id"), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("first_name"),
+            F.col("c_name").alias("last_name"),
+            F.concat(F.col("c_mktsegment"), F.col("c_nationkey").cast("string"), F.lit("@example.com")).alias("email"),
+            F.col("c_nationkey").cast("bigint").alias("department_id"),
+            (F.col("c_acctbal").cast("decimal(12,2)") * 100000).cast("string").alias("salary")),
+        "orders": o.select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+            F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("customer_name"),
+            F.concat(F.col("o_totalprice").cast("decimal(12,2)").cast("string"),
+                     F.when(F.col("o_orderstatus") == "F", F.lit("5")).otherwise(F.lit(""))).alias("total_amount"),
+            F.repeat(F.col("o_orderpriority"), 2).alias("status")),
+        "order_details": li.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("detail_id"), F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"), F.nullif(F.col("l_returnflag"), F.lit("R")).alias("product_name"),
+            F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("decimal(10,0)").cast("string"))
+            .otherwise(F.lit("n/a")).alias("quantity"),
+            (F.col("l_extendedprice").cast("decimal(12,2)") * 10000).cast("string").alias("unit_price")),
+    }
+
+
 # ----------------------------------------------------------- DuckDB twins
 
 _K_SQL = "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
@@ -270,21 +309,40 @@ SQL = {
     "cache_results": f"""SELECT user_id AS grp, event_type AS method, event_id AS seq,
         {_CENTS_SQL} * 10000 AS exec_ns, CAST({_K_SQL} AS BIGINT) * 65536 AS memory_bytes,
         CAST({_K_SQL} AS DOUBLE) AS hit_rate FROM events""",
-    "counter_snapshots": f"""SELECT user_id AS source, ts AS taken_at, CAST(k AS DOUBLE) AS hit_ratio,
+    "counter_snapshots": f"""SELECT user_id AS source, ts AS taken_at, event_id AS snapshot_no,
+        CAST(k AS DOUBLE) AS buffer_hit_ratio, value AS result_hit_ratio,
         event_id * 100 AS logical_reads, event_id * (k % 10) AS physical_reads,
+        event_id * 70 + k AS consistent_gets, event_id * 30 - k AS db_block_gets,
         k * 2 AS free_waits, (99 - k) * 2 AS busy_waits, (k + 1) * 1048576 AS total_bytes,
-        event_id * 3 AS objects, event_id * 2 + k AS created, event_id + k AS invalidated,
-        event_id * 65536 AS memory_bytes
+        event_id * 3 AS objects, event_id * 5 + k AS blocks, event_id * 2 + k AS created, event_id - k AS expired,
+        event_id + k AS invalidated, event_id * 2 - k AS invalidation_dependencies, event_id * 65536 AS memory_bytes
         FROM (SELECT *, CAST({_K_SQL} AS BIGINT) AS k FROM events)""",
     "name_values": f"""SELECT user_id AS source, event_type AS name, CAST({_K_SQL} AS BIGINT) AS value
         FROM events""",
     "waits": f"""SELECT event_id, event_type || ' ' || CAST(user_id AS VARCHAR) AS event,
-        CAST({_K_SQL} AS BIGINT) % 7 AS total_waits, {_CENTS_SQL} * 1000 AS time_waited_micro
+        CAST({_K_SQL} AS BIGINT) % 7 AS total_waits, CAST({_K_SQL} AS BIGINT) % 3 AS total_timeouts,
+        {_CENTS_SQL} * 1000 AS time_waited_micro
         FROM events""",
     "size_estimates": f"""SELECT event_id, event_type AS name, 'READY' AS status,
         CAST({_K_SQL} AS DOUBLE) / 50.0 AS size_factor, value / 50.0 AS read_factor FROM events""",
     "components": f"""SELECT event_id, event_type AS component,
         CAST({_K_SQL} AS BIGINT) * 1048576 AS bytes FROM events""",
+    "pools": f"""SELECT event_type || ' ' || CAST(event_id AS VARCHAR) AS name,
+        (CAST({_K_SQL} AS BIGINT) % 4 + 1) * 4096 AS block_size,
+        CAST({_K_SQL} AS BIGINT) * 1048576 + user_id AS current_bytes FROM events""",
+    "raw_departments": """SELECT CAST(n_regionkey AS BIGINT) AS department_id, nullif(n_name, 'NATION_0') AS department_name,
+        repeat(n_name, 12) AS location FROM nation""",
+    "raw_employees": """SELECT c_custkey AS employee_id, nullif(c_mktsegment, 'BUILDING') AS first_name, c_name AS last_name,
+        c_mktsegment || CAST(c_nationkey AS VARCHAR) || '@example.com' AS email, CAST(c_nationkey AS BIGINT) AS department_id,
+        CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 100000 AS VARCHAR) AS salary FROM customer""",
+    "raw_orders": """SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+        nullif(o_orderpriority, '5-LOW') AS customer_name,
+        CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || CASE WHEN o_orderstatus = 'F' THEN '5' ELSE '' END AS total_amount,
+        repeat(o_orderpriority, 2) AS status FROM orders""",
+    "raw_order_details": """SELECT l_orderkey * 10 + l_linenumber AS detail_id, l_orderkey AS order_id,
+        l_partkey AS product_id, nullif(l_returnflag, 'R') AS product_name,
+        CASE WHEN l_linestatus = 'O' THEN CAST(CAST(l_quantity AS DECIMAL(10,0)) AS VARCHAR) ELSE 'n/a' END AS quantity,
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 10000 AS VARCHAR) AS unit_price FROM lineitem""",
     "objects": f"""SELECT event_type AS type, CAST({_K_SQL} AS BIGINT) AS blocks FROM events""",
 }
 

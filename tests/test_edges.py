@@ -20,18 +20,18 @@ def _orders(spark, data):
 
 
 def test_childless_order_everywhere(spark, seed):
-    extra = _orders(spark, [(6, 1005, "Customer 1005", dt.datetime(2024, 2, 18), Decimal("10.00"), "PENDING")])
+    extra = _orders(spark, [(7, 75, "customer 75", dt.datetime(2024, 6, 18), Decimal("10.00"), "OPEN")])
     o = seed["orders"].unionByName(extra)
     d = seed["order_details"]
     for fn in (nesting.orders_nested_join, nesting.orders_nested_batch, nesting.orders_nested_lateral):
         got = {r["order_id"]: r["details"] for r in fn(o, d, SEED_AS_OF, 30).collect()}
-        assert got[6] == [], fn.__name__
+        assert got[7] == [] and got[4] == [], fn.__name__
     flat = rows(nesting.orders_details_flat(o, d, SEED_AS_OF, 30), "order_id", "detail_id")
-    assert (6, None) in flat
+    assert (7, None) in flat and (4, None) in flat
     tot = {r[0]: (r[1], r[2]) for r in rows(A.order_totals(o, d), "order_id", "detail_count", "calculated_total")}
-    assert tot[6] == (0, None)
+    assert tot[7] == (0, None)
     prev = {r["order_id"]: r for r in L.order_preview(o, d, SEED_AS_OF, 30, n=5, per_order=3).collect()}
-    assert prev[6]["more_details"] == 0 and prev[6]["shown_details"] == ""
+    assert prev[7]["more_details"] == 0 and prev[7]["shown_details"] == ""
 
 
 def test_cutoff_to_the_second(spark):
@@ -84,11 +84,13 @@ def test_null_amount(spark):
 def test_key_lists(spark, seed):
     d = seed["order_details"]
     got = rows(lookups.details_by_orders(d, [1, 1, 3]), "order_id", "detail_id")
-    assert got == [(1, 1), (1, 2), (1, 3), (3, 6), (3, 7), (3, 8)]
+    assert got == [(1, 1), (1, 2), (3, 5), (3, 6), (3, 7)]
     keys = spark.createDataFrame([(1,), (1,), (3,), (None,)], "order_id bigint")
     assert rows(lookups.details_by_orders(d, keys), "order_id", "detail_id") == got
     assert lookups.details_by_orders(d, []).count() == 0
-    assert [r[0] for r in rows(lookups.details_by_orders(d, [None, 1]), "order_id")] == [1, 1, 1]
+    assert [r[0] for r in rows(lookups.details_by_orders(d, [None, 1]), "order_id")] == [1, 1]
+    many = list(range(3, 5000))
+    assert rows(lookups.details_by_orders(d, many), "detail_id") == [(5,), (6,), (7,), (8,), (9,), (10,)]
     assert lookups.departments_by_ids(seed["departments"], [2, 2, 42]).count() == 1
     assert lookups.department_by_id(seed["departments"], 42).count() == 0
 
@@ -116,28 +118,36 @@ def test_oracle_concat_null(spark):
 def test_cascade_delete(spark, seed):
     deleted = seed["orders"].filter(F.col("order_id").isin(1, 2))
     left = Q.cascade_delete(seed["order_details"], deleted, "order_id", "order_id")
-    assert sorted(r[0] for r in rows(left, "detail_id")) == list(range(6, 13))
+    assert sorted(r[0] for r in rows(left, "detail_id")) == list(range(5, 11))
 
 
 def test_quality_checks(spark):
     e = spark.createDataFrame([(1, "e1", Decimal("1.00")), (1, "e2", None), (None, "e3", None)],
                               "employee_id bigint, email string, salary decimal(10,2)")
     pk = rows(Q.pk_violations(e, "employees", ["employee_id"]), "key_value", "row_count")
-    assert sorted(pk, key=str) == sorted([("1", 2), ("NULL", 1)], key=str)
+    assert sorted(pk, key=str) == sorted([('{"employee_id":1}', 2), ('{"employee_id":null}', 1)], key=str)
     nulls = rows(Q.null_violations(e, "employees", ["employee_id", "salary", "email"]), "column_name", "null_count")
     assert sorted(nulls) == [("employee_id", 1), ("salary", 2)]
     dup = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "email string")
-    assert rows(Q.unique_violations(dup, "t", ["email"]), "key_value", "row_count") == [("a", 2)]
+    assert rows(Q.unique_violations(dup, "t", ["email"]), "key_value", "row_count") == [('{"email":"a"}', 2)]
     lim = spark.createDataFrame([("x" * 21, Decimal("1.5")), ("ok", Decimal("123456789012.5"))],
                                 "status string, total decimal(20,2)")
     got = rows(Q.limit_violations(lim, "orders", {"status": 20}, {"total": (12, 2)}), "column_name", "violations")
     assert sorted(got) == [("status", 1), ("total", 1)]
+    text = spark.createDataFrame([("99999999.99",), ("100000000",), ("1.005",), ("n/a",), (None,), ("-5",)], "price string")
+    assert rows(Q.limit_violations(text, "t", None, {"price": (10, 2)}), "violations") == [(3,)]
+    pairs = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a|b", "c"), ("a", "b|c"), (None, "NULL")], "x string, y string")
+    keys = rows(Q.pk_violations(pairs, "t", ["x", "y"]), "key_value", "row_count")
+    assert len(keys) == 3 and len({k for k, _ in keys}) == 3
 
 
 def test_defaults_only_for_omitted_columns(spark):
     df = spark.createDataFrame([(1, None)], "order_id bigint, status string")
     now = dt.datetime(2024, 1, 1, 12, 0, 0)
-    out = Q.apply_defaults(df, Q.ORDER_DEFAULTS, now).first()
+    typed = Q.apply_defaults(df, Q.ORDER_DEFAULTS, now=now)
+    assert dict(typed.dtypes)["total_amount"] == "decimal(12,2)" and dict(typed.dtypes)["order_date"] == "timestamp_ntz"
+    assert Q.apply_defaults(df, {"customer_name": "now"}).first()["customer_name"] == "now"
+    out = typed.first()
     assert out["status"] is None                   # explicit NULL stays NULL
     assert out["order_date"] == now and int(out["total_amount"]) == 0
 
@@ -154,8 +164,8 @@ def test_scalar_helpers(spark):
 
 
 def test_cutoff_ignores_session_time_zone(spark):
-    data = [(1, 1, "a", dt.datetime(2024, 1, 21, 0, 0, 0), None, None),
-            (2, 1, "a", dt.datetime(2024, 1, 20, 23, 0, 0), None, None)]
+    data = [(1, 1, "a", dt.datetime(2024, 5, 31, 0, 0, 0), None, None),
+            (2, 1, "a", dt.datetime(2024, 5, 30, 23, 0, 0), None, None)]
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
@@ -171,10 +181,23 @@ def test_table_counts_reports_a_failing_table(spark, seed):
 
     got = {r["table_name"]: (r["row_count"], r["status"]) for r in A.table_counts(
         {"orders": seed["orders"], "broken": missing, "order_details": lambda: seed["order_details"]}).collect()}
-    assert got["orders"] == (5, "ok") and got["order_details"] == (12, "ok")
+    assert got["orders"] == (6, "ok") and got["order_details"] == (10, "ok")
     assert got["broken"][0] is None and got["broken"][1].startswith("error")
 
 
+def test_table_counts_reports_a_corrupt_file(spark, seed, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "bad"))
+    for f in (tmp_path / "bad").glob("part-*.parquet"):
+        f.write_bytes(f.read_bytes()[:40] + b"x" * 40)
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    schema = "id long"
+    got = {r["table_name"]: (r["row_count"], r["status"]) for r in A.table_counts(
+        {"bad": lambda: spark.read.schema(schema).parquet(str(tmp_path / "bad")), "orders": seed["orders"]}).collect()}
+    assert got["orders"] == (6, "ok") and got["bad"][0] is None and got["bad"][1].startswith("error: ")
+    alone = A.table_counts({"gone": lambda: spark.read.parquet(str(tmp_path / "gone"))}).collect()
+    assert [(r["table_name"], r["row_count"]) for r in alone] == [("gone", None)]
+
+
 def test_variants_agree_counts_multiset_differences(spark):
     from fetchplan.plans.variants import variants_agree
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
