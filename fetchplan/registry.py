@@ -20,7 +20,6 @@ from fetchplan.operators import lookups, nesting
 from fetchplan.operators import measure as M
 from fetchplan.operators import quality as Q
 from fetchplan.plans import variants as PV
-from fetchplan.sources import datagen as DG
 from fetchplan.sources import sinks as SK
 from fetchplan.sources import tables as _tables
 from fetchplan.sources import views as V
@@ -39,10 +38,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# Children per nested row (the chunk size of nested results).
-MAX_CHILDREN = nesting.DEFAULT_MAX_CHILDREN
-
-
 def cutoff_sql(days: int) -> str:
     return f"({AS_OF_SQL} - INTERVAL {int(days)} DAY)"
 
@@ -50,19 +45,12 @@ def cutoff_sql(days: int) -> str:
 _DETAIL_SORT_SQL = "d.line_number, d.product_id, d.supplier_id, d.quantity, d.unit_price"
 
 _NESTED_ORACLE = with_views("ord", "det") + f"""
-, p AS (SELECT order_id, customer_id, order_date, total_amount FROM ord
-        WHERE order_date >= {cutoff_sql(30)})
-, r AS (SELECT p.order_id, p.customer_id, p.order_date, p.total_amount, d.order_id AS d_order,
-               d.product_id, d.quantity, d.unit_price, d.line_number, d.supplier_id,
-               (row_number() OVER (PARTITION BY p.order_id ORDER BY {_DETAIL_SORT_SQL}) - 1)
-                 // {MAX_CHILDREN} AS chunk
-        FROM p LEFT JOIN det d ON p.order_id = d.order_id)
-SELECT order_id, customer_id, order_date, total_amount, CAST(chunk AS INTEGER) AS chunk,
-       count(d_order) AS detail_count,
-       CAST(coalesce(sum(CAST(quantity AS DECIMAL(8,0)) * unit_price), 0) AS DECIMAL(38,2)) AS detail_amount,
-       coalesce(string_agg(CAST(product_id AS VARCHAR) || ':' || CAST(quantity AS VARCHAR), ','
-                ORDER BY line_number, product_id, supplier_id, quantity, unit_price), '') AS details_key
-FROM r GROUP BY order_id, customer_id, order_date, total_amount, chunk
+SELECT p.order_id, p.customer_id, p.order_date, p.total_amount, count(d.order_id) AS detail_count,
+       CAST(coalesce(sum(CAST(d.quantity AS DECIMAL(8,0)) * d.unit_price), 0) AS DECIMAL(38,2)) AS detail_amount,
+       CAST(coalesce(sum(d.quantity), 0) AS BIGINT) AS quantity_sum,
+       CAST(coalesce(sum(d.product_id * d.quantity), 0) AS BIGINT) AS product_quantity_sum
+FROM (SELECT * FROM ord WHERE order_date >= {cutoff_sql(30)}) p LEFT JOIN det d ON p.order_id = d.order_id
+GROUP BY p.order_id, p.customer_id, p.order_date, p.total_amount
 """
 
 
@@ -204,21 +192,30 @@ def q_employee_labels(spark, sf_dir):
         F.col("department.department_name"), F.col("department.location")).alias("department_label"))
 
 
+_RECENT_LINE_COLS = ("order_id", "customer_id", "total_amount", "line_number", "product_id", "quantity")
+
+
 @register("recent_lines_capped_count", with_views("ord", "det") + f"""
 SELECT least(count(*), 100) AS row_count FROM det d JOIN ord o ON o.order_id = d.order_id
 WHERE o.order_date >= {cutoff_sql(7)}""")
 def q_recent_lines_capped_count(spark, sf_dir):
     d = _d(spark, sf_dir)
-    capped = L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 100,
-                                   ("order_id", "customer_id", "order_date", "total_amount",
-                                    "product_id", "quantity"))
+    capped = L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 100, _RECENT_LINE_COLS)
     return capped.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@register("recent_lines_capped")
+@register("recent_lines_capped", with_views("ord", "det") + f"""
+, j AS (SELECT o.order_id, o.customer_id, o.total_amount, d.line_number, d.product_id, d.quantity
+        FROM det d JOIN ord o ON o.order_id = d.order_id WHERE o.order_date >= {cutoff_sql(7)})
+SELECT least(count(*), 1000) AS row_count, CAST(0 AS BIGINT) AS not_in_join FROM j""")
 def q_recent_lines_capped(spark, sf_dir):
+    """Which rows an unordered cap returns is open; how many, and that all are rows of the join, is not."""
     d = _d(spark, sf_dir)
-    return L.recent_lines_capped(V.orders(d), V.order_details(d), AS_OF, 7, 1000)
+    o, det = V.orders(d), V.order_details(d)
+    capped = L.recent_lines_capped(o, det, AS_OF, 7, 1000, _RECENT_LINE_COLS)
+    whole = L.recent_lines(o, det, AS_OF, 7, _RECENT_LINE_COLS)
+    extra = PV.compare_pair(capped, whole)
+    return extra.select(F.col("rows_a").alias("row_count"), F.col("only_in_a").alias("not_in_join"))
 
 
 @register("fk_orphans", with_views("emp", "dept") + """
@@ -408,52 +405,68 @@ def q_department_name_lookup(spark, sf_dir):
 
 # ---------------------------------------------------------------- quality
 
-@register("pk_violations", with_views("det", "ord") + """
-SELECT 'order_details' AS table_name, CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR)
-         AS key_value, count(*) AS row_count
-FROM det GROUP BY order_id, line_number HAVING count(*) > 1
-UNION ALL
-SELECT 'orders', CAST(order_id AS VARCHAR), count(*) FROM ord GROUP BY order_id HAVING count(*) > 1""")
-def q_pk_violations(spark, sf_dir):
-    d = _d(spark, sf_dir)
-    return Q.pk_violations(V.order_details(d), "order_details", ["order_id", "line_number"]).unionByName(
-        Q.pk_violations(V.orders(d), "orders", ["order_id"]))
+_RAW = {t: f"raw_{t}" for t in _tables.SCHEMAS}
+_RAW_VIEWS = with_views(*_RAW.values())
 
 
-@register("unique_violations", with_views("emp") + """
-SELECT 'employees' AS table_name, 'last_name' AS column_name, last_name AS key_value, count(*) AS row_count
-FROM emp WHERE last_name IS NOT NULL GROUP BY last_name HAVING count(*) > 1
-UNION ALL
-SELECT 'employees', 'email', email, count(*) FROM emp WHERE email IS NOT NULL
-GROUP BY email HAVING count(*) > 1""")
+def _json_sql(cols: list[str]) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in cols) + "}) AS VARCHAR)"
+
+
+def _over_tables(check: Callable[[DataFrame, str], DataFrame]):
+    """The union of a check over the four raw business tables."""
+    def run(spark, sf_dir):
+        raw = V.raw_tables(_d(spark, sf_dir))
+        out = None
+        for name in _tables.SCHEMAS:
+            part = check(raw[name], name)
+            out = part if out is None else out.unionByName(part)
+        return out
+    return run
+
+
+register("pk_violations", _RAW_VIEWS + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {_json_sql(k)} AS key_value, count(*) AS row_count FROM {_RAW[t]} "
+    f"GROUP BY {', '.join(k)} HAVING count(*) > 1 OR {' OR '.join(f'{c} IS NULL' for c in k)}"
+    for t, k in _tables.PRIMARY_KEYS.items()))(
+    _over_tables(lambda df, t: Q.pk_violations(df, t, _tables.PRIMARY_KEYS[t])))
+
+
+@register("unique_violations", _RAW_VIEWS + f"""
+SELECT 'employees' AS table_name, 'email' AS column_name, {_json_sql(['email'])} AS key_value, count(*) AS row_count
+FROM raw_employees WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1""")
 def q_unique_violations(spark, sf_dir):
-    e = V.employees(_d(spark, sf_dir))
-    return Q.unique_violations(e, "employees", ["last_name"]).unionByName(
-        Q.unique_violations(e, "employees", ["email"]))
-
-
-@register("null_violations", with_views("emp", "dept") + """
-, j AS (SELECT e.*,
-               CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.department_name END
-                 AS department_name,
-               CASE WHEN d.department_name IS NOT NULL AND d.location IS NOT NULL THEN d.location END
-                 AS location
-        FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id)
-SELECT * FROM (
-  SELECT 'employee_departments' AS table_name, 'employee_id' AS column_name,
-         count(*) FILTER (WHERE employee_id IS NULL) AS null_count FROM j
-  UNION ALL SELECT 'employee_departments', 'email', count(*) FILTER (WHERE email IS NULL) FROM j
-  UNION ALL SELECT 'employee_departments', 'salary', count(*) FILTER (WHERE salary IS NULL) FROM j
-  UNION ALL SELECT 'employee_departments', 'department_name',
-                   count(*) FILTER (WHERE department_name IS NULL) FROM j
-  UNION ALL SELECT 'employee_departments', 'location', count(*) FILTER (WHERE location IS NULL) FROM j
-) WHERE null_count > 0""")
-def q_null_violations(spark, sf_dir):
-    d = _d(spark, sf_dir)
-    flat = nesting.flatten_employees(nesting.employees_departments_join(V.employees(d), V.departments(d),
-                                                                        ordered=False))
-    return Q.null_violations(flat, "employee_departments",
-                             ["employee_id", "email", "salary", "department_name", "location"])
+    raw = V.raw_tables(_d(spark, sf_dir))
+    out = None
+    for t, keys in _tables.UNIQUE_KEYS.items():
+        for k in keys:
+            part = Q.unique_violations(raw[t], t, k)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+register("null_violations", _RAW_VIEWS + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {_RAW[t]}"
+    for t, cols in _tables.NOT_NULL.items() for c in cols) + "\n) WHERE null_count > 0")(
+    _over_tables(lambda df, t: Q.null_violations(df, t, _tables.NOT_NULL[t])))
+
+
+def _limits_sql() -> str:
+    parts = []
+    for t in _tables.SCHEMAS:
+        for c, n in _tables.VARCHAR_LIMITS[t].items():
+            parts.append((t, c, f"length>{n}", f"length({c}) > {n}"))
+        for c, (p, s) in _tables.NUMBER_LIMITS[t].items():
+            x = f"TRY_CAST({c} AS DECIMAL(38,10))"
+            parts.append((t, c, f"number({p},{s})", f"{c} IS NOT NULL AND ({x} IS NULL OR abs({x}) >= {10 ** (p - s)} "
+                                                    f"OR {x} <> round({x}, {s}))"))
+    return _RAW_VIEWS + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{rule}' AS rule, count(*) FILTER (WHERE {bad}) AS violations "
+        f"FROM {_RAW[t]}" for t, c, rule, bad in parts) + "\n) WHERE violations > 0"
+
+
+register("limit_violations", _limits_sql())(_over_tables(
+    lambda df, t: Q.limit_violations(df, t, _tables.VARCHAR_LIMITS[t], _tables.NUMBER_LIMITS[t])))
 
 
 # ----------------------------------------------------------- measurements
@@ -522,32 +535,33 @@ def q_hit_rate(spark, sf_dir):
     return M.hit_rate(V.run_log(_d(spark, sf_dir)))
 
 
-_SNAP_ORDER = ("taken_at, hit_ratio, logical_reads, physical_reads, free_waits, busy_waits, "
-               "total_bytes, objects, created, invalidated, memory_bytes")
-_SNAP_ORDER_DESC = ", ".join(c.strip() + " DESC" for c in _SNAP_ORDER.split(","))
+_DELTA_COLS = M._DELTAS
+
+
+def _round_sql(cte: str, columns: dict[str, bool], table: str) -> str:
+    """Final SELECT of a CTE: doubles (True) rounded to 4 places."""
+    return cte + "\nSELECT " + ", ".join(f"round({c}, 4) AS {c}" if r else c for c, r in columns.items()) + f" FROM {table}"
+
 
 _DELTA_CTE = with_views("counter_snapshots") + f"""
-, s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_SNAP_ORDER}) AS rn_i,
-               row_number() OVER (PARTITION BY source ORDER BY {_SNAP_ORDER_DESC}) AS rn_f,
+, s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY taken_at, snapshot_no) AS rn_i,
+               row_number() OVER (PARTITION BY source ORDER BY taken_at DESC, snapshot_no DESC) AS rn_f,
                count(*) OVER (PARTITION BY source) AS snapshots FROM counter_snapshots)
 , i AS (SELECT * FROM s WHERE rn_i = 1)
 , f AS (SELECT * FROM s WHERE rn_f = 1)
 , delta AS (
-  SELECT f.source, f.snapshots,
-         f.logical_reads - i.logical_reads AS d_logical_reads,
-         f.physical_reads - i.physical_reads AS d_physical_reads,
-         f.free_waits - i.free_waits AS d_free_waits, f.busy_waits - i.busy_waits AS d_busy_waits,
+  SELECT f.source, f.snapshots, {', '.join(f'f.{c} - i.{c} AS d_{c}' for c in _DELTA_COLS)},
          f.total_bytes AS total_bytes,
-         round(CASE WHEN f.logical_reads - i.logical_reads > 0
-                    THEN (1.0 - CAST(f.physical_reads - i.physical_reads AS DOUBLE)
-                                / CAST(f.logical_reads - i.logical_reads AS DOUBLE)) * 100
-                    ELSE f.hit_ratio END, 4) AS buffer_hit_ratio,
-         f.objects - i.objects AS d_objects, f.memory_bytes - i.memory_bytes AS d_memory_bytes,
-         f.created - i.created AS d_created, f.invalidated - i.invalidated AS d_invalidated,
-         f.hit_ratio AS result_hit_ratio,
+         CASE WHEN f.logical_reads - i.logical_reads > 0
+              THEN (1.0 - CAST(f.physical_reads - i.physical_reads AS DOUBLE)
+                          / CAST(f.logical_reads - i.logical_reads AS DOUBLE)) * 100
+              ELSE f.buffer_hit_ratio END AS buffer_hit_ratio,
+         f.result_hit_ratio AS result_hit_ratio,
          CASE WHEN f.created - i.created > 0 THEN (f.objects - i.objects) * 2 ELSE 0 END AS cache_hits,
          CASE WHEN f.created - i.created > 0 THEN f.created - i.created ELSE 0 END AS cache_misses
   FROM f JOIN i ON f.source = i.source)"""
+_DELTA_OUT = {"source": False, "snapshots": False, **{f"d_{c}": False for c in _DELTA_COLS}, "total_bytes": False,
+              "buffer_hit_ratio": True, "result_hit_ratio": True, "cache_hits": False, "cache_misses": False}
 
 _EFF_CTE = _DELTA_CTE + """
 , e0 AS (SELECT *, CASE WHEN d_logical_reads > 0
@@ -556,64 +570,66 @@ _EFF_CTE = _DELTA_CTE + """
                 CAST(result_hit_ratio AS DOUBLE) AS r,
                 CAST(total_bytes + d_memory_bytes AS DOUBLE) AS mem FROM delta)
 , eff AS (
-  SELECT source, round(b, 4) AS buffer_efficiency, round(r, 4) AS result_efficiency,
-         round(b * 0.7 + r * 0.3, 4) AS overall_efficiency,
-         round(CASE WHEN mem > 0 THEN (b * 0.7 + r * 0.3) / (mem / 1073741824.0) ELSE 0.0 END, 4)
-           AS memory_efficiency_ratio,
-         round(CASE WHEN d_logical_reads > 0
-                    THEN CAST(d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
-                    ELSE 0.0 END, 4) AS physical_read_pct,
-         round(mem / 1048576.0, 4) AS total_cache_mb,
-         d_logical_reads - d_physical_reads AS io_saved,
-         round((b * 0.7 + r * 0.3) * 0.1, 4) AS cpu_savings,
-         round(CASE WHEN cache_hits + cache_misses > 0
-                    THEN CAST(cache_hits AS DOUBLE) / CAST(cache_hits + cache_misses AS DOUBLE) * 100 END, 4)
-           AS result_hit_share
+  SELECT source, b AS buffer_efficiency, r AS result_efficiency, b * 0.7 + r * 0.3 AS overall_efficiency,
+         CASE WHEN mem > 0 THEN (b * 0.7 + r * 0.3) / (mem / 1073741824.0) ELSE 0.0 END AS memory_efficiency_ratio,
+         CASE WHEN d_logical_reads > 0
+              THEN CAST(d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
+              ELSE 0.0 END AS physical_read_pct,
+         mem / 1048576.0 AS total_cache_mb, CAST(total_bytes AS DOUBLE) / 1048576.0 AS buffer_cache_mb,
+         CAST(d_memory_bytes AS DOUBLE) / 1048576.0 AS result_cache_mb,
+         d_logical_reads - d_physical_reads AS io_saved, (b * 0.7 + r * 0.3) * 0.1 AS cpu_savings,
+         CASE WHEN cache_hits + cache_misses > 0
+              THEN CAST(cache_hits AS DOUBLE) / CAST(cache_hits + cache_misses AS DOUBLE) * 100 END AS result_hit_share
   FROM e0)"""
+_EFF_OUT = {"source": False, "buffer_efficiency": True, "result_efficiency": True, "overall_efficiency": True,
+            "memory_efficiency_ratio": True, "physical_read_pct": True, "total_cache_mb": True, "buffer_cache_mb": True,
+            "result_cache_mb": True, "io_saved": False, "cpu_savings": True, "result_hit_share": True}
 
 
 def _delta(spark, sf_dir):
     return M.counter_delta(V.counter_snapshots(_d(spark, sf_dir)))
 
 
-@register("counter_delta", _DELTA_CTE + "\nSELECT * FROM delta")
+@register("counter_delta", _round_sql(_DELTA_CTE, _DELTA_OUT, "delta"))
 def q_counter_delta(spark, sf_dir):
-    return _delta(spark, sf_dir)
+    return M.rounded(_delta(spark, sf_dir))
 
 
-@register("cache_efficiency", _EFF_CTE + "\nSELECT * FROM eff")
+@register("cache_efficiency", _round_sql(_EFF_CTE, _EFF_OUT, "eff"))
 def q_cache_efficiency(spark, sf_dir):
-    return M.cache_efficiency(_delta(spark, sf_dir))
+    return M.rounded(M.cache_efficiency(_delta(spark, sf_dir)))
+
+
+_TIER_SQL = ("CASE WHEN overall_efficiency >= 90 THEN 'maintain' WHEN overall_efficiency >= 70 THEN 'improve' "
+             "ELSE 'urgent' END")
 
 
-@register("efficiency_tier", _EFF_CTE + """
-SELECT source, overall_efficiency,
-       CASE WHEN overall_efficiency >= 90 THEN 'maintain' WHEN overall_efficiency >= 70 THEN 'improve'
-            ELSE 'urgent' END AS tier FROM eff""")
+@register("efficiency_tier", _EFF_CTE + f"""
+SELECT source, round(overall_efficiency, 4) AS overall_efficiency, {_TIER_SQL} AS tier FROM eff""")
 def q_efficiency_tier(spark, sf_dir):
-    return M.efficiency_tier(M.cache_efficiency(_delta(spark, sf_dir)))
+    return M.rounded(M.efficiency_tier(M.cache_efficiency(_delta(spark, sf_dir))))
 
 
-@register("recommendations", _DELTA_CTE + """
-, rules AS (SELECT * FROM (VALUES
-    (1, 3, 'high', '""" + M.RULES[0][3] + """'),
-    (2, 2, 'medium', '""" + M.RULES[1][3] + """'),
-    (3, 3, 'high', '""" + M.RULES[2][3] + """'),
-    (4, 4, 'highest', '""" + M.RULES[3][3] + """')) t(rule_no, rank, priority, title))
-SELECT d.source, r.rule_no, r.rank, r.priority, r.title FROM delta d JOIN rules r
+_RULES_SQL = ", ".join(f"({n}, {rank}, '{action}', '{category}', {effort})" for n, rank, _, _, action, category, effort in M.RULES)
+_RECS_CTE = f"""
+, rules AS (SELECT * FROM (VALUES {_RULES_SQL}) t(rule_no, rank, action, category, effort))
+, recs AS (SELECT d.source, r.rule_no, r.rank, r.action, r.category, r.effort FROM delta d JOIN rules r
   ON (r.rule_no = 1 AND d.buffer_hit_ratio < 90) OR (r.rule_no = 2 AND d.result_hit_ratio < 70)
-  OR r.rule_no IN (3, 4)""")
+  OR r.rule_no IN (3, 4))"""
+
+
+@register("recommendations", _DELTA_CTE + _RECS_CTE + "\nSELECT * FROM recs")
 def q_recommendations(spark, sf_dir):
     delta = _delta(spark, sf_dir)
     return M.recommendations(M.cache_efficiency(delta), delta)
 
 
 def _hints_sql():
-    vals = ",\n    ".join(f"('{c}', {n}, '{t}')" for c, n, t in M.HINTS)
+    vals = ",\n    ".join(f"('{c}', {n}, '{m}', '{a}')" for c, n, m, _, _, a in M.HINTS)
     return _DELTA_CTE + f"""
 , hints AS (SELECT * FROM (VALUES
-    {vals}) t(cache, hint_no, hint))
-SELECT d.source, h.cache, h.hint_no, h.hint FROM delta d JOIN hints h ON
+    {vals}) t(cache, hint_no, metric, action))
+SELECT d.source, h.cache, h.hint_no, h.metric, h.action FROM delta d JOIN hints h ON
      (h.cache = 'buffer' AND h.hint_no = 1 AND d.buffer_hit_ratio < 90)
   OR (h.cache = 'buffer' AND h.hint_no = 2 AND d.d_free_waits > 100)
   OR (h.cache = 'buffer' AND h.hint_no = 3 AND d.d_busy_waits > 100)
@@ -652,10 +668,10 @@ def q_cache_comparison(spark, sf_dir):
 SELECT grp, method, exec_ns, memory_bytes, hit_rate FROM means
 UNION ALL
 SELECT m.grp, 'integrated', CAST(sum(m.exec_ns) // count(*) AS BIGINT), CAST(sum(m.memory_bytes) AS BIGINT),
-       max(e.overall_efficiency)
-FROM means m JOIN eff e ON m.grp = e.source GROUP BY m.grp""")
+       round(max(e.overall_efficiency), 4)
+FROM means m LEFT JOIN eff e ON m.grp = e.source GROUP BY m.grp""")
 def q_integrated_results(spark, sf_dir):
-    return M.integrated_results(_means(spark, sf_dir), M.cache_efficiency(_delta(spark, sf_dir)))
+    return M.rounded(M.integrated_results(_means(spark, sf_dir), M.cache_efficiency(_delta(spark, sf_dir))))
 
 
 @register("fastest_family", _MEANS_CTE + """
@@ -683,7 +699,7 @@ def q_hit_ratio(spark, sf_dir):
 
 
 @register("top_waits", with_views("waits") + """
-SELECT event_id, event, total_waits, time_waited_micro,
+SELECT event_id, event, total_waits, total_timeouts, time_waited_micro,
        round(CAST(time_waited_micro AS DOUBLE) / nullif(CAST(total_waits AS DOUBLE), 0) / 1000, 4) AS avg_wait_ms
 FROM waits WHERE event LIKE '%ur%' OR event LIKE '%i%' AND total_waits > 0
 ORDER BY time_waited_micro DESC, event, event_id LIMIT 5""")
@@ -711,84 +727,97 @@ def q_component_sizes(spark, sf_dir):
 
 
 
-@register("variants_agree", with_views("ord", "emp") + f"""
-, n AS (SELECT count(*) AS c FROM ord WHERE order_date >= {cutoff_sql(30)}), m AS (SELECT count(*) AS c FROM emp)
-SELECT 'batch' AS variant_a, 'join' AS variant_b, n.c AS rows_a, n.c AS rows_b,
-       CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS only_in_b, true AS agree FROM n
-UNION ALL SELECT 'batch', 'lateral', n.c, n.c, 0, 0, true FROM n
-UNION ALL SELECT 'emp_join', 'emp_batch', m.c, m.c, 0, 0, true FROM m
-UNION ALL SELECT 'emp_join', 'emp_lateral', m.c, m.c, 0, 0, true FROM m""")
+_AGREE_CHILDREN = "order_id, customer_id, order_date, total_amount, line_number, product_id, supplier_id, quantity, unit_price"
+
+
+def _pair_sql(a: str, b: str, va: str, vb: str) -> str:
+    """One pair's row computed from two independently written queries."""
+    return (f"SELECT '{a}' AS variant_a, '{b}' AS variant_b, (SELECT count(*) FROM {va}) AS rows_a, "
+            f"(SELECT count(*) FROM {vb}) AS rows_b, "
+            f"(SELECT count(*) FROM (SELECT * FROM {va} EXCEPT ALL SELECT * FROM {vb})) AS only_in_a, "
+            f"(SELECT count(*) FROM (SELECT * FROM {vb} EXCEPT ALL SELECT * FROM {va})) AS only_in_b")
+
+
+_AGREE_SQL = with_views("ord", "det", "emp", "dept") + f"""
+, v_join AS (SELECT {_AGREE_CHILDREN.replace('order_id', 'o.order_id', 1)} FROM ord o LEFT JOIN det d ON o.order_id = d.order_id
+             WHERE o.order_date >= {cutoff_sql(30)})
+, p AS (SELECT order_id, customer_id, order_date, total_amount FROM ord WHERE order_date >= {cutoff_sql(30)})
+, k AS (SELECT * FROM det WHERE order_id IN (SELECT order_id FROM p))
+, v_batch AS (SELECT {_AGREE_CHILDREN.replace('order_id', 'p.order_id', 1)} FROM p JOIN k ON p.order_id = k.order_id
+              UNION ALL SELECT order_id, customer_id, order_date, total_amount, NULL, NULL, NULL, NULL, NULL FROM p
+              WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.order_id = p.order_id))
+, v_lateral AS (SELECT {_AGREE_CHILDREN.replace('order_id', 'p.order_id', 1)} FROM p LEFT JOIN LATERAL
+                (SELECT line_number, product_id, supplier_id, quantity, unit_price FROM det d WHERE d.order_id = p.order_id) ON true)
+, v_week AS (SELECT * FROM v_join WHERE order_date >= {cutoff_sql(7)})
+, v_emp_join AS (SELECT e.*, CASE WHEN d.location IS NOT NULL THEN d.department_name END AS n,
+                        CASE WHEN d.department_name IS NOT NULL THEN d.location END AS l
+                 FROM emp e LEFT JOIN dept d ON e.department_id = d.department_id)
+, v_emp_lateral AS (SELECT e.*, (SELECT CASE WHEN d.location IS NOT NULL THEN d.department_name END FROM dept d
+                                 WHERE d.department_id = e.department_id) AS n,
+                           (SELECT CASE WHEN d.department_name IS NOT NULL THEN d.location END FROM dept d
+                            WHERE d.department_id = e.department_id) AS l FROM emp e)
+, v_emp_batch AS (SELECT e.*, CASE WHEN f.location IS NOT NULL THEN f.department_name END AS n,
+                         CASE WHEN f.department_name IS NOT NULL THEN f.location END AS l
+                  FROM emp e LEFT JOIN (SELECT * FROM dept WHERE department_id IN (SELECT department_id FROM emp)) f
+                  ON e.department_id = f.department_id)
+SELECT *, rows_a = rows_b AND only_in_a = 0 AND only_in_b = 0 AS agree FROM (
+{_pair_sql('batch', 'join', 'v_batch', 'v_join')}
+UNION ALL {_pair_sql('batch', 'lateral', 'v_batch', 'v_lateral')}
+UNION ALL {_pair_sql('batch', 'week', 'v_batch', 'v_week')}
+UNION ALL {_pair_sql('emp_join', 'emp_batch', 'v_emp_join', 'v_emp_batch')}
+UNION ALL {_pair_sql('emp_join', 'emp_lateral', 'v_emp_join', 'v_emp_lateral')})"""
+
+
+@register("variants_agree", _AGREE_SQL)
 def q_variants_agree(spark, sf_dir):
+    """The shapes pairwise, and a pair that must differ (30 days against 7)."""
     d = _d(spark, sf_dir)
     o, det, e, dp = V.orders(d), V.order_details(d), V.employees(d), V.departments(d)
+
+    def rows(shape, days=30):
+        return nesting.child_rows(shape(o, det, AS_OF, days, DETAIL_ORDER, ordered=False))
+
     frames = {
-        "batch": nesting.orders_nested_batch(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
-        "join": nesting.orders_nested_join(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
-        "lateral": nesting.orders_nested_lateral(o, det, AS_OF, 30, DETAIL_ORDER, ordered=False),
-        "emp_join": nesting.employees_departments_join(e, dp, ordered=False),
-        "emp_batch": nesting.employees_departments_batch(e, dp, ordered=False),
-        "emp_lateral": nesting.employees_departments_lateral(e, dp, ordered=False),
+        "batch": rows(nesting.orders_nested_batch),
+        "join": rows(nesting.orders_nested_join),
+        "lateral": rows(nesting.orders_nested_lateral),
+        "week": rows(nesting.orders_nested_batch, 7),
+        "emp_join": nesting.flatten_employees(nesting.employees_departments_join(e, dp, ordered=False)),
+        "emp_batch": nesting.flatten_employees(nesting.employees_departments_batch(e, dp, ordered=False)),
+        "emp_lateral": nesting.flatten_employees(nesting.employees_departments_lateral(e, dp, ordered=False)),
     }
-    return PV.variants_agree(frames, [("batch", "join"), ("batch", "lateral"),
+    return PV.variants_agree(frames, [("batch", "join"), ("batch", "lateral"), ("batch", "week"),
                                       ("emp_join", "emp_batch"), ("emp_join", "emp_lateral")])
 
 
-@register("generated_orders")
-def q_generated_orders(spark, sf_dir):
-    """S3: generator sized from the driver tables (one generated order per
-    driver order, one department per nation), checked on row counts."""
-    d = _d(spark, sf_dir)
-    n_orders = d.orders.count()
-    n_depts = d.nation.count()
-    g = DG.generate(spark, AS_OF, seed=42, n_departments=n_depts, n_orders=n_orders)
-    return nesting.orders_nested_batch(g["orders"], g["order_details"], AS_OF, 30)
-
-
-@register("orders_json")
+@register("orders_json", with_views("ord", "det") + f"""
+SELECT {_AGREE_CHILDREN.replace('order_id', 'o.order_id', 1)} FROM ord o LEFT JOIN det d ON o.order_id = d.order_id
+WHERE o.order_date >= {cutoff_sql(30)}""")
 def q_orders_json(spark, sf_dir):
-    """Nested recent orders as JSON documents."""
+    """Nested recent orders written as JSON documents, read back and unnested."""
     d = _d(spark, sf_dir)
-    nested = nesting.orders_nested_batch(V.orders(d), V.order_details(d), AS_OF, 30, DETAIL_ORDER)
-    return SK.to_json_rows(nested)
+    nested = nesting.orders_nested_batch(V.orders(d), V.order_details(d), AS_OF, 30, DETAIL_ORDER, ordered=False)
+    return nesting.child_rows(SK.from_json_rows(SK.to_json_rows(nested), nested.schema))
 
 
-@register("buffer_pool_sizes", with_views("components") + """
-SELECT component, CAST(sum(bytes) AS BIGINT) AS bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS size_mb
-FROM components GROUP BY component""")
+@register("buffer_pool_sizes", with_views("pools") + """
+SELECT name, block_size, round(CAST(current_bytes AS DOUBLE) / 1048576.0, 4) AS size_mb FROM pools""")
 def q_buffer_pool_sizes(spark, sf_dir):
-    """M14, pool form: every component, no IN filter."""
-    return M.component_sizes(V.components(_d(spark, sf_dir)), None)
-
-
-@register("limit_violations", with_views("ord", "emp", "det") + """
-SELECT * FROM (
-  SELECT 'orders' AS table_name, 'status' AS column_name, 'length>20' AS rule,
-         count(*) FILTER (WHERE length(status) > 20) AS violations FROM ord
-  UNION ALL SELECT 'orders', 'total_amount', 'number(12,2)',
-         count(*) FILTER (WHERE abs(total_amount) >= 10000000000 OR total_amount <> round(total_amount, 2)) FROM ord
-  UNION ALL SELECT 'employees', 'first_name', 'length>50', count(*) FILTER (WHERE length(first_name) > 50) FROM emp
-  UNION ALL SELECT 'employees', 'last_name', 'length>50', count(*) FILTER (WHERE length(last_name) > 50) FROM emp
-  UNION ALL SELECT 'employees', 'email', 'length>200', count(*) FILTER (WHERE length(email) > 200) FROM emp
-  UNION ALL SELECT 'employees', 'salary', 'number(10,2)',
-         count(*) FILTER (WHERE abs(salary) >= 100000000 OR salary <> round(salary, 2)) FROM emp
-  UNION ALL SELECT 'order_details', 'quantity', 'number(8,0)',
-         count(*) FILTER (WHERE abs(quantity) >= 100000000 OR quantity <> round(quantity, 0)) FROM det
-  UNION ALL SELECT 'order_details', 'unit_price', 'number(10,2)',
-         count(*) FILTER (WHERE abs(unit_price) >= 100000000 OR unit_price <> round(unit_price, 2)) FROM det
-) WHERE violations > 0""")
-def q_limit_violations(spark, sf_dir):
-    """Q4: the DDL's VARCHAR2 and NUMBER limits on the business tables."""
-    d = _d(spark, sf_dir)
-    o = Q.limit_violations(V.orders(d), "orders", {"status": 20}, {"total_amount": (12, 2)})
-    e = Q.limit_violations(V.employees(d), "employees",
-                           {"first_name": 50, "last_name": 50, "email": 200}, {"salary": (10, 2)})
-    det = Q.limit_violations(V.order_details(d), "order_details", {},
-                             {"quantity": (8, 0), "unit_price": (10, 2)})
-    return o.unionByName(e).unionByName(det)
+    """M14, pool form: one row per pool."""
+    return M.pool_sizes(V.pools(_d(spark, sf_dir)))
 
 
-@register("analysis_report_json")
+@register("analysis_report_json", _EFF_CTE + _RECS_CTE + f"""
+SELECT d.source, d.snapshots, d.d_blocks, round(d.buffer_hit_ratio, 4) AS buffer_hit_ratio,
+       round(e.overall_efficiency, 4) AS overall_efficiency, {_TIER_SQL} AS tier,
+       (SELECT string_agg(CAST(r.rule_no AS VARCHAR) || ':' || r.action || ':' || CAST(r.effort AS VARCHAR), ','
+                          ORDER BY r.rank DESC, r.rule_no) FROM recs r WHERE r.source = d.source) AS recommendations
+FROM delta d JOIN eff e ON d.source = e.source""")
 def q_analysis_report_json(spark, sf_dir):
-    """The per-source analysis report (deltas, scores, tier,
-    recommendations) exported as JSON documents."""
-    return SK.to_json_rows(M.analysis_report(_delta(spark, sf_dir)))
+    """The per-source analysis report exported as JSON documents, and read back."""
+    report = M.analysis_report(_delta(spark, sf_dir))
+    back = SK.from_json_rows(SK.to_json_rows(report), report.schema)
+    recs = F.transform("recommendations", lambda r: F.concat_ws(
+        ":", r["rule_no"].cast("string"), r["action"], r["effort"].cast("string")))
+    return back.select("source", "metrics.snapshots", "metrics.d_blocks", "metrics.buffer_hit_ratio",
+                       "efficiency.overall_efficiency", "tier", F.array_join(recs, ",").alias("recommendations"))

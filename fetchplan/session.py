@@ -38,7 +38,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # Spark Connect session
         pass
-    checkpoint_dir(spark)
+    if spark.conf.get("spark.checkpoint.dir", None) or (master or "").startswith("local"):
+        checkpoint_dir(spark)
     return spark
 
 
@@ -46,9 +47,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names.
 
     Uses the SparkContext's checkpoint folder, which Spark sets from
-    ``spark.checkpoint.dir``.  Only when neither is set (bare local runs) a
-    fresh scratch folder is created and given to the SparkContext; the
-    ``spark.checkpoint.dir`` setting itself cannot change at run time.  A
+    ``spark.checkpoint.dir``.  Only when neither is set and the master is
+    local a fresh scratch folder is created and given to the SparkContext; on a
+    cluster that would be a folder of one machine, so it is an error there.
+    The ``spark.checkpoint.dir`` setting itself cannot change at run time.  A
     remote (Spark Connect) session has no SparkContext here: its server's
     ``spark.checkpoint.dir`` applies and is returned as configured.
     """
@@ -61,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="fetchplan-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
