@@ -6,9 +6,13 @@ The expected grade is the sum of these, and the tail probability of the top
 grade selects documents.
 
 Features are whether a lower-cased word (outer ASCII punctuation stripped)
-occurs, hashed to ``2**BITS`` buckets, and binned shares of capitals, digits,
-punctuation, blanks and non-ASCII bytes, of repeated lines, and of repeated
-words.  Buckets that fewer than ``MIN_DOCS`` fitted documents show have weight 0.
+occurs, hashed to ``2**BITS`` buckets, and binned shares of small letters,
+capitals, digits, punctuation, blanks and non-ASCII bytes, of repeated lines, of
+words equal to the one before, and of different words.  A bucket takes part if
+at least ``MIN_DOCS`` fitted documents show it and its share differs between
+grades below and above some threshold by ``MIN_Z`` standard errors; others have
+weight 0.  Weights are at most 0: features count against a document only, so
+a short text is not turned away for lacking signs of quality.
 
 The model is fitted on a bounded sample of rated documents (``FIT_ROWS``, by
 hash of the id; a parameter); scoring covers all whole texts.  A document's
@@ -22,6 +26,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +38,14 @@ from fetchplan.llm.columns import per_row, texts
 
 BITS = 20
 FIT_ROWS = 12_000
-MIN_DOCS = 4
-ROUNDS = 150
+MIN_DOCS = 6
+MIN_Z = 4.5
+ROUNDS = 2000
+#: Shares of bytes by kind, and how many bytes of them each text is given, so that a few bytes don't make a share.
+USUAL = (0.80, 0.02, 0.01, 0.02, 0.15, 0.0)
+USUAL_BYTES = 64
+#: Shares of repeated lines and words that count as features when reached.
+REPEATS = (0.05, 0.1, 0.2, 0.4)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 GRADES = 3
 
@@ -77,10 +89,13 @@ class Features:
                 found.append(b)
         coded = text.encode("utf-8", "replace")
         share = np.bincount(np.frombuffer(coded, np.uint8), minlength=256)
-        share = np.bincount(self.kinds, weights=share, minlength=6) / max(1, len(coded))
+        share = np.bincount(self.kinds, weights=share, minlength=6) + USUAL_BYTES * np.array(USUAL)
+        share /= len(coded) + USUAL_BYTES
         lines = [x for x in text.split("\n") if x]
         found += [self._shape(f"k{k}", x) for k, x in enumerate(share.tolist())]
-        found.append(self._shape("lines", 1 - len(set(lines)) / len(lines) if lines else 0.0))
+        again = sum(map(eq, words, islice(words, 1, None))) / max(32, len(words))
+        for name, value in (("lines", 1 - len(set(lines)) / len(lines) if lines else 0.0), ("runs", again)):
+            found += [self._shape(name, step) for step in REPEATS if value >= step]
         found.append(self._shape(f"words{len(words).bit_length()}", len(distinct) / max(1, len(words))))
         return np.unique(np.array(found, np.int64))
 
@@ -105,20 +120,41 @@ class Model:
         return _sigmoid(latent[:, None] - self.thresholds)
 
 
+def telling(flat: np.ndarray, grade_of: np.ndarray, grades: np.ndarray, n_grades: int, size: int, min_docs: int,
+            min_z: float) -> np.ndarray:
+    """Whether each bucket's share of documents differs enough between the grades at and below some threshold."""
+    docs = np.bincount(grades, minlength=n_grades)
+    shown = np.stack([np.bincount(flat[grade_of == k], minlength=size) for k in range(n_grades)])
+    total, best = shown.sum(axis=0), np.zeros(size)
+    p = total / max(1, len(grades))
+    for k in range(1, n_grades):
+        above, below = docs[k:].sum(), docs[:k].sum()
+        if above and below:
+            error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / above + 1 / below))
+            best = np.maximum(best, np.abs(shown[k:].sum(axis=0) / above - shown[:k].sum(axis=0) / below) / error)
+    return (total >= min_docs) & (best >= min_z)
+
+
 def fit_rows(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, bits: int = BITS, rounds: int = ROUNDS,
-             min_docs: int = MIN_DOCS, ridge: float = 1e-4, rate: float = 0.05) -> Model:
+             min_docs: int = MIN_DOCS, min_z: float = MIN_Z, ridge: float = 1e-6, rate: float = 0.1) -> Model:
     """Adam on the cumulative-link likelihood, grades weighted by the inverse root of their frequency."""
     weights, cuts = np.zeros(1 << bits, np.float64), n_grades - 1
     if not len(rows):
         return Model(weights.astype(np.float32), np.zeros(cuts))
     flat = np.concatenate(rows)
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    used = np.bincount(flat, minlength=1 << bits) >= min_docs
-    of, flat = of[used[flat]], flat[used[flat]]
-    names, at = np.unique(flat, return_inverse=True)
+    used = telling(flat, grades[of], grades, n_grades, 1 << bits, min_docs, min_z)
     freq = np.bincount(grades, minlength=n_grades)
     w = (1 / np.sqrt(np.maximum(freq, 1)))[grades]
+    same: dict[tuple, float] = {}  # documents alike in grade and features are one row
+    for r, grade_, weight in zip(rows, grades.tolist(), w.tolist(), strict=True):
+        key = (grade_, r[used[r]].tobytes())
+        same[key] = same.get(key, 0.0) + weight
+    rows = [np.frombuffer(x, flat.dtype) for _, x in same]
+    grades, w = np.array([k for k, _ in same]), np.array(list(same.values()))
     w /= w.sum()
+    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    names, at = np.unique(np.concatenate(rows), return_inverse=True)
     theta = np.concatenate([np.zeros(len(names)), [-1.0], np.zeros(cuts - 1)])  # weights, first threshold, log gaps
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     k = len(names)
@@ -137,6 +173,7 @@ def fit_rows(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, bits: in
                             [gaps[j] * g_cut[j + 1:].sum() for j in range(cuts - 1)]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        theta[:k] = np.minimum(theta[:k], 0.0)
     weights[names] = theta[:k]
     return Model(weights.astype(np.float32), theta[k] + np.concatenate([[0.0], np.cumsum(np.exp(theta[k + 1:]))]))
 
