@@ -19,6 +19,17 @@ def query(fn):
     return fn
 
 
+def oracle(name: str, sql: str) -> None:
+    """DuckDB SQL with the rows of query ``name``, where SQL can express them."""
+    ORACLE[name] = sql
+
+
+#: Words as hashing.py takes them: A-Z lower-cased, split at blanks.
+_WORDS = """words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents)"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +47,20 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+oracle("op2_ngram_jaccard", f"""WITH RECURSIVE {_WORDS},
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 4 THEN list_aggregate(w[i:i + 3], 'string_agg', ' ')
+                                   ELSE list_aggregate(w, 'string_agg', ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(d.doc_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = d.doc_id), d.doc_id)) AS component_id,
+       (SELECT count(*) FROM links l WHERE l.x = d.doc_id) AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
@@ -61,6 +86,17 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+oracle("op6_embedding_near_dedup", """WITH RECURSIVE
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+       WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND a.size > 0 AND b.size > 0
+          WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+c AS (SELECT v.vec_id, least(v.vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = v.vec_id), v.vec_id)) AS component_id FROM v)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.x = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c""")
+
+
 @query
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest embeddings of every row whose vec_id is divisible by 50."""
@@ -85,5 +121,31 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document against all others."""
-    return lm.backoff_scores(table(spark, sf_dir, "documents"))
+    """Stupid-backoff score of every document against all others, sums rounded to 4 places."""
+    scores = lm.backoff_scores(table(spark, sf_dir, "documents"))
+    return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
+oracle("op10_lm_scores", f"""WITH {_WORDS},
+t AS (SELECT doc_id, i, w, lag(w) OVER o AS p, lag(w, 2) OVER o AS q
+      FROM (SELECT doc_id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM words) WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c1 AS (SELECT w, count(*) AS c FROM t GROUP BY w), o1 AS (SELECT doc_id, w, count(*) AS c FROM t GROUP BY ALL),
+c2 AS (SELECT p, w, count(*) AS c FROM t WHERE i > 1 GROUP BY ALL), o2 AS (SELECT doc_id, p, w, count(*) AS c FROM t WHERE i > 1 GROUP BY ALL),
+c3 AS (SELECT q, p, w, count(*) AS c FROM t WHERE i > 2 GROUP BY ALL),
+o3 AS (SELECT doc_id, q, p, w, count(*) AS c FROM t WHERE i > 2 GROUP BY ALL),
+size AS (SELECT doc_id, len(w) AS n, sum(len(w)) OVER () AS corpus FROM words),
+counted AS (
+  SELECT t.doc_id, t.i, c1.c - o1.c AS n1, c2.c - o2.c AS n2, c3.c - o3.c AS n3,
+         lag(c1.c - o1.c) OVER o AS before1, lag(c2.c - o2.c) OVER o AS before2, greatest(size.corpus - size.n, 1) AS rest
+  FROM t JOIN size USING (doc_id) JOIN c1 USING (w) JOIN o1 USING (doc_id, w)
+  LEFT JOIN c2 ON c2.p = t.p AND c2.w = t.w LEFT JOIN o2 ON o2.doc_id = t.doc_id AND o2.p = t.p AND o2.w = t.w
+  LEFT JOIN c3 ON c3.q = t.q AND c3.p = t.p AND c3.w = t.w
+  LEFT JOIN o3 ON o3.doc_id = t.doc_id AND o3.q = t.q AND o3.p = t.p AND o3.w = t.w
+  WINDOW o AS (PARTITION BY t.doc_id ORDER BY t.i)),
+one AS (SELECT *, ln(greatest(CAST(n1 AS DOUBLE), 0.5)) - ln(rest) AS s1 FROM counted),
+two AS (SELECT *, CASE WHEN i < 2 THEN s1 WHEN n2 > 0 THEN ln(n2) - ln(before1) ELSE s1 + ln(0.4) END AS s2 FROM one),
+three AS (SELECT *, CASE WHEN i < 3 THEN s2 WHEN n3 > 0 THEN ln(n3) - ln(before2) ELSE s2 + ln(0.4) END AS s3 FROM two),
+sums AS (SELECT doc_id, sum(s3) AS s, count(*) FILTER (WHERE n3 > 0) AS f FROM three GROUP BY doc_id)
+SELECT size.doc_id, CAST(size.n AS BIGINT) AS n_words, coalesce(f, 0) AS n_full, round(coalesce(s, 0.0), 4) AS log_score,
+       CASE WHEN size.n > 0 THEN round(s / size.n, 4) END AS mean_log_score
+FROM size LEFT JOIN sums ON sums.doc_id = size.doc_id""")
