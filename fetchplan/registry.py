@@ -544,8 +544,8 @@ def _round_sql(cte: str, columns: dict[str, bool], table: str) -> str:
 
 
 _DELTA_CTE = with_views("counter_snapshots") + f"""
-, s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY taken_at, snapshot_no) AS rn_i,
-               row_number() OVER (PARTITION BY source ORDER BY taken_at DESC, snapshot_no DESC) AS rn_f,
+, s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY snapshot_no) AS rn_i,
+               row_number() OVER (PARTITION BY source ORDER BY snapshot_no DESC) AS rn_f,
                count(*) OVER (PARTITION BY source) AS snapshots FROM counter_snapshots)
 , i AS (SELECT * FROM s WHERE rn_i = 1)
 , f AS (SELECT * FROM s WHERE rn_f = 1)
