@@ -1,23 +1,45 @@
 """A tokenizers vocabulary with a bounded memo of the pieces between blanks.
 
-A byte-level or word vocabulary never lets a token reach across a blank that
-follows a visible character, so a text's tokens are those of its pieces in
-order: each piece holds its leading blank where the vocabulary keeps blanks,
-and is encoded by the library once for as long as the memo holds it.  Special
-strings hold no blank and so lie within one piece.
+A byte-level or word vocabulary never lets a token reach across a blank or line
+feed that follows a visible character, so a text's tokens are those of its
+pieces in order: each piece holds its leading blank or line feed where the
+vocabulary keeps them, and is encoded by the library once for as long as the memo
+holds it.  Special strings hold neither and so lie within one piece.
+
+A piece of plain letters goes to the library's merge model directly: the steps before
+it (normal forms, small letters, the split before the merges) do nothing else
+to it.  A final comma or full stop behind letters is split off first, as the
+split before the merges does.  All other pieces go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
+#: ASCII and Latin-1 letters: each is its own normal form and has one small letter.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: White space before a blank or line feed, where no cut is proven.
+_BLANKS = re.compile(r"\s[ \n]")
+
+
+def _byte_names() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: itself if it is printable, else the next letter from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_NAMES = _byte_names()
+
 
 class Pieces:
-    #: Pieces the memo holds before it starts afresh; bounds a worker's memory, not the result.
-    MEMO = 400_000
+    #: Pieces a generation of the memo holds; the one before is kept too.  Bounds a worker's memory, not the result.
+    MEMO = 700_000
     #: Longer pieces are encoded anew each time.
     LONG = 256
 
@@ -26,16 +48,21 @@ class Pieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.keeps_blanks = keeps_blanks
         self.ids: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         """Pieces of the text; their concatenation (with blanks, if kept) encodes as the text does."""
-        parts = text.split(" ")
         if not self.keeps_blanks:
-            return [p for p in parts if p]
-        out = [parts[0], *[" " + p for p in parts[1:]]]
-        if "  " not in text and not any(p[-1:].isspace() for p in out):
+            return [p for p in text.replace("\n", " ").split(" ") if p]
+        out: list[str] = []
+        for n, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            out.append("\n" + first if n else first)
+            out += [" " + p for p in rest]
+        if not _BLANKS.search(text):
             return out if out[0] else out[1:]
         whole: list[str] = []
         for p in out:  # a cut is proven only where the character before the blank is visible
@@ -45,25 +72,51 @@ class Pieces:
                 whole.append(p)
         return [p for p in whole if p]
 
+    def _letters(self, piece: str) -> bytes | None:
+        """Ids of a piece of letters (behind its blank or line feed); None for any other."""
+        lead, word = b"", piece
+        if self.keeps_blanks and piece[:1] in (" ", "\n"):
+            word = piece[1:]
+            if piece[0] == "\n":
+                lead, piece = self.ends["\n"], word
+        if not _LETTERS.fullmatch(word):
+            return None
+        if not self.keeps_blanks:
+            piece = piece.lower()
+        name = piece.replace(" ", _NAMES[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(_NAMES)
+        ids = [t.id for t in self.model.tokenize(name)]
+        return lead + struct.pack(f"<{len(ids)}I", *ids)
+
     def learn(self, pieces) -> None:
         """Encode the pieces that the memo lacks."""
-        new = list(set(pieces).difference(self.ids))
-        if not new:
-            return
+        new = set(pieces).difference(self.ids)
         if len(self.ids) + len(new) > self.MEMO:
-            self.ids = {}
-            new = list(set(pieces))
-        for at in range(0, len(new), 50_000):
-            some = new[at:at + 50_000]
+            self.before, self.ids = self.ids, {}
+            new = set(pieces)
+        whole = []
+        for p in new:
+            known = self.before.get(p)
+            if known is None and p[-1:] in (",", ".") and (known := self._letters(p[:-1])) is not None:
+                known += self.ends[p[-1]]
+            if known is None and (known := self._letters(p)) is None:
+                whole.append(p)
+            else:
+                self.ids[p] = known
+        for at in range(0, len(whole), 50_000):
+            some = whole[at:at + 50_000]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.ids[p] = np.array(e.ids, dtype="<u4").tobytes()
 
+    @property
+    def ends(self) -> dict[str, bytes]:
+        """Ids of a comma, a full stop and a line feed."""
+        if "_ends" not in self.__dict__:
+            self._ends = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in ",.\n"}
+        return self._ends
+
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         pieces = self.split(text)
-        return self.encoded(pieces)
-
-    def encoded(self, pieces: list[str]) -> bytes:
         try:
             return b"".join(map(self.ids.__getitem__, pieces))
         except KeyError:
