@@ -3,7 +3,7 @@
 Runs every query once to warm up, then each ``BENCH_RUNS`` (default 5) times, and
 records the median wall time per query.  Each run executes the full plan
 into Spark's ``noop`` sink, so nothing is collected to the driver.  Shuffle
-bytes per query come from Spark's event log, written to a fresh scratch
+bytes and jobs per query come from Spark's event log, written to a fresh scratch
 folder.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
@@ -39,7 +39,7 @@ HEADLINE = [
 
 
 def _shuffle_bytes(log_dir: str) -> dict[str, dict[str, int]]:
-    """Per job group: shuffle bytes written and records written, from the event log."""
+    """Per job group: shuffle bytes and records written, and jobs run, from the event log."""
     files = [os.path.join(root, f) for root, _, fs in os.walk(log_dir) for f in fs
              if not f.startswith(".") and not f.startswith("appstatus")]
     stage_group: dict[int, str] = {}
@@ -55,13 +55,15 @@ def _shuffle_bytes(log_dir: str) -> dict[str, dict[str, int]]:
                 if kind == "SparkListenerJobStart":
                     group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
                     if group:
+                        g = out.setdefault(group, {"bytes": 0, "records": 0, "jobs": 0})
+                        g["jobs"] += 1
                         for sid in ev.get("Stage IDs", []):
                             stage_group[sid] = group
                 elif kind == "SparkListenerTaskEnd":
                     group = stage_group.get(ev.get("Stage ID"))
                     m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
                     if group:
-                        g = out.setdefault(group, {"bytes": 0, "records": 0})
+                        g = out.setdefault(group, {"bytes": 0, "records": 0, "jobs": 0})
                         g["bytes"] += int(m.get("Shuffle Bytes Written", 0))
                         g["records"] += int(m.get("Shuffle Records Written", 0))
     return out
@@ -152,7 +154,7 @@ def main() -> None:
         shuffle = {}
     per_query_shuffle = {}
     for name in names:
-        g = shuffle.get(f"run0:{name}", {"bytes": 0, "records": 0})
+        g = shuffle.get(f"run0:{name}", {"bytes": 0, "records": 0, "jobs": 0})
         per_query_shuffle[name] = g
 
     def ratio(a, b):
