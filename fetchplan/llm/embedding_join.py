@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.components import connected_components
+from fetchplan.llm.components import connected_components, forest
 from fetchplan.llm.vectors import cosine, dimension, matrix, unit, valid
 from fetchplan.session import checkpoint_dir
 
@@ -97,19 +97,6 @@ class SequenceTree:
         return np.sort(at)
 
 
-def _forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Smallest local node reachable through the links (u, v)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[u], label[v])
-        before = label.copy()
-        np.minimum.at(label, u, low)
-        np.minimum.at(label, v, low)
-        label = label[label]
-        if np.array_equal(before, label):
-            return label
-
-
 class PairJoin:
     """Joins two blocks (or one with itself) by halving intervals down to tiles."""
 
@@ -143,7 +130,7 @@ class PairJoin:
         np.add.at(self.links_a, i, b["n"][j])
         np.add.at(self.links_b, j, a["n"][i])
         lo, width = i0, i1 - i0
-        label = _forest(width + j1 - j0, i - lo, j - j0 + width)
+        label = forest(width + j1 - j0, i - lo, j - j0 + width)
         ids = np.concatenate([a["id"][i0:i1], b["id"][j0:j1]])
         moved = np.flatnonzero(label != np.arange(len(label)))
         self.edges.append((ids[moved], ids[label[moved]]))

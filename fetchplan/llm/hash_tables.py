@@ -15,20 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import buffers, row_blocks
-from fetchplan.llm.hashing import word_hashes
+from fetchplan.llm.columns import buffers, release, row_blocks
+from fetchplan.llm.hashing import count_words, word_hashes
 
-BUCKET_BYTES = 16 << 20
-RANGE_ROWS = 3_000_000
+BUCKET_BYTES = 8 << 20
+RANGE_ROWS = 2_000_000
 BLOCK_BYTES = 4 << 20
 _BLOB = "part int, bucket int, n long, blob binary"
 
 
-def text_words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and word offsets of a column of texts, by blocks of bytes."""
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays([c.cast(pa.large_string()) for c in column.chunks]) if column.num_chunks else pa.array([], pa.large_string())
-    data, offsets = buffers(column)
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and word offsets of texts given as bytes, by blocks."""
     words, ends, before = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
     for a, b in row_blocks(offsets, BLOCK_BYTES):
         w, at = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
@@ -45,7 +42,7 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
         for batch in batches:
             data, offsets = buffers(batch.column(0))
             for a, b in row_blocks(offsets, BLOCK_BYTES):
-                words += len(word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])[0])
+                words += count_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             size += int(offsets[-1])
         yield pa.RecordBatch.from_pydict({"size": pa.array([size], pa.int64()), "words": pa.array([words], pa.int64())})
 
@@ -54,9 +51,37 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
 
 
 def deal(rows: DataFrame, n_buckets: int) -> DataFrame:
-    """Documents (doc_id, text) with a bucket each, partitioned by it."""
-    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)).cast("int")
-    return rows.withColumn("bucket", bucket).repartition(n_buckets, "bucket")
+    """Documents (doc_id, text) by bucket, as compressed texts of each task's rows; read with ``open_bucket``."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order = np.argsort(batch.column(2).to_numpy(), kind="stable")
+            batch = batch.take(pa.array(order))
+            bucket = batch.column(2).to_numpy()
+            data, offsets = buffers(batch.column(1))
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
+            parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            lists = [pa.array(cuts, pa.int32()), pa.array(np.diff(offsets))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[:-1]], pa.int32()), pa.ListArray.from_arrays(lists[0], batch.column(0)),
+                 pa.ListArray.from_arrays(lists[0], lists[1]),
+                 pa.array([pa.compress(data[offsets[a]:offsets[b]].tobytes(), codec="zstd", asbytes=True) for a, b in parts], pa.binary())],
+                names=["bucket", "ids", "sizes", "texts"])
+
+    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)).cast("int").alias("bucket")
+    packed = rows.select("doc_id", "text", bucket).mapInArrow(
+        run, f"bucket int, ids array<{kind}>, sizes array<long>, texts binary")
+    return packed.repartition(n_buckets, "bucket")
+
+
+def open_bucket(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """A bucket's document ids, the bytes of its texts and their offsets."""
+    ids = pa.concat_arrays([x.flatten() for x in table.column("ids").chunks])
+    sizes = [x.as_py() for x in table.column("sizes")]
+    texts = [pa.decompress(x.as_py(), sum(n), codec="zstd", asbytes=True) if sum(n) else b""
+             for x, n in zip(table.column("texts"), sizes, strict=True)]
+    return ids, np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([k for n in sizes for k in n])]).astype(np.int64)
 
 
 def _planes(x: np.ndarray, kind: str) -> bytes:
@@ -95,6 +120,8 @@ def corpus_counts(dealt: DataFrame, count: Callable[[pa.Table], tuple[np.ndarray
         cuts = np.concatenate([[0], np.searchsorted(hashes, range_ends(n_ranges), "right")])
         some = np.flatnonzero(np.diff(cuts))
         blobs = [pack(hashes[cuts[k]:cuts[k + 1]], counts[cuts[k]:cuts[k + 1]]) for k in some]
+        del hashes, counts
+        release()
         return pa.table({"part": pa.array(some, pa.int32()), "bucket": pa.array([key[0].as_py()] * len(some), pa.int32()),
                          "n": pa.array(np.diff(cuts)[some], pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
@@ -105,6 +132,8 @@ def corpus_counts(dealt: DataFrame, count: Callable[[pa.Table], tuple[np.ndarray
         sums = np.bincount(at, weights=np.concatenate([c for _, c in got])).astype(np.int64)[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         blobs = [pa.compress(_planes(sums[a:b], "<i8"), codec="zstd", asbytes=True) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        del got, at, sums
+        release()
         return pa.table({"part": table.column("part"), "bucket": table.column("bucket"), "n": table.column("n"),
                          "blob": pa.array(blobs, pa.binary())})
 

@@ -37,6 +37,15 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def count_words(data: np.ndarray, offsets: np.ndarray) -> int:
+    """Words of all texts together."""
+    first = ~_BLANK[data]
+    behind = np.ones(len(data) + 1, bool)
+    behind[1:] = ~first
+    behind[offsets] = True
+    return int(np.count_nonzero(first & behind[:-1]))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word in order, and the number of words before each text (one more than texts)."""
     n = len(data)

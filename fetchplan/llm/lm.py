@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.hash_tables import BUCKET_BYTES, RANGE_ROWS, corpus_counts, corpus_size, deal, text_words, totals_of
+from fetchplan.llm.columns import release
+from fetchplan.llm.hash_tables import BUCKET_BYTES, RANGE_ROWS, corpus_counts, corpus_size, deal, open_bucket, text_words, totals_of
 from fetchplan.llm.hashing import ngrams
 
 ORDER = 3
@@ -52,36 +53,44 @@ def tables(words: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray,
     return np.unique(np.concatenate([grams(words, ends, n)[0] for n in range(1, order + 1)]), return_counts=True)
 
 
-def score_texts(words: np.ndarray, ends: np.ndarray, order: int, alpha: float, known: np.ndarray, totals: np.ndarray,
-                corpus: int, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of log scores and words scored at the full order, by text; ``totals`` belong to the sorted n-grams ``known``."""
+def own_counts(entry: np.ndarray, doc: np.ndarray, n_entries: int) -> np.ndarray:
+    """How often each n-gram (by its entry in the table) occurs in its own document."""
+    key = doc * np.int64(max(1, n_entries)) + entry
+    by = np.argsort(key)
+    new = np.ones(len(key), bool)
+    new[1:] = key[by][1:] != key[by][:-1]
+    own = np.empty(len(key), np.int64)
+    own[by] = np.diff(np.append(np.flatnonzero(new), len(key)))[np.cumsum(new) - 1]
+    return own
+
+
+def score_texts(words: np.ndarray, ends: np.ndarray, order: int, alpha: float, totals: np.ndarray, corpus: int,
+                leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of log scores and words scored at the full order, by text; ``totals`` belong to the sorted n-grams of ``tables``."""
     n_words, doc = np.diff(ends), np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    counts = []  # by order, at the place of the n-gram's last word
-    for n in range(1, order + 1):
-        x, at = grams(words, ends, n)
+    found = [grams(words, ends, n) for n in range(1, order + 1)]
+    place = np.concatenate([at + n for n, (_, at) in enumerate(found)])  # of each n-gram's last word
+    entry = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)[1]
+    total = totals[entry] if len(entry) else np.zeros(0, np.int64)
+    if leave_out:
+        total = total - 1  # itself; where the corpus has it once, that was all
+        again = np.flatnonzero(total > 0)
+        total[again] -= own_counts(entry[again], doc[place[again]], len(totals)) - 1
+    counts, a = [], 0  # by order, at the place of the n-gram's last word
+    for x, _ in found:
         c = np.zeros(len(words), np.float64)
-        total = totals[np.searchsorted(known, x)] if len(x) else np.zeros(0, np.int64)
-        if leave_out and len(x):
-            by = np.lexsort((x, doc[at]))
-            new = np.ones(len(x), bool)
-            new[1:] = (x[by][1:] != x[by][:-1]) | (doc[at][by][1:] != doc[at][by][:-1])
-            own = np.empty(len(x), np.int64)
-            own[by] = np.diff(np.append(np.flatnonzero(new), len(x)))[np.cumsum(new) - 1]
-            total = total - own
-        c[at + n - 1] = total
+        c[place[a:a + len(x)]] = total[a:a + len(x)]
         counts.append(c)
-    rest = np.maximum(corpus - (n_words if leave_out else 0), 1)[doc].astype(np.float64)
-    score = np.log(np.maximum(counts[0], 0.5)) - np.log(rest) if len(words) else np.zeros(0)
-    full = np.zeros(len(words), bool)
-    place = np.arange(len(words)) - np.repeat(ends[:-1], n_words)
+        a += len(x)
+    rest = np.maximum(corpus - n_words * leave_out, 1)[doc].astype(np.float64)
+    score = np.log(np.maximum(counts[0], 0.5)) - np.log(rest)
+    first = np.arange(len(words)) - np.repeat(ends[:-1], n_words)  # words before, in the text
+    full = counts[0] > 0
     for n in range(2, order + 1):  # from the shortest context up: the longest seen wins
-        has, seen = place >= n - 1, counts[n - 1] > 0
-        context = np.concatenate([[1.0], counts[n - 2][:-1]]) if len(words) else np.zeros(0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(has, np.where(seen, np.log(counts[n - 1]) - np.log(context), score + np.log(alpha)), score)
-        full = seen & has if n == order else full
-    if order == 1:
-        full = counts[0] > 0
+        has, full = first >= n - 1, counts[n - 1] > 0
+        score = np.where(has, score + np.log(alpha), score)
+        at = np.flatnonzero(full)
+        score[at] = np.log(counts[n - 1][at]) - np.log(counts[n - 2][at - 1])
     size = len(ends) - 1
     return np.bincount(doc, weights=score, minlength=size), np.bincount(doc, weights=full, minlength=size).astype(np.int64)
 
@@ -95,16 +104,18 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = deal(rows, max(1, -(-size // bucket_bytes)))
 
     def count(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return tables(*text_words(table.column("text")), order)
+        _, data, offsets = open_bucket(table)
+        return tables(*text_words(data, offsets), order)
 
     def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        words, ends = text_words(left.column("text"))
-        known = tables(words, ends, order)[0]
-        totals = totals_of(right)
-        sums, full = score_texts(words, ends, order, alpha, known, totals, corpus, leave_out)
+        ids, data, offsets = open_bucket(left)
+        words, ends = text_words(data, offsets)
+        sums, full = score_texts(words, ends, order, alpha, totals_of(right), corpus, leave_out)
+        del words, data, offsets
+        release()
         n = np.diff(ends)
         mean = np.divide(sums, n, out=np.zeros(len(n)), where=n > 0)
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(n, pa.int64()), "n_full": pa.array(full, pa.int64()),
+        return pa.table({"doc_id": ids, "n_words": pa.array(n, pa.int64()), "n_full": pa.array(full, pa.int64()),
                          "log_score": pa.array(sums, pa.float64()), "mean_log_score": pa.array(mean, pa.float64(), mask=n == 0)})
 
     counted = corpus_counts(dealt, count, n_ranges)

@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.components import connected_components
-from fetchplan.llm.hash_tables import BUCKET_BYTES, RANGE_ROWS, corpus_counts, corpus_size, deal, text_words, totals_of
+from fetchplan.llm.columns import release
+from fetchplan.llm.components import connected_components, forest
+from fetchplan.llm.hash_tables import BUCKET_BYTES, RANGE_ROWS, corpus_counts, corpus_size, deal, open_bucket, text_words, totals_of
 from fetchplan.llm.hashing import mix, ngrams
 from fetchplan.session import checkpoint_dir
 
@@ -70,19 +71,6 @@ def _ceil(a, b):
     return -(-a // b)
 
 
-def _forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Smallest local node reachable through the links (u, v)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[u], label[v])
-        before = label.copy()
-        np.minimum.at(label, u, low)
-        np.minimum.at(label, v, low)
-        label = label[label]
-        if np.array_equal(before, label):
-            return label
-
-
 def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i in left, j in right, i != j) of sets with a Jaccard similarity of at least ``percent`` / 100."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -123,12 +111,14 @@ def document_sets(docs: DataFrame, n: int, percent: int, bucket_bytes: int, rang
     dealt = deal(docs, max(1, _ceil(size, bucket_bytes)))
 
     def count(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(shingle_sets(*text_words(table.column("text")), n)[0], return_counts=True)
+        _, data, offsets = open_bucket(table)
+        return np.unique(shingle_sets(*text_words(data, offsets), n)[0], return_counts=True)
 
     def rarest(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        x, at = shingle_sets(*text_words(left.column("text")), n)
+        ids, data, offsets = open_bucket(left)
+        x, at = shingle_sets(*text_words(data, offsets), n)
         sizes = np.diff(at)
-        df = totals_of(right)[np.searchsorted(np.unique(x), x)]
+        df = totals_of(right)[np.unique(x, return_inverse=True)[1]] if len(x) else np.zeros(0, np.int64)
         of = np.repeat(np.arange(len(sizes)), sizes)
         order = np.lexsort((x, df, of))
         kept = np.arange(len(x)) - at[:-1][of] < (sizes - _ceil(percent * sizes, 100) + 1)[of]
@@ -139,7 +129,9 @@ def document_sets(docs: DataFrame, n: int, percent: int, bucket_bytes: int, rang
         d2 = np.add.reduceat(np.append(mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)), np.uint64(0)), at[:-1]) if len(sizes) else d1
         items = [x[a:b].tobytes() if h else None for a, b, h in zip(at[:-1], at[1:], has, strict=True)]
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has)]), pa.int32()), pa.array(signed[chosen]))
-        return pa.table({"doc_id": left.column("doc_id"), "n": pa.array(sizes, pa.int64()), "d1": pa.array(d1.view(np.int64)),
+        del data, offsets, x, df, of, order, kept
+        release()
+        return pa.table({"doc_id": ids, "n": pa.array(sizes, pa.int64()), "d1": pa.array(d1.view(np.int64)),
                          "d2": pa.array(d2.view(np.int64)), "columns": lists, "items": pa.array(items, pa.binary())})
 
     counted = corpus_counts(dealt, count, max(1, _ceil(words, range_rows)))
@@ -207,7 +199,7 @@ def class_links(classes: DataFrame, percent: int, block: int = BLOCK) -> DataFra
         links = np.zeros(len(ids), np.int64)
         np.add.at(links, i, m[j])
         np.add.at(links, j, m[i])
-        label = _forest(len(ids), i, j)
+        label = forest(len(ids), i, j)
         moved = np.flatnonzero(label != every)
         some = np.flatnonzero(links)
         none = np.zeros(len(some), np.int64)
