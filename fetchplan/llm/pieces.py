@@ -39,7 +39,7 @@ _NAMES = _byte_names()
 
 class Pieces:
     #: Pieces a generation of the memo holds; the one before is kept too.  Bounds a worker's memory, not the result.
-    MEMO = 700_000
+    MEMO = 150_000
     #: Longer pieces are encoded anew each time.
     LONG = 256
 

@@ -53,7 +53,7 @@ GRADES = 3
 class Features:
     """Bucket numbers of texts; the memo of words is bounded and does not change results."""
 
-    MEMO = 400_000
+    MEMO = 100_000
 
     def __init__(self, bits: int):
         self.mask, self.memo = (1 << bits) - 1, {}
