@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import per_row, row_blocks, texts
+from fetchplan.llm.columns import per_row, release, row_blocks, texts
 
 SAMPLE_TEXTS = 64
 SAMPLE_BYTES = 16_384
@@ -153,7 +153,7 @@ class Parser:
         return best, np.clip(score, 0.0, 1.0)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def parser(references: tuple) -> Parser:
     return Parser(references)
 
@@ -207,6 +207,8 @@ def identify(docs: DataFrame, references: tuple[tuple[str, bytes], ...], text_co
                 for a, b in row_blocks(sizes, BLOCK_BYTES):
                     best, scores[a:b] = p.predict(raw[a:b])
                     names[a:b] = [p.languages[k] for k in best]
+            del raw
+            release()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     text = F.col(text_col)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import per_row, texts
+from fetchplan.llm.columns import per_row, release, texts
 
 BITS = 20
 FIT_ROWS = 12_000
@@ -229,6 +229,8 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
             raw = texts(v)
             tails = m.tails(np.array([m.weights[f.of(x)].sum(dtype=np.float64) for x in raw]))
             tails[np.array([not x for x in raw], bool)] = 0.0
+            del raw
+            release()
             yield pa.StructArray.from_arrays([pa.array(tails.sum(axis=1)), pa.array(tails[:, -1].copy()), pa.array(tails[:, -1] >= least)],
                                              ["expected_grade", "tail_probability", "selected"])
 
