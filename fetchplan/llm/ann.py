@@ -7,12 +7,12 @@ the best is opened next, and leaves come out in the order to visit them.  How
 many leaves each query visits is calibrated: the exact neighbours of a bounded
 set of queries are found by comparing those with all rows, and visits widen
 until the recall on them reaches ``recall`` (and until the leaves
-visited hold ``k`` other rows).  At the last all leaves are visited, which is
+visited hold ``k`` other ids).  At the last all leaves are visited, which is
 the exact search.
 
-Leaves of any size are split into chunks of about ``CHUNK`` rows by hash, queries
-into groups of about ``QUERIES``; each chunk and group that meet is one bounded
-task unit, and gives its best ``k`` per query.  Scores are cosines in double
+Leaves of any size are split into chunks of about ``CHUNK`` rows by hash of the
+row's number, queries into groups of about ``QUERIES``; each chunk and group that
+meet is one bounded task unit, and gives its best ``k`` ids per query.  Scores are cosines in double
 precision of the original vectors; candidates within rounding of the k-th
 are all scored exactly, so ties go to the smaller id.
 
@@ -109,15 +109,27 @@ class Tree:
 
 
 def best(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest rows (vid, v) of each query by exact cosine; equal ids never meet; ties to the smaller id."""
+    """The k nearest ids of rows (vid, v) of each query by exact cosine, an id by its nearest row; equal ids never meet; ties to the smaller id."""
     out: list[tuple] = []
+    start = np.arange(len(vid))
+    if len(np.unique(vid)) < len(vid):  # rows of one id side by side, exact repeats folded
+        order = np.lexsort((*v.T, vid))
+        vid, v = vid[order], v[order]
+        new = np.append(True, (vid[1:] != vid[:-1]) | np.any(v[1:] != v[:-1], axis=1))
+        vid, v = vid[new], v[new]
+        start = np.flatnonzero(np.append(True, vid[1:] != vid[:-1]))
     uq, uv = unit(q), unit(v)
     for a in range(0, len(q), 256):
         s = uq[a:a + 256] @ uv.T
         s[qid[a:a + 256, None] == vid] = -np.inf
-        kth = np.partition(s, -k, axis=1)[:, -k] if k < len(vid) else np.full(len(s), -2.0)
+        top = s if len(start) == len(vid) else np.maximum.reduceat(s, start, axis=1)
+        kth = np.partition(top, -k, axis=1)[:, -k] if k < len(start) else np.full(len(s), -2.0)
         i, j = np.nonzero(s >= np.maximum(kth, -2.0)[:, None] - SLACK)
         exact = cosine(q[a + i], v[j]) if len(i) else np.zeros(0)
+        if len(start) < len(vid):  # one row, the nearest, of each query and id
+            order = np.lexsort((-exact, vid[j], i))
+            order = order[np.append(True, (np.diff(i[order]) != 0) | (np.diff(vid[j[order]]) != 0))[:len(order)]]
+            i, j, exact = i[order], j[order], exact[order]
         order = np.lexsort((vid[j], -exact, i))
         i, j, exact = i[order], j[order], exact[order]
         first = np.searchsorted(i, np.arange(len(s)))
@@ -176,11 +188,14 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
         for v in values:
             yield pa.array(shared.value.assign(unit(matrix(v, d))), type=pa.int32())
 
-    filed = base.withColumn("leaf", leaf_of("v")).checkpoint()
+    filed = base.withColumn("leaf", leaf_of("v")).withColumn("row", F.monotonically_increasing_id()).checkpoint()
     asked = filed.where(is_query)
     sizes = np.zeros(tree.n_leaves, np.int64)
     for r in filed.groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
+    ids_held = np.zeros(tree.n_leaves, np.int64)  # each id counts in one leaf only
+    for r in filed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
+        ids_held[r["leaf"]] = r["count"]
     n_queries = asked.count()
 
     test = bounded(asked, calibration)
@@ -195,11 +210,11 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
 
     chunks = np.maximum(1, -(-sizes // CHUNK))
     groups = max(1, -(-n_queries // QUERIES))
-    plan = rows.sparkSession.sparkContext.broadcast((sizes, chunks))
+    plan = rows.sparkSession.sparkContext.broadcast((sizes, ids_held, chunks))
 
     @F.arrow_udf("array<struct<leaf:int,chunk:int>>")
     def to_visit(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held, split = plan.value
+        held, ids_in, split = plan.value
         kind = pa.list_(pa.struct([("leaf", pa.int32()), ("chunk", pa.int32())]))
         for v in values:
             out = []
@@ -208,7 +223,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
                 for n, leaf in enumerate(shared.value.visits(q)):
                     if n >= width and seen > k:
                         break
-                    seen += int(held[leaf])
+                    seen += int(ids_in[leaf])
                     some += [{"leaf": leaf, "chunk": c} for c in range(int(split[leaf]))] if held[leaf] else []
                 out.append(some)
             yield pa.array(out, type=kind)
@@ -222,7 +237,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
 
     many = F.lit([int(x) for x in chunks])
     stored = filed.select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), F.element_at(many, F.col("leaf") + 1)).cast("int").alias("chunk"),
+        "leaf", F.pmod(F.xxhash64("row"), F.element_at(many, F.col("leaf") + 1)).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "vec_id", "v")
     posed = (asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode(to_visit("v")).alias("at"))
              .select(F.col("at.leaf").alias("leaf"), F.col("at.chunk").alias("chunk"),

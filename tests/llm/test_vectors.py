@@ -92,6 +92,32 @@ def test_search_with_all_leaves_is_exact(spark):
     assert [x for _, _, x in copies] == [120, 121, 122, 123, 124]
 
 
+def test_repeated_ids_crowd_out_no_neighbours(spark):
+    """An id that stands more than k times beside a query is one candidate; the 2nd to k-th neighbours stay."""
+    rows, d = made()
+    near = [int(i) for _, i in next(plain_search(taking(rows, d), 2, lambda i: i == 50))[1]]
+    rows += [rows[near[0]]] * 7 + [(near[1], [float(np.float32(c * (1 + 1e-3 * n))) for c in rows[near[1]][1]], 0) for n in range(7)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search(df, F.col("vec_id") == 50, k=5, recall=1.0).collect())
+    _, want = next(plain_search(taking(rows, d), 5, lambda i: i == 50))
+    assert [x for _, x, _ in got] == [i for _, i in want] and [s for _, _, s in got] == [-s for s, _ in want]
+    part = taking(rows, d)
+    ids, v = np.array([i for i, _ in part]), np.array([x for _, x in part])
+    alone = ann.best(ids[50:51], v[50:51], ids, v, 5)
+    assert alone[1].tolist() == [i for _, i in want]
+
+
+def test_visits_widen_to_k_ids(spark):
+    """A leaf full of one id's rows does not end the visits."""
+    rng = np.random.default_rng(2)
+    a, b = np.eye(8)[0], np.eye(8)[1]
+    rows = [(0, a, 0)] + [(1, a + rng.normal(size=8) * 1e-3, 0) for _ in range(80)]
+    rows += [(k, b + rng.normal(size=8) * 1e-3, 0) for k in range(2, 120)]
+    df = spark.createDataFrame([(i, [float(c) for c in v], x) for i, v, x in rows], SCHEMA)
+    got = ann.search(df, F.col("vec_id") == 0, k=5, recall=0.0).collect()
+    assert sorted(r["rank"] for r in got) == [1, 2, 3, 4, 5] and len({r.vec_id for r in got}) == 5
+
+
 def test_search_recall(spark):
     """Calibrated visits reach the recall asked for on clustered vectors, without visiting all leaves."""
     rng = np.random.default_rng(8)
