@@ -16,8 +16,9 @@ Exact copies are one vector with a count from the start.
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components, and vectors of another length than the commonest, link with
 nothing: no links, a component of their own.  Rows with a null id link with
-nothing, and have a null component.  Rows that repeat a vec_id are one node in components, each
-row being a vector of its own in link counts.  An empty table gives no rows.
+nothing, and have a null component.  Rows that repeat a vec_id are one node in components
+(they tie the vectors they hold together), each row being a vector of its own in
+link counts.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -237,13 +238,23 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
     classes = (keyed.where("ok").groupBy("k1", "k2")
-               .agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v")).checkpoint())
-    found = near_links(classes.select("id", "n", "v"), d, threshold, block).checkpoint()
-    links = found.where("peer is null").groupBy(F.col("node").alias("id")).agg(F.sum("links").alias("links"))
-    component = connected_components(found.where("peer is not null"), "node", "peer").withColumnRenamed("node", "id")
-    facts = (classes.select("k1", "k2", "id", "n").join(links, "id", "left").join(component, "id", "left")
-             .select("k1", "k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
-    plain = keyed.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+               .agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v"))
+               .withColumn("node", F.monotonically_increasing_id()).checkpoint())  # classes may share their smallest id
+    found = near_links(classes.select(F.col("node").alias("id"), "n", "v"), d, threshold, block).checkpoint()
+    links = found.where("peer is null").groupBy("node").agg(F.sum("links").alias("links"))
+    again = (keyed.where("ok").groupBy("vec_id").agg(*(f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in ("k1", "k2")))
+             .where("min_k1 != max_k1 or min_k2 != max_k2").select("vec_id"))
+    held = (keyed.where("ok").select("vec_id", "k1", "k2").join(again, "vec_id").join(classes.select("k1", "k2", "node"), ["k1", "k2"])
+            .select("vec_id", "node").distinct().checkpoint())
+    same = held.join(held.groupBy("vec_id").agg(F.min("node").alias("peer")), "vec_id").select("node", "peer")
+    component = connected_components(found.where("peer is not null").select("node", "peer").unionByName(same), "node", "peer")
+    facts = (classes.select("k1", "k2", "node", "id", "n").join(links, "node", "left").join(component, "node", "left")
+             .withColumn("component", F.coalesce("component", "node")))
+    facts = (facts.join(facts.groupBy("component").agg(F.min("id").alias("component_id")), "component")
+             .select("k1", "k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"))
     named = keyed.where("ok").select("vec_id", "k1", "k2").join(facts, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
+    plain = keyed.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    tied = (keyed.where("ok").select("vec_id", "k1", "k2").join(plain.select("vec_id").distinct(), "vec_id", "left_semi")
+            .join(facts, ["k1", "k2"]).groupBy("vec_id").agg(F.min("component_id").alias("component_id")))
+    plain = plain.join(tied, "vec_id", "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
     return named.unionByName(plain).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

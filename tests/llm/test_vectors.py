@@ -57,6 +57,16 @@ def test_near_duplicates(spark, block, monkeypatch):
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None) == sorted(want)
 
 
+def test_repeated_ids_tie_components(spark):
+    """An id with two vectors ties what they link to; classes of one smallest id count their links apart."""
+    x, y, z = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(3, x, 0), (5, x, 0), (5, y, 0), (9, y, 0), (5, None, 0), (1, [1.0, -1.0, 0.0], 0), (1, z, 0), (7, z, 0), (8, [0.01, 0.0, 1.0], 0)]
+    got = embedding_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (9, 1, 3, False), (5, 0, 3, False),
+            (1, 0, 1, True), (1, 2, 1, True), (7, 2, 1, False), (8, 2, 1, False)]
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted(want)
+
+
 def test_distant_intervals_are_skipped():
     rng = np.random.default_rng(0)
     boxes = np.sort(rng.uniform(size=(37, 2, 3)), axis=1)
