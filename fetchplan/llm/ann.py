@@ -16,9 +16,11 @@ meet is one bounded task unit, and gives its best ``k`` ids per query.  Scores a
 precision of the original vectors; candidates within rounding of the k-th
 are all scored exactly, so ties go to the smaller id.
 
-Defined cases: vectors that are null, empty, zero, hold null or non-finite
-components or have another length than the commonest, and rows with a null id,
-take no part, as query or candidate.  Rows that repeat an id count as one
+Vectors of different lengths are no neighbours: each length found has a tree of
+its own, and queries of that length are answered from it.
+
+Defined cases: vectors that are null, empty, zero or hold null or non-finite
+components, and rows with a null id, take no part, as query or candidate.  Rows that repeat an id count as one
 candidate (the nearest of them) and one query.  Empty tables give no rows.
 """
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fetchplan.llm.vectors import cosine, dimension, matrix, unit, valid
+from fetchplan.llm.vectors import cosine, lengths, matrix, unit, valid
 from fetchplan.session import checkpoint_dir
 
 SAMPLE = 20_000
@@ -169,10 +171,15 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
     checkpoint_dir(rows.sparkSession)
     base = (rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
             .where(F.col("vec_id").isNotNull() & valid(F.col("v"))))
-    d = dimension(base, "v")
-    if not d:
-        return base.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    base = base.where(F.size("v") == d)
+    found = base.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    for d in lengths(base, "v"):
+        found = found.unionByName(_search(base.where(F.size("v") == d), d, is_query, k, recall, sample, calibration))
+    return ranked(found, k)
+
+
+def _search(base: DataFrame, d: int, is_query: Column, k: int, recall: float, sample: int, calibration: int) -> DataFrame:
+    """(query_id, vec_id, score) candidates among rows (vec_id, v) of length ``d``, at least the k best of those visited."""
+    context = base.sparkSession.sparkContext
 
     def bounded(df: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
         got = df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).toArrow()
@@ -181,7 +188,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
         return ids[first], v[first]
 
     tree = Tree(unit(bounded(base, sample)[1]))
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    shared = context.broadcast(tree)
 
     @F.arrow_udf("int")
     def leaf_of(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -210,7 +217,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
 
     chunks = np.maximum(1, -(-sizes // CHUNK))
     groups = max(1, -(-n_queries // QUERIES))
-    plan = rows.sparkSession.sparkContext.broadcast((sizes, ids_held, chunks))
+    plan = context.broadcast((sizes, ids_held, chunks))
 
     @F.arrow_udf("array<struct<leaf:int,chunk:int>>")
     def to_visit(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -243,6 +250,5 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
              .select(F.col("at.leaf").alias("leaf"), F.col("at.chunk").alias("chunk"),
                      F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("group"), "query_id", "q"))
     keys = ["leaf", "chunk", "group"]
-    found = (posed.groupBy(*keys).cogroup(stored.groupBy(*keys))
-             .applyInArrow(meet, "query_id long, vec_id long, score double"))
-    return ranked(found, k)
+    return (posed.groupBy(*keys).cogroup(stored.groupBy(*keys))
+            .applyInArrow(meet, "query_id long, vec_id long, score double"))

@@ -13,9 +13,10 @@ A task returns link counts and a spanning forest of the links it found, never
 all pairs, so groups of near copies do not blow up; connectivity is kept whole.
 Exact copies are one vector with a count from the start.
 
+Vectors of different lengths never link; each length found is joined by itself.
+
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components, and vectors of another length than the commonest, link with
-nothing: no links, a component of their own.  Rows with a null id link with
+components link with nothing: no links, a component of their own.  Rows with a null id link with
 nothing, and have a null component.  Rows that repeat a vec_id are one node in components
 (they tie the vectors they hold together), each row being a vector of its own in
 link counts.  An empty table gives no rows.
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.llm.components import connected_components, forest
-from fetchplan.llm.vectors import cosine, dimension, matrix, unit, valid
+from fetchplan.llm.vectors import cosine, lengths, matrix, unit, valid
 from fetchplan.session import checkpoint_dir
 
 #: Vectors a block holds at least; more where there would be more than MAX_BLOCKS.
@@ -229,18 +230,16 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """One row per vector: vec_id, n_links, component_id and kept (whether it is its component's smallest id)."""
     checkpoint_dir(rows.sparkSession)
     base = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
-    taking = base.where(F.col("vec_id").isNotNull() & valid(F.col("v")))
-    d = dimension(taking, "v")
-    keyed = base.withColumn("ok", F.col("vec_id").isNotNull() & valid(F.col("v")) & (F.size("v") == d)).select(
+    keyed = base.withColumn("ok", F.col("vec_id").isNotNull() & valid(F.col("v"))).select(
         "vec_id", "ok", F.when(F.col("ok"), F.xxhash64("v")).alias("k1"), F.when(F.col("ok"), F.xxhash64(F.lit(7), "v")).alias("k2"),
         "v")
-    if not d:
-        return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                           F.col("vec_id").isNotNull().alias("kept"))
     classes = (keyed.where("ok").groupBy("k1", "k2")
                .agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v"))
                .withColumn("node", F.monotonically_increasing_id()).checkpoint())  # classes may share their smallest id
-    found = near_links(classes.select(F.col("node").alias("id"), "n", "v"), d, threshold, block).checkpoint()
+    found = classes.select("node", F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("peer")).limit(0)
+    for d in lengths(classes, "v"):
+        found = found.unionByName(near_links(classes.where(F.size("v") == d).select(F.col("node").alias("id"), "n", "v"), d, threshold, block))
+    found = found.checkpoint()
     links = found.where("peer is null").groupBy("node").agg(F.sum("links").alias("links"))
     again = (keyed.where("ok").groupBy("vec_id").agg(*(f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in ("k1", "k2")))
              .where("min_k1 != max_k1 or min_k2 != max_k2").select("vec_id"))

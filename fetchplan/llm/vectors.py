@@ -14,10 +14,9 @@ def valid(vec: Column) -> Column:
     return F.coalesce((F.size(vec) > 0) & ~bad & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-def dimension(rows: DataFrame, vec: str) -> int:
-    """The commonest length of the valid vectors (ties: the shorter); 0 without any."""
-    top = (rows.groupBy(F.size(vec).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect())
-    return top[0]["d"] if top else 0
+def lengths(rows: DataFrame, vec: str) -> list[int]:
+    """Lengths that at least two of the valid vectors have: only such can meet another."""
+    return sorted(r["d"] for r in rows.groupBy(F.size(vec).alias("d")).count().where("count > 1").collect())
 
 
 def matrix(column: pa.Array, d: int) -> np.ndarray:

@@ -128,6 +128,18 @@ def test_visits_widen_to_k_ids(spark):
     assert sorted(r["rank"] for r in got) == [1, 2, 3, 4, 5] and len({r.vec_id for r in got}) == 5
 
 
+def test_every_length_takes_part(spark):
+    """Vectors of a rarer length link and are neighbours among themselves; a query id may have both lengths."""
+    rows = [(k, [1.0, k / 10, 0.0], 0) for k in range(6)] + [(10, [1.0, 0.0], 0), (11, [2.0, 0.0], 0), (12, [0.0, 1.0], 0), (0, [1.0, 0.1], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_duplicates(df).collect() if r.vec_id >= 10}
+    assert got == {10: (2, 0), 11: (2, 0), 12: (0, 12)}
+    near = {}
+    for r in sorted(ann.search(df, F.col("vec_id") % 10 == 0, k=3).collect(), key=lambda r: (r.query_id, r["rank"])):
+        near.setdefault(r.query_id, []).append(r.vec_id)
+    assert near == {0: [1, 10, 11], 10: [11, 0, 12]}
+
+
 def test_search_recall(spark):
     """Calibrated visits reach the recall asked for on clustered vectors, without visiting all leaves."""
     rng = np.random.default_rng(8)
