@@ -6,8 +6,8 @@ A template is a line of words with two kinds of marked regions::
 
 ``[[...]]`` is optional wording and ``{{name:lo-hi}}`` stands for ``lo`` to
 ``hi`` replaceable words; every other word is mandatory and must match exactly.
-All templates compile into one token automaton, made deterministic lazily
-while texts run through it, so a text costs one step per word that can still
+All templates, and the base phrases as templates without regions, compile into one
+token automaton, made deterministic lazily while texts run through it, so a text costs one step per word that can still
 belong to a match.
 
 Words: A-Z is lower-cased, and a word is a run of ASCII letters, digits and
@@ -18,7 +18,7 @@ labels and score 0.  Rows are independent: repeated rows give repeated results.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -60,11 +60,11 @@ def words(text: str | None) -> list[bytes]:
 class Automaton:
     """Token automaton of all templates; states of the lazily built deterministic form are frozensets."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[Hashable, str]):
         self.word: list[dict[bytes, int]] = [{}]
         self.any: list[int | None] = [None]
         self.skip: list[set[int]] = [set()]
-        self.accepts: dict[int, str] = {}
+        self.accepts: dict[int, Hashable] = {}
         for label, markup in templates.items():
             at = self._new()
             self.skip[0].add(at)
@@ -125,7 +125,7 @@ class Automaton:
             self.steps[key] = self._closure(to | {self.any[s] for s in states if self.any[s] is not None})
         return self.steps[key]
 
-    def matches(self, ws: list[bytes], at: int) -> dict[str, int]:
+    def matches(self, ws: list[bytes], at: int) -> dict[Hashable, int]:
         """Longest end of each template that matches from word ``at``."""
         found, states, j = {}, self.start, at
         while j < len(ws) and (states := self.step(states, ws[j])):
@@ -137,22 +137,18 @@ class Automaton:
 
 class Scanner:
     def __init__(self, base: dict[str, str], templates: dict[str, str]):
-        self.base = [([w.encode() for w in phrase.split()], label) for phrase, label in base.items()]
-        self.automaton = Automaton(templates)
-        self.anchors = self.automaton.first | {p[0] for p, _ in self.base}
+        marked = {(False, label): markup for label, markup in templates.items()}
+        self.automaton = Automaton({(True, phrase): phrase for phrase in base} | marked)
+        self.base = base
 
     def scan(self, text: str | None) -> dict:
         ws = words(text)
         spans, places = [], []
-        if not self.anchors.isdisjoint(ws):
+        if not self.automaton.first.isdisjoint(ws):
             for i, w in enumerate(ws):
-                if w not in self.anchors:
-                    continue
-                for phrase, label in self.base:
-                    if ws[i:i + len(phrase)] == phrase:
-                        places.append((label, i, i + len(phrase)))
                 if w in self.automaton.first:
-                    spans += [(label, i, end) for label, end in self.automaton.matches(ws, i).items()]
+                    for (plain, name), end in self.automaton.matches(ws, i).items():
+                        (places if plain else spans).append((self.base[name] if plain else name, i, end))
         covered = set()
         for _, a, b in places + spans:
             covered.update(range(a, b))

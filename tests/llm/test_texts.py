@@ -196,3 +196,13 @@ def test_license_scan(spark, no_docs):
         assert r.score == (len(covered) / len(ws) if ws else 0.0)
         assert sorted((s.label, s.start, s.end) for s in r.spans) == sorted(found)
     assert license_scan.license_scan(no_docs).collect() == []
+
+
+def test_base_places_come_from_the_automaton(monkeypatch):
+    scanner = license_scan.Scanner(license_scan.BASE, license_scan.TEMPLATES)
+    text = "cc by cc by all rights reserved general public license"
+    got = scanner.scan(text)
+    assert (got["n_base"], got["first_word"], got["last_word"], got["base_labels"]) == (4, 0, 7, "cc-by,gpl,reserved")
+    assert license_scan.Scanner(license_scan.BASE, {}).scan(text)["spans"] == got["spans"]
+    monkeypatch.setattr(scanner.automaton, "matches", lambda ws, at: {})
+    assert scanner.scan(text)["n_base"] == 0
