@@ -111,7 +111,10 @@ class Tree:
 
 
 def best(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest ids of rows (vid, v) of each query by exact cosine, an id by its nearest row; equal ids never meet; ties to the smaller id."""
+    """The k nearest ids of rows (vid, v) of each query by exact cosine, an id by its nearest row.
+
+    Equal ids never meet; ties go to the smaller id.
+    """
     out: list[tuple] = []
     start = np.arange(len(vid))
     if len(np.unique(vid)) < len(vid):  # rows of one id side by side, exact repeats folded

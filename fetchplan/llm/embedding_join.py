@@ -238,7 +238,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                .withColumn("node", F.monotonically_increasing_id()).checkpoint())  # classes may share their smallest id
     found = classes.select("node", F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("peer")).limit(0)
     for d in lengths(classes, "v"):
-        found = found.unionByName(near_links(classes.where(F.size("v") == d).select(F.col("node").alias("id"), "n", "v"), d, threshold, block))
+        some = classes.where(F.size("v") == d).select(F.col("node").alias("id"), "n", "v")
+        found = found.unionByName(near_links(some, d, threshold, block))
     found = found.checkpoint()
     links = found.where("peer is null").groupBy("node").agg(F.sum("links").alias("links"))
     again = (keyed.where("ok").groupBy("vec_id").agg(*(f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in ("k1", "k2")))
