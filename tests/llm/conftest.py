@@ -1,13 +1,10 @@
 import os
-import sys
 
 import pytest
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-ROOT = os.path.dirname(os.path.dirname(HERE))
-sys.path[:0] = [ROOT, HERE]
+from tests.llm.llm_helpers import DOCUMENTS, corpus
 
-from llm_helpers import DOCUMENTS, corpus  # noqa: E402
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session", autouse=True)

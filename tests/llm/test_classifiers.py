@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_helpers import DOCUMENTS, corpus, roots, shingles
+from tests.llm.llm_helpers import DOCUMENTS, corpus, roots, shingles
 from pyspark.sql import functions as F
 
 import corpus_pipeline

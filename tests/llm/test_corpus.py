@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import roots, shingles, split
+from tests.llm.llm_helpers import roots, shingles, split
 from pyspark.sql import functions as F
 
 from fetchplan.llm import hash_tables, hashing, lm, ngram_join

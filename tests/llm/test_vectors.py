@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_helpers import roots
+from tests.llm.llm_helpers import roots
 from pyspark.sql import functions as F
 
 from fetchplan.llm import ann, embedding_join
