@@ -36,6 +36,8 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 #: Open windows a task may hold (at 4096 ids of 4 bytes: 64 MB at most).
 MAX_OPEN = 4096
+#: Pieces of text a generation of the memo holds (about 250 bytes each, two generations).
+MEMO = 700_000
 
 
 class Packer:
@@ -119,11 +121,12 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id",
-         text_col: str = "text", with_ids: bool = False, max_open: int = MAX_OPEN) -> DataFrame:
+         text_col: str = "text", with_ids: bool = False, max_open: int = MAX_OPEN, memo: int = MEMO) -> DataFrame:
     """One row per piece: its document, place there, sequence and offset; ``with_ids`` adds the ids themselves.
 
     ``capacity`` is a power of two; ``tokenizer_path`` names a vocabulary of the
-    tokenizers library that drops blanks.
+    tokenizers library that drops blanks.  ``memo`` bounds a worker's memory, not the
+    result: a job that shares its workers with other stages takes a smaller one.
     """
     if capacity & capacity - 1:
         raise ValueError("capacity must be a power of two")
@@ -131,7 +134,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     types = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = pieces(tokenizer_path, False)
+        known = pieces(tokenizer_path, False, memo)
         packer = Packer(capacity, TaskContext.get().partitionId() << 33, with_ids, max_open)
         end = np.array([end_id], "<u4").tobytes()
 
@@ -142,7 +145,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                packer.add(doc, np.frombuffer(memo.encode(text) + end, "<u4"))
+                packer.add(doc, np.frombuffer(known.encode(text) + end, "<u4"))
                 if len(packer.done) >= 10_000:
                     yield out()
         packer.flush()

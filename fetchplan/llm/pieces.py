@@ -36,20 +36,21 @@ def _byte_names() -> dict[int, str]:
 
 _NAMES = _byte_names()
 
+#: Pieces a generation of the memo holds; the one before is kept too.  Bounds a worker's memory, not the result.
+MEMO = 150_000
+
 
 class Pieces:
-    #: Pieces a generation of the memo holds; the one before is kept too.  Bounds a worker's memory, not the result.
-    MEMO = 150_000
     #: Longer pieces are encoded anew each time.
     LONG = 256
 
-    def __init__(self, path: str, keeps_blanks: bool):
+    def __init__(self, path: str, keeps_blanks: bool, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.keeps_blanks = keeps_blanks
+        self.keeps_blanks, self.MEMO = keeps_blanks, memo
         self.ids: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -128,5 +129,5 @@ class Pieces:
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str, keeps_blanks: bool) -> Pieces:
-    return Pieces(path, keeps_blanks)
+def pieces(path: str, keeps_blanks: bool, memo: int = MEMO) -> Pieces:
+    return Pieces(path, keeps_blanks, memo)
