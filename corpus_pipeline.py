@@ -33,6 +33,8 @@ MIN_LANGUAGE_SCORE = 1e-9
 MIN_TAIL_PROBABILITY = 0.5
 #: Bytes of ids to drop that are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_BYTES = 64 << 20
+#: Pieces of text that the packing stage's memo holds: workers live on between stages.
+PACKING_MEMO = 150_000
 
 
 def _renamed(docs: DataFrame, *results: str) -> tuple[DataFrame, list[str], list[str]]:
@@ -75,7 +77,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), memo=PACKING_MEMO)
 
 
 STAGES = [("language", language), ("quality", quality_filter), ("near_duplicates", near_duplicates), ("packing", packed)]
