@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, ngram_join, packing, quality, token_counts
+from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, merkle, ngram_join, packing, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,3 +149,55 @@ sums AS (SELECT doc_id, sum(s3) AS s, count(*) FILTER (WHERE n3 > 0) AS f FROM t
 SELECT size.doc_id, CAST(size.n AS BIGINT) AS n_words, coalesce(f, 0) AS n_full, round(coalesce(s, 0.0), 4) AS log_score,
        CASE WHEN size.n > 0 THEN round(s / size.n, 4) END AS mean_log_score
 FROM size LEFT JOIN sums ON sums.doc_id = size.doc_id""")
+
+
+#: Unsigned crc32 of a text of ASCII characters, bit by bit.
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT)),
+      lambda a, x: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(a, x)),
+      4294967295), 4294967295)"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document, a fifth of them with the text in small letters after the manifest was made."""
+    decimal = F.col("doc_id").cast("string").cast("binary")
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(decimal) % 5 == 0)
+
+
+def _merkle_sql(name: str, key: str, levels: int = 8) -> str:
+    """Tables {name}0..{name}{levels} (key, i, h) of runs of 16, from {name}0; a key of one node stays as it is."""
+    return ",\n".join(f"""{name}{k + 1} AS (SELECT {key}, i // 16 AS i, CASE WHEN max(c) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS c FROM {name}{k}) GROUP BY {key}, i // 16)""" for k in range(levels))
+
+
+def _merkle_fold_sql(name: str, key: str, start: str, levels: int = 8) -> str:
+    """Rows of ``start`` (key, i, p, f): p grows by the siblings at each level, f folds them."""
+    steps, before = [], start
+    for k in range(levels):
+        run = f"FROM {name}{k} s WHERE s.{key} = b.{key} AND s.i // 16 = b.i // 16 AND s.i"
+        side = "(SELECT coalesce(string_agg(s.h, '' ORDER BY s.i), '') {run} {op} b.i)"
+        steps.append(f"""{name}f{k} AS (SELECT * EXCLUDE (l, r, c) REPLACE (i // 16 AS i, p || l || r AS p,
+    CASE WHEN c = 1 THEN f ELSE sha256(l || f || r) END AS f)
+  FROM (SELECT b.*, {side.format(run=run, op='<')} AS l, {side.format(run=run, op='>')} AS r,
+               (SELECT count(*) FROM {name}{k} s WHERE s.{key} = b.{key}) AS c FROM {before} b))""")
+        before = f"{name}f{k}"
+    return ",\n".join(steps)
+
+
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+oracle("op12_merkle_manifest", f"""WITH
+d AS (SELECT doc_id, coalesce('1' || source, '') AS k, sha256({_HEAD} || {_FIELD.format('text')}) AS h,
+       CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN sha256({_HEAD} || {_FIELD.format(_LOW)}) END AS changed FROM documents),
+a0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM d),
+{_merkle_sql('a', 'k')},
+b0 AS MATERIALIZED (SELECT 0 AS one, k, row_number() OVER (ORDER BY k) - 1 AS i, h FROM a8),
+{_merkle_sql('b', 'one')},
+leaves AS (SELECT k, i, doc_id, h AS leaf, '' AS p, coalesce(changed, h) AS f FROM a0),
+{_merkle_fold_sql('a', 'k', 'leaves')},
+subs AS (SELECT 0 AS one, b0.i, af7.* EXCLUDE (i), b0.h AS subroot FROM af7 JOIN b0 USING (k)),
+{_merkle_fold_sql('b', 'one', 'subs')}
+SELECT doc_id, leaf, subroot, b8.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = b8.h AS verified FROM bf7, b8""")
