@@ -11,7 +11,7 @@ under its parent's label until the sweep reaches that parent, so it holds a few
 digests per level.  The sweep is dealt out in blocks of ``FANOUT ** LEVELS``
 neighbouring leaves: a block is one task's share, and the queue between
 blocks is external, a table in the session's shared folder that Spark sorts by
-label before the next pass, which is 65,536 times smaller.  Then the sweep is
+label before the next pass, which is 4,096 times smaller.  Then the sweep is
 reversed: from the root down, every node delivers to its children the siblings
 on their way to the root, and each leaf folds them.
 
@@ -37,7 +37,7 @@ from fetchplan.session import checkpoint_dir
 
 FANOUT = 16
 #: Levels that a block of the sweep spans.
-LEVELS = 4
+LEVELS = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 #: (siblings to the left, siblings to the right, the parent's path): hex digests, the path ends in None.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, merkle, ngram_join, packing, quality, token_counts
+from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, merkle, ngram_join, packing, quality, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -201,3 +201,21 @@ leaves AS (SELECT k, i, doc_id, h AS leaf, '' AS p, coalesce(changed, h) AS f FR
 subs AS (SELECT 0 AS one, b0.i, af7.* EXCLUDE (i), b0.h AS subroot FROM af7 JOIN b0 USING (k)),
 {_merkle_fold_sql('b', 'one', 'subs')}
 SELECT doc_id, leaf, subroot, b8.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = b8.h AS verified FROM bf7, b8""")
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of WARC archives, written and read back."""
+    records = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(s, {at}, 5) AS INTEGER) >> {k}) & 31 AS INTEGER) + 1, 1)"
+                      for at in range(1, 41, 5) for k in (15, 10, 5, 0))
+
+oracle("op13_warc", f"""WITH
+p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS s,
+             row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS nth,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN last END AS refers_to FROM p""")
