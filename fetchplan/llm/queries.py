@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fetchplan.llm import ann, bpe, embedding_join, langid, license_scan, lm, merkle, ngram_join, packing, quality, token_counts, warc
+from fetchplan.llm import (
+    ann,
+    bpe,
+    burst_trie,
+    embedding_join,
+    langid,
+    license_scan,
+    lm,
+    merkle,
+    ngram_join,
+    packing,
+    quality,
+    token_counts,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -219,3 +233,32 @@ p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS s,
              max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
 SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN last END AS refers_to FROM p""")
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie over all conversations, each begun with the first turns of its group's first one."""
+    own = burst_trie.turns(table(spark, sf_dir, "conversations"))
+    return burst_trie.trie(burst_trie.rebuilt(own, group=20, shares=4))
+
+
+oracle("op11_conversation_trie", f"""WITH
+t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, {_crc32('CAST(c AS VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+b AS (SELECT v.c, t.i, t.r, t.x FROM v JOIN t ON t.c = v.c - v.c % 20 AND t.i <= v.h
+      UNION ALL SELECT v.c, t.i, t.r, t.x FROM v JOIN t ON t.c = v.c AND t.i > v.h),
+s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, sha256(strlen(r) || ':' || r || x) AS u,
+             len(regexp_extract_all(x, '[^ \\t\\n\\x0B\\f\\r]+')) AS w FROM b),
+p AS (SELECT c, d, w, sha256(string_agg(u, ',') OVER (PARTITION BY c ORDER BY d)) AS p FROM s UNION ALL SELECT c, 0, 0, '' FROM v),
+node AS (SELECT d, p, min(c) AS c, count(*) AS n, max(w) AS w FROM p GROUP BY d, p),
+up AS (SELECT node.d, node.p, a.p AS q FROM node JOIN p a ON a.c = node.c AND a.d = node.d - 1),
+kids AS (SELECT d - 1 AS d, q AS p, count(*) AS k FROM up GROUP BY ALL),
+sub AS (SELECT a.d, a.p, count(*) FILTER (WHERE kids.k IS NULL) AS leaves, sum((m.n - 1) * m.w) AS saved
+        FROM node m LEFT JOIN kids ON kids.d = m.d AND kids.p = m.p JOIN p a ON a.c = m.c AND a.d <= m.d GROUP BY ALL),
+ends AS (SELECT d, p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS e
+         FROM (SELECT *, max(d) OVER (PARTITION BY c) AS l FROM p) WHERE d = l GROUP BY d, p)
+SELECT node.c AS conv_id, node.d AS depth, f.c AS parent_conv_id, node.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+FROM node JOIN sub USING (d, p) LEFT JOIN kids USING (d, p) LEFT JOIN ends USING (d, p)
+LEFT JOIN up USING (d, p) LEFT JOIN node f ON f.d = node.d - 1 AND f.p = up.q""")
