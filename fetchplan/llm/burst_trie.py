@@ -37,7 +37,7 @@ from fetchplan.llm.ranks import ranked
 from fetchplan.session import checkpoint_dir
 
 #: Turns a container holds at most.
-LIMIT = 20_000
+LIMIT = 2048
 #: Turns of one conversation that a window holds.
 CHUNK = 4096
 #: Ids a packed row holds at most.
