@@ -538,9 +538,13 @@ def q_hit_rate(spark, sf_dir):
 _DELTA_COLS = M._DELTAS
 
 
+def _half_up(c: str) -> str:
+    return f"CAST(round(CAST({c} AS DECIMAL(38,12)), 4) AS DOUBLE)"
+
+
 def _round_sql(cte: str, columns: dict[str, bool], table: str) -> str:
-    """Final SELECT of a CTE: doubles (True) rounded to 4 places."""
-    return cte + "\nSELECT " + ", ".join(f"round({c}, 4) AS {c}" if r else c for c, r in columns.items()) + f" FROM {table}"
+    """Final SELECT of a CTE: doubles (True) rounded to 4 places, half up as decimals."""
+    return cte + "\nSELECT " + ", ".join(f"{_half_up(c)} AS {c}" if r else c for c, r in columns.items()) + f" FROM {table}"
 
 
 _DELTA_CTE = with_views("counter_snapshots") + f"""
@@ -553,8 +557,8 @@ _DELTA_CTE = with_views("counter_snapshots") + f"""
   SELECT f.source, f.snapshots, {', '.join(f'f.{c} - i.{c} AS d_{c}' for c in _DELTA_COLS)},
          f.total_bytes AS total_bytes,
          CASE WHEN f.logical_reads - i.logical_reads > 0
-              THEN (1.0 - CAST(f.physical_reads - i.physical_reads AS DOUBLE)
-                          / CAST(f.logical_reads - i.logical_reads AS DOUBLE)) * 100
+              THEN CAST((f.logical_reads - i.logical_reads - f.physical_reads + i.physical_reads) * 100 AS DOUBLE)
+                   / CAST(f.logical_reads - i.logical_reads AS DOUBLE)
               ELSE f.buffer_hit_ratio END AS buffer_hit_ratio,
          f.result_hit_ratio AS result_hit_ratio,
          CASE WHEN f.created - i.created > 0 THEN (f.objects - i.objects) * 2 ELSE 0 END AS cache_hits,
@@ -565,22 +569,23 @@ _DELTA_OUT = {"source": False, "snapshots": False, **{f"d_{c}": False for c in _
 
 _EFF_CTE = _DELTA_CTE + """
 , e0 AS (SELECT *, CASE WHEN d_logical_reads > 0
-                     THEN CAST(d_logical_reads - d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
+                     THEN CAST((d_logical_reads - d_physical_reads) * 100 AS DOUBLE) / CAST(d_logical_reads AS DOUBLE)
                      ELSE 0.0 END AS b,
                 CAST(result_hit_ratio AS DOUBLE) AS r,
                 CAST(total_bytes + d_memory_bytes AS DOUBLE) AS mem FROM delta)
+, e1 AS (SELECT *, CAST(b AS DECIMAL(28,12)) * CAST(0.7 AS DECIMAL(2,1)) + CAST(r AS DECIMAL(28,12)) * CAST(0.3 AS DECIMAL(2,1)) AS score FROM e0)
 , eff AS (
-  SELECT source, b AS buffer_efficiency, r AS result_efficiency, b * 0.7 + r * 0.3 AS overall_efficiency,
-         CASE WHEN mem > 0 THEN (b * 0.7 + r * 0.3) / (mem / 1073741824.0) ELSE 0.0 END AS memory_efficiency_ratio,
+  SELECT source, b AS buffer_efficiency, r AS result_efficiency, CAST(score AS DOUBLE) AS overall_efficiency,
+         CASE WHEN mem > 0 THEN CAST(score AS DOUBLE) / (mem / 1073741824.0) ELSE 0.0 END AS memory_efficiency_ratio,
          CASE WHEN d_logical_reads > 0
-              THEN CAST(d_physical_reads AS DOUBLE) / CAST(d_logical_reads AS DOUBLE) * 100
+              THEN CAST(d_physical_reads * 100 AS DOUBLE) / CAST(d_logical_reads AS DOUBLE)
               ELSE 0.0 END AS physical_read_pct,
          mem / 1048576.0 AS total_cache_mb, CAST(total_bytes AS DOUBLE) / 1048576.0 AS buffer_cache_mb,
          CAST(d_memory_bytes AS DOUBLE) / 1048576.0 AS result_cache_mb,
-         d_logical_reads - d_physical_reads AS io_saved, (b * 0.7 + r * 0.3) * 0.1 AS cpu_savings,
+         d_logical_reads - d_physical_reads AS io_saved, CAST(score * CAST(0.1 AS DECIMAL(2,1)) AS DOUBLE) AS cpu_savings,
          CASE WHEN cache_hits + cache_misses > 0
-              THEN CAST(cache_hits AS DOUBLE) / CAST(cache_hits + cache_misses AS DOUBLE) * 100 END AS result_hit_share
-  FROM e0)"""
+              THEN CAST(cache_hits * 100 AS DOUBLE) / CAST(cache_hits + cache_misses AS DOUBLE) END AS result_hit_share
+  FROM e1)"""
 _EFF_OUT = {"source": False, "buffer_efficiency": True, "result_efficiency": True, "overall_efficiency": True,
             "memory_efficiency_ratio": True, "physical_read_pct": True, "total_cache_mb": True, "buffer_cache_mb": True,
             "result_cache_mb": True, "io_saved": False, "cpu_savings": True, "result_hit_share": True}
@@ -605,7 +610,7 @@ _TIER_SQL = ("CASE WHEN overall_efficiency >= 90 THEN 'maintain' WHEN overall_ef
 
 
 @register("efficiency_tier", _EFF_CTE + f"""
-SELECT source, round(overall_efficiency, 4) AS overall_efficiency, {_TIER_SQL} AS tier FROM eff""")
+SELECT source, {_half_up('overall_efficiency')} AS overall_efficiency, {_TIER_SQL} AS tier FROM eff""")
 def q_efficiency_tier(spark, sf_dir):
     return M.rounded(M.efficiency_tier(M.cache_efficiency(_delta(spark, sf_dir))))
 
@@ -668,7 +673,7 @@ def q_cache_comparison(spark, sf_dir):
 SELECT grp, method, exec_ns, memory_bytes, hit_rate FROM means
 UNION ALL
 SELECT m.grp, 'integrated', CAST(sum(m.exec_ns) // count(*) AS BIGINT), CAST(sum(m.memory_bytes) AS BIGINT),
-       round(max(e.overall_efficiency), 4)
+       CAST(round(CAST(max(e.overall_efficiency) AS DECIMAL(38,12)), 4) AS DOUBLE)
 FROM means m LEFT JOIN eff e ON m.grp = e.source GROUP BY m.grp""")
 def q_integrated_results(spark, sf_dir):
     return M.rounded(M.integrated_results(_means(spark, sf_dir), M.cache_efficiency(_delta(spark, sf_dir))))
@@ -808,8 +813,8 @@ def q_buffer_pool_sizes(spark, sf_dir):
 
 
 @register("analysis_report_json", _EFF_CTE + _RECS_CTE + f"""
-SELECT d.source, d.snapshots, d.d_blocks, round(d.buffer_hit_ratio, 4) AS buffer_hit_ratio,
-       round(e.overall_efficiency, 4) AS overall_efficiency, {_TIER_SQL} AS tier,
+SELECT d.source, d.snapshots, d.d_blocks, {_half_up('d.buffer_hit_ratio')} AS buffer_hit_ratio,
+       {_half_up('e.overall_efficiency')} AS overall_efficiency, {_TIER_SQL} AS tier,
        (SELECT string_agg(CAST(r.rule_no AS VARCHAR) || ':' || r.action || ':' || CAST(r.effort AS VARCHAR), ','
                           ORDER BY r.rank DESC, r.rule_no) FROM recs r WHERE r.source = d.source) AS recommendations
 FROM delta d JOIN eff e ON d.source = e.source""")
