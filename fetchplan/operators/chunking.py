@@ -4,53 +4,93 @@ An array is one value, built by one task.  A parent that holds a large share
 of all children is therefore spread over pages before anything is shuffled by
 parent:
 
-* ``page_counts`` counts children per parent (combined map-side, so a hot
-  parent costs one partial row a task) and keeps those above the bound.  Each
-  stands for more than ``max_children`` rows, so there are at most
-  ``children / max_children`` of them: a proven bound, under which they are
-  broadcast.
-* ``with_page`` gives each child its page from a hash of its own values,
-  without a shuffle, and deals rows out by (parent, page), so a hot parent's
-  rows never meet in one task.
+* ``page_counts`` finds the parents above the bound from mergeable summaries of
+  frequent keys and an exact count of what these name (``heavy``), so no row per
+  parent is shuffled.
+* ``page_cuts`` picks cut points of such a parent's children, in their own order,
+  from a sample of ``SAMPLE`` children a page, picked by the hash of their columns.
+* ``with_page`` gives each child the page between its cut points and deals rows
+  out by (parent, page), so a hot parent's rows never meet in one task.
+  Children equal in all nested columns share a page.
 * ``parent_pages`` repeats a parent's row once a page, so joins back to parents
   use (parent, page) too.
 
-Everything is one lazy plan.  Pages only cut the array: every child is on
-exactly one page, each page is sorted, and what is computed per parent
-(``nesting.flatten_nested``) is the same at any ``max_children``.  Children that
-are equal in all nested columns share a page.
+Everything is one lazy plan.  Pages only cut the ordered array: every child is on
+exactly one page, each page is sorted, a parent's pages one after another are its
+children in order, and what is computed per parent (``nesting.flatten_nested``)
+is the same at any ``max_children``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fetchplan.operators.heavy import heavy_keys
+from fetchplan.plans.strategy import DEFAULT_MAX_BROADCAST_BYTES, estimated_rows
+
 DEFAULT_MAX_CHILDREN = 100_000
+#: Sampled children a page; a page's size differs from the mean by about 1 / sqrt(SAMPLE) of it.
+SAMPLE = 64
+#: A parent has fewer pages than two to this power.
+STEPS = 24
+#: Bytes of a paged parent's row and of a cut point.
+PAGE_ROW_BYTES, CUT_BYTES = 64, 128
+
+
+@dataclass
+class Pages:
+    """``table``: (key, _pages, _n) of the parents with more than ``max_children`` children, at most ``most`` pages together."""
+    table: DataFrame
+    most: int
+
+    def side(self, df: DataFrame, row_bytes: int) -> DataFrame:
+        """``df``, of so many bytes a page, broadcast where the estimate of the children bounds it; else adaptive execution decides."""
+        return F.broadcast(df) if self.most * row_bytes <= DEFAULT_MAX_BROADCAST_BYTES else df
 
 
-def page_counts(children: DataFrame, key: str, max_children: int | None = DEFAULT_MAX_CHILDREN) -> DataFrame | None:
-    """(key, _pages) of parents with more than ``max_children`` children; None without a bound."""
+def page_counts(children: DataFrame, key: str, max_children: int | None = DEFAULT_MAX_CHILDREN) -> Pages | None:
+    """Pages of the parents with more than ``max_children`` children; None without a bound.  Runs no job."""
     if not max_children:
         return None
-    sizes = children.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") > max_children).select(
-        key, F.ceil(F.col("_n") / max_children).cast("int").alias("_pages"))
+    table = heavy_keys(children, key, max_children).select(
+        key, F.ceil(F.col("row_count") / max_children).cast("int").alias("_pages"), F.col("row_count").alias("_n"))
+    return Pages(table, 2 * estimated_rows(children) // max_children)
 
 
-def _marked(df: DataFrame, key: str, pages: DataFrame | None) -> DataFrame:
-    if pages is None:
-        return df.withColumn("_pages", F.lit(1))
-    return (df.join(F.broadcast(pages), key, "left")
-            .withColumn("_pages", F.coalesce(F.col("_pages"), F.lit(1))))
+def page_cuts(children: DataFrame, key: str, cols: list[str], pages: Pages) -> DataFrame:
+    """(key, _cuts): ascending cut points between the pages of each paged parent, one less than pages."""
+    chance = F.pmod(F.xxhash64(F.lit("sample"), *cols), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    few = children.withColumn("_chance", chance).join(pages.side(pages.table, PAGE_ROW_BYTES), key)
+    few = few.where(F.col("_chance") * F.col("_n") < SAMPLE * F.col("_pages"))
+    some = few.groupBy(key, "_pages").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_some"))
+    cut = F.transform(F.sequence(F.lit(1), F.col("_pages") - 1),
+                      lambda i: F.get("_some", F.least((i * F.size("_some") / F.col("_pages")).cast("int"), F.size("_some") - 1)))
+    return some.select(key, cut.alias("_cuts"))
+
+
+def _passed(row: Column) -> Column:
+    """How many of ``_cuts`` do not lie behind ``row``, by halving steps."""
+    def step(at: Column, width: Column) -> Column:
+        return F.when((at + width <= F.size("_cuts")) & (F.get("_cuts", at + width - 1) <= row), at + width).otherwise(at)
 
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(STEPS))]), F.lit(0), step)
 
-def with_page(children: DataFrame, key: str, cols: list[str], pages: DataFrame | None) -> DataFrame:
+
+def with_page(children: DataFrame, key: str, cols: list[str], pages: Pages | None) -> DataFrame:
     """Children with ``chunk``, their page number, dealt out by (key, chunk)."""
-    page = F.pmod(F.xxhash64(*cols), F.col("_pages")).cast("int")
-    return _marked(children, key, pages).withColumn("chunk", page).drop("_pages").repartition(key, "chunk")
+    if pages is None:
+        return children.withColumn("chunk", F.lit(0)).repartition(key, "chunk")
+    marked = children.join(pages.side(page_cuts(children, key, cols, pages), CUT_BYTES), key, "left")
+    page = F.when(F.col("_cuts").isNull(), 0).otherwise(_passed(F.struct(*cols)))
+    return marked.withColumn("chunk", page).drop("_cuts").repartition(key, "chunk")
 
 
-def parent_pages(parents: DataFrame, key: str, pages: DataFrame | None) -> DataFrame:
+def parent_pages(parents: DataFrame, key: str, pages: Pages | None) -> DataFrame:
     """One row per parent and page (``chunk``); ``_pages`` is the number of pages."""
-    return _marked(parents, key, pages).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_pages") - 1)))
+    marked = (parents.withColumn("_pages", F.lit(1)) if pages is None else
+              parents.join(pages.side(pages.table.drop("_n"), PAGE_ROW_BYTES), key, "left")
+              .withColumn("_pages", F.coalesce(F.col("_pages"), F.lit(1))))
+    return marked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_pages") - 1)))

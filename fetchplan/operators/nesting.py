@@ -22,8 +22,8 @@ dimension table, so Catalyst's size estimate decides broadcast vs shuffle.
 Each nested row is ``parent columns + chunk + details: array<struct<...>>``; a
 childless parent has ``[]``.  Children are sorted by the ``detail_cols`` struct
 (sort keys first).  A parent has one row (``chunk`` 0) unless it has more than
-``max_children`` children; then they lie on several pages (see ``chunking``),
-and no task ever gets all of them.  All three shapes give the same rows, in
+``max_children`` children; then they lie on several pages in that order (see
+``chunking``), and no task ever gets all of them.  All three shapes give the same rows, in
 (order_id, chunk) order when ``ordered``.
 """
 
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back
@@ -49,22 +49,21 @@ def _paged(details: DataFrame, parents: DataFrame, cols: list[str],
 
     Other parents' children are dropped by a semi join before anything else.
     """
-    pages = page_counts(details, "order_id", max_children)
     kids = details.select("order_id", *cols).join(parents.select("order_id"), "order_id", "left_semi")
+    pages = page_counts(kids, "order_id", max_children)
     return parent_pages(parents, "order_id", pages), with_page(kids, "order_id", cols, pages)
 
 
 def _finish(df: DataFrame, parent_cols: list[str], ordered: bool) -> DataFrame:
-    """Drops pages that no child of a paged parent fell on."""
-    df = df.filter((F.col("_pages") <= 1) | (F.size("details") > 0)).select(*parent_cols, "chunk", "details")
+    df = df.select(*parent_cols, "chunk", "details")
     return df.orderBy("order_id", "chunk") if ordered else df
 
 
 def _group(joined: DataFrame, parent_cols: list[str], cols: list[str]) -> DataFrame:
-    """Details of joined (parent page, child) rows; a page without a child has ``[]``."""
+    """Details of joined (parent page, child) rows: ``[]`` without a child, and no row for a page of several that no child fell on."""
     item = F.when(F.col("_present"), F.struct(*[F.col(c) for c in cols]))
-    return joined.groupBy(*parent_cols, "_pages", "chunk").agg(
-        F.array_sort(F.collect_list(item)).alias("details"))
+    kept = joined.filter((F.col("_pages") <= 1) | F.col("_present"))
+    return kept.groupBy(*parent_cols, "chunk").agg(F.array_sort(F.collect_list(item)).alias("details"))
 
 
 def orders_details_flat(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
@@ -86,7 +85,8 @@ def orders_nested_join(orders: DataFrame, details: DataFrame, as_of, days: int =
     """J2 ``GetOrdersWithDetailsJoin``: one LEFT JOIN, then the joined rows are grouped."""
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
     pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
-    joined = pages.join(kids.withColumn("_present", F.lit(True)), ["order_id", "chunk"], "left")
+    # merged on (order_id, chunk), the rows are grouped where they are: no second shuffle, of nested rows
+    joined = pages.join(kids.withColumn("_present", F.lit(True)).hint("merge"), ["order_id", "chunk"], "left")
     return _finish(_group(joined, pc, dc), pc, ordered)
 
 
@@ -101,7 +101,7 @@ def orders_nested_batch(orders: DataFrame, details: DataFrame, as_of, days: int
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in dc]))).alias("details"))
     out = pages.join(nested, ["order_id", "chunk"], "left").withColumn(
         "details", F.coalesce(F.col("details"), F.array()))
-    return _finish(out, pc, ordered)
+    return _finish(out.filter((F.col("_pages") <= 1) | (F.size("details") > 0)), pc, ordered)
 
 
 def orders_nested_lateral(orders: DataFrame, details: DataFrame, as_of, days: int = 30,
@@ -115,7 +115,7 @@ def orders_nested_lateral(orders: DataFrame, details: DataFrame, as_of, days: in
     """
     pc, dc = list(parent_cols), [c for c in detail_cols if c != "order_id"]
     pages, kids = _paged(details, _parents(orders, as_of, days, pc), dc, max_children)
-    per_page = (kids.alias("d")
+    per_page = (kids.hint("merge").alias("d")
                 .where((F.col("d.order_id") == F.col("p.order_id").outer())
                        & (F.col("d.chunk") == F.col("p.chunk").outer()))
                 .select(*[F.col(f"d.{c}").alias(f"_d_{c}") for c in dc],
@@ -156,6 +156,18 @@ def child_rows(nested: DataFrame) -> DataFrame:
         *parents, F.explode_outer("details").alias("_d")).select(*parents, *[F.col(f"_d.{c}").alias(c) for c in fields])
 
 
+def places_in_pages(nested: DataFrame) -> DataFrame:
+    """(order_id, chunk, place, detail): each child's place, from 1, when its parent's pages are read one after another.
+
+    One row a page tells how many children the pages before it hold; no child is moved.
+    """
+    earlier = Window.partitionBy("order_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    pages = nested.select("order_id", "chunk", F.size("details").alias("_n"))
+    before = pages.select("order_id", "chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    items = nested.join(before, ["order_id", "chunk"]).select("order_id", "chunk", "_before", F.posexplode("details").alias("_at", "detail"))
+    return items.select("order_id", "chunk", (F.col("_before") + F.col("_at") + 1).alias("place"), "detail")
+
+
 # ------------------------------------------------------------- employees
 
 EMP_COLS = ("employee_id", "first_name", "last_name", "email", "department_id",

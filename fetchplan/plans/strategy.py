@@ -35,3 +35,12 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTE
     Counts the rows: one job, one number to the driver.
     """
     return F.broadcast(df) if df.count() * row_bytes(df.schema) <= max_bytes else df
+
+
+#: Rows that a byte of Catalyst's estimate may stand for, as columnar files pack a column's equal values.
+ROWS_PER_BYTE = 8
+
+
+def estimated_rows(df: DataFrame) -> int:
+    """Rows ``df`` may have by Catalyst's estimate of its bytes (file sizes and row widths); runs no job."""
+    return ROWS_PER_BYTE * int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

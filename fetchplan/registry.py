@@ -16,7 +16,7 @@ from fetchplan.functions import lookup_functions as LF
 from fetchplan.functions.scalar import department_label, look_back
 from fetchplan.operators import aggregates as A
 from fetchplan.operators import limits as L
-from fetchplan.operators import lookups, nesting
+from fetchplan.operators import heavy, lookups, nesting
 from fetchplan.operators import measure as M
 from fetchplan.operators import quality as Q
 from fetchplan.plans import variants as PV
@@ -67,6 +67,24 @@ register("orders_nested_join", _NESTED_ORACLE)(_nested(nesting.orders_nested_joi
 register("orders_nested_lateral", _NESTED_ORACLE)(_nested(nesting.orders_nested_lateral))
 
 
+@register("details_in_page_order", with_views("ord", "det") + f"""
+SELECT o.order_id, row_number() OVER (PARTITION BY o.order_id ORDER BY {_DETAIL_SORT_SQL}) AS place,
+       d.line_number, d.product_id, d.supplier_id, d.quantity, d.unit_price
+FROM ord o JOIN det d ON o.order_id = d.order_id WHERE o.order_date >= {cutoff_sql(30)}""")
+def q_details_in_page_order(spark, sf_dir):
+    """J3 with pages of about two details: a detail's place when an order's pages are read one after another."""
+    d = V.driver(spark, sf_dir)
+    paged = nesting.orders_nested_batch(V.orders(d), V.order_details(d), AS_OF, 30, DETAIL_ORDER, ordered=False, max_children=2)
+    return nesting.places_in_pages(paged).select("order_id", "place", *[f"detail.{c}" for c in DETAIL_ORDER])
+
+
+@register("heavy_products", with_views("det") + """
+SELECT product_id, count(*) AS row_count FROM det GROUP BY product_id HAVING count(*) > 40""")
+def q_heavy_products(spark, sf_dir):
+    """Products on more than 40 detail lines, by frequent-key summaries and an exact count."""
+    return heavy.heavy_keys(V.order_details(V.driver(spark, sf_dir)), "product_id", above=40)
+
+
 # ------------------------------------------------------------------ helpers
 
 def _d(spark, sf_dir):
