@@ -6,9 +6,8 @@ parent:
 
 * ``page_counts`` finds the parents above the bound from mergeable summaries of
   frequent keys and an exact count of what these name (``heavy``), so no row per
-  parent is shuffled.
-* ``page_cuts`` picks cut points of such a parent's children, in their own order,
-  from a sample of ``SAMPLE`` children a page, picked by the hash of their columns.
+  parent is shuffled.  With the count it takes a sample of about ``SAMPLE`` of their children a
+  page, picked by the hash of their columns, and cuts their order at its quantiles.
 * ``with_page`` gives each child the page between its cut points and deals rows
   out by (parent, page), so a hot parent's rows never meet in one task.
   Children equal in all nested columns share a page.
@@ -36,39 +35,38 @@ DEFAULT_MAX_CHILDREN = 100_000
 SAMPLE = 64
 #: A parent has fewer pages than two to this power.
 STEPS = 24
-#: Bytes of a paged parent's row and of a cut point.
-PAGE_ROW_BYTES, CUT_BYTES = 64, 128
+#: Bytes of a cut point with its share of a row.
+CUT_BYTES = 128
 
 
 @dataclass
 class Pages:
-    """``table``: (key, _pages, _n) of the parents with more than ``max_children`` children, at most ``most`` pages together."""
-    table: DataFrame
+    """``cuts``: (key, _cuts) of the parents with more than ``max_children`` children, at most ``most`` cut points together.
+
+    ``_cuts`` are the ascending cut points between a parent's pages, one less than pages.  Both sides of a nesting join this
+    one table, so it is computed once.
+    """
+    cuts: DataFrame
     most: int
 
-    def side(self, df: DataFrame, row_bytes: int) -> DataFrame:
-        """``df``, of so many bytes a page, broadcast where the estimate of the children bounds it; else adaptive execution decides."""
-        return F.broadcast(df) if self.most * row_bytes <= DEFAULT_MAX_BROADCAST_BYTES else df
+    def mark(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with ``_cuts``; broadcast where the estimate of the children bounds it, else adaptive execution decides."""
+        bounded = self.most * CUT_BYTES <= DEFAULT_MAX_BROADCAST_BYTES
+        return df.join(F.broadcast(self.cuts) if bounded else self.cuts, key, "left")
 
 
-def page_counts(children: DataFrame, key: str, max_children: int | None = DEFAULT_MAX_CHILDREN) -> Pages | None:
-    """Pages of the parents with more than ``max_children`` children; None without a bound.  Runs no job."""
+def page_counts(children: DataFrame, key: str, max_children: int | None = DEFAULT_MAX_CHILDREN, cols: list[str] | None = None) -> Pages | None:
+    """Pages of the parents with more than ``max_children`` children, in the order of ``cols`` (all others); None without a bound.  Runs no job."""
     if not max_children:
         return None
-    table = heavy_keys(children, key, max_children).select(
-        key, F.ceil(F.col("row_count") / max_children).cast("int").alias("_pages"), F.col("row_count").alias("_n"))
-    return Pages(table, 2 * estimated_rows(children) // max_children)
-
-
-def page_cuts(children: DataFrame, key: str, cols: list[str], pages: Pages) -> DataFrame:
-    """(key, _cuts): ascending cut points between the pages of each paged parent, one less than pages."""
+    cols = cols or [c for c in children.columns if c != key]
+    # a page's share of the sample does not depend on its parent: one pass counts and samples
     chance = F.pmod(F.xxhash64(F.lit("sample"), *cols), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    few = children.withColumn("_chance", chance).join(pages.side(pages.table, PAGE_ROW_BYTES), key)
-    few = few.where(F.col("_chance") * F.col("_n") < SAMPLE * F.col("_pages"))
-    some = few.groupBy(key, "_pages").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_some"))
-    cut = F.transform(F.sequence(F.lit(1), F.col("_pages") - 1),
-                      lambda i: F.get("_some", F.least((i * F.size("_some") / F.col("_pages")).cast("int"), F.size("_some") - 1)))
-    return some.select(key, cut.alias("_cuts"))
+    sample = F.collect_list(F.when(chance < SAMPLE / max_children, F.struct(*cols)))
+    heavy = heavy_keys(children.select(key, *cols), key, max_children, more=[F.array_sort(sample).alias("_some")])
+    pages = F.ceil(F.col("row_count") / max_children).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), pages - 1), lambda i: F.get("_some", (i * F.size("_some") / pages).cast("int")))
+    return Pages(heavy.select(key, cut.alias("_cuts")), estimated_rows(children) // max_children)
 
 
 def _passed(row: Column) -> Column:
@@ -83,14 +81,14 @@ def with_page(children: DataFrame, key: str, cols: list[str], pages: Pages | Non
     """Children with ``chunk``, their page number, dealt out by (key, chunk)."""
     if pages is None:
         return children.withColumn("chunk", F.lit(0)).repartition(key, "chunk")
-    marked = children.join(pages.side(page_cuts(children, key, cols, pages), CUT_BYTES), key, "left")
     page = F.when(F.col("_cuts").isNull(), 0).otherwise(_passed(F.struct(*cols)))
-    return marked.withColumn("chunk", page).drop("_cuts").repartition(key, "chunk")
+    return pages.mark(children, key).withColumn("chunk", page).drop("_cuts").repartition(key, "chunk")
 
 
 def parent_pages(parents: DataFrame, key: str, pages: Pages | None) -> DataFrame:
     """One row per parent and page (``chunk``); ``_pages`` is the number of pages."""
-    marked = (parents.withColumn("_pages", F.lit(1)) if pages is None else
-              parents.join(pages.side(pages.table.drop("_n"), PAGE_ROW_BYTES), key, "left")
-              .withColumn("_pages", F.coalesce(F.col("_pages"), F.lit(1))))
+    if pages is None:
+        marked = parents.withColumn("_pages", F.lit(1))
+    else:
+        marked = pages.mark(parents, key).withColumn("_pages", F.when(F.col("_cuts").isNull(), 1).otherwise(F.size("_cuts") + 1)).drop("_cuts")
     return marked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_pages") - 1)))

@@ -14,6 +14,8 @@ on the number of tasks and on ``items``, not on the number of keys.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,15 +55,16 @@ def candidates(summaries: DataFrame, above: int, items: int = DEFAULT_ITEMS) ->
         F.transform(F.filter(named, lambda c: c["count"] > above), lambda c: c["item"]).alias("keys"))
 
 
-def heavy_keys(df: DataFrame, key: str, above: int, items: int = DEFAULT_ITEMS, summaries: DataFrame | None = None) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str, above: int, items: int = DEFAULT_ITEMS, summaries: DataFrame | None = None,
+               more: Iterable[Column] = ()) -> DataFrame:
     """(``key``, ``row_count``) of every non-null key with more than ``above`` rows; exact for any data and ``items``.
 
-    ``summaries`` (of ``df``, with the same ``items``) saves the first pass.
+    ``summaries`` (of ``df``, with the same ``items``) saves the first pass; ``more`` are further aggregates of a heavy key's rows.
     """
     if not 1 <= items <= MAX_ITEMS:
         raise ValueError(f"items must be 1 to {MAX_ITEMS}")
     picks = candidates(frequent_summary(df, key, items) if summaries is None else summaries, above, items)
-    rows = df.select(key).where(F.col(key).isNotNull()).withColumn("part", _part(F.col(key)))
+    rows = df.where(F.col(key).isNotNull()).withColumn("part", _part(F.col(key)))
     # a row a part: bounded by PARTS * items keys
     rows = rows.join(F.broadcast(picks), "part").where(~F.col("vouched") | F.array_contains("keys", F.col(key)))
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > above)
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"), *more).where(F.col("row_count") > above)

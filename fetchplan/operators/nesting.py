@@ -50,7 +50,7 @@ def _paged(details: DataFrame, parents: DataFrame, cols: list[str],
     Other parents' children are dropped by a semi join before anything else.
     """
     kids = details.select("order_id", *cols).join(parents.select("order_id"), "order_id", "left_semi")
-    pages = page_counts(kids, "order_id", max_children)
+    pages = page_counts(kids, "order_id", max_children, cols)
     return parent_pages(parents, "order_id", pages), with_page(kids, "order_id", cols, pages)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SEED_AS_OF
 from fetchplan.operators import heavy, nesting
-from fetchplan.operators.chunking import page_counts, page_cuts, with_page
+from fetchplan.operators.chunking import page_counts, with_page
 from fetchplan.plans.variants import plan_text
 from fetchplan.sources import datagen
 
@@ -111,7 +111,7 @@ def test_cuts_follow_all_columns(spark):
     """Children that tie in the first column are cut by the next; equal children share a page."""
     kids = spark.range(6000).select(F.lit(1).alias("k"), F.lit(None).cast("int").alias("a"), (F.col("id") % 3000).alias("b"))
     pages = page_counts(kids, "k", 500)
-    cuts = page_cuts(kids, "k", ["a", "b"], pages).first()._cuts
+    cuts = pages.cuts.first()._cuts
     assert len(cuts) == 11 and [c.b for c in cuts] == sorted(c.b for c in cuts)
     sizes = {r.chunk: r["count"] for r in with_page(kids, "k", ["a", "b"], pages).groupBy("chunk").count().collect()}
     assert sorted(sizes) == list(range(12)) and 250 < min(sizes.values()) and max(sizes.values()) < 1000
