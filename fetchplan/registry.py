@@ -7,6 +7,7 @@ same result independently in DuckDB; columns are aliased identically.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 from fetchplan.functions import lookup_functions as LF
 from fetchplan.functions.scalar import department_label, look_back
 from fetchplan.operators import aggregates as A
+from fetchplan.operators import daily as D
 from fetchplan.operators import limits as L
 from fetchplan.operators import heavy, lookups, nesting
 from fetchplan.operators import measure as M
 from fetchplan.operators import quality as Q
 from fetchplan.plans import variants as PV
+from fetchplan.session import checkpoint_dir
 from fetchplan.sources import sinks as SK
 from fetchplan.sources import tables as _tables
 from fetchplan.sources import views as V
@@ -288,6 +291,34 @@ def q_monthly_sales(spark, sf_dir):
     return A.monthly_sales(V.orders(_d(spark, sf_dir)), AS_OF, 180)
 
 
+def _kept_daily(spark, daily: DataFrame) -> DataFrame:
+    """A daily table, written to the session's shared folder and read back."""
+    path = f"{checkpoint_dir(spark)}/daily-{uuid.uuid4().hex}"
+    D.write_daily(daily, path)
+    return D.read_daily(spark, path)
+
+
+@register("customer_sales_by_day", ORACLE["customer_sales"])
+def q_customer_sales_by_day(spark, sf_dir):
+    """A1 from sums per day; of the orders only the cutoff's day is read again."""
+    orders = V.orders(_d(spark, sf_dir))
+    return D.customer_sales(_kept_daily(spark, D.daily_sales(orders)), orders, AS_OF, 30)
+
+
+@register("monthly_sales_by_day", ORACLE["monthly_sales"])
+def q_monthly_sales_by_day(spark, sf_dir):
+    orders = V.orders(_d(spark, sf_dir))
+    return D.monthly_sales(_kept_daily(spark, D.daily_sales(orders)), orders, AS_OF, 180)
+
+
+@register("recent_customers", with_views("ord") + f"""
+SELECT count(DISTINCT customer_id) AS unique_customers FROM ord WHERE order_date >= {cutoff_sql(90)}""")
+def q_recent_customers(spark, sf_dir):
+    """Distinct customers of 90 days, from the sets of customers kept per day."""
+    orders = V.orders(_d(spark, sf_dir))
+    return D.unique_customers(_kept_daily(spark, D.daily_customers(orders)), orders, AS_OF, 90)
+
+
 @register("department_stats", with_views("emp", "dept") + f"""
 SELECT d.department_name, count(e.employee_id) AS employee_count,
        {_AVG_SQL.format(x='e.salary')} AS avg_salary,
