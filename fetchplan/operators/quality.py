@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fetchplan.functions.scalar import ntz
+from fetchplan.operators.distinct_sets import bits, word
 from fetchplan.sources.tables import ORDERS
 
 
@@ -23,15 +24,32 @@ def _key_text(keys: list[str]):
     return F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
+def _repeated(df: DataFrame, key: str) -> DataFrame:
+    """(key, row_count) of the values of a whole-number column that occur more than once, without shuffling every key.
+
+    A first pass reduces 64 neighbouring keys to one row: a word of bits and a
+    count.  A word with as many bits as rows holds no repeat.  A second pass groups the
+    keys of the other words only.
+    """
+    present = df.where(F.col(key).isNotNull()).select(key, word(key).alias("_word"))
+    doubtful = (present.groupBy("_word").agg(bits(key).alias("_bits"), F.count(F.lit(1)).alias("_rows"))
+                .where(F.col("_rows") > F.bit_count("_bits")).select("_word"))
+    again = present.join(doubtful, "_word", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    return again.where(F.col("row_count") > 1)
+
+
 def pk_violations(df: DataFrame, table: str, keys: Iterable[str]) -> DataFrame:
     """Q1: primary-key values that occur more than once or contain a NULL."""
     keys = list(keys)
-    has_null = F.lit(False)
-    for k in keys:
-        has_null = has_null | F.col(k).isNull()
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    return g.filter((F.col("row_count") > 1) | has_null).select(
-        F.lit(table).alias("table_name"), _key_text(keys).alias("key_value"), "row_count")
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.IntegralType):
+        nulls = df.where(F.col(keys[0]).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+        found = _repeated(df, keys[0]).unionByName(nulls)
+    else:
+        has_null = F.lit(False)
+        for k in keys:
+            has_null = has_null | F.col(k).isNull()
+        found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter((F.col("row_count") > 1) | has_null)
+    return found.select(F.lit(table).alias("table_name"), _key_text(keys).alias("key_value"), "row_count")
 
 
 def unique_violations(df: DataFrame, table: str, cols: Iterable[str]) -> DataFrame:
@@ -40,8 +58,11 @@ def unique_violations(df: DataFrame, table: str, cols: Iterable[str]) -> DataFra
     present = F.lit(True)
     for c in cols:
         present = present & F.col(c).isNotNull()
-    g = df.filter(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count"))
-    return g.filter(F.col("row_count") > 1).select(
+    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.IntegralType):
+        found = _repeated(df, cols[0])
+    else:
+        found = df.filter(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
+    return found.select(
         F.lit(table).alias("table_name"), F.lit(",".join(cols)).alias("column_name"),
         _key_text(cols).alias("key_value"), "row_count")
 
