@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fetchplan.functions.scalar import ntz
-from fetchplan.operators.distinct_sets import bits, word
+from fetchplan.operators.distinct_sets import word
 from fetchplan.sources.tables import ORDERS
 
 
@@ -27,15 +27,19 @@ def _key_text(keys: list[str]):
 def _repeated(df: DataFrame, key: str) -> DataFrame:
     """(key, row_count) of the values of a whole-number column that occur more than once, without shuffling every key.
 
-    A first pass reduces 64 neighbouring keys to one row: a word of bits and a
-    count.  A word with as many bits as rows holds no repeat.  A second pass groups the
-    keys of the other words only.
+    A first pass reduces 64 neighbouring keys to one row: a word of bits, their
+    parities and a count.  A word with as many bits as rows holds no repeat.  Of other words a second
+    pass groups the keys whose bit has an even parity, if these explain the count (each stands twice), else all.
     """
-    present = df.where(F.col(key).isNotNull()).select(key, word(key).alias("_word"))
-    doubtful = (present.groupBy("_word").agg(bits(key).alias("_bits"), F.count(F.lit(1)).alias("_rows"))
-                .where(F.col("_rows") > F.bit_count("_bits")).select("_word"))
-    again = present.join(doubtful, "_word", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    return again.where(F.col("row_count") > 1)
+    place = F.col(key).cast("bigint").bitwiseAND(F.lit(63)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    present = df.where(F.col(key).isNotNull()).select(key, word(key).alias("_word"), bit.alias("_bit"))
+    words = present.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"), F.bit_xor("_bit").alias("_odd"), F.count(F.lit(1)).alias("_rows"))
+    even = F.col("_bits").bitwiseAND(F.bitwise_not("_odd"))
+    doubtful = words.where(F.col("_rows") > F.bit_count("_bits")).select(
+        "_word", F.when(F.col("_rows") - F.bit_count("_bits") == F.bit_count(even), even).otherwise(F.col("_bits")).alias("_doubt"))
+    again = present.join(doubtful, "_word").where(F.col("_doubt").bitwiseAND(F.col("_bit")) != 0)
+    return again.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
 
 def pk_violations(df: DataFrame, table: str, keys: Iterable[str]) -> DataFrame:
