@@ -10,8 +10,8 @@ less the ratio of the best to the second best.
 
 Texts are lower-cased, and every run of ASCII non-letters reads as one blank.
 Whole texts are parsed, in lanes of ``LANE`` bytes that numpy steps through
-side by side, so a parse starts anew at each lane's start (one phrase more in
-about 400).
+side by side and joins where their phrases fall together: the phrases are those
+of one parse from the text's start.
 
 Learning takes, per language, at most ``SAMPLE_TEXTS`` different texts (the
 smallest hashes), a stretch of each, ``SAMPLE_BYTES`` bytes in all; these bounds are
@@ -36,6 +36,8 @@ from fetchplan.llm.columns import per_row, release, row_blocks, texts
 SAMPLE_TEXTS = 64
 SAMPLE_BYTES = 16_384
 LANE = 2048
+#: Shares of a language whose smallest hashes are picked first.
+SHARES = 64
 BLOCK_BYTES = 4 << 20
 LETTER = r"\p{L}"
 
@@ -113,29 +115,72 @@ class Parser:
             at += len(automaton)
         self.table = np.concatenate(rows).ravel()
 
-    def phrases(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Phrases by text and language; an empty text has none."""
+    def phrases(self, data: np.ndarray, offsets: np.ndarray, lane: int = LANE) -> np.ndarray:
+        """Phrases by text and language, as one parse of each whole text gives them; an empty text has none.
+
+        Lanes are parsed side by side, each as if a phrase began at its start.  The parse that comes over from the lane before goes on
+        until it begins a phrase where the lane's own parse does: from there on both are the same.  A text with a lane
+        that never falls in is parsed in one lane.
+        """
         codes = self.code[data]
         sizes = np.diff(offsets)
-        lanes = -(-sizes // LANE)
+        lanes = -(-sizes // lane)
         doc = np.repeat(np.arange(len(sizes)), lanes)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        start = offsets[:-1][doc] + nth * LANE
-        length = np.minimum(LANE, offsets[1:][doc] - start)
+        start = offsets[:-1][doc] + nth * lane
+        length = np.minimum(lane, offsets[1:][doc] - start)
         order = np.argsort(-length, kind="stable")
+        place = np.argsort(order)  # where a lane stands, by its number
         doc, start, length = doc[order], start[order], length[order]
-        counts = np.ones((len(self.languages), len(doc)), np.int32)  # the phrase open at the end
+        counts = np.ones((len(self.languages), len(doc)), np.int32)  # the phrase that begins with the lane
+        begins = np.zeros((len(self.languages), len(data)), bool) if len(doc) > np.count_nonzero(lanes) else None
+        alone: np.ndarray | list = []
         if len(doc):
             state = self.first[:, codes[start]]
             going = len(doc) - np.searchsorted(length[::-1], np.arange(1, length[0] + 1), "left")
+            if begins is not None:
+                begins[:, start] = True
             for t in range(1, int(length[0])):
                 k = int(going[t])
-                c = codes[start[:k] + t]
+                at = start[:k] + t
+                c = codes[at]
                 to = self.table[state[:, :k] + c]
                 miss = to == 0
                 counts[:, :k] += miss
                 state = np.where(miss, self.first[:, c], to)
-        return np.stack([np.bincount(doc, weights=row, minlength=len(sizes)) for row in counts], axis=1)
+                if begins is not None:
+                    begins[:, at] = miss
+            if begins is not None:
+                alone = self._join(codes, begins, counts, state, doc, start, length, place, np.flatnonzero(nth > 0))
+        out = np.stack([np.bincount(doc, weights=row, minlength=len(sizes)) for row in counts], axis=1)
+        for k in alone:
+            text = data[offsets[k]:offsets[k + 1]]
+            out[k] = self.phrases(text, np.array([0, len(text)]), lane=len(text))[0]
+        return out
+
+    def _join(self, codes, begins, counts, state, doc, start, length, place, later) -> np.ndarray:
+        """Corrects the counts of lanes that go on from another; gives the texts with a lane that never falls in."""
+        own, before = place[later], place[later - 1]  # a lane before another is whole, so its last state is there
+        lang, at = (x.ravel() for x in np.meshgrid(np.arange(len(self.languages)), np.arange(len(own)), indexing="ij"))
+        into = state[lang, before[at]]
+        own = own[at]
+        t, lost = 0, [np.zeros(0, np.int64)]
+        while len(own):
+            over = t >= length[own]
+            if over.any():
+                lost.append(doc[own[over]])
+                lang, into, own = lang[~over], into[~over], own[~over]
+                continue
+            pos = start[own] + t
+            c = codes[pos]
+            to = self.table[into + c]
+            miss, here = to == 0, begins[lang, pos]
+            np.add.at(counts, (lang, own), miss.astype(np.int32) - here)
+            into = np.where(miss, self.first[lang, c], to)
+            going = ~(miss & here)
+            lang, into, own = lang[going], into[going], own[going]
+            t += 1
+        return np.unique(np.concatenate(lost))
 
     def predict(self, raw: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and the score of each text."""
@@ -164,9 +209,12 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     text, lang = F.col(text_col), F.col(lang_col)
     rows = (labelled.where(lang.isNotNull() & text.rlike(LETTER))
             .select(lang.alias("lang"), F.xxhash64(text).alias("h"), text.alias("text")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = (rows.select("lang", "h").distinct().withColumn("rank", rank)
-              .where(F.col("rank") <= sample_texts).select("lang", "h").collect())
+    # the smallest hashes of each share of a language, then of the language: no task gets more than its shares' smallest
+    chosen = rows.select("lang", "h").distinct().withColumn("share", F.pmod(F.xxhash64("h"), F.lit(SHARES)))
+    for part in (["lang", "share"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy("h"))
+        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= sample_texts).drop("rank")
+    chosen = chosen.select("lang", "h").collect()
     if not chosen:
         return ()
     keys = {(r["lang"], r["h"]) for r in chosen}

@@ -27,6 +27,19 @@ def plain_phrases(text: bytes, reference: bytes) -> int:
     return n
 
 
+def test_long_texts_are_parsed_in_one_piece():
+    """Texts of 100,000 bytes, one of which never falls in at a lane's start, equal a plain cross-parse."""
+    rng = random.Random(7)
+    references = (("p", b"a" * 300 + bytes(rng.choice(b"abcd ") for _ in range(400))), ("q", bytes(rng.choice(b"bcdef ") for _ in range(700))))
+    p = langid.Parser(references)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(100_000)), "a" * 100_000, ("abc " * 9 + "z") * 2800, "b" * 5000]
+    data, offsets = langid.normalise(texts)
+    got = p.phrases(data, offsets)
+    for k in range(len(texts)):
+        body = data[offsets[k]:offsets[k + 1]].tobytes()
+        assert got[k].tolist() == [plain_phrases(body, r) for _, r in references]
+
+
 def test_phrases_equal_a_plain_cross_parse():
     rng = random.Random(6)
     references = tuple((k, "".join(rng.choice(a) for _ in range(300)).encode()) for k, a in (("p", "abcd "), ("q", "cdéf ")))
@@ -37,6 +50,8 @@ def test_phrases_equal_a_plain_cross_parse():
     for k, x in enumerate(texts):
         body = data[offsets[k]:offsets[k + 1]].tobytes()
         assert got[k].tolist() == [plain_phrases(body, r) for _, r in references]
+    for lane in (1, 2, 7, 64):
+        assert p.phrases(data, offsets, lane=lane).tolist() == got.tolist()
 
 
 def test_lanes_add_at_most_one_phrase(monkeypatch):
@@ -154,12 +169,39 @@ def test_language_stage_rejects_texts_without_language(spark, folder, docs):
 
 
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, folder, docs):
-    rows = docs.collect()
-    sets = [(r.doc_id, shingles(r.text, 5)) for r in rows if r.doc_id is not None]
-    pairs = [(i, j) for k, (i, x) in enumerate(sets) for j, y in sets[:k] if x and y and 100 * len(x & y) >= 80 * len(x | y)]
-    want = set(roots({i for i, _ in sets}, pairs).values())
-    kept = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
-    assert sorted(k for k in kept if k is not None) == sorted(want) and kept.count(None) == 1
+    """Groups are of texts: a repeated id keeps each of its texts that nothing else is linked to."""
+    texts = {(r.doc_id, r.text): shingles(r.text, 5) for r in docs.collect() if r.doc_id is not None}
+    nodes = list(texts)
+    pairs = [(k, m) for k, a in enumerate(nodes) for m, b in enumerate(nodes[:k])
+             if texts[a] and texts[b] and 100 * len(texts[a] & texts[b]) >= 80 * len(texts[a] | texts[b])]
+    groups = Counter(roots(range(len(nodes)), pairs).values())
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
+    group = roots(range(len(nodes)), pairs)
+    got = Counter(group[nodes.index(x)] for x in kept if x[0] is not None)
+    assert set(got) == set(groups) and set(got.values()) == {1} and sum(x[0] is None for x in kept) == 1
+    ids = {g: min(nodes[k][0] for k in range(len(nodes)) if group[k] == g) for g in groups}
+    assert all(ids[group[nodes.index(x)]] == x[0] for x in kept if x[0] is not None)
+
+
+def test_unlinked_texts_of_one_id_all_stay(spark, folder):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(5, " ".join(words)), (3, " ".join(words[:-1] + ["end"])), (5, "a text found nowhere else at all " * 3), (5, "a text found nowhere else at all " * 3),
+            (7, None), (7, ""), (7, "one"), (8, "one"), (None, "one")]
+    given = spark.createDataFrame([(i, t, "aa", f"s{k}", k) for k, (i, t) in enumerate(rows)], DOCUMENTS)
+    kept = sorted((r.doc_id or 0, r.text or "-") for r in corpus_pipeline.near_duplicates(spark, given, folder).collect())
+    assert kept == sorted([(3, rows[1][1]), (5, rows[2][1]), (7, "-"), (7, "-"), (7, "one"), (0, "one")])
+
+
+def test_many_rows_of_one_id_and_text(spark, folder):
+    many = spark.range(10_000, numPartitions=6).select(F.lit(4).cast("long").alias("doc_id"), F.lit("the same " * 20).alias("text"), F.lit("aa").alias("lang"),
+                                                       F.lit("s").alias("source"), F.col("id").alias("n_chars"))
+    assert [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, many, folder).collect()] == [(4, "the same " * 20)]
+
+
+def test_short_texts_that_fit_two_languages_stay(spark, folder):
+    rows = [(k, "bako lume tira sona" if k % 2 else "grast schön qip wyrm", "aa" if k % 2 else "zz", "s", 1) for k in range(20)] + [(50, "x", None, "s", 1), (51, "Re.", None, "s", 1)]
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, spark.createDataFrame(rows, DOCUMENTS), folder).collect()}
+    assert {50, 51} <= kept
 
 
 def test_run_is_its_stages(spark, folder):
