@@ -32,7 +32,7 @@ from fetchplan.llm.columns import per_row, texts
 
 #: Characters at a piece's end whose parse may change with what follows ("'l" + "l" is the longest wait).
 LOOKAHEAD = 3
-LEAF_CHARS = 16_384
+LEAF_CHARS = 4_096
 
 
 class Codec:

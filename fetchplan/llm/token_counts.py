@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from fetchplan.llm.columns import buffers, per_row, texts
 from fetchplan.llm.pieces import pieces
 
-CHUNK_CHARS = 32_768
+CHUNK_CHARS = 8_192
 OVERLAP_CHARS = 512
 
 

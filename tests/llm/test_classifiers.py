@@ -212,3 +212,67 @@ def test_run_is_its_stages(spark, folder):
     got = corpus_pipeline.run(spark, folder).collect()
     assert {(r.doc_id, r.doc_tokens) for r in got} == want and want
     assert sum(r.length for r in got) == sum(n for _, n in want)
+
+
+def plain_fit(rows, grades, n_grades, rounds, ridge=1e-6, rate=0.1):
+    """The likelihood written out, its gradient by differences, and the same steps; thresholds are the first and log gaps."""
+    names = sorted({b for r in rows for b in r})
+    count = Counter(grades)
+    w = [count[g] ** -0.5 for g in grades]
+    w = [x / sum(w) for x in w]
+
+    def cuts(theta):
+        out = [theta[len(names)]]
+        for gap in theta[len(names) + 1:]:
+            out.append(out[-1] + np.exp(gap))
+        return out
+
+    def loss(theta):
+        total = ridge / 2 * sum(x * x for x in theta[:len(names)])
+        for r, g, weight in zip(rows, grades, w, strict=True):
+            latent = sum(theta[names.index(b)] for b in r)
+            tail = [1.0, *[1 / (1 + np.exp(-(latent - c))) for c in cuts(theta)], 0.0]
+            total -= weight * np.log(tail[g] - tail[g + 1])
+        return total
+
+    theta = np.array([0.0] * len(names) + [-1.0] + [0.0] * (n_grades - 2))
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for t in range(1, rounds + 1):
+        step = np.eye(len(theta)) * 1e-6
+        g = np.array([(loss(theta + e) - loss(theta - e)) / 2e-6 for e in step])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        theta[:len(names)] = np.minimum(theta[:len(names)], 0.0)
+    return dict(zip(names, theta, strict=False)), cuts(theta)
+
+
+@pytest.mark.parametrize("n_grades", [2, 3, 4])
+def test_fit_follows_the_likelihood(n_grades):
+    """Weights and thresholds as from the written-out likelihood and differences instead of its derivative."""
+    rng = random.Random(n_grades)
+    rows = [np.array(sorted(rng.sample(range(12), rng.randrange(1, 6)))) for _ in range(40)]
+    grades = [max(0, n_grades - 1 - sum(b < 3 for b in r.tolist()) - (rng.random() < 0.2)) for r in rows]
+    model = quality.fit_rows(rows, np.array(grades), n_grades, bits=4, rounds=25, min_docs=0, min_z=-1.0)
+    weights, thresholds = plain_fit([r.tolist() for r in rows], grades, n_grades, 25)
+    assert np.allclose(model.weights[sorted(weights)], [weights[b] for b in sorted(weights)], atol=2e-3)
+    assert np.allclose(model.thresholds, thresholds, atol=2e-3) and list(model.thresholds) == sorted(model.thresholds)
+
+
+def test_scores_equal_plain_sums(spark, docs, folder):
+    """Grades and tails of every text from its features' weights, one after another; the stage keeps just the selected."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(docs, labels.select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade")))
+    bits = int(np.log2(len(model.weights)))
+    got = quality.classify(docs, model, least=0.5).collect()
+    assert len(got) == docs.count()
+    kept = Counter()
+    for r in got:
+        if r.text:
+            latent = sum(float(model.weights[b]) for b in quality.features(bits).of(r.text))
+            tails = [1 / (1 + np.exp(-(latent - c))) for c in model.thresholds]
+            assert abs(r.expected_grade - sum(tails)) < 1e-4 and abs(r.tail_probability - tails[-1]) < 1e-4
+            if abs(tails[-1] - 0.5) > 1e-4:
+                assert r.selected == (tails[-1] >= 0.5)
+        if r.selected:
+            kept[(r.doc_id, r.text)] += 1
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.quality_filter(spark, docs, folder).collect()) == kept
