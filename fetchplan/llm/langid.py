@@ -118,69 +118,76 @@ class Parser:
     def phrases(self, data: np.ndarray, offsets: np.ndarray, lane: int = LANE) -> np.ndarray:
         """Phrases by text and language, as one parse of each whole text gives them; an empty text has none.
 
-        Lanes are parsed side by side, each as if a phrase began at its start.  The parse that comes over from the lane before goes on
-        until it begins a phrase where the lane's own parse does: from there on both are the same.  A text with a lane
-        that never falls in is parsed in one lane.
+        Texts of several lanes are parsed in all their lanes side by side, each as if a phrase began at its start.  The parse that
+        comes over from the lane before goes on until it begins a phrase where the lane's own parse does: from there on both
+        are the same.  A text with a lane that never falls in is parsed in one lane.
         """
-        codes = self.code[data]
-        sizes = np.diff(offsets)
-        lanes = -(-sizes // lane)
-        doc = np.repeat(np.arange(len(sizes)), lanes)
-        nth = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        start = offsets[:-1][doc] + nth * lane
-        length = np.minimum(lane, offsets[1:][doc] - start)
-        order = np.argsort(-length, kind="stable")
+        codes, sizes = self.code[data], np.diff(offsets)
+        out = np.zeros((len(sizes), len(self.languages)))
+        short = np.flatnonzero((sizes > 0) & (sizes <= lane))
+        counts, order, *_ = self._steps(codes, offsets[:-1][short], sizes[short])
+        out[short[order]] = counts.T
+        long = np.flatnonzero(sizes > lane)
+        if not len(long):
+            return out
+        lanes = -(-sizes[long] // lane)
+        of = np.repeat(np.arange(len(long)), lanes)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        start = offsets[:-1][long][of] + nth * lane
+        length = np.minimum(lane, offsets[1:][long][of] - start)
+        counts, order, state, begins = self._steps(codes, start, length, True)
         place = np.argsort(order)  # where a lane stands, by its number
-        doc, start, length = doc[order], start[order], length[order]
-        counts = np.ones((len(self.languages), len(doc)), np.int32)  # the phrase that begins with the lane
-        begins = np.zeros((len(self.languages), len(data)), bool) if len(doc) > np.count_nonzero(lanes) else None
-        alone: np.ndarray | list = []
-        if len(doc):
-            state = self.first[:, codes[start]]
-            going = len(doc) - np.searchsorted(length[::-1], np.arange(1, length[0] + 1), "left")
-            if begins is not None:
-                begins[:, start] = True
+        later = np.flatnonzero(nth > 0)
+        lost = self._join(codes, begins, counts, state[:, place[later - 1]], place[later], start[order], length[order])
+        for row, total in zip(counts, out.T, strict=True):
+            total[long] = np.bincount(of[order], weights=row, minlength=len(long))
+        goes_on = (nth < lanes[of] - 1)[order]  # behind a text's last lane nothing depends on it
+        for k in long[np.unique(of[order][lost[goes_on[lost]]])]:
+            text = data[offsets[k]:offsets[k + 1]]
+            out[k] = self.phrases(text, np.array([0, len(text)]), lane=len(text))[0]
+        return out
+
+    def _steps(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray, record: bool = False):
+        """Phrases of lanes by language, longest lane first; that order; the last states; where phrases begin (step, language, lane)."""
+        order = np.argsort(-length, kind="stable")
+        start, length = start[order], length[order]
+        counts = np.ones((len(self.languages), len(start)), np.int32)  # the phrase that begins with the lane
+        state, begins = self.first[:, codes[start]], None
+        if record:
+            begins = np.ones((int(length[0]), len(self.languages), len(start)), bool)
+        if len(start):
+            going = len(start) - np.searchsorted(length[::-1], np.arange(1, length[0] + 1), "left")
             for t in range(1, int(length[0])):
                 k = int(going[t])
-                at = start[:k] + t
-                c = codes[at]
+                c = codes[start[:k] + t]
                 to = self.table[state[:, :k] + c]
                 miss = to == 0
                 counts[:, :k] += miss
                 state = np.where(miss, self.first[:, c], to)
-                if begins is not None:
-                    begins[:, at] = miss
-            if begins is not None:
-                alone = self._join(codes, begins, counts, state, doc, start, length, place, np.flatnonzero(nth > 0))
-        out = np.stack([np.bincount(doc, weights=row, minlength=len(sizes)) for row in counts], axis=1)
-        for k in alone:
-            text = data[offsets[k]:offsets[k + 1]]
-            out[k] = self.phrases(text, np.array([0, len(text)]), lane=len(text))[0]
-        return out
+                if record:
+                    begins[t, :, :k] = miss
+        return counts, order, state, begins
 
-    def _join(self, codes, begins, counts, state, doc, start, length, place, later) -> np.ndarray:
-        """Corrects the counts of lanes that go on from another; gives the texts with a lane that never falls in."""
-        own, before = place[later], place[later - 1]  # a lane before another is whole, so its last state is there
+    def _join(self, codes, begins, counts, state, own, start, length) -> np.ndarray:
+        """Corrects the counts of lanes ``own`` that go on from a state; gives those that never fall in."""
         lang, at = (x.ravel() for x in np.meshgrid(np.arange(len(self.languages)), np.arange(len(own)), indexing="ij"))
-        into = state[lang, before[at]]
-        own = own[at]
+        into, own = state[lang, at], own[at]
         t, lost = 0, [np.zeros(0, np.int64)]
         while len(own):
             over = t >= length[own]
             if over.any():
-                lost.append(doc[own[over]])
+                lost.append(own[over])
                 lang, into, own = lang[~over], into[~over], own[~over]
                 continue
-            pos = start[own] + t
-            c = codes[pos]
+            c = codes[start[own] + t]
             to = self.table[into + c]
-            miss, here = to == 0, begins[lang, pos]
-            np.add.at(counts, (lang, own), miss.astype(np.int32) - here)
+            miss, here = to == 0, begins[t, lang, own]
+            counts[lang, own] += miss.astype(np.int32) - here
             into = np.where(miss, self.first[lang, c], to)
             going = ~(miss & here)
             lang, into, own = lang[going], into[going], own[going]
             t += 1
-        return np.unique(np.concatenate(lost))
+        return np.concatenate(lost)
 
     def predict(self, raw: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and the score of each text."""
