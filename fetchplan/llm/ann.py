@@ -45,6 +45,8 @@ RECALL = 0.97
 CHUNK = 4096
 QUERIES = 4096
 SLACK = 1e-9
+#: Candidate rows a task holds before it cuts them to the best of each query.
+HELD = 500_000
 
 
 class Tree:
@@ -148,6 +150,38 @@ def _table(found: tuple) -> dict:
     return {"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())}
 
 
+def fewest(found: tuple, k: int) -> tuple:
+    """Of (query, id, score) rows the k best ids of each query, an id by its best row; ties go to the smaller id."""
+    qid, vid, score = found
+    order = np.lexsort((-score, vid, qid))
+    qid, vid, score = qid[order], vid[order], score[order]
+    new = np.append(True, (np.diff(qid) != 0) | (np.diff(vid) != 0))[:len(qid)]
+    qid, vid, score = qid[new], vid[new], score[new]
+    order = np.lexsort((vid, -score, qid))
+    qid, vid, score = qid[order], vid[order], score[order]
+    keep = np.arange(len(qid)) - np.searchsorted(qid, qid) < k
+    return qid[keep], vid[keep], score[keep]
+
+
+def merged(k: int, held: int = HELD):
+    """Of a task's candidates the k best of each query, however many leaves it met in; at most about ``held`` rows at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size, limit = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0, held
+        for batch in batches:
+            parts.append(tuple(c.to_numpy() for c in batch.columns))
+            size += batch.num_rows
+            if size >= limit:
+                parts = [fewest(tuple(map(np.concatenate, zip(*parts, strict=True))), k)]
+                size = len(parts[0][0])
+                limit = max(held, 2 * size)
+                if size >= 4 * held:  # more queries than fit: these are handed on
+                    yield pa.RecordBatch.from_pydict(_table(parts.pop()))
+                    parts, size, limit = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0, held
+        yield pa.RecordBatch.from_pydict(_table(fewest(tuple(map(np.concatenate, zip(*parts, strict=True))), k)))
+
+    return run
+
+
 def exact_for(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -> DataFrame:
     """Best k of a small set of queries over all rows: each task keeps its own best, then they are ranked."""
     shared = rows.sparkSession.sparkContext.broadcast(queries)
@@ -159,7 +193,8 @@ def exact_for(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -
             if len(vid):
                 yield pa.RecordBatch.from_pydict(_table(best(qid, q, vid, matrix(batch.column(1), q.shape[1]), k)))
 
-    return ranked(rows.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score double"), k)
+    kind = "query_id long, vec_id long, score double"
+    return ranked(rows.select("vec_id", "v").mapInArrow(run, kind).mapInArrow(merged(k), kind), k)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -253,5 +288,5 @@ def _search(base: DataFrame, d: int, is_query: Column, k: int, recall: float, sa
              .select(F.col("at.leaf").alias("leaf"), F.col("at.chunk").alias("chunk"),
                      F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("group"), "query_id", "q"))
     keys = ["leaf", "chunk", "group"]
-    return (posed.groupBy(*keys).cogroup(stored.groupBy(*keys))
-            .applyInArrow(meet, "query_id long, vec_id long, score double"))
+    kind = "query_id long, vec_id long, score double"
+    return posed.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInArrow(meet, kind).mapInArrow(merged(k), kind)
