@@ -42,6 +42,21 @@ TEMPLATES = {
                       " {{work:1-3}} and associated documentation files",
     "bsd-redistribution": "redistribution and use in source and binary forms [[with or without modification]]"
                           " are permitted provided that the following conditions are met",
+    "bsd-endorsement": "neither the name of {{holder:1-12}} nor the names of [[its]] {{work:0-3}} contributors may be used to endorse or promote"
+                       " products derived from this software without specific prior written permission",
+    "gpl-or-later": "[[either]] version {{number:1-1}} of the license or at your option any later version",
+    "lgpl-notice": "[[gnu]] lesser general public license",
+    "agpl-notice": "[[gnu]] affero general public license",
+    "mpl-notice": "this source code form is subject to the terms of the mozilla public license v {{number:1-1}} 0",
+    "isc-permission": "permission to use copy modify [[and]] [[or]] distribute this software [[and its documentation]] for any purpose"
+                      " [[with or without fee]] [[without fee]] is hereby granted",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "as-is-warranty": "[[the]] software is provided as is without warranty of any kind",
+    "cc0": "[[creative commons]] cc0 1 0 [[universal]]",
+    "cc-attribution": "creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] [[noderivs]] {{version:1-1}} 0"
+                      " [[international]] [[unported]] license",
+    "public-domain": "[[dedicated to]] [[released into]] [[placed in]] the public domain",
+    "spdx-identifier": "spdx license identifier {{id:1-4}}",
 }
 
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
