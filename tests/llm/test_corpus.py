@@ -127,3 +127,17 @@ def test_backoff_scores(docs, order, leave_out):
 
 def test_backoff_scores_of_nothing(no_docs):
     assert lm.backoff_scores(no_docs).collect() == []
+
+
+def test_ten_thousand_rows_equal_in_id_and_text(spark):
+    """Rows alike in id and text, beside a few others: each row has its result, links and counts are whole."""
+    many = spark.range(10_000, numPartitions=5).select(F.lit(4).cast("long").alias("doc_id"), F.lit("the same five words again").alias("text"))
+    docs = many.unionByName(spark.createDataFrame([(3, "the same five words again"), (9, "nothing alike in here")], "doc_id long, text string"))
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in ngram_join.jaccard_join(docs, bucket_bytes=50_000, range_rows=2000).collect())
+    assert got == {(4, 2, 3, 10_000): 10_000, (3, 2, 3, 10_000): 1, (9, 1, 9, 0): 1}
+    scores = lm.backoff_scores(docs, bucket_bytes=50_000, range_rows=2000).collect()
+    own = {(r.doc_id, r.n_words, r.n_full, round(r.log_score, 9)) for r in scores}
+    assert Counter(r.doc_id for r in scores) == {4: 10_000, 3: 1, 9: 1} and len(own) == 3
+    size = 5 * 10_001 + 4
+    alike = math.log(10_000 / (size - 5))  # every word of the other copies stands where it does here
+    assert all(abs(r.log_score - alike) < 1e-6 for r in scores if r.doc_id != 9)
