@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.functions.scalar import look_back
+from fetchplan.plans.strategy import key_filtered
 
 ORDER_COLS = ("order_id", "customer_id", "order_date", "total_amount")
 # Business schema: details sort by detail_id.  Stand-in views without a unique
@@ -58,7 +59,7 @@ def _key_filter(df: DataFrame, key: str, keys) -> DataFrame:
     adaptive execution broadcasts them by their size in bytes.  NULL keys match nothing.
     """
     if isinstance(keys, DataFrame):
-        return df.join(distinct_keys(keys, key), key, "left_semi")
+        return key_filtered(df, keys.select(key), key).join(distinct_keys(keys, key), key, "left_semi")
     vals = sorted({v for v in keys if v is not None})
     if not vals:
         return df.limit(0)

@@ -10,10 +10,10 @@ Orders with their details:
 
 In all shapes the children are first semi-joined on the parent keys, written
 plainly: Catalyst, or adaptive execution from the bytes it measures, broadcasts
-the keys or shuffles both sides.  Where both are too large to broadcast, every
-shape shuffles the key and nested columns of all details once; tables bucketed
-on order_id (``sources.tables.write_bucketed``) avoid that.  No shape runs a job
-while it is built.
+the keys or shuffles both sides.  Where the keys' estimate is too large to broadcast,
+details of other parents are first dropped where they are read, all but a few, by
+hashed bits of the keys (``strategy.key_filtered``), so no shape shuffles all
+details.  No shape runs a job while it is built.
 
 Employees with their department (J5-J7) likewise: join, batch on the distinct
 department keys, and a correlated scalar subquery.  Departments is a whole
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from fetchplan.functions.scalar import look_back
 from fetchplan.operators.chunking import DEFAULT_MAX_CHILDREN, page_counts, parent_pages, with_page
 from fetchplan.operators.lookups import DETAIL_COLS, ORDER_COLS
+from fetchplan.plans.strategy import key_filtered
 
 
 def _parents(orders: DataFrame, as_of, days: int, parent_cols: list[str]) -> DataFrame:
@@ -49,7 +50,8 @@ def _paged(details: DataFrame, parents: DataFrame, cols: list[str],
 
     Other parents' children are dropped by a semi join before anything else.
     """
-    kids = details.select("order_id", *cols).join(parents.select("order_id"), "order_id", "left_semi")
+    keys = parents.select("order_id")
+    kids = key_filtered(details.select("order_id", *cols), keys, "order_id").join(keys, "order_id", "left_semi")
     pages = page_counts(kids, "order_id", max_children, cols)
     return parent_pages(parents, "order_id", pages), with_page(kids, "order_id", cols, pages)
 
