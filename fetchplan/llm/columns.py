@@ -5,8 +5,11 @@ from __future__ import annotations
 import contextlib
 import ctypes
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +52,13 @@ def row_blocks(offsets: np.ndarray, limit: int):
         a = b
 
 
+def text_blocks(values: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Row ranges of about ``limit`` bytes with their ``texts``, made one range after another: a batch's texts never stand together."""
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    for a, b in row_blocks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), limit):
+        yield a, b, texts(values.slice(a, b - a))
+
+
 def release() -> None:
     """Gives freed memory back to the system: workers live on between stages, and so would their largest heap."""
     pa.default_memory_pool().release_unused()

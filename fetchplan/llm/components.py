@@ -37,8 +37,8 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
             return label
 
 
-def _contract(limit: int):
-    """Edges (u, v) to stars (node, smallest node reached), ``limit`` at a time."""
+def contract(limit: int = LOCAL):
+    """Edges, without nulls, to stars (u: node, v: smallest node reached), ``limit`` at a time."""
     def stars(parts: list) -> pa.RecordBatch:
         edges = np.concatenate([np.zeros((2, 0), np.int64), *parts], axis=1)
         nodes, at = np.unique(edges, return_inverse=True)
@@ -60,19 +60,20 @@ def _contract(limit: int):
     return run
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", local: int = LOCAL) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", local: int = LOCAL, contracted: bool = False) -> DataFrame:
     """(node, component) of every node with an edge to another; component is the smallest node reachable.
 
-    Null ends and loops are dropped; repeated edges count once.
+    Null ends and loops are dropped; repeated edges count once.  ``contracted``: the tasks that made the edges
+    have put them through ``contract`` already, so a task needs one Python worker and not one a step.
     """
     checkpoint_dir(edges.sparkSession)
     a, b, kind = F.col(a).cast("long"), F.col(b).cast("long"), "u long, v long"
     e = edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    e, seen = e.mapInArrow(_contract(local), kind).checkpoint(), None
+    e, seen = (e if contracted else e.mapInArrow(contract(local), kind)).checkpoint(), None
     while True:
         mark = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark[0] <= local:
-            e = e.repartition(1).mapInArrow(_contract(local + 1), kind)
+            e = e.repartition(1).mapInArrow(contract(local + 1), kind)
             break
         if mark == seen:
             break

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import per_row, release, row_blocks, texts
+from fetchplan.llm.columns import per_row, release, text_blocks
 
 SAMPLE_TEXTS = 64
 SAMPLE_BYTES = 16_384
@@ -255,14 +255,12 @@ def identify(docs: DataFrame, references: tuple[tuple[str, bytes], ...], text_co
     def predict(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
         p = parser(references) if references else None
         for v in values:
-            raw = texts(v)
-            names, scores = [None] * len(raw), np.zeros(len(raw))
+            names, scores = [None] * len(v), np.zeros(len(v))
             if p:
-                sizes = np.cumsum([0, *map(len, raw)])
-                for a, b in row_blocks(sizes, BLOCK_BYTES):
-                    best, scores[a:b] = p.predict(raw[a:b])
+                for a, b, raw in text_blocks(v, BLOCK_BYTES):
+                    best, scores[a:b] = p.predict(raw)
                     names[a:b] = [p.languages[k] for k in best]
-            del raw
+                    del raw
             release()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 

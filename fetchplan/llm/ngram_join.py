@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.llm.columns import release
-from fetchplan.llm.components import connected_components, forest
+from fetchplan.llm.components import connected_components, contract, forest
 from fetchplan.llm.hash_tables import BUCKET_BYTES, RANGE_ROWS, corpus_counts, corpus_size, deal, open_bucket, text_words, totals_of
 from fetchplan.llm.hashing import mix, ngrams
 from fetchplan.session import checkpoint_dir
@@ -161,8 +161,9 @@ def _chains(percent: int):
 def class_links(classes: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """(node, links, peer) rows of classes (id, m, n, columns, items): link counts, or one edge of a spanning forest."""
     entries = classes.select(F.explode("columns").alias("s"), "n", "id")
-    chains = entries.repartition("s").sortWithinPartitions("s", "n", "id").mapInArrow(_chains(percent), "a long, b long")
-    parts = connected_components(chains)
+    chain, stars = _chains(percent), contract()
+    chains = entries.repartition("s").sortWithinPartitions("s", "n", "id").mapInArrow(lambda rows: stars(chain(rows)), "u long, v long")
+    parts = connected_components(chains, "u", "v", contracted=True)
     rows = classes.select("id", "m", "n", "items").join(parts, F.col("id") == F.col("node")).drop("node")
     rows = rows.withColumn("c", F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) + 1e-9)).cast("int"))
     counts = rows.groupBy("component", "c").agg(F.count("*").alias("k"))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import texts
+from fetchplan.llm.columns import release, text_blocks
 from fetchplan.llm.pieces import pieces
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,6 +38,7 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 MAX_OPEN = 4096
 #: Pieces of text a generation of the memo holds (about 250 bytes each, two generations).
 MEMO = 700_000
+BLOCK_BYTES = 4 << 20
 
 
 class Packer:
@@ -144,10 +145,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                packer.add(doc, np.frombuffer(known.encode(text) + end, "<u4"))
-                if len(packer.done) >= 10_000:
-                    yield out()
+            for a, b, some in text_blocks(batch.column(1), BLOCK_BYTES):
+                for doc, text in zip(batch.column(0).slice(a, b - a).to_pylist(), some, strict=True):
+                    packer.add(doc, np.frombuffer(known.encode(text) + end, "<u4"))
+                    if len(packer.done) >= 10_000:
+                        yield out()
+                del some
+            release()
         packer.flush()
         yield out()
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fetchplan.llm.columns import per_row, release, texts
+from fetchplan.llm.columns import per_row, release, text_blocks, texts
 
 BITS = 20
 FIT_ROWS = 12_000
@@ -48,6 +48,7 @@ USUAL_BYTES = 64
 REPEATS = (0.05, 0.1, 0.2, 0.4)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 GRADES = 3
+BLOCK_BYTES = 4 << 20
 
 
 class Features:
@@ -226,10 +227,13 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     def score(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f, m = features(bits), Model(*shared.value)
         for v in values:
-            raw = texts(v)
-            tails = m.tails(np.array([m.weights[f.of(x)].sum(dtype=np.float64) for x in raw]))
-            tails[np.array([not x for x in raw], bool)] = 0.0
-            del raw
+            latent, empty = np.zeros(len(v)), np.zeros(len(v), bool)
+            for a, b, raw in text_blocks(v, BLOCK_BYTES):
+                latent[a:b] = [m.weights[f.of(x)].sum(dtype=np.float64) for x in raw]
+                empty[a:b] = [not x for x in raw]
+                del raw
+            tails = m.tails(latent)
+            tails[empty] = 0.0
             release()
             yield pa.StructArray.from_arrays([pa.array(tails.sum(axis=1)), pa.array(tails[:, -1].copy()), pa.array(tails[:, -1] >= least)],
                                              ["expected_grade", "tail_probability", "selected"])

@@ -10,9 +10,10 @@ import pytest
 from tests.llm.llm_helpers import roots, shingles, split
 from pyspark.sql import functions as F
 
-from fetchplan.llm import hash_tables, hashing, lm, ngram_join
+from fetchplan.llm import columns, hash_tables, hashing, lm, ngram_join
 from fetchplan.llm.columns import buffers
 from fetchplan.llm.components import connected_components
+from fetchplan.plans.variants import plan_text
 
 
 def test_words_and_ngrams_hash_as_their_text():
@@ -57,6 +58,28 @@ def test_components(spark, local):
     assert connected_components(rows.where("false"), local=local).collect() == []
 
 
+def test_neighbours_are_contracted_by_the_task_that_finds_them(spark, monkeypatch):
+    """pipeline: a task of the near-duplicate stage needs one Python worker; two steps in a row would need two."""
+    given = []
+
+    def components(edges, a="a", b="b", local=7, contracted=False):
+        given.append((plan_text(edges), contracted))
+        return connected_components(edges, a, b, local, contracted)
+
+    monkeypatch.setattr(ngram_join, "connected_components", components)
+    rows = [(k, f"one two three four five six seven eight nine {k // 3}") for k in range(60)]
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect()}
+    plan, contracted = given[0]
+    assert contracted and plan.count(") MapInArrow") // 2 <= 1
+    assert set(got.values()) == {0}
+
+
+def test_texts_are_read_in_blocks():
+    values = pa.array(["ab", None, "", "é" * 10, "c"])
+    assert list(columns.text_blocks(values, 5)) == [(0, 3, ["ab", "", ""]), (3, 4, ["é" * 10]), (4, 5, ["c"])]
+    assert list(columns.text_blocks(pa.array([], pa.string()), 5)) == []
+
+
 @pytest.mark.parametrize("n,percent,block", [(4, 85, 512), (5, 80, 3), (2, 50, 2)])
 def test_jaccard_join(docs, n, percent, block):
     """Components, set sizes and link counts as from all pairs; small blocks split the groups."""
