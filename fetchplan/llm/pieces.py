@@ -8,21 +8,21 @@ holds it.  Special strings hold neither and so lie within one piece.
 
 A piece of plain letters goes to the library's merge model directly: the steps before
 it (normal forms, small letters, the split before the merges) do nothing else
-to it.  A final comma or full stop behind letters is split off first, as the
-split before the merges does.  All other pieces go through the whole tokenizer.
+to it.  Punctuation behind letters is split off first, as the split before the
+merges does.  All other pieces go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
 from functools import lru_cache
 
 import numpy as np
 
-#: ASCII and Latin-1 letters: each is its own normal form and has one small letter.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: ASCII and Latin-1 letters, each of which is its own normal form and has one small letter, behind a blank or line feed and
+#: before ASCII punctuation.  The apostrophe may begin a match with letters.
+_WORD = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: White space before a blank or line feed, where no cut is proven.
 _BLANKS = re.compile(r"\s[ \n]")
 
@@ -40,6 +40,15 @@ _NAMES = _byte_names()
 MEMO = 150_000
 
 
+class _Memo(dict):
+    """Ids of pieces; one that is missing is encoded when it is asked for."""
+
+    __slots__ = ("encode",)
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.encode(piece)
+
+
 class Pieces:
     #: Longer pieces are encoded anew each time.
     LONG = 256
@@ -51,19 +60,27 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.keeps_blanks, self.MEMO = keeps_blanks, memo
-        self.ids: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.ids, self.before = _Memo(), {}
+        self.ids.encode = self._learn
+        self.raw = [np.array([k], "<u4").tobytes() for k in range(max(self.tokenizer.get_vocab().values(), default=-1) + 1)]
+        self.ends: dict[str, bytes] = {}  # ids of a line feed, and of punctuation behind letters
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.plain = not any(_WORD.fullmatch("a" + t.content) or _WORD.fullmatch(t.content) for t in special)
 
     def split(self, text: str) -> list[str]:
         """Pieces of the text; their concatenation (with blanks, if kept) encodes as the text does."""
         if not self.keeps_blanks:
             return [p for p in text.replace("\n", " ").split(" ") if p]
-        out: list[str] = []
+        blanks = _BLANKS.search(text)
+        if not blanks and "\0" not in text:
+            out = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            return out if out[0] else out[1:]
+        out = []
         for n, line in enumerate(text.split("\n")):
             first, *rest = line.split(" ")
             out.append("\n" + first if n else first)
             out += [" " + p for p in rest]
-        if not _BLANKS.search(text):
+        if not blanks:
             return out if out[0] else out[1:]
         whole: list[str] = []
         for p in out:  # a cut is proven only where the character before the blank is visible
@@ -73,59 +90,51 @@ class Pieces:
                 whole.append(p)
         return [p for p in whole if p]
 
-    def _letters(self, piece: str) -> bytes | None:
-        """Ids of a piece of letters (behind its blank or line feed); None for any other."""
-        lead, word = b"", piece
-        if self.keeps_blanks and piece[:1] in (" ", "\n"):
-            word = piece[1:]
-            if piece[0] == "\n":
-                lead, piece = self.ends["\n"], word
-        if not _LETTERS.fullmatch(word):
-            return None
+    def _whole(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _end(self, piece: str) -> bytes:
+        known = self.ends.get(piece)
+        if known is None:
+            known = self._whole(piece)
+            if len(self.ends) < self.LONG and len(piece) <= self.LONG:
+                self.ends[piece] = known
+        return known
+
+    def _letters(self, piece: str) -> bytes:
+        """Ids of letters, with the blank before them if there is one."""
         if not self.keeps_blanks:
             piece = piece.lower()
         name = piece.replace(" ", _NAMES[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(_NAMES)
-        ids = [t.id for t in self.model.tokenize(name)]
-        return lead + struct.pack(f"<{len(ids)}I", *ids)
-
-    def learn(self, pieces) -> None:
-        """Encode the pieces that the memo lacks."""
-        new = set(pieces).difference(self.ids)
-        if len(self.ids) + len(new) > self.MEMO:
-            self.before, self.ids = self.ids, {}
-            new = set(pieces)
-        whole = []
-        for p in new:
-            known = self.before.get(p)
-            if known is None and p[-1:] in (",", ".") and (known := self._letters(p[:-1])) is not None:
-                known += self.ends[p[-1]]
-            if known is None and (known := self._letters(p)) is None:
-                whole.append(p)
-            else:
-                self.ids[p] = known
-        for at in range(0, len(whole), 50_000):
-            some = whole[at:at + 50_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.ids[p] = np.array(e.ids, dtype="<u4").tobytes()
-
-    @property
-    def ends(self) -> dict[str, bytes]:
-        """Ids of a comma, a full stop and a line feed."""
-        if "_ends" not in self.__dict__:
-            self._ends = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in ",.\n"}
-        return self._ends
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(name)])
+
+    def _encoded(self, piece: str) -> bytes:
+        word = _WORD.fullmatch(piece) if self.plain else None
+        if word is None:
+            return self._whole(piece)
+        lead, letters, end = word.groups()
+        if end:
+            base = lead + letters
+            known = self.ids.get(base) or self.before.get(base)
+            return (self._encoded(base) if known is None else known) + self._end(end)
+        return self._end("\n") + self._letters(letters) if lead == "\n" else self._letters(piece)
+
+    def _learn(self, piece: str) -> bytes:
+        """Encode a piece that the memo lacks."""
+        known = self.before.get(piece)
+        if known is None:
+            known = self._encoded(piece)
+        if len(piece) <= self.LONG:
+            if len(self.ids) >= self.MEMO:
+                self.before = dict(self.ids)
+                self.ids.clear()
+            self.ids[piece] = known
+        return known
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        pieces = self.split(text)
-        try:
-            return b"".join(map(self.ids.__getitem__, pieces))
-        except KeyError:
-            self.learn(pieces)
-            out = b"".join(map(self.ids.__getitem__, pieces))
-            for p in {p for p in pieces if len(p) > self.LONG}:
-                del self.ids[p]
-            return out
+        return b"".join(map(self.ids.__getitem__, self.split(text)))
 
 
 @lru_cache(maxsize=4)

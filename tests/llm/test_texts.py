@@ -55,6 +55,32 @@ def test_resync_counts_whole_texts(byte_tokenizer, chunk, overlap):
     assert r.widened > 0
 
 
+class Counting:
+    """A tokenizer that tells how much text it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode(self, text, **how):
+        self.given.append(text)
+        return self.tokenizer.encode(text, **how)
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+
+def test_punctuation_behind_letters_is_split_off():
+    """op1, op5: a word's letters and the marks behind it are encoded apart, so few pieces go through the whole tokenizer."""
+    for path, keeps in ((BYTE_JSON, True), (WORD_JSON, False)):
+        memo = pieces.Pieces(path, keeps)
+        seen = memo.tokenizer = Counting(memo.tokenizer)
+        text = " ".join(f"{w}{end}" for w in ("alpha", "Übung", "Beta", "gamma") for end in ("", "!!", "***", ".%%%", ")", "&"))
+        assert np.frombuffer(memo.encode(text), "<u4").tolist() == ids(seen.tokenizer, text)
+        assert sorted(seen.given) == sorted(["!!", "***", ".%%%", ")", "&"])
+        for x in ("it's 'quoted' don't!' x'", "a<|endoftext|>b!", "Ω! é́. ﬁ, ＡＢ!"):
+            assert np.frombuffer(memo.encode(x), "<u4").tolist() == ids(seen.tokenizer, x)
+
+
 def test_token_counts(docs, no_docs, byte_tokenizer):
     extra = docs.withColumn("N_Tokens", F.lit("mine")).withColumn("rank", F.lit(1))
     got = token_counts.token_counts(extra, BYTE_JSON, chunk_chars=2000, overlap_chars=16)
