@@ -1,9 +1,10 @@
 """Token counts with overlap resynchronisation for huge documents.
 
 Texts up to ``chunk_chars`` are encoded whole (through the memo of
-``pieces.py``).  A longer one is never encoded whole: overlapping chunks go
-through the library with offsets, and neighbours are spliced at a proven
-stable common boundary.
+``pieces.py``).  A longer one is never encoded whole: overlapping chunks are
+encoded on their own, and neighbours are spliced at a proven stable common
+boundary.  A chunk goes through the memo too, whose pieces end where matches
+end; a piece too long for the memo goes through the library with offsets.
 
 Proof.  The split before the merges reads from left to right without memory,
 and merges never cross its matches.  A match end of the left chunk, further
@@ -29,29 +30,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fetchplan.llm.columns import buffers, per_row, texts
-from fetchplan.llm.pieces import pieces
+from fetchplan.llm.pieces import Pieces, pieces
 
 CHUNK_CHARS = 8_192
 OVERLAP_CHARS = 512
 
 
 class Resync:
-    def __init__(self, tokenizer, chunk: int, overlap: int):
-        self.tokenizer, self.chunk, self.overlap = tokenizer, chunk, max(1, overlap)
+    def __init__(self, tokenizer, chunk: int, overlap: int, memo: Pieces | None = None):
+        self.tokenizer, self.chunk, self.overlap, self.memo = tokenizer, chunk, max(1, overlap), memo
         self.margin = 4 + max([0, *(len(t.content) for t in tokenizer.get_added_tokens_decoder().values())])
         self.widened = 0
 
-    def parse(self, text: str, a: int, b: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Match ends within text[a:b] (absolute), tokens up to each, and the token count."""
-        e = self.tokenizer.encode(text[a:b], add_special_tokens=False)
+    def _matches(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        """Match ends within the text, tokens up to each, and the token count, from the library."""
+        e = self.tokenizer.encode(text, add_special_tokens=False)
         n = len(e.ids)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         word = np.array([-1 if w is None else w for w in e.word_ids], np.int64)
-        ends = np.array([x[1] for x in e.offsets], np.int64) + a
+        ends = np.array([x[1] for x in e.offsets], np.int64)
         last = np.flatnonzero(np.append(word[1:] != word[:-1], True))
         return ends[last], last + 1, n
 
+    def parse(self, text: str, a: int, b: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Match ends within text[a:b] (absolute), tokens up to each, and the token count; with a memo, ends of pieces."""
+        if self.memo is None:
+            ends, upto, n = self._matches(text[a:b])
+            return ends + a, upto, n
+        parts, known = self.memo.split(text[a:b]), self.memo.ids
+        ends, upto, run, at, n = [], [], [], a, 0
+
+        def close() -> None:
+            nonlocal at, n
+            if run:
+                ends.append(np.cumsum(list(map(len, run))) + at)
+                upto.append(np.cumsum(list(map(len, map(known.__getitem__, run)))) // 4 + n)
+                at, n = int(ends[-1][-1]), int(upto[-1][-1])
+                run.clear()
+
+        if max(map(len, parts), default=0) <= self.memo.LONG:
+            run = parts
+        else:
+            for p in parts:
+                if len(p) <= self.memo.LONG:
+                    run.append(p)
+                    continue
+                close()
+                e, u, k = self._matches(p)
+                ends.append(e + at)
+                upto.append(u + n)
+                at, n = at + len(p), n + k
+        close()
+        nothing = np.zeros(0, np.int64)
+        return np.concatenate([nothing, *ends]), np.concatenate([nothing, *upto]), n
+
     def count(self, text: str) -> int:
         start, total = 0, 0  # start: a proven boundary; total: tokens before it
         c = self.chunk
@@ -87,7 +120,8 @@ class Resync:
 
 @lru_cache(maxsize=4)
 def _resync(path: str, chunk: int, overlap: int) -> Resync:
-    return Resync(pieces(path, True).tokenizer, chunk, overlap)
+    memo = pieces(path, True)
+    return Resync(memo.tokenizer, chunk, overlap, memo)
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: list[str] | None = None,

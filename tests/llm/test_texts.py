@@ -69,6 +69,25 @@ class Counting:
         return getattr(self.tokenizer, name)
 
 
+@pytest.mark.parametrize("chunk,overlap", [(40, 5), (64, 1), (300, 32)])
+def test_resync_through_the_memo(byte_tokenizer, chunk, overlap):
+    memo = pieces.Pieces(BYTE_JSON, True)
+    memo.LONG = 20
+    r = token_counts.Resync(byte_tokenizer, chunk, overlap, memo)
+    for x in [*odd_texts(), "wörd " * 400 + "y" * 900 + " end\n\n  of it." * 50]:
+        assert r.count(x) == len(ids(byte_tokenizer, x))
+    assert r.widened > 0
+
+
+def test_chunks_are_encoded_through_the_memo(byte_tokenizer):
+    """op1: a chunk's ordinary words do not go through the library with offsets each time."""
+    seen = Counting(byte_tokenizer)
+    r = token_counts.Resync(seen, 300, 32, pieces.Pieces(BYTE_JSON, True))
+    text = "some words, once more; " * 200 + "z" * 700 + " and so on" * 100
+    assert r.count(text) == len(ids(byte_tokenizer, text))
+    assert set("".join(seen.given)) <= {"z", " "}
+
+
 def test_punctuation_behind_letters_is_split_off():
     """op1, op5: a word's letters and the marks behind it are encoded apart, so few pieces go through the whole tokenizer."""
     for path, keeps in ((BYTE_JSON, True), (WORD_JSON, False)):
