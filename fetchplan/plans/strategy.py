@@ -57,12 +57,14 @@ def key_filtered(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     A semi join that Catalyst does not plan as a broadcast shuffles both sides whole, as its estimate knows
     nothing of how few keys a filter leaves.  Here the keys' hashes set bits of a table of bounded size, and rows whose bit
     is not set are dropped where they are read.  More keys let more rows pass, never fewer.  Where the estimate of ``keys``
-    is small enough for a broadcast, or equal keys may differ in their hash (other types), ``rows`` stay as they are.
+    is small enough for a broadcast, equal keys may differ in their hash (other types), or the session has turned
+    broadcasts off (a threshold below 0), ``rows`` stay as they are.
     """
-    plan, conf = keys._jdf.queryExecution().optimizedPlan(), keys.sparkSession._jsparkSession.sessionState().conf()
+    threshold = int(keys.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
     kinds = {rows.schema[key].dataType, keys.schema[key].dataType}
-    if (int(plan.stats().sizeInBytes()) <= conf.autoBroadcastJoinThreshold() or len(kinds) > 1
-            or not isinstance(kinds.pop(), (T.IntegralType, T.DateType))):
+    if threshold < 0 or len(kinds) > 1 or not isinstance(kinds.pop(), (T.IntegralType, T.DateType)):
+        return rows
+    if int(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= threshold:
         return rows
     def bit(df: DataFrame) -> Column:
         return F.pmod(F.xxhash64(df[key]), F.lit(FILTER_BITS))

@@ -73,6 +73,9 @@ def test_key_filter_drops_rows_before_the_shuffle(spark):
         # other types hash otherwise, and a small side is broadcast anyway: rows stay
         assert key_filtered(rows, wide.selectExpr("cast(k AS int) AS k"), "k") is rows
         assert key_filtered(rows, spark.range(3).selectExpr("id AS k"), "k") is rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert key_filtered(rows, wide, "k") is rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
         assert key_filtered(rows, wide.where("false"), "k").join(wide.where("false"), "k", "left_semi").count() == 0
         orders = spark.range(2_000).selectExpr("id AS order_id", "id AS customer_id", "cast(1 AS decimal(12,2)) AS total_amount", "'F' AS status",
                                                "timestamp_ntz'2024-01-01' - make_dt_interval(cast(id AS int)) AS order_date")
